@@ -1,8 +1,10 @@
 """The queries of this subpackage, and their DuckDB SQL where SQL expresses them."""
 
-from . import line_dedup, quality_rules, sharding
+from . import bpe, line_dedup, media, quality_rules, sharding
 
 QUERIES = {
+    "op1_media_columns": media.query,
+    "op2_byte_bpe": bpe.query,
     "op5_line_dedup": line_dedup.query,
     "op8_extendible_sharding": sharding.query,
     "op10_quality_rules": quality_rules.query,
