@@ -1,11 +1,12 @@
 """The queries of this subpackage, and their DuckDB SQL where SQL expresses them."""
 
-from . import bpe, line_dedup, media, packing, quality_rules, sharding
+from . import bpe, line_dedup, media, packing, quality_rules, sharding, toxicity
 
 QUERIES = {
     "op1_media_columns": media.query,
     "op2_byte_bpe": bpe.query,
     "op3_best_fit_packing": packing.query,
+    "op4_toxicity": toxicity.query,
     "op5_line_dedup": line_dedup.query,
     "op8_extendible_sharding": sharding.query,
     "op10_quality_rules": quality_rules.query,
