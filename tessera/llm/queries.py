@@ -1,6 +1,6 @@
 """The queries of this subpackage, and their DuckDB SQL where SQL expresses them."""
 
-from . import bpe, line_dedup, media, packing, quality_rules, sharding, substring_dedup, toxicity
+from . import bpe, line_dedup, media, packing, quality_rules, sharding, substring_dedup, suffix_dedup, toxicity
 
 QUERIES = {
     "op1_media_columns": media.query,
@@ -10,6 +10,7 @@ QUERIES = {
     "op5_line_dedup": line_dedup.query,
     "op7_substring_dedup": substring_dedup.query,
     "op8_extendible_sharding": sharding.query,
+    "op9_suffix_array_dedup": suffix_dedup.query,
     "op10_quality_rules": quality_rules.query,
 }
 SQL = {
