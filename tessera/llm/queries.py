@@ -1,6 +1,6 @@
 """The queries of this subpackage, and their DuckDB SQL where SQL expresses them."""
 
-from . import bpe, line_dedup, media, packing, quality_rules, sharding, substring_dedup, suffix_dedup, toxicity
+from . import bpe, line_dedup, media, ngram_join, packing, quality_rules, sharding, substring_dedup, suffix_dedup, toxicity
 
 QUERIES = {
     "op1_media_columns": media.query,
@@ -8,6 +8,7 @@ QUERIES = {
     "op3_best_fit_packing": packing.query,
     "op4_toxicity": toxicity.query,
     "op5_line_dedup": line_dedup.query,
+    "op6_ngram_jaccard_join": ngram_join.query,
     "op7_substring_dedup": substring_dedup.query,
     "op8_extendible_sharding": sharding.query,
     "op9_suffix_array_dedup": suffix_dedup.query,
@@ -15,6 +16,7 @@ QUERIES = {
 }
 SQL = {
     "op5_line_dedup": line_dedup.SQL,
+    "op6_ngram_jaccard_join": ngram_join.SQL,
     "op7_substring_dedup": substring_dedup.SQL,
     "op8_extendible_sharding": sharding.SQL,
     "op10_quality_rules": quality_rules.SQL,
