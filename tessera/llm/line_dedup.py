@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .columns import set_aside
 from .scratch import stored
 
 #: The characters stripped from both ends of a line: space, tab, LF, VT, FF, CR.
@@ -30,6 +31,7 @@ def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     a key is counted once for them. Rows of one id with equal text get equal results. Long lines and long documents
     are treated whole. Columns named n_lines or n_dropped are replaced; all others are kept as they are.
     """
+    docs, back = set_aside(docs, [id_col, text_col], ["n_lines", "n_dropped"])
     base = docs.withColumns(
         {"_id": F.coalesce(F.col(id_col).cast("long"), F.lit(_NO_ID)), "_text": F.coalesce(F.col(text_col), F.lit(""))}
     ).withColumn("_th", F.xxhash64("_text"))
@@ -53,7 +55,7 @@ def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
             text_col: F.when(F.col("_drop").isNull(), F.col("_text")).otherwise(F.array_join(kept, "\n")),
         }
     )
-    return out.select(*[c for c in docs.columns if c not in ("n_lines", "n_dropped")], "n_lines", "n_dropped")
+    return back(out)
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -15,6 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .columns import set_aside
 from .components import components
 from .repeats import NO_ID, prepared
 from .scratch import stored
@@ -208,7 +209,7 @@ def ngram_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     component is named by its smallest id. A null id is the smallest; its component is null. Repeated rows are in one
     component. Ties and sizes need no care: links are counted exactly.
     """
-    docs = docs.drop(*[c for c in ("n_shingles", "component_id") if c in docs.columns])
+    docs, back = set_aside(docs, [id_col, text_col], ["_row", "n_shingles", "component_id"])
     base = prepared(docs, id_col, text_col)
     rows = stored(_sets(base, width), f"{name}-rows").dropDuplicates(["_row"])
     classes = stored(rows.where("n > 0").groupBy("n", "s1", "s2").agg(F.min("_id").alias("cid"), F.min("_row").alias("_row")), f"{name}-classes")
@@ -225,7 +226,7 @@ def ngram_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     found = rows.join(named, ["n", "s1", "s2"], "left").select("_row", F.col("n").alias("n_shingles"), F.coalesce("component", "_id").alias("_component"))
     found = stored(found, f"{name}-found")
     out = base.drop("_text", text_col).join(found, "_row")
-    return out.withColumn("component_id", F.when(F.col("_component") != NO_ID, F.col("_component"))).select(*[c for c in docs.columns if c != text_col], "_row", "n_shingles", "component_id")
+    return back(out.withColumn("component_id", F.when(F.col("_component") != NO_ID, F.col("_component"))).select(*[c for c in docs.columns if c != text_col], "_row", "n_shingles", "component_id"))
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

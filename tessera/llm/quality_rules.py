@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .columns import set_aside
 from .scratch import stored
 from .textblock import hash_spans, ragged, spans, text_blocks, text_of, windows, words
 
@@ -135,7 +136,7 @@ def quality_rules(docs: DataFrame, text_col: str = "text", by: tuple[str, ...] =
     Texts are counted whole. Columns of the added names are replaced.
     """
     added = [*COUNTS, "n_lines", "base_failed", "kept"]
-    docs = docs.drop(*[c for c in added if c in docs.columns])
+    docs, back = set_aside(docs, [text_col, *by], added)
     names = [c for c in docs.columns if keep_text or c != text_col]
     counts = counted(docs, text_col, keep_text=False)
     if not keep_text:
@@ -149,7 +150,7 @@ def quality_rules(docs: DataFrame, text_col: str = "text", by: tuple[str, ...] =
     for r in RULES:
         ok &= F.col(f"_most_{r}").isNull() | (_bin(_value(r)) <= F.col(f"_most_{r}"))
     rows = (counted(docs, text_col) if keep_text else counts).withColumns({k: F.coalesce(F.col(c).cast("string"), F.lit("\0")) for c, k in zip(by, keys)}).withColumn("base_failed", base_failed())
-    return rows.join(most, keys, "left").withColumn("kept", ok).select(*names, *COUNTS, "base_failed", "kept")
+    return back(rows.join(most, keys, "left").withColumn("kept", ok).select(*names, *COUNTS, "base_failed", "kept"))
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

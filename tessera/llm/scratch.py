@@ -8,12 +8,14 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 
+_own: dict[str, str] = {}
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The cluster's spark.checkpoint.dir; a temporary folder of its own only where that is unset, as in tests."""
-    found = spark.conf.get("spark.checkpoint.dir", None)
+    found = spark.conf.get("spark.checkpoint.dir", None) or _own.get(spark.sparkContext.applicationId)
     if not found:
-        found = "file://" + tempfile.mkdtemp(prefix="tessera-scratch-")
-        spark.conf.set("spark.checkpoint.dir", found)
+        found = _own[spark.sparkContext.applicationId] = "file://" + tempfile.mkdtemp(prefix="tessera-scratch-")
     return found.rstrip("/")
 
 

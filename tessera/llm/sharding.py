@@ -13,6 +13,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .columns import set_aside
 from .scratch import stored
 
 #: Address bits added in one pass over the rows that still need them.
@@ -38,7 +39,7 @@ def shard(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", limit
     tables give no rows; columns of the added names are replaced.
     """
     added = ["n_bytes", "shard", "depth", "shard_docs", "shard_bytes"]
-    base = docs.drop(*[c for c in added if c in docs.columns])
+    base, back = set_aside(docs, [id_col, text_col], added)
     names = base.columns
     base = base.withColumns({"n_bytes": F.coalesce(F.octet_length(text_col), F.lit(0)).cast("long"), "_key": F.coalesce(F.col(id_col).cast("string"), F.lit("")), extra_id: F.monotonically_increasing_id()})
     again = stored(base.groupBy("_key").agg(F.count("*").alias("_n")).where(F.col("_n") > 1).select("_key"), "repeated-ids")
@@ -70,7 +71,7 @@ def shard(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", limit
         leaf = found.withColumnRenamed("_leaf", f"_leaf{width}").withColumnRenamed("_cell", f"_cell{width}")
         out = out.withColumn(f"_cell{width}", F.substring("_bits", 1, width)).join(leaf, f"_cell{width}", "left")
     leaf = reduce(lambda a, b: F.coalesce(a, b), [F.col(f"_leaf{w}") for w, _ in leaves])
-    return out.withColumn("_at", leaf).select(*names, "n_bytes", *[F.col(f"_at.{c}").alias(c) for c in added[1:]])
+    return back(out.withColumn("_at", leaf).select(*names, "n_bytes", *[F.col(f"_at.{c}").alias(c) for c in added[1:]]))
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from . import repeats as R
+from .columns import set_aside
 from .scratch import stored
 from .textblock import text_blocks
 
@@ -47,7 +48,7 @@ def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     False the text is left out. Columns of the added names are replaced.
     """
     added = ["n_words", "n_removed", "kept_sha256"]
-    docs = docs.drop(*[c for c in added if c in docs.columns])
+    docs, back = set_aside(docs, [id_col, text_col], added)
     names = [c for c in docs.columns if c != text_col]
     found = R.candidates(R.prepared(docs, id_col, text_col).drop(text_col), kind, keep_text, name, _digest)
     spans = repeated_spans(found, kind, name).groupBy("_id", "_row").agg(F.collect_list(F.struct("start", "count")).alias("_spans"))
@@ -74,7 +75,7 @@ def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     cut = some.mapInArrow(run, schema)
     same = found.where(F.size("paths") == 0).select(*names, "_text", F.col("n_units").alias("n_words"), F.lit(0).cast("long").alias("n_removed"), "kept_sha256")
     out = cut.unionByName(same)
-    return out.select(*[F.col("_text").alias(c) if c == text_col else c for c in docs.columns if keep_text or c != text_col], *added)
+    return back(out.select(*[F.col("_text").alias(c) if c == text_col else c for c in docs.columns if keep_text or c != text_col], *added))
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from . import repeats as R
+from .columns import set_aside
 from .scratch import stored
 from .textblock import ragged, text_blocks
 
@@ -235,7 +236,7 @@ def suffix_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     out. Columns of the added names are replaced.
     """
     added = ["n_bytes", "n_removed", "n_spans", "kept_sha256"]
-    docs = docs.drop(*[c for c in added if c in docs.columns])
+    docs, back = set_aside(docs, [id_col, text_col], added)
     names = [c for c in docs.columns if c != text_col]
     found = R.candidates(R.prepared(docs, id_col, text_col).drop(text_col), kind, keep_bytes, name, lambda raw, *_: R.sha(raw))
     spans = repeated_spans(found, kind, name).groupBy("_id", "_row").agg(F.collect_list(F.struct("start", "count")).alias("_spans"))
@@ -260,7 +261,7 @@ def suffix_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     cut = some.mapInArrow(run, schema)
     none = F.lit(0).cast("long")
     same = found.where(F.size("paths") == 0).select(*names, F.col("_text").cast("binary").alias("_kept"), F.col("n_units").alias("n_bytes"), none.alias("n_removed"), none.alias("n_spans"), "kept_sha256")
-    return cut.unionByName(same).select(*[F.col("_kept").alias(c) if c == text_col else c for c in docs.columns if keep_bytes or c != text_col], *added)
+    return back(cut.unionByName(same).select(*[F.col("_kept").alias(c) if c == text_col else c for c in docs.columns if keep_bytes or c != text_col], *added))
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
