@@ -6,7 +6,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .functions import nested, text, vocab
-from .operators import aggregate, dedup, match, resolve, store, validate
+from .operators import aggregate, articles, dedup, match, resolve, store, validate
+from .sources import files
+from .streaming import ingest
 
 _QUERIES, _SQL = {}, {}
 
@@ -334,3 +336,51 @@ SELECT r.id, u.id AS parent_key FROM r LEFT JOIN r u ON u.grp = r.grp AND u.id =
 def parent_resolve(spark, sf_dir):
     s = _t(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("id"), F.col("s_nationkey").alias("grp"), F.col("s_suppkey").cast("string").alias("label"), F.when(F.col("s_suppkey") % 4 > 0, (F.col("s_suppkey") - F.col("s_suppkey") % 4).cast("string")).alias("parent"))
     return resolve.parents(s, "grp", "label", "parent", "id", "id").select("id", "parent_key")
+
+
+@_query("SELECT page_id, trim(regexp_replace(replace(replace(replace(regexp_extract(html, '<h1>(.*?)</h1>', 1), '&lt;', '<'), '&gt;', '>'), '&amp;', '&'), '\\s+', ' ', 'g')) AS title FROM pages")
+def page_title(spark, sf_dir):
+    return articles.articles(_t(spark, sf_dir, "pages").select("page_id", "html"), "html").select("page_id", "title")
+
+
+@_query()
+def page_text(spark, sf_dir):
+    return articles.articles(_t(spark, sf_dir, "pages").select("page_id", "html"), "html").select("page_id", "full_text", "parse_confidence")
+
+
+@_query("""WITH n AS (SELECT n_regionkey AS id, n_name, n_nationkey, row_number() OVER (PARTITION BY n_regionkey ORDER BY n_nationkey) AS r FROM nation)
+SELECT id, CAST(r - 1 AS INTEGER) AS row, 0 AS col, 'region' AS header, 'R' || id AS value FROM n UNION ALL SELECT id, CAST(r - 1 AS INTEGER), 1, 'name', n_name FROM n UNION ALL SELECT id, CAST(r - 1 AS INTEGER), 2, 'key', CAST(n_nationkey AS VARCHAR) FROM n UNION ALL SELECT id, CAST(r - 1 AS INTEGER), 3, 'key', CAST(n_nationkey AS VARCHAR) FROM n""")
+def html_table_grid(spark, sf_dir):
+    n = _t(spark, sf_dir, "nation").groupBy(F.col("n_regionkey").alias("id")).agg(F.array_sort(F.collect_list(F.struct("n_nationkey", "n_name"))).alias("n"))
+    head = F.concat(F.lit('<table><thead><tr><th colspan=4>all</th></tr><tr><th>region<th> name <th colspan="2">key</tr></thead>'))
+    first = F.concat(F.lit("<tr><td rowspan="), F.size("n").cast("string"), F.lit(">R"), F.col("id").cast("string"), F.lit("</td>"))
+    rows = F.array_join(F.transform("n", lambda x, i: F.concat(F.when(i > 0, "<tr>").otherwise(""), F.lit("<td>"), x["n_name"], F.lit("<td colspan=2>"), x["n_nationkey"].cast("string"), F.lit("</tr>"))), "")
+    pages = n.select("id", F.concat(head, first, rows, F.lit("</table>")).alias("html"))
+    return articles.table_cells(pages, "id", "html").select("id", "row", "col", "header", "value")
+
+
+@_query("""WITH t AS (SELECT l_orderkey, list([l_returnflag, CASE WHEN l_linenumber % 2 = 0 THEN '' ELSE l_linestatus END] ORDER BY l_linenumber, l_returnflag, l_linestatus) AS d FROM lineitem GROUP BY 1)
+SELECT l_orderkey, round((0.5 + 0.5 * len(list_filter(flatten(d), lambda c: c <> '')) / len(flatten(d))::DOUBLE), 3) AS confidence FROM t""")
+def table_confidence(spark, sf_dir):
+    cell = F.struct("l_linenumber", "l_returnflag", F.when(F.col("l_linenumber") % 2 == 0, "").otherwise(F.col("l_linestatus")).alias("s"))
+    t = _t(spark, sf_dir, "lineitem").groupBy("l_orderkey").agg(F.array_sort(F.collect_list(cell)).alias("_d"))
+    cells = F.concat(F.array(F.array(F.lit("flag"), F.lit("status"))), F.transform("_d", lambda x: F.array(x["l_returnflag"], x["s"])))
+    return articles.raw_tables(t.select("l_orderkey", cells.alias("cells"))).select("l_orderkey", articles.table_confidence().alias("confidence"))
+
+
+@_query("SELECT doc_id, CAST(i AS INTEGER) AS ord, 'part ' || i AS name, split_part(text, chr(10), i) AS text FROM documents, range(1, 3) t(i) WHERE trim(split_part(text, chr(10), i)) <> ''")
+def markdown_sections(spark, sf_dir):
+    line = lambda i: F.coalesce(F.get(F.split("text", "\n"), F.lit(i)), F.lit(""))
+    docs = _t(spark, sf_dir, "documents").select("doc_id", F.concat(F.lit("## Part 1\n"), line(0), F.lit("\n## part 2\n"), line(1)).alias("md"))
+    got = articles.markdown_sections(docs, "doc_id", "md").where("name <> 'preamble'")
+    return got.select("doc_id", (F.col("ord") - 1).cast("int").alias("ord"), "name", "text")
+
+
+@_query("SELECT event_type, date_trunc('day', ts) AS start, count(*) AS n FROM events GROUP BY 1, 2")
+def daily_events(spark, sf_dir):
+    return ingest.windowed(_t(spark, sf_dir, "events").withColumn("ts", F.col("ts").cast("timestamp")), "ts", ["event_type"], "value", "1 day", "1 hour").select("event_type", F.col("start").cast("timestamp_ntz").alias("start"), "n")
+
+
+@_query("SELECT o_orderkey, o_orderdate FROM orders WHERE o_orderstatus = 'F'")
+def keyed_scan(spark, sf_dir):
+    return files.table_rows(spark, f"{sf_dir}/orders.parquet", "o_orderstatus", "F", ["o_orderdate", "o_orderkey"]).select("o_orderkey", "o_orderdate")
