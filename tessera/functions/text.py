@@ -11,6 +11,15 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 _SPACE = r"(?U)[\s\x1c-\x1f]"
+# fixed values: sections in order, with the words that name them
+SECTIONS = {
+    "introduction": ["introduction", "background"],
+    "methods": ["methods", "materials and methods", "experimental", "experimental section", "methodology", "materials", "experimental procedures"],
+    "results": ["results", "results and discussion", "findings"],
+    "discussion": ["discussion", "general discussion"],
+    "conclusion": ["conclusion", "conclusions", "concluding remarks"],
+    "references": ["references", "bibliography"],
+}
 _NUMBER = r"^[+-]?(\d+(_\d+)*\.?(\d+(_\d+)*)?|\.\d+(_\d+)*)([eE][+-]?\d+(_\d+)*)?$"
 
 
@@ -157,14 +166,5 @@ def document_kind(c: Column | str) -> Column:
 
 def section_name(c: Column | str) -> Column:
     """A heading's canonical section: the first with a word in it; else the heading as it is."""
-    # fixed values: sections in order, with the words that name them
-    sections = {
-        "introduction": ["introduction", "background"],
-        "methods": ["methods", "materials and methods", "experimental", "experimental section", "methodology", "materials", "experimental procedures"],
-        "results": ["results", "results and discussion", "findings"],
-        "discussion": ["discussion", "general discussion"],
-        "conclusion": ["conclusion", "conclusions", "concluding remarks"],
-        "references": ["references", "bibliography"],
-    }
     s = F.regexp_replace(strip(F.lower(col(c))), r"^\d+\.?\s*", "")
-    return F.coalesce(*[F.when(reduce(Column.__or__, [s.contains(w) for w in words]), F.lit(name)) for name, words in sections.items()], col(c))
+    return F.coalesce(*[F.when(reduce(Column.__or__, [s.contains(w) for w in words]), F.lit(name)) for name, words in SECTIONS.items()], col(c))

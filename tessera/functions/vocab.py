@@ -95,3 +95,9 @@ def convert_units(df: DataFrame, value: str, unit: str, target: str, weight: str
     got = F.when(F.col(unit) == F.col(target), F.col(value)).otherwise(F.coalesce(F.col(value) * F.col("_by"), by_weight))
     known = (F.col(unit) == F.col(target)) | F.col("_by").isNotNull() | by_weight.isNotNull()
     return joined.withColumns({"value_converted": got, "unit_converted": F.when(known, F.col(target))}).drop("unit_raw", "unit_canonical", "_by")
+
+
+def unmapped_terms(df: DataFrame, name: str, mapping: dict[str, str]) -> DataFrame:
+    """name, n of the names that the vocabulary does not know, for people to add."""
+    key = alias_key(name)
+    return df.where(vocabulary_term(name, mapping).isNull() & key.isNotNull()).groupBy(key.alias("name")).agg(F.count("*").alias("n"))

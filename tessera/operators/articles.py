@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.text import strip
+from ..functions.text import SECTIONS, strip
 
 _VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "source", "track", "wbr"}
 _MUTE = {"script", "style", "template"}
@@ -51,14 +51,6 @@ ABSTRACTS = [
 BODIES = [("div", "class", "article-body"), ("div", "id", "body"), ("article", None, None), ("div", "class", "c-article-body"), ("main", None, None)]
 TABLE_CAPTIONS = ["table-caption", "c-article-table-caption", "article-table-caption"]
 NO_FIGURES = ("abstract", "graphical-abstract", "toc")
-SECTIONS = {
-    "introduction": ["introduction", "background"],
-    "methods": ["methods", "materials and methods", "experimental", "experimental section", "methodology", "materials", "experimental procedures"],
-    "results": ["results", "results and discussion", "findings"],
-    "discussion": ["discussion", "general discussion"],
-    "conclusion": ["conclusion", "conclusions", "concluding remarks"],
-    "references": ["references", "bibliography"],
-}
 
 
 def clean(text: str) -> str:

@@ -106,3 +106,8 @@ def report(frames: dict[str, DataFrame], by: str) -> DataFrame:
 def ask(df: DataFrame, answer, schema: T.StructType | str) -> DataFrame:
     """The hook for model calls: answer(batch of pandas rows) -> rows of schema; none is built in."""
     return df.mapInPandas(lambda parts: (answer(p) for p in parts), schema)
+
+
+def ask_in_order(df: DataFrame, by: str, order: str, answer, schema: T.StructType | str) -> DataFrame:
+    """The hook for calls that see what came before: answer(a group's rows, sorted) -> rows. A group is a paper's figures."""
+    return df.groupBy(by).applyInPandas(lambda pdf: answer(pdf.sort_values(order)), schema)

@@ -9,8 +9,8 @@ from pyspark.sql import functions as F
 from tessera import queries
 from tessera.functions import nested, text, vocab
 from tessera.operators import aggregate, articles, dedup, match, resolve, store, validate
-from tessera.plans import lifecycle
-from tessera.sources import files, sinks
+from tessera.plans import lifecycle, schema
+from tessera.sources import files, seeds, sinks
 from tessera.streaming import ingest
 
 
@@ -102,8 +102,7 @@ def test_greedy_match_is_pairing_in_order(spark):
         if j is not None:
             used.add(j)
             want.append((i, j))
-    schema = "o int, k string"
-    got = match.pair_in_order(spark.createDataFrame(left, schema), spark.createDataFrame(right, schema), ["k"], "o", "o")
+    got = match.pair_in_order(spark.createDataFrame(left, "o int, k string"), spark.createDataFrame(right, "o int, k string"), ["k"], "o", "o")
     assert sorted((r.o, r.r_o) for r in got.collect()) == want
 
 
@@ -201,11 +200,11 @@ def test_files(spark, tmp_path):
 
 def test_stream_into_table(spark, tmp_path):
     (tmp_path / "in").mkdir()
-    schema = "k int, s string"
+    columns = "k int, s string"
     change = lambda old, new: store.upsert(old, new, "k") if old is not None else new
     for n, rows in enumerate(([{"k": 1, "s": "a"}, {"k": 2, "s": "b"}], [{"k": 2, "s": "c"}])):
         (tmp_path / "in" / f"{n}.json").write_text("\n".join(map(json.dumps, rows)))
-        ingest.into_table(ingest.file_stream(spark, str(tmp_path / "in"), schema), str(tmp_path / "t"), change, str(tmp_path / "cp")).awaitTermination()
+        ingest.into_table(ingest.file_stream(spark, str(tmp_path / "in"), columns), str(tmp_path / "t"), change, str(tmp_path / "cp")).awaitTermination()
     assert sorted(map(tuple, ingest.current(spark, str(tmp_path / "t")).collect())) == [(1, "a"), (2, "c")]
 
 
@@ -233,6 +232,28 @@ def test_lifecycle(spark):
     assert {(r.dimension, r.key) for r in result["breakdown"].collect()} >= {("source", "table"), ("panel", "sub"), ("attribute", "salty")}
 
 
+def test_schema_and_seeds(spark, tmp_path):
+    schema.create_missing(spark, str(tmp_path))
+    schema.create_missing(spark, str(tmp_path))
+    substances = seeds.seed_substances(spark.read.parquet(f"{tmp_path}/substances"))
+    assert substances.count() == seeds.seed_substances(substances).count() == 19 and substances.select("substance_id").distinct().count() == 19
+    aliases = seeds.seed_aliases(spark.read.parquet(f"{tmp_path}/substance_aliases"), substances)
+    assert aliases.count() == seeds.seed_aliases(aliases, substances).count() == sum(map(len, seeds.ALIASES.values()))
+    good, bad = schema.conform(spark.createDataFrame([("1", "p", "2.5"), ("2", "q", "x")], "observation_id string, paper_id string, value string"), "observations")
+    assert [(r.observation_id, r.value, r.measurement_domain, r.is_control) for r in good.collect()] == [(1, 2.5, "sensory", False)] and bad.first().value == "x"
+    schema.write(good, str(tmp_path), "observations")
+    schema.write(good.withColumn("paper_id", F.lit("z")), str(tmp_path), "observations")
+    assert spark.read.parquet(f"{tmp_path}/observations").count() == 2
+
+
+def test_hooks(spark):
+    df = spark.createDataFrame([("p", 2, 1.0), ("p", 1, 5.0)], "p string, o int, v double")
+    got = validate.ask_in_order(df, "p", "o", lambda pdf: pdf.assign(v=pdf.v.cumsum()), "p string, o int, v double")
+    assert {r.o: r.v for r in got.collect()} == {1: 5.0, 2: 6.0}
+    assert [r.v for r in validate.ask(df, lambda pdf: pdf[["v"]] * 2, "v double").orderBy("v").collect()] == [2.0, 10.0]
+    assert [tuple(r) for r in vocab.unmapped_terms(spark.createDataFrame([("New ",), ("new",), ("sweet",)], "a string"), "a", {"sweet": "s"}).collect()] == [("new", 2)]
+
+
 @pytest.mark.parametrize("name", sorted(queries.queries()))
 def test_queries_agree_with_sql(spark, sf_dir, name):
     duckdb = pytest.importorskip("duckdb")
