@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .scratch import stored
 from .textblock import LOWER, hash_spans, text_blocks, text_of, words
 
 #: Slots of the hashed terms; size of the factors. Both bound what is broadcast: 4 * SLOTS * (FACTORS + 1) bytes.
@@ -119,14 +120,17 @@ def fit(rows: list[np.ndarray], labels: np.ndarray, seed: int = 5) -> Machine:
     return m
 
 
-def fit_on(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", sample: int = SAMPLE) -> Machine:
-    """A machine for labelled rows; null labels are left out. At most `sample` rows of each label are fetched, as terms."""
+def fit_on(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", sample: int = SAMPLE) -> Machine:
+    """A machine for labelled documents; null labels are left out. At most `sample` rows of each label are fetched, as terms.
+
+    The sample is drawn from the labels, so that texts are only read, and those outside the sample go no further.
+    """
     parts = []
     for value in (0, 1):  # a bounded top-k each: partial results of at most `sample` ids a task
-        ids = labelled.where(F.col(label_col) == value).select(id_col).distinct().orderBy(F.xxhash64(id_col), id_col).limit(sample)
+        ids = labels.where(F.col(label_col) == value).select(id_col).distinct().orderBy(F.xxhash64(id_col), id_col).limit(sample)
         parts.append(ids.withColumn("_label", F.lit(value)))
-    chosen = parts[0].unionByName(parts[1])
-    rows = labelled.select(id_col, text_col).join(F.broadcast(chosen), id_col)  # at most 2 * sample ids
+    chosen = stored(parts[0].unionByName(parts[1]), "toxicity-sample")
+    rows = docs.select(id_col, text_col).join(F.broadcast(chosen), id_col)  # at most 2 * sample ids
 
     def run(batches):
         for part, data, off in text_blocks(batches, text_col):
@@ -134,7 +138,7 @@ def fit_on(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text",
             lists = pa.ListArray.from_arrays(pa.array(bound.astype(np.int32)), pa.array(terms.astype(np.int32)))
             yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), lists], names=["id", "label", "terms"])
 
-    schema = T.StructType([T.StructField("id", labelled.schema[id_col].dataType), T.StructField("label", T.IntegerType()), T.StructField("terms", T.ArrayType(T.IntegerType()))])
+    schema = T.StructType([T.StructField("id", docs.schema[id_col].dataType), T.StructField("label", T.IntegerType()), T.StructField("terms", T.ArrayType(T.IntegerType()))])
     got = rows.select(id_col, "_label", text_col).mapInArrow(run, schema).toPandas().drop_duplicates("id").sort_values("id")
     return fit([np.asarray(t, np.int64) for t in got.terms], got.label.to_numpy())
 
@@ -161,5 +165,5 @@ def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet").select("doc_id", "toxic")
     held_out = F.crc32(F.col("doc_id").cast("string")) % 5 == 0
-    machine = fit_on(docs.join(labels.where(~held_out), "doc_id"))
+    machine = fit_on(docs, labels.where(~held_out))
     return toxicity(docs.withColumn("held_out", F.coalesce(held_out, F.lit(False))), machine)
