@@ -386,9 +386,9 @@ def read_article(text: str | None, base: str = "") -> tuple:
     else:
         title, abstract, sections = page_title(page), page_abstract(page), page_sections(page)
     full = "\n\n".join([f"# {title}", abstract, *[f"## {k}\n{v}" for k, v in sections.items()]])
-    kind = "XML" if xml else "HTML"
-    warnings = [w for w in ("" if sections else f"No sections found in {kind}", "" if title or xml else "No title found") if w]
-    return (kind.lower(), title, abstract, list(sections.items()), page_tables(page, xml), page_figures(page, base), full, (0.8 if xml else 0.85) * (1 if sections else 0.5), warnings)
+    tables = page_tables(page, xml)
+    warnings = ([] if sections else ["No sections found in XML" if xml else "No sections found"]) + ([] if tables or xml else ["No tables found"])
+    return ("xml" if xml else "html", title, abstract, list(sections.items()), tables, page_figures(page, base), full, (0.8 if xml else 0.85) * (1 if sections else 0.5), warnings)
 
 
 def articles(df: DataFrame, html_col: str, base_col: str | None = None) -> DataFrame:
@@ -454,12 +454,27 @@ def route_tables(df: DataFrame, least: float = 0.4, enabled: bool = True) -> Dat
 
 
 def markdown_sections(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """id, ord, name, text of the parts between lines that begin with "## "; what comes first is the preamble. Of parts of
-    one name the last stays."""
-    parts = F.posexplode(F.split(F.concat(F.lit("## preamble\n"), text_col), r"(?m)^## "))
-    rows = df.select(id_col, parts.alias("ord", "_p")).where("ord > 0")
-    named = rows.select(id_col, "ord", F.lower(strip(F.substring_index("_p", "\n", 1))).alias("name"), strip(F.regexp_replace("_p", r"^[^\n]*\n?", "")).alias("text"))
-    return named.where("text <> ''").groupBy(id_col, "name").agg(F.max_by(F.struct("ord", "text"), "ord").alias("_l")).select(id_col, "_l.ord", "name", "_l.text")
+    """id, ord, name, text of the parts between lines that begin with "## "; what comes first is the preamble. Headings
+    with no line below are left out; of parts of one name the last stays."""
+    parts = F.split(F.concat(F.lit("## preamble\n"), F.coalesce(text_col, F.lit(""))), r"(?m)^## ")
+    rows = df.select(id_col, parts.alias("_all")).select(id_col, F.size("_all").alias("_n"), F.posexplode("_all").alias("ord", "_p")).where("ord > 0")
+    rest = F.regexp_replace("_p", r"^[^\n]*\n?", "")
+    has_lines = F.when(F.col("ord") == F.col("_n") - 1, F.col("_p").contains("\n")).otherwise(rest != "")
+    named = rows.where(has_lines).select(id_col, "ord", F.lower(strip(F.substring_index("_p", "\n", 1))).alias("name"), strip(rest).alias("text"))
+    return named.groupBy(id_col, "name").agg(F.max_by(F.struct("ord", "text"), "ord").alias("_l")).select(id_col, "_l.ord", "name", "_l.text")
+
+
+def pdf_articles(df: DataFrame, id_col: str, text_col: str, marked_col: str, tables_col: str | None = None) -> DataFrame:
+    """id, sections, full_text, parse_confidence of text taken from PDF files by other means.
+
+    Text with headings marked (marked_col true) is split at them and trusted more than plain text; tables (an array
+    column) lift the trust."""
+    some = F.coalesce(F.size(tables_col), F.lit(0)) > 0 if tables_col else F.lit(False)
+    trust = F.when(F.col(marked_col), 0.6).otherwise(0.3)
+    base = df.select(id_col, F.col(text_col).alias("full_text"), F.when(some, F.greatest(trust, F.lit(0.7))).otherwise(trust).alias("parse_confidence"))
+    parts = markdown_sections(df.where(F.col(marked_col)), id_col, text_col).groupBy(id_col).agg(F.array_sort(F.collect_list(F.struct("ord", "name", "text"))).alias("_s"))
+    sections = F.coalesce(F.transform("_s", lambda x: F.struct(x["name"].alias("name"), x["text"].alias("text"))), F.array().cast("array<struct<name:string,text:string>>"))
+    return base.join(parts, id_col, "left").select(id_col, sections.alias("sections"), "full_text", "parse_confidence")
 
 
 def table_markdown(headers: str = "headers", data: str = "data"):

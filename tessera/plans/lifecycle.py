@@ -20,7 +20,7 @@ observations:array<struct<experiment:string,panel_label:string,measurement_domai
 
 
 def parse(files: DataFrame) -> DataFrame:
-    """Document files (path, text, kind, and doi if known) to articles with paper_id; PDF text is taken as it is."""
+    """Page files (path, text, and doi if known) to articles with paper_id; for PDF text see articles.pdf_articles."""
     doi = F.col("doi") if "doi" in files.columns else F.lit(None).cast("string")
     keyed = files.withColumn("paper_id", F.coalesce(F.nullif(doi_key(doi), F.lit("")), file_key("path")))
     return articles(keyed.select("paper_id", "path", "text"), "text")

@@ -368,7 +368,7 @@ def table_confidence(spark, sf_dir):
     return articles.raw_tables(t.select("l_orderkey", cells.alias("cells"))).select("l_orderkey", articles.table_confidence().alias("confidence"))
 
 
-@_query("SELECT doc_id, CAST(i AS INTEGER) AS ord, 'part ' || i AS name, split_part(text, chr(10), i) AS text FROM documents, range(1, 3) t(i) WHERE trim(split_part(text, chr(10), i)) <> ''")
+@_query("SELECT doc_id, CAST(i AS INTEGER) AS ord, 'part ' || i AS name, trim(split_part(text, chr(10), i)) AS text FROM documents, range(1, 3) t(i)")
 def markdown_sections(spark, sf_dir):
     line = lambda i: F.coalesce(F.get(F.split("text", "\n"), F.lit(i)), F.lit(""))
     docs = _t(spark, sf_dir, "documents").select("doc_id", F.concat(F.lit("## Part 1\n"), line(0), F.lit("\n## part 2\n"), line(1)).alias("md"))

@@ -82,7 +82,15 @@ def test_articles(spark):
     assert [tuple(s) for s in r.sections] == [("introduction", "Enough text to be kept here. More of it. This joins the introduction.")]
     assert [(t.table_id, t.caption, t.headers, t.rows) for t in r.tables] == [("table_1", "Table one", ["c", "c"], [{"c": "2"}, {"c": "3", "col_2": "4"}]), ("table_2", "Table 2", ["k", "v"], [{"k": "x", "v": "y", "col_2": "y"}])]
     assert [tuple(f) for f in r.figures] == [("figure_1", "First", "/i/fig-g001.png", "Before")]
-    assert got[2].parse_warnings == ["No sections found in HTML", "No title found"] and got[3].source_type == "xml" and [tuple(s) for s in got[3].sections] == [("results", "One two")]
+    assert got[2].parse_warnings == ["No sections found", "No tables found"] and got[3].source_type == "xml" and [tuple(s) for s in got[3].sections] == [("results", "One two")]
+
+
+def test_pdf_text(spark):
+    df = spark.createDataFrame([(1, "start\n## A\n## b \nx\n\n## B\n y\n## A\n", True, 1), (2, "## A", False, 0), (3, None, True, 0)], "id int, t string, m boolean, n int")
+    df = df.withColumn("tables", F.when(F.col("n") > 0, F.array(F.lit("t"))))
+    got = {r.id: r for r in articles.pdf_articles(df, "id", "t", "m", "tables").collect()}
+    assert [tuple(s) for s in got[1].sections] == [("preamble", "start"), ("b", "y"), ("a", "")]
+    assert [got[i].parse_confidence for i in (1, 2, 3)] == [0.7, 0.3, 0.6] and got[2].sections == []
 
 
 def test_raw_tables(spark):
