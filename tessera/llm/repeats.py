@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .scratch import stored
-from .textblock import _STEP, BYTE, IS_WORD, hash_spans, mix, powers, spans, text_blocks
+from .textblock import _STEP, BLOCK_BYTES, BYTE, IS_WORD, hash_spans, mix, powers, spans, text_blocks
 
 NO_ID = -(2**63)
 _LOW = np.uint64(0xFFFFFFFF)
@@ -55,6 +55,11 @@ class Kind:
     k: int
     m: int
 
+    @property
+    def block(self) -> int:
+        """Bytes of text worked on at once: a unit takes some hundred bytes."""
+        return BLOCK_BYTES if self.words else BLOCK_BYTES // 4
+
     def units(self, data: np.ndarray, off: np.ndarray):
         """Starts and ends of the units (None for bytes) and the bounds of the texts in units."""
         if not self.words:
@@ -111,7 +116,7 @@ def anchors(docs: DataFrame, kind: Kind) -> DataFrame:
     """_row, a: the anchors of each document; once more than its paths only if words are the units."""
 
     def run(batches):
-        for part, data, off in text_blocks(batches, "_text"):
+        for part, data, off in text_blocks(batches, "_text", kind.block):
             starts, ends, bound = kind.units(data, off)
             p = block_paths(Rolling(kind.values(data, starts, ends, 0), 0), bound, kind.k, kind.m)
             a, t = p.anchor, p.text
@@ -140,7 +145,7 @@ def candidates(docs: DataFrame, kind: Kind, keep_text: bool, name: str, digest)
     schema = T.StructType([joined.schema[c] for c in names] + [T.StructField("_text", T.StringType()), T.StructField("n_units", T.LongType()), T.StructField("kept_sha256", T.StringType()), T.StructField("paths", T.ArrayType(PATH))])
 
     def run(batches):
-        for part, data, off in text_blocks(batches, "_text"):
+        for part, data, off in text_blocks(batches, "_text", kind.block):
             starts, ends, bound = kind.units(data, off)
             lists = part.column(part.schema.get_field_index("_hits"))
             hit = lists.is_valid().to_numpy(zero_copy_only=False)
@@ -178,22 +183,26 @@ def occurrences(found: DataFrame) -> DataFrame:
 
 
 def variants(found: DataFrame, name: str) -> DataFrame:
-    """One row for each path by content: a, h1, h2, its first occurrence, count and n occurrences, and variants of its anchor; stored."""
-    each = stored(
+    """One row for each path by content: a, h1, h2, its first occurrence, count and n occurrences; stored."""
+    return stored(
         occurrences(found).groupBy("a", "h1", "h2").agg(F.min(F.struct("_id", "_row", "start")).alias("first"), F.first("count").alias("count"), F.count("*").alias("n")),
         f"{name}-variants",
     )
-    many = stored(each.groupBy("a").agg(F.count("*").alias("variants")).where("variants > 1"), f"{name}-branching")
-    return stored(each.join(many, "a", "left").withColumn("variants", F.coalesce("variants", F.lit(1).cast("long"))), f"{name}-paths")
+
+
+def branching(paths: DataFrame, name: str) -> DataFrame:
+    """a, variants, count, _id, _row, start: the first occurrences of paths whose anchor has other paths too; stored."""
+    many = stored(paths.groupBy("a").agg(F.count("*").alias("variants")).where("variants > 1"), f"{name}-anchors")
+    return stored(paths.join(many, "a").select("a", "variants", "count", "first.*"), f"{name}-branching")
 
 
 def windows_of(found: DataFrame, firsts: DataFrame, kind: Kind, name: str) -> DataFrame:
-    """_id, _row, start, e1, e2: every window of the given first occurrences (_id, _row, start, count); stored."""
-    lists = firsts.groupBy("_id", "_row").agg(F.collect_set(F.struct("start", "count")).alias("_of"))
-    texts = found.where(F.size("paths") > 0).select("_id", "_row", "_text").dropDuplicates(["_row"])
+    """_id, _row, start, e1, e2: every window of the given first occurrences (_row, start, count), once a row of that text; stored."""
+    lists = firsts.groupBy("_row").agg(F.collect_set(F.struct("start", "count")).alias("_of"))
+    texts = found.where(F.size("paths") > 0).select("_id", "_row", "_text")
 
     def run(batches):
-        for part, data, off in text_blocks(batches, "_text"):
+        for part, data, off in text_blocks(batches, "_text", kind.block):
             starts, ends, bound = kind.units(data, off)
             lists = part.column(part.schema.get_field_index("_of"))
             flat = lists.flatten()
@@ -207,7 +216,7 @@ def windows_of(found: DataFrame, firsts: DataFrame, kind: Kind, name: str) -> Da
             take = pa.array(doc)
             yield pa.RecordBatch.from_arrays([part.column(0).take(take), part.column(1).take(take), pa.array(at.astype(np.int32)), pa.array(keys[0]), pa.array(keys[1])], names=["_id", "_row", "start", "e1", "e2"])
 
-    rows = texts.join(lists, ["_id", "_row"]).select("_id", "_row", "_text", "_of")
+    rows = texts.join(lists, "_row").select("_id", "_row", "_text", "_of")
     return stored(rows.mapInArrow(run, "_id long, _row long, start int, e1 long, e2 long"), f"{name}-windows")
 
 

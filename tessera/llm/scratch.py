@@ -21,8 +21,12 @@ def shared_dir(spark: SparkSession) -> str:
 
 def stored(df: DataFrame, name: str) -> DataFrame:
     """Writes df as Parquet to the shared folder and reads it again: a lost executor takes nothing with it,
-    sizes are known to the planner, and a later join gets its own exchange, which adaptive execution can split."""
+    sizes are known to the planner, and a later join gets its own exchange, which adaptive execution can split.
+
+    Shuffle files that were only needed for the table are of no use then. Spark deletes them when the driver collects
+    its garbage, which is asked for here, so that they don't pile up over the steps of an operator."""
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
+    spark.sparkContext._jvm.System.gc()
     return spark.read.schema(df.schema).parquet(path)

@@ -29,14 +29,15 @@ def _digest(raw: bytes, starts, ends) -> str:
 
 
 def repeated_spans(found: DataFrame, kind: R.Kind, name: str) -> DataFrame:
-    """_id, _row, start, count: runs of windows whose words also start in a document of smaller id."""
+    """_row, _spans (start, count): runs of windows whose words also start in a document of smaller id; stored."""
     paths = R.variants(found, name)
-    first = paths.select("a", "h1", "h2", "n", "variants", "count", "first.*")
-    whole = R.occurrences(found).join(first.where("n > 1").select("a", "h1", "h2", F.col("_id").alias("_from")), ["a", "h1", "h2"]).where(F.col("_id") > F.col("_from")).select("_id", "_row", "start", "count")
-    opened = R.windows_of(found, first.where("variants > 1").select("_id", "_row", "start", "count"), kind, name)
+    source = paths.where("n > 1").select("a", "h1", "h2", F.col("first._id").alias("_from"))
+    whole = R.occurrences(found).join(source, ["a", "h1", "h2"]).where(F.col("_id") > F.col("_from")).select("_row", "start", "count")
+    whole = stored(whole, f"{name}-whole")
+    opened = R.windows_of(found, R.branching(paths, name), kind, name)
     edges = stored(opened.groupBy("e1", "e2").agg(F.min("_id").alias("_from"), F.max("_id").alias("_to")).where(F.col("_from") < F.col("_to")).select("e1", "e2", "_from"), f"{name}-edges")
-    single = opened.join(edges, ["e1", "e2"]).where(F.col("_id") > F.col("_from")).select("_id", "_row", "start", F.lit(1).alias("count"))
-    return whole.unionByName(single)
+    single = opened.join(edges, ["e1", "e2"]).where(F.col("_id") > F.col("_from")).select("_row", "start", F.lit(1).alias("count"))
+    return stored(whole.unionByName(single).groupBy("_row").agg(F.collect_set(F.struct("start", "count")).alias("_spans")), f"{name}-spans")
 
 
 def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", kind: R.Kind = KIND, keep_text: bool = True, name: str = "substring") -> DataFrame:
@@ -51,8 +52,8 @@ def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     docs, back = set_aside(docs, [id_col, text_col], added)
     names = [c for c in docs.columns if c != text_col]
     found = R.candidates(R.prepared(docs, id_col, text_col).drop(text_col), kind, keep_text, name, _digest)
-    spans = repeated_spans(found, kind, name).groupBy("_id", "_row").agg(F.collect_list(F.struct("start", "count")).alias("_spans"))
-    some = found.where(F.size("paths") > 0).drop("paths", "kept_sha256").join(spans, ["_id", "_row"], "left")
+    spans = repeated_spans(found, kind, name)
+    some = found.where(F.size("paths") > 0).drop("paths", "kept_sha256").join(spans, "_row", "left")
     schema = T.StructType([found.schema[c] for c in names] + [T.StructField("_text", T.StringType()), T.StructField("n_words", T.LongType()), T.StructField("n_removed", T.LongType()), T.StructField("kept_sha256", T.StringType())])
 
     def run(batches):

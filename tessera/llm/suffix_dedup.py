@@ -33,30 +33,32 @@ INDEX_BYTES = 1 << 20
 
 def suffix_order(symbols: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """The suffix array of symbols by prefix doubling, and each suffix's rank. Works only on suffixes still tied."""
-    n = len(symbols)
-    _, rank, count = np.unique(symbols, return_inverse=True, return_counts=True)
-    rank, step = (np.cumsum(count) - count)[rank.reshape(-1)], 1
-    order = np.argsort(rank, kind="stable")
+    n, step = len(symbols), 1
+    key = symbols.astype(np.uint64)
+    if n and symbols.max() < 1 << 16:  # four symbols at once; beyond the end there is nothing to tie with
+        for k in (1, 2, 3):
+            key = key << np.uint64(16)
+            key[: n - k] |= symbols[k:].astype(np.uint64)
+        step = 4
+    order = np.argsort(key)
+    sorted_ = key[order]
+    rank, at = np.empty(n, np.int64), np.arange(n)
+    mine, key = order, sorted_
     while True:
-        high = rank[order]
-        tied = np.zeros(n, bool)
-        same = high[1:] == high[:-1]
-        tied[1:] |= same
-        tied[:-1] |= same
-        at = np.flatnonzero(tied)
+        fresh = np.ones(len(mine), bool)
+        fresh[1:] = key[1:] != key[:-1]
+        # ranks count the places before: a group keeps the place of its first member
+        rank[mine] = at[np.maximum.accumulate(np.where(fresh, np.arange(len(mine)), 0))]
+        tied = ~fresh
+        tied[:-1] |= ~fresh[1:]
+        at, mine = at[tied], mine[tied]
         if not len(at):
             return order, rank
-        mine = order[at]
         next_ = np.where(mine + step < n, rank[np.minimum(mine + step, n - 1)] + 1, 0)
         key = rank[mine] * (n + 1) + next_
-        by = np.argsort(key, kind="stable")
+        by = np.argsort(key)
         mine, key = mine[by], key[by]
         order[at] = mine  # ties are contiguous, and stay within their places
-        fresh = np.ones(len(mine), bool)
-        fresh[1:] = key[1:] != key[:-1]
-        # ranks count the places before: a group keeps the place of its first member
-        rank = rank.copy()
-        rank[mine] = at[np.maximum.accumulate(np.where(fresh, np.arange(len(mine)), 0))]
         step *= 2
 
 
@@ -64,18 +66,18 @@ class RunLengthIndex:
     """Runs of the Burrows-Wheeler transform of a text, with the text positions of the runs' first and last rows."""
 
     def __init__(self, symbols: np.ndarray):
-        order, rank = suffix_order(symbols)
+        order, _ = suffix_order(symbols)
         self.n = len(symbols)
         bwt = symbols[order - 1]  # the text is a cycle; its last symbol is unique
         head = np.append(True, bwt[1:] != bwt[:-1])
         self.start = np.flatnonzero(head)
         self.symbol = bwt[self.start]
         size = np.diff(np.append(self.start, self.n))
-        self.first_sample, self.last_sample = order[self.start], order[self.start + size - 1]
+        self.stop = self.start + size - 1
+        self.first_sample, self.last_sample = order[self.start], order[self.stop]
         by = np.argsort(self.symbol, kind="stable")
         self.to = np.empty(len(size), np.int64)
         self.to[by] = np.cumsum(size[by]) - size[by]  # where a run's rows go under LF
-        self.last_row = rank[self.n - 1]
 
     def back(self, row: np.ndarray) -> np.ndarray:
         """LF: the rows of the suffixes that begin one symbol earlier."""
@@ -83,50 +85,46 @@ class RunLengthIndex:
         return self.to[run] + row - self.start[run]
 
 
-def matching(symbols: np.ndarray, ends: np.ndarray, sizes: np.ndarray, k: int) -> np.ndarray:
-    """For each position: the smallest position whose suffix agrees with its suffix in k symbols (itself, if there is none).
+def agreement(raw: np.ndarray, one: np.ndarray, two: np.ndarray, k: int) -> np.ndarray:
+    """Whether the k bytes from each of two positions are equal; both must have k bytes."""
+    same = np.ones(len(one), bool)
+    wide = 8 if k >= 8 else 1
+    cells = np.zeros(len(raw), np.uint64)
+    for j in range(wide):
+        cells[: len(raw) - j] |= raw[j:].astype(np.uint64) << np.uint64(8 * j)
+    for j in sorted({*range(0, k - wide + 1, wide), k - wide}):
+        live = np.flatnonzero(same)
+        same[live] = cells[one[live] + j] == cells[two[live] + j]
+    return same
+
+
+def matching(symbols: np.ndarray, raw: np.ndarray, ends: np.ndarray, sizes: np.ndarray, k: int) -> np.ndarray:
+    """For each position: the smallest position whose k bytes are the same (itself, if there is none).
 
-    Fragments end at `ends` (the place of their terminator, which is unique) and have these sizes. Rows come from
-    streaming each fragment backwards through the run-length index, so only runs are kept of the transform; whether
-    neighbouring rows agree in k symbols is read off the names of substrings of doubling length.
+    Fragments end at `ends` (the place of their terminator, which is unique) and have these sizes. All fragments are
+    streamed backwards through the index at once; where a row is a run's first or last, its sampled position says where
+    the stream is. Matching statistics are taken between neighbouring rows, as far as k bytes: rows that agree so far
+    lie together, and the smallest position among them is the earliest match of each.
     """
     index = RunLengthIndex(symbols)
     n = len(symbols)
-    row = np.empty(n, np.int64)
+    position = np.empty(n, np.int64)
     # terminators are the smallest symbols, in order: the row of each is its number
-    here = np.arange(len(ends))
-    place, left = ends.copy(), sizes.copy()
-    row[place] = here
-    while True:
+    row, place, left = np.arange(len(ends)), ends.copy(), sizes.copy()
+    position[row] = place
+    while len(row):
         go = left > 0
-        if not go.any():
-            break
-        here, place, left = index.back(here[go]), place[go] - 1, left[go] - 1
-        row[place] = here
-    position = np.empty(n, np.int64)
-    position[row] = np.arange(n)
-    # matching statistics of each row against the row above, as far as k symbols
-    above = position[:-1]
-    mine = position[1:]
-    agree = np.ones(n - 1, bool)
-    ids, span, seen = np.unique(symbols, return_inverse=True)[1].reshape(-1), 1, 0
-    while k:  # names of all substrings of length span; agreement in k symbols from its binary digits
-        if k & span:
-            a, b = above + seen, mine + seen
-            inside = (a < n) & (b < n)
-            agree &= inside
-            agree[inside] &= ids[a[inside]] == ids[b[inside]]
-            seen += span
-            k &= ~span
-        if not k:
-            break
-        pair = ids * (n + 1) + np.append(ids[span:], np.full(min(span, n), n))[:n]
-        _, ids = np.unique(pair, return_inverse=True)
-        ids = ids.reshape(-1)
-        span *= 2
+        row, place, left = index.back(row[go]), place[go] - 1, left[go] - 1
+        position[row] = place
+    if not (np.array_equal(position[index.start], index.first_sample) and np.array_equal(position[index.stop], index.last_sample)):
+        raise RuntimeError("the stream has left the sampled positions of the index")
+    room = np.zeros(n, bool)
+    room[ragged(ends - sizes, np.maximum(sizes - k + 1, 0))] = True
+    both = np.flatnonzero(room[position[1:]] & room[position[:-1]])
+    agree = np.zeros(n - 1, bool)
+    agree[both] = agreement(raw, position[both], position[both + 1], k)
     group = np.concatenate([[0], np.cumsum(~agree)])
-    least = np.full(group[-1] + 1, n, np.int64)
-    np.minimum.at(least, group, position)
+    least = np.minimum.reduceat(position, np.flatnonzero(np.append(True, ~agree)))
     out = np.empty(n, np.int64)
     out[position] = least[group]
     return out
@@ -143,9 +141,11 @@ def marked(bucket: np.ndarray, order: np.ndarray, raw: list[bytes], k: int) -> l
     symbols = np.empty(int(sizes.sum()) + len(by), np.int64)
     inside = np.ones(len(symbols), bool)
     inside[ends] = False
-    symbols[inside] = np.frombuffer(b"".join([raw[i] for i in by]), np.uint8).astype(np.int64) + len(by)
+    flat = np.zeros(len(symbols), np.uint8)
+    flat[inside] = np.frombuffer(b"".join([raw[i] for i in by]), np.uint8)
+    symbols[inside] = flat[inside].astype(np.int64) + len(by)
     symbols[ends] = np.arange(len(by))
-    earlier = matching(symbols, ends, sizes, k) < np.arange(len(symbols))
+    earlier = matching(symbols, flat, ends, sizes, k) < np.arange(len(symbols))
     out: list = [None] * len(by)
     for i, end, size in zip(by.tolist(), ends.tolist(), sizes.tolist(), strict=True):
         out[i] = np.flatnonzero(earlier[end - size : end - k + 1])
@@ -174,6 +174,8 @@ def indexed_spans(fragments: DataFrame, k: int, parts: int, index_bytes: int = I
 
         for part in batches:  # sorted by anchor, then by first occurrence
             for h in zip(*(part.column(i).to_pylist() for i in range(5)), strict=True):
+                if held and h[:4] == held[-1][:4]:
+                    continue  # another row of the same document
                 if h[0] != last and size >= index_bytes:
                     yield flush()
                     held, size = [], 0
@@ -188,9 +190,9 @@ def indexed_spans(fragments: DataFrame, k: int, parts: int, index_bytes: int = I
 
 
 def fragments_of(found: DataFrame, firsts: DataFrame, k: int) -> DataFrame:
-    """a, _id, _row, start, raw: the bytes of the given first occurrences (a, _id, _row, start, count)."""
-    lists = firsts.groupBy("_id", "_row").agg(F.collect_set(F.struct("a", "start", "count")).alias("_of"))
-    texts = found.where(F.size("paths") > 0).select("_id", "_row", "_text").dropDuplicates(["_row"])
+    """a, _id, _row, start, raw: the bytes of the given first occurrences (a, _row, start, count), once a row of that text."""
+    lists = firsts.groupBy("_row").agg(F.collect_set(F.struct("a", "start", "count")).alias("_of"))
+    texts = found.where(F.size("paths") > 0).select("_id", "_row", "_text")
 
     def run(batches):
         for part, data, off in text_blocks(batches, "_text"):
@@ -203,27 +205,28 @@ def fragments_of(found: DataFrame, firsts: DataFrame, k: int) -> DataFrame:
             pieces = pa.BinaryArray.from_buffers(pa.binary(), len(doc), [None, pa.py_buffer(np.concatenate([[0], np.cumsum(size)]).astype(np.int32)), pa.py_buffer(raw)])
             yield pa.RecordBatch.from_arrays([flat.field("a"), part.column(0).take(take), part.column(1).take(take), flat.field("start"), pieces], names=["a", "_id", "_row", "start", "raw"])
 
-    rows = texts.join(lists, ["_id", "_row"]).select("_id", "_row", "_text", "_of")
+    rows = texts.join(lists, "_row").select("_id", "_row", "_text", "_of")
     return rows.mapInArrow(run, "a long, _id long, _row long, start int, raw binary")
 
 
 def repeated_spans(found: DataFrame, kind: R.Kind, name: str, cap: int = CAP) -> DataFrame:
-    """_id, _row, start, count: runs of windows whose bytes also start earlier."""
+    """_row, _spans (start, count): runs of windows whose bytes also start earlier; stored."""
     paths = R.variants(found, name)
     at = F.struct("_id", "_row", "start")
     whole = (
         R.occurrences(found)
         .join(paths.where("n > 1").select("a", "h1", "h2", F.col("first").alias("_first")), ["a", "h1", "h2"])
         .where(at > F.col("_first"))
-        .select("_id", "_row", "start", "count")
+        .select("_row", "start", "count")
     )
-    first = paths.select("a", "variants", "count", "first.*").where("variants > 1")
+    whole = stored(whole, f"{name}-whole")
+    first = R.branching(paths, name)
     parts = max(int(found.sparkSession.conf.get("spark.sql.shuffle.partitions")), 1)
-    indexed = indexed_spans(fragments_of(found, first.where(F.col("variants") <= cap), kind.k), kind.k, parts)
+    indexed = stored(indexed_spans(fragments_of(found, first.where(F.col("variants") <= cap), kind.k), kind.k, parts).drop("_id"), f"{name}-indexed")
     opened = R.windows_of(found, first.where(F.col("variants") > cap), kind, name)
     edges = stored(opened.groupBy("e1", "e2").agg(F.min(at).alias("_first"), F.count("*").alias("_n")).where("_n > 1").select("e1", "e2", "_first"), f"{name}-edges")
-    single = opened.join(edges, ["e1", "e2"]).where(at > F.col("_first")).select("_id", "_row", "start", F.lit(1).alias("count"))
-    return whole.unionByName(indexed).unionByName(single)
+    single = opened.join(edges, ["e1", "e2"]).where(at > F.col("_first")).select("_row", "start", F.lit(1).alias("count"))
+    return stored(whole.unionByName(indexed).unionByName(single).groupBy("_row").agg(F.collect_set(F.struct("start", "count")).alias("_spans")), f"{name}-spans")
 
 
 def suffix_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", kind: R.Kind = KIND, keep_bytes: bool = True, name: str = "suffix") -> DataFrame:
@@ -239,8 +242,8 @@ def suffix_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     docs, back = set_aside(docs, [id_col, text_col], added)
     names = [c for c in docs.columns if c != text_col]
     found = R.candidates(R.prepared(docs, id_col, text_col).drop(text_col), kind, keep_bytes, name, lambda raw, *_: R.sha(raw))
-    spans = repeated_spans(found, kind, name).groupBy("_id", "_row").agg(F.collect_list(F.struct("start", "count")).alias("_spans"))
-    some = found.where(F.size("paths") > 0).drop("paths", "kept_sha256").join(spans, ["_id", "_row"], "left")
+    spans = repeated_spans(found, kind, name)
+    some = found.where(F.size("paths") > 0).drop("paths", "kept_sha256").join(spans, "_row", "left")
     schema = T.StructType([found.schema[c] for c in names] + [T.StructField("_kept", T.BinaryType()), *[T.StructField(c, T.LongType()) for c in added[:3]], T.StructField("kept_sha256", T.StringType())])
 
     def run(batches):
