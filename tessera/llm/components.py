@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .scratch import stored
+from .scratch import discard, stored
 
 
 def components(edges: DataFrame, name: str) -> DataFrame:
@@ -26,4 +26,5 @@ def components(edges: DataFrame, name: str) -> DataFrame:
         large = stored(both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct(), f"{name}-large")
         low = stored(large.groupBy("u").agg(F.min("v").alias("m")), f"{name}-low")
         small = large.join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(low.select("u", F.col("m").alias("v")))
-        now = stored(small.where("u <> v").distinct(), f"{name}-small")
+        old, now = now, stored(small.where("u <> v").distinct(), f"{name}-small")
+        discard(old, least, large, low)

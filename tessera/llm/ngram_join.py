@@ -17,8 +17,9 @@ from pyspark.sql import functions as F
 
 from .columns import set_aside
 from .components import components
+from .prefilter import maybe_in
 from .repeats import NO_ID, prepared
-from .scratch import stored
+from .scratch import discard, stored
 from .textblock import LOWER, hash_spans, mix, ragged, text_blocks, windows, words
 
 SHINGLE, PERCENT = 4, 85
@@ -27,7 +28,7 @@ LATE, LATE_ROWS = 100_000, 8
 #: Rows that meet in more shared columns than this are clustered without counting pairs.
 LIGHT = 32
 #: Rows in a block: at least, at most; columns in a block of the product.
-BLOCK, BLOCK_MOST, COLUMNS = 256, 2048, 2048
+BLOCK, BLOCK_MOST, COLUMNS = 1024, 4096, 2048
 
 
 def need(n: np.ndarray, percent: int = PERCENT) -> np.ndarray:
@@ -187,12 +188,14 @@ def class_links(sets: DataFrame, late: DataFrame, percent: int, name: str) -> Da
     cols = stored(_ordered_columns(sets, late, percent), f"{name}-columns")
     counts = stored(cols.groupBy("c").agg(F.count("*").alias("rows"), F.min("cid").alias("head")).where("rows > 1"), f"{name}-counts")
     shared = stored(cols.join(counts, "c"), f"{name}-shared")
+    discard(cols, counts)
     light = shared.where(F.col("rows") <= LIGHT)
     a, b = (light.select("c", F.col("cid").alias(f"{x}"), F.col("n").alias(f"n{x}")) for x in "ab")
     pairs = a.join(b, "c").where("a < b").where(f"100 * least(na, nb) >= {percent} * greatest(na, nb)").groupBy("a", "b", "na", "nb").agg(F.count("*").alias("both"))
     pairs = pairs.where(F.col("both") >= 1 + F.floor(F.least("na", "nb") / 20)).select(F.col("b").alias("u"), F.col("a").alias("v"))
     heavy = shared.where((F.col("rows") > LIGHT) & (F.col("cid") != F.col("head"))).select(F.col("cid").alias("u"), F.col("head").alias("v"))
     near = components(pairs.unionByName(heavy), f"{name}-clusters")
+    discard(shared)
     members = stored(near.select(F.col("node").alias("cid"), F.col("root").alias("cluster")).unionByName(near.select(F.col("root").alias("cid"), F.col("root").alias("cluster")).distinct()), f"{name}-members")
     blocks = stored(members.groupBy("cluster").agg(F.count("*").alias("m")).select("cluster", F.ceil(F.col("m") / F.greatest(F.lit(BLOCK), F.least(F.lit(BLOCK_MOST), F.col("m") / 16))).cast("int").alias("blocks")), f"{name}-blocks")
     dealt = members.join(blocks, "cluster").withColumn("block", F.pmod(F.xxhash64("cid"), F.col("blocks")).cast("int"))
@@ -211,7 +214,8 @@ def ngram_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     """
     docs, back = set_aside(docs, [id_col, text_col], ["_row", "n_shingles", "component_id"])
     base = prepared(docs, id_col, text_col)
-    rows = stored(_sets(base, width), f"{name}-rows").dropDuplicates(["_row"])
+    each = stored(_sets(base, width), f"{name}-rows")
+    rows = each.dropDuplicates(["_row"])
     classes = stored(rows.where("n > 0").groupBy("n", "s1", "s2").agg(F.min("_id").alias("cid"), F.min("_row").alias("_row")), f"{name}-classes")
     first = _first_columns(base, width, percent)
     again = stored(first.groupBy("c").agg(F.count("*").alias("rows")).where("rows > 1"), f"{name}-again")
@@ -219,12 +223,16 @@ def ngram_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     enough = 1 + F.floor(F.ceil(F.col("n") * percent / 100) / 20)
     alive = first.join(again.select("c"), "c").groupBy("_row", "n").agg(F.count("*").alias("hits")).where(F.col("hits") >= enough).select("_row")
     wanted = stored(classes.select("_row", "cid").join(alive.distinct(), "_row", "left_semi"), f"{name}-alive")
-    texts = base.select("_row", "_text").join(wanted, "_row").dropDuplicates(["_row"])
+    late = stored(late, f"{name}-late")
+    discard(again)
+    texts = maybe_in(base.select("_row", "_text"), wanted, "_row").join(wanted, "_row").dropDuplicates(["_row"])
     sets = stored(_class_sets(texts, width), f"{name}-sets")
     roots = stored(components(class_links(sets, late, percent, name), name), f"{name}-roots")
+    discard(sets, wanted, late)
     named = stored(classes.join(roots, classes.cid == roots.node, "left").select("n", "s1", "s2", F.coalesce("root", "cid").alias("component")), f"{name}-named")
     found = rows.join(named, ["n", "s1", "s2"], "left").select("_row", F.col("n").alias("n_shingles"), F.coalesce("component", "_id").alias("_component"))
     found = stored(found, f"{name}-found")
+    discard(each, classes, roots, named)
     out = base.drop("_text", text_col).join(found, "_row")
     return back(out.withColumn("component_id", F.when(F.col("_component") != NO_ID, F.col("_component"))).select(*[c for c in docs.columns if c != text_col], "_row", "n_shingles", "component_id"))
 

@@ -7,8 +7,8 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-
 _own: dict[str, str] = {}
+_paths: list[str] = []
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -19,14 +19,38 @@ def shared_dir(spark: SparkSession) -> str:
     return found.rstrip("/")
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
+def stored(df: DataFrame, name: str, keep: bool = False) -> DataFrame:
     """Writes df as Parquet to the shared folder and reads it again: a lost executor takes nothing with it,
     sizes are known to the planner, and a later join gets its own exchange, which adaptive execution can split.
 
     Shuffle files that were only needed for the table are of no use then. Spark deletes them when the driver collects
-    its garbage, which is asked for here, so that they don't pile up over the steps of an operator."""
+    its garbage, which is asked for here, so that they don't pile up over the steps of an operator. clear() leaves
+    tables with `keep` alone."""
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.option("compression", "zstd").parquet(path)
     spark.sparkContext._jvm.System.gc()
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    if not keep:
+        out._tessera_path = path
+        _paths.append(path)
+    return out
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
+
+
+def discard(*tables: DataFrame) -> None:
+    """Deletes stored tables that only tables stored since were made from."""
+    for t in tables:
+        if (path := t.__dict__.pop("_tessera_path", None)) in _paths:
+            _paths.remove(path)
+            _delete(t.sparkSession, path)
+
+
+def clear(spark: SparkSession) -> None:
+    """Deletes all stored tables but those with `keep`: for when all that was made from them is written."""
+    while _paths:
+        _delete(spark, _paths.pop())

@@ -360,3 +360,13 @@ def test_components(spark):
         least[v] = min(least.get(v, k), k)
     assert got == {k: least[v] for k, v in label.items() if least[v] != k}
     assert components(spark.createDataFrame([], "u long, v long"), "t").count() == 0
+
+
+def test_prefilter_loses_nothing(spark):
+    from tessera.llm.prefilter import maybe_in
+
+    rows = spark.range(20000).select(F.xxhash64("id").alias("k"), "id")
+    wanted = rows.where("id % 100 = 7").select("k")
+    got = maybe_in(rows, wanted, "k")
+    assert got.join(wanted, "k", "left_semi").count() == 200 and got.count() < 260 and got.columns == rows.columns
+    assert maybe_in(rows, wanted.limit(0), "k").count() == 0
