@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .scratch import stored
+from .scratch import discard, stored
 from .textblock import _STEP, BLOCK_BYTES, BYTE, IS_WORD, hash_spans, mix, powers, spans, text_blocks
 
 NO_ID = -(2**63)
@@ -174,7 +174,9 @@ def candidates(docs: DataFrame, kind: Kind, keep_text: bool, name: str, digest)
                 text = text.take(pa.array(np.arange(len(per)), mask=per == 0))
             yield pa.RecordBatch.from_arrays([part.column(part.schema.get_field_index(c)) for c in names] + [text, pa.array(np.diff(bound)), pa.array(shas, pa.string()), paths], names=schema.names)
 
-    return stored(joined.mapInArrow(run, schema), f"{name}-candidates")
+    out = stored(joined.mapInArrow(run, schema), f"{name}-candidates")
+    discard(again)
+    return out
 
 
 def occurrences(found: DataFrame) -> DataFrame:
@@ -193,7 +195,9 @@ def variants(found: DataFrame, name: str) -> DataFrame:
 def branching(paths: DataFrame, name: str) -> DataFrame:
     """a, variants, count, _id, _row, start: the first occurrences of paths whose anchor has other paths too; stored."""
     many = stored(paths.groupBy("a").agg(F.count("*").alias("variants")).where("variants > 1"), f"{name}-anchors")
-    return stored(paths.join(many, "a").select("a", "variants", "count", "first.*"), f"{name}-branching")
+    out = stored(paths.join(many, "a").select("a", "variants", "count", "first.*"), f"{name}-branching")
+    discard(many)
+    return out
 
 
 def windows_of(found: DataFrame, firsts: DataFrame, kind: Kind, name: str) -> DataFrame:

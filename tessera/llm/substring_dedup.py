@@ -17,7 +17,7 @@ from pyspark.sql import types as T
 
 from . import repeats as R
 from .columns import set_aside
-from .scratch import stored
+from .scratch import discard, stored
 from .textblock import text_blocks
 
 WORDS = 13
@@ -34,10 +34,15 @@ def repeated_spans(found: DataFrame, kind: R.Kind, name: str) -> DataFrame:
     source = paths.where("n > 1").select("a", "h1", "h2", F.col("first._id").alias("_from"))
     whole = R.occurrences(found).join(source, ["a", "h1", "h2"]).where(F.col("_id") > F.col("_from")).select("_row", "start", "count")
     whole = stored(whole, f"{name}-whole")
-    opened = R.windows_of(found, R.branching(paths, name), kind, name)
+    first = R.branching(paths, name)
+    discard(paths)
+    opened = R.windows_of(found, first, kind, name)
+    discard(first)
     edges = stored(opened.groupBy("e1", "e2").agg(F.min("_id").alias("_from"), F.max("_id").alias("_to")).where(F.col("_from") < F.col("_to")).select("e1", "e2", "_from"), f"{name}-edges")
     single = opened.join(edges, ["e1", "e2"]).where(F.col("_id") > F.col("_from")).select("_row", "start", F.lit(1).alias("count"))
-    return stored(whole.unionByName(single).groupBy("_row").agg(F.collect_set(F.struct("start", "count")).alias("_spans")), f"{name}-spans")
+    out = stored(whole.unionByName(single).groupBy("_row").agg(F.collect_set(F.struct("start", "count")).alias("_spans")), f"{name}-spans")
+    discard(whole, opened, edges)
+    return out
 
 
 def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", kind: R.Kind = KIND, keep_text: bool = True, name: str = "substring") -> DataFrame:

@@ -20,7 +20,7 @@ from pyspark.sql import types as T
 
 from . import repeats as R
 from .columns import set_aside
-from .scratch import stored
+from .scratch import discard, stored
 from .textblock import ragged, text_blocks
 
 BYTES = 100
@@ -221,12 +221,16 @@ def repeated_spans(found: DataFrame, kind: R.Kind, name: str, cap: int = CAP) ->
     )
     whole = stored(whole, f"{name}-whole")
     first = R.branching(paths, name)
+    discard(paths)
     parts = max(int(found.sparkSession.conf.get("spark.sql.shuffle.partitions")), 1)
     indexed = stored(indexed_spans(fragments_of(found, first.where(F.col("variants") <= cap), kind.k), kind.k, parts).drop("_id"), f"{name}-indexed")
     opened = R.windows_of(found, first.where(F.col("variants") > cap), kind, name)
+    discard(first)
     edges = stored(opened.groupBy("e1", "e2").agg(F.min(at).alias("_first"), F.count("*").alias("_n")).where("_n > 1").select("e1", "e2", "_first"), f"{name}-edges")
     single = opened.join(edges, ["e1", "e2"]).where(at > F.col("_first")).select("_row", "start", F.lit(1).alias("count"))
-    return stored(whole.unionByName(indexed).unionByName(single).groupBy("_row").agg(F.collect_set(F.struct("start", "count")).alias("_spans")), f"{name}-spans")
+    out = stored(whole.unionByName(indexed).unionByName(single).groupBy("_row").agg(F.collect_set(F.struct("start", "count")).alias("_spans")), f"{name}-spans")
+    discard(whole, indexed, opened, edges)
+    return out
 
 
 def suffix_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", kind: R.Kind = KIND, keep_bytes: bool = True, name: str = "suffix") -> DataFrame:
