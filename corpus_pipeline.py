@@ -14,7 +14,7 @@ from tessera.llm.line_dedup import line_dedup
 from tessera.llm.ngram_join import ngram_components
 from tessera.llm.packing import pack, token_pieces
 from tessera.llm.quality_rules import quality_rules
-from tessera.llm.scratch import stored
+from tessera.llm.scratch import clear, stored
 from tessera.llm.substring_dedup import substring_dedup
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
@@ -25,6 +25,16 @@ def _documents(docs: DataFrame) -> DataFrame:
     return docs.withColumn("n_chars", F.coalesce(F.char_length("text"), F.lit(0)).cast("long")).select(*COLUMNS)
 
 
+def _own_stage(stage):
+    """A stage that first deletes what earlier ones kept in the shared folder: their results are written by then."""
+
+    def run(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        clear(spark)
+        return stage(spark, docs, sf_dir)
+
+    return run
+
+
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality rules reject go."""
     return quality_rules(docs).where("kept").select(*COLUMNS)
@@ -54,7 +64,10 @@ def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return pack(token_pieces(docs.select("doc_id", "text"), public_tokenizers.path("byte_bpe_50k.json")))
 
 
-STAGES = [("quality_rules", quality), ("line_dedup", lines), ("ngram_jaccard_join", near_copies), ("substring_dedup", substrings), ("best_fit_packing", packing)]
+STAGES = [
+    (name, _own_stage(stage))
+    for name, stage in (("quality_rules", quality), ("line_dedup", lines), ("ngram_jaccard_join", near_copies), ("substring_dedup", substrings), ("best_fit_packing", packing))
+]
 
 #: SQL can't express the tokenizer; tests hold the stages against brute force.
 ORACLE_SQL = None
@@ -63,5 +76,5 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select(*COLUMNS)
     for name, stage in STAGES:
-        docs = stored(stage(spark, docs, sf_dir), f"stage-{name}")
+        docs = stored(stage(spark, docs, sf_dir), f"stage-{name}", keep=True)
     return docs
