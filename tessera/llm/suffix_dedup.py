@@ -6,8 +6,8 @@ a task indexes buckets of some megabytes at a time: it builds the Burrows-Wheele
 runs and the text positions at the runs' ends, streams every fragment backwards through the index, and so gets the
 matching statistics of each position against earlier ones. Matches of a window's length or more are marked.
 
-An anchor with more than CAP fragments (the edge of a passage that very many texts share) is not brought to one task:
-its windows are joined by 128 bits instead, which gives the same marks.
+CAP bounds what a task indexes at once by its memory. An anchor with more fragments than that (the edge of a passage that
+very many texts share) is not brought to one task: its windows are joined by 128 bits instead, which gives the same marks.
 """
 
 from __future__ import annotations
@@ -25,10 +25,10 @@ from .textblock import ragged, text_blocks
 
 BYTES = 100
 KIND = R.Kind(False, BYTES, 32)
-#: Fragments of one anchor that are indexed together; more are joined by their windows.
-CAP = 512
-#: Bytes of fragments indexed at once.
-INDEX_BYTES = 1 << 20
+#: Fragments of one anchor that are indexed together: at most 3.4 MB. More are joined by their windows.
+CAP = 20_000
+#: Bytes of fragments from which on no further anchor is taken into an index.
+INDEX_BYTES = 1 << 19
 
 
 def suffix_order(symbols: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
