@@ -192,16 +192,21 @@ def variants(found: DataFrame, name: str) -> DataFrame:
     )
 
 
-def branching(paths: DataFrame, name: str) -> DataFrame:
-    """a, variants, count, _id, _row, start: the first occurrences of paths whose anchor has other paths too; stored."""
+def branching(paths: DataFrame, name: str, more: DataFrame | None = None) -> DataFrame:
+    """a, variants, count, _id, _row, start: the first occurrences of paths whose anchor has other paths too; stored.
+
+    With more, its occurrences (a, count, _id, _row, start) of such paths too."""
     many = stored(paths.groupBy("a").agg(F.count("*").alias("variants")).where("variants > 1"), f"{name}-anchors")
-    out = stored(paths.join(many, "a").select("a", "variants", "count", "first.*"), f"{name}-branching")
+    places = paths.select("a", "count", "first.*")
+    if more is not None:
+        places = places.unionByName(more)
+    out = stored(places.join(many, "a").select("a", "variants", "count", "_id", "_row", "start"), f"{name}-branching")
     discard(many)
     return out
 
 
 def windows_of(found: DataFrame, firsts: DataFrame, kind: Kind, name: str) -> DataFrame:
-    """_id, _row, start, e1, e2: every window of the given first occurrences (_row, start, count), once a row of that text; stored."""
+    """_id, _row, start, e1, e2: every window of the given occurrences (_row, start, count), once a row of that text; stored."""
     lists = firsts.groupBy("_row").agg(F.collect_set(F.struct("start", "count")).alias("_of"))
     texts = found.where(F.size("paths") > 0).select("_id", "_row", "_text")
 

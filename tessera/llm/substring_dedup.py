@@ -3,8 +3,8 @@
 Windows of k words are edges of a De Bruijn graph. Consecutive edges with one anchor are compacted to a path within the
 text; equal paths of several documents are one, and a path whose anchor has no other path is nonbranching: joined with
 its first source it is repeated as a whole in every later document. Where an anchor branches, the paths' first sources
-are opened to edges, which are joined by 128 bits. Spans carry source coordinates (id and first word); those of one path
-are equal in two independent hashes of all their words.
+are opened to edges at every place of the path in them, and the edges are joined by 128 bits. Spans carry source
+coordinates (id and first word); those of one path are equal in two independent hashes of all their words.
 """
 
 from __future__ import annotations
@@ -31,17 +31,20 @@ def _digest(raw: bytes, starts, ends) -> str:
 def repeated_spans(found: DataFrame, kind: R.Kind, name: str) -> DataFrame:
     """_row, _spans (start, count): runs of windows whose words also start in a document of smaller id; stored."""
     paths = R.variants(found, name)
-    source = paths.where("n > 1").select("a", "h1", "h2", F.col("first._id").alias("_from"))
-    whole = R.occurrences(found).join(source, ["a", "h1", "h2"]).where(F.col("_id") > F.col("_from")).select("_row", "start", "count")
-    whole = stored(whole, f"{name}-whole")
-    first = R.branching(paths, name)
+    source = paths.where("n > 1").select("a", "h1", "h2", "first")
+    place = F.struct("_id", "_row", "start")
+    again = R.occurrences(found).join(source, ["a", "h1", "h2"]).where(place > F.col("first"))
+    again = stored(again.select("a", "count", "_id", "_row", "start", (F.col("_id") > F.col("first._id")).alias("_later")), f"{name}-again")
+    whole = again.where("_later").select("_row", "start", "count")
+    # a path's other places in documents of its first id are no copies as a whole: they are opened like the first
+    first = R.branching(paths, name, again.where("NOT _later").drop("_later"))
     discard(paths)
     opened = R.windows_of(found, first, kind, name)
     discard(first)
     edges = stored(opened.groupBy("e1", "e2").agg(F.min("_id").alias("_from"), F.max("_id").alias("_to")).where(F.col("_from") < F.col("_to")).select("e1", "e2", "_from"), f"{name}-edges")
     single = opened.join(edges, ["e1", "e2"]).where(F.col("_id") > F.col("_from")).select("_row", "start", F.lit(1).alias("count"))
     out = stored(whole.unionByName(single).groupBy("_row").agg(F.collect_set(F.struct("start", "count")).alias("_spans")), f"{name}-spans")
-    discard(whole, opened, edges)
+    discard(again, opened, edges)
     return out
 
 

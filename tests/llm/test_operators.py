@@ -254,6 +254,20 @@ def test_substring_dedup(docs, rows, empty):
         assert _sha(" ".join(WORD.findall(r.text)).encode()) == r.kept_sha256
 
 
+def test_substring_dedup_within_a_document(spark):
+    rnd, rows = random.Random(5), []
+    some = lambda n: [f"w{rnd.randrange(10**9)}" for _ in range(n)]
+    for at in range(0, 800, 20):  # independent cases: each has words of its own
+        a, b, p, x = some(9), some(9), some(rnd.randint(3, 30)), some(rnd.randint(13, 40))
+        t = some(rnd.randint(5, 25))
+        cases = [(1, a + x + b), (2, p + x + p + x + p), (3, t), (4, t * 3), (4, p + x + p), (5, x[2:] + t + x[2:] + t[:-1])]
+        rows += [(at + i, " ".join(w)) for i, w in cases]
+    rows += [(None, "n " + rows[1][1]), (None, "m " + rows[1][1] + " " + rows[1][1])]
+    got = substring_dedup.substring_dedup(spark.createDataFrame(rows, "doc_id long, text string"))
+    want = Counter((i, len(w), sum(g), _sha(" ".join(x for x, y in zip(w, g, strict=True) if not y).encode())) for i, w, g in _removed_words(rows))
+    assert _by(got, "n_words", "n_removed", "kept_sha256") == want
+
+
 def _removed_bytes(rows, k=100):
     seen, out = {}, []
     order = sorted({(-(2**63) if r[0] is None else r[0], (r[1] or "").encode()) for r in rows if r[0] != 65}, key=lambda x: x[0])
