@@ -376,6 +376,16 @@ def markdown_sections(spark, sf_dir):
     return got.select("doc_id", (F.col("ord") - 1).cast("int").alias("ord"), "name", "text")
 
 
+@_query(r"""WITH l AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS i FROM documents)
+SELECT doc_id, CAST(i AS INTEGER) AS ord, 'part ' || i AS name, regexp_replace(line, '^[\s\v]+|[\s\v]+$', '', 'g') AS text FROM l""")
+def markdown_sections_whole(spark, sf_dir):
+    """Every line of a text under a heading of its own; the space before a line keeps it from being a heading itself."""
+    parts = F.transform(F.split("text", "\n"), lambda x, i: F.concat(F.lit("## Part "), (i + 1).cast("string"), F.lit("\n "), x))
+    docs = _t(spark, sf_dir, "documents").select("doc_id", F.array_join(parts, "\n").alias("md"))
+    got = articles.markdown_sections(docs, "doc_id", "md").where("name <> 'preamble'")
+    return got.select("doc_id", (F.col("ord") - 1).cast("int").alias("ord"), "name", "text")
+
+
 @_query("SELECT event_type, date_trunc('day', ts) AS start, count(*) AS n FROM events GROUP BY 1, 2")
 def daily_events(spark, sf_dir):
     return ingest.windowed(_t(spark, sf_dir, "events").withColumn("ts", F.col("ts").cast("timestamp")), "ts", ["event_type"], "value", "1 day", "1 hour").select("event_type", F.col("start").cast("timestamp_ntz").alias("start"), "n")

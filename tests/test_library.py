@@ -262,6 +262,13 @@ def test_hooks(spark):
     assert [tuple(r) for r in vocab.unmapped_terms(spark.createDataFrame([("New ",), ("new",), ("sweet",)], "a string"), "a", {"sweet": "s"}).collect()] == [("new", 2)]
 
 
+def test_sections_of_whole_texts(spark, tmp_path):
+    texts = ["one\n two \n\n## four\n\tfive\n", None, "", "\n".join(f"line {i}" for i in range(300))]
+    spark.createDataFrame(list(enumerate(texts)), "doc_id int, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    got = sorted(map(tuple, queries.queries()["markdown_sections_whole"](spark, str(tmp_path)).collect()))
+    assert got == [(d, i, f"part {i}", x.strip()) for d, t in enumerate(texts) if t is not None for i, x in enumerate(t.split("\n"), 1)]
+
+
 @pytest.mark.parametrize("name", sorted(queries.queries()))
 def test_queries_agree_with_sql(spark, sf_dir, name):
     duckdb = pytest.importorskip("duckdb")
