@@ -46,12 +46,16 @@ def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near copies, and of rows of one id and text, one document stays: that of the smallest id."""
-    found = ngram_components(docs.select("doc_id", "text"), width=5, percent=80, name="pipeline-ngrams")
-    alone = (F.col("n_shingles") == 0) | F.col("component_id").eqNullSafe(F.col("doc_id"))
-    stay = stored(found.where(alone).select("_row").distinct(), "pipeline-stay")
-    rows = docs.withColumn("_row", F.xxhash64(F.coalesce("doc_id", F.lit(-(2**63))), F.coalesce("text", F.lit(""))))
-    return rows.join(stay, "_row", "left_semi").dropDuplicates(["_row"]).select(*COLUMNS)
+    """Of each group of near copies, and of rows of one id and text, one document stays: that of the smallest id.
+
+    A null id is the smallest. Of several texts of the smallest id, the first in the order of a hash stays. Texts of one
+    id, or without one, that are no near copies of each other are different documents."""
+    no_id = F.lit(-(2**63))
+    rows = docs.withColumn("_key", F.xxhash64(F.coalesce("doc_id", no_id), F.coalesce("text", F.lit(""))))
+    found = ngram_components(rows.select("_key", "doc_id", "text"), id_col="_key", width=5, percent=80, name="pipeline-ngrams")
+    first = F.min(F.struct(F.coalesce("doc_id", no_id).alias("_id"), "_key")).alias("_first")
+    stay = stored(found.groupBy("component_id").agg(first).select("_first._key"), "pipeline-stay")
+    return rows.join(stay, "_key", "left_semi").dropDuplicates(["_key"]).select(*COLUMNS)
 
 
 def substrings(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
