@@ -305,6 +305,14 @@ def table_counts(spark, sf_dir):
     return aggregate.table_counts({n: _t(spark, sf_dir, n) for n in ("nation", "region")})
 
 
+_TABLES = ("benchmark", "conversations", "customer", "documents", "embeddings", "events", "labels", "lineitem", "nation", "orders", "pages", "part", "region", "supplier")
+
+
+@_query(" UNION ALL ".join(f"SELECT '{n}' AS \"table\", count(*) AS n FROM {n}" for n in _TABLES))
+def table_counts_all(spark, sf_dir):
+    return aggregate.table_counts({n: _t(spark, sf_dir, n) for n in _TABLES})
+
+
 @_query("""WITH c AS (SELECT l_orderkey, list({'substance': 'P' || l_partkey, 'concentration': l_quantity, 'unit': l_returnflag} ORDER BY l_linenumber, l_partkey, l_quantity, l_returnflag) AS cs FROM lineitem GROUP BY 1)
 SELECT l_orderkey, lower(cs[1].substance) AS substance_1, cs[1].concentration AS concentration_1, cs[1].unit AS unit_1, lower(cs[2].substance) AS substance_2, cs[2].concentration AS concentration_2, cs[2].unit AS unit_2, greatest(len(cs) - 2, 0) AS others FROM c""")
 def slots_from_array(spark, sf_dir):

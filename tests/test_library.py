@@ -262,6 +262,14 @@ def test_hooks(spark):
     assert [tuple(r) for r in vocab.unmapped_terms(spark.createDataFrame([("New ",), ("new",), ("sweet",)], "a string"), "a", {"sweet": "s"}).collect()] == [("new", 2)]
 
 
+def test_counts_of_all_tables(spark, sf_dir):
+    import os
+
+    got = {r["table"]: r.n for r in queries.queries()["table_counts_all"](spark, sf_dir).collect()}
+    assert sorted(got) == sorted(f.split(".")[0] for f in os.listdir(sf_dir))
+    assert all(n == spark.read.parquet(f"{sf_dir}/{t}.parquet").count() for t, n in got.items())
+
+
 def test_sections_of_whole_texts(spark, tmp_path):
     texts = ["one\n two \n\n## four\n\tfive\n", None, "", "\n".join(f"line {i}" for i in range(300))]
     spark.createDataFrame(list(enumerate(texts)), "doc_id int, text string").write.parquet(f"{tmp_path}/documents.parquet")
