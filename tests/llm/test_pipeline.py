@@ -1,11 +1,17 @@
 """The pipeline against plain Python."""
 
+import struct
+import zlib
 from collections import Counter
 
+import public_tokenizers
+from tokenizers import Tokenizer
+
 import corpus_pipeline as pipeline
-from tests.llm.test_operators import WORD, _rows
+from tests.llm.test_operators import WORD, _removed_words, _rows
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
+PIECES = ["doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"]
 LOW = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
 
@@ -57,3 +63,81 @@ def test_one_near_copy_of_each_group_stays(spark):
     got = pipeline.near_copies(spark, spark.createDataFrame(rows, SCHEMA).repartition(5), "")
     assert got.columns == pipeline.COLUMNS
     _one_of_each([tuple(r) for r in got.collect()], _near_copies(rows))
+
+
+def _quality(rows):
+    counts = []
+    for _, t, *_ in rows:
+        t = t or ""
+        w, seen, dup, n = WORD.findall(t), set(), 0, 0
+        for x in t.split("\n"):
+            if WORD.search(x):
+                n, dup = n + 1, dup + (x in seen)
+                seen.add(x)
+        tri = Counter(tuple(w[k : k + 3]) for k in range(len(w) - 2))
+        rep = len({k + j for k in range(len(w) - 2) if tri[tuple(w[k : k + 3])] > 1 for j in range(3)})
+        parts = {"symbols": (sum(c in "#*$%&|<>" for c in t), len(w)), "dup_lines": (dup, n), "repeats": (rep, len(w)), "word_length": (sum(map(len, w)), len(w))}
+        counts.append((len(w) < 50 or 100 * rep > 50 * len(w), {r: 1000 * a // b if b else 0 for r, (a, b) in parts.items()}))
+    bin_ = lambda v: v if v < 64 else (v.bit_length() - 6) * 32 + (v >> (v.bit_length() - 6))
+    bounds = {"symbols": (100, 300), "dup_lines": (500, 800), "repeats": (300, 500), "word_length": (12000, 30000)}
+
+    def most(group, rule):
+        v = sorted(bin_(x[rule]) for r, (bad, x) in zip(rows, counts, strict=True) if not bad and r[2:4] == group)
+        mid, high = (v[-(-q * len(v) // 100) - 1] for q in (50, 75))
+        return min(max(high + 3 * (high - mid), bin_(bounds[rule][0])), bin_(bounds[rule][1]))
+
+    return [r for r, (bad, x) in zip(rows, counts, strict=True) if not bad and all(bin_(x[k]) <= most(r[2:4], k) for k in bounds)]
+
+
+def _lines(rows):
+    key = lambda x: x.strip(" \t\n\x0b\x0c\r").translate(LOW)
+    holds = {}
+    for i, t, *_ in rows:
+        for x in (t or "").split("\n"):
+            holds.setdefault(key(x), set()).add(_id(i))
+    bad = {k: max(v) for k, v in holds.items() if len(k) >= 40 and len(v) >= 5}
+    texts = ["\n".join(x for x in (r[1] or "").split("\n") if bad.get(key(x), _id(r[0])) == _id(r[0])) for r in rows]
+    return [(r[0], t, *r[2:4], len(t)) for r, t in zip(rows, texts, strict=True)]
+
+
+def _substrings(rows):
+    out = []
+    for r, (_, _, gone) in zip(rows, _removed_words(rows), strict=True):
+        at = list(WORD.finditer(r[1] or ""))
+        t = r[1] or ""
+        if any(gone):
+            t = "".join(t[at[j - 1].end() if j else 0 : m.end()] for j, m in enumerate(at) if not gone[j])
+        out.append((r[0], t, *r[2:4], len(t)))
+    return out
+
+
+def _pieces(rows):
+    tok, out = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json")), Counter()
+    for i, t, *_ in rows:
+        ids = [*tok.encode(t or "", add_special_tokens=False).ids, 2]
+        n = -(-len(ids) // 1024)
+        cut = [0, *[len(ids) - 1024 * (n - 1 - k) for k in range(n)]]
+        for k in range(n):
+            part = ids[cut[k] : cut[k + 1]]
+            out[i, k, cut[k], len(part), zlib.crc32(struct.pack(f"<{len(part)}I", *part))] += 1
+    return out
+
+
+def test_stages_and_run(spark, tmp_path):
+    rows = _documents()
+    spark.createDataFrame(rows, SCHEMA).write.parquet(f"{tmp_path}/documents.parquet")
+    want = {"quality_rules": _quality, "line_dedup": _lines, "substring_dedup": _substrings}
+    for name, stage in pipeline.STAGES:
+        df = stage(spark, spark.createDataFrame(rows, SCHEMA).repartition(3), str(tmp_path))
+        got = [tuple(r) for r in df.collect()]
+        if name == "best_fit_packing":
+            assert df.columns == PIECES and Counter(r[:5] for r in got) == _pieces(rows)
+            break
+        assert df.columns == pipeline.COLUMNS
+        if name == "ngram_jaccard_join":
+            _one_of_each(got, _near_copies(rows))
+        else:
+            assert Counter(got) == Counter(want[name](rows)), name
+        rows = got
+    out = pipeline.run(spark, str(tmp_path))
+    assert out.columns == PIECES and Counter(tuple(r)[:5] for r in out.collect()) == _pieces(rows)
