@@ -2,7 +2,10 @@
 
 Each text gets whole-text counts. Per language and source, every rule's value is summed into a quantile sketch: counts
 per bin of a log-linear scale, which merge by addition, so that any number of partial sketches give the same sketch.
-A rule's threshold is a fence over the sketch's quantiles, and documents meet their group's thresholds in a join.
+A rule's threshold is a fence over the sketch's quantiles: an upper quantile, and beyond it some times its distance from
+the median. Nothing else bounds it. A group whose sketch holds too few documents for a quantile, or shows no spread, takes
+the fence of its language's merged sketch, and where that is no better, of all documents' sketch; a rule without any spread
+at all rejects nothing. Documents meet their group's thresholds in a join.
 """
 
 from __future__ import annotations
@@ -18,16 +21,17 @@ from .scratch import stored
 from .textblock import hash_spans, ragged, spans, text_blocks, text_of, windows, words
 
 COUNTS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
-#: rule -> (numerator, denominator, least and largest threshold in thousandths): the value is 1000 * numerator / denominator.
-#: The group's fence is the threshold where it lies between the two; small groups have wild fences.
+#: rule -> (numerator, denominator): the value is 1000 * numerator / denominator.
 RULES = {
-    "symbols": ("n_symbols", "n_words", 100, 300),
-    "dup_lines": ("n_dup_lines", "n_lines", 500, 800),
-    "repeats": ("n_repeat_words", "n_words", 300, 500),
-    "word_length": ("word_chars", "n_words", 12000, 30000),
+    "symbols": ("n_symbols", "n_words"),
+    "dup_lines": ("n_dup_lines", "n_lines"),
+    "repeats": ("n_repeat_words", "n_words"),
+    "word_length": ("word_chars", "n_words"),
 }
 #: The fence is this quantile, in hundredths, and FENCE times its distance from the median beyond it.
-QUANTILE, FENCE = 75, 3
+QUANTILE, FENCE = 95, 3
+#: Documents that a group's own sketch needs, so that some lie beyond its upper quantile.
+LEAST = 200
 MIN_WORDS = 50
 _SYMBOL = np.zeros(256, bool)
 _SYMBOL[list(b"#*$%&|<>")] = True
@@ -100,8 +104,14 @@ def _bin(v: Column) -> Column:
     return F.when(v < 64, v).otherwise(down * 32 + F.floor(v / F.pow(F.lit(2), down)))
 
 
+def _least_of(b: Column) -> Column:
+    """The smallest value of a bin."""
+    down = F.floor(b / 32) - 1
+    return F.when(b < 64, b).otherwise((b - 32 * down) * F.pow(F.lit(2), down)).cast("long")
+
+
 def _value(rule: str) -> Column:
-    top, bottom, *_ = RULES[rule]
+    top, bottom = RULES[rule]
     return F.when(F.col(bottom) > 0, F.floor(F.lit(1000) * F.col(top) / F.col(bottom))).otherwise(F.lit(0)).cast("long")
 
 
@@ -115,17 +125,25 @@ def sketches(values: DataFrame, by: list[str]) -> DataFrame:
     return values.select(*by, bins).groupBy(*by, F.col("_s.rule").alias("rule"), F.col("_s.bin").alias("bin")).agg(F.count("*").alias("n"))
 
 
-def thresholds(sketch: DataFrame, by: list[str]) -> DataFrame:
-    """by, rule, bin: the last bin that the rule lets pass. Works on sketches only: a few hundred bins a group and rule."""
+def fences(sketch: DataFrame, by: list[str], least: int) -> DataFrame:
+    """by, rule, _fence (a bin): of each sketch with `least` documents and some spread. Works on a few hundred bins a sketch."""
     w = Window.partitionBy(*by, "rule")
-    run = sketch.withColumns({"_to": F.sum("n").over(w.orderBy("bin")), "_all": F.sum("n").over(w)})
-    at = lambda q: F.min(F.when(100 * F.col("_to") >= q * F.col("_all"), F.col("bin")))
-    bound = lambda k: F.create_map(*[x for r in RULES for x in (F.lit(r), _bin(F.lit(RULES[r][k])).cast("long"))])[F.col("rule")]
-    return (
-        run.groupBy(*by, "rule")
-        .agg(at(50).alias("_mid"), at(QUANTILE).alias("_hi"))
-        .select(*by, "rule", F.least(F.greatest(F.col("_hi") + FENCE * (F.col("_hi") - F.col("_mid")), bound(2)), bound(3)).alias("_most"))
-    )
+    run = sketch.groupBy(*by, "rule", "bin").agg(F.sum("n").alias("n")).withColumns({"_to": F.sum("n").over(w.orderBy("bin")), "_all": F.sum("n").over(w)})
+    at = lambda q: _least_of(F.min(F.when(100 * F.col("_to") >= q * F.col("_all"), F.col("bin"))))
+    ends = run.groupBy(*by, "rule").agg(at(50).alias("_mid"), at(QUANTILE).alias("_hi"), F.max("_all").alias("_n"))
+    fence = _bin(F.col("_hi") + FENCE * (F.col("_hi") - F.col("_mid"))).cast("long")
+    return ends.where((F.col("_n") >= least) & (F.col("_hi") > F.col("_mid"))).select(*by, "rule", fence.alias("_fence"))
+
+
+def thresholds(sketch: DataFrame, by: list[str], least: int = LEAST) -> DataFrame:
+    """by, rule, _most: the last bin that the rule lets pass in each group; null where it lets all pass.
+
+    A group's own fence, or that of the sketches merged over ever fewer columns of by."""
+    out = sketch.select(*by, "rule").distinct()
+    for k in range(len(by), -1, -1):
+        level = fences(sketch, by[:k], least if k else 1).withColumnRenamed("_fence", f"_fence{k}")
+        out = out.join(level, [*by[:k], "rule"], "left")
+    return out.select(*by, "rule", F.coalesce(*[F.col(f"_fence{k}") for k in range(len(by), -1, -1)]).alias("_most"))
 
 
 def quality_rules(docs: DataFrame, text_col: str = "text", by: tuple[str, ...] = ("lang", "source"), keep_text: bool = True) -> DataFrame:
@@ -133,9 +151,9 @@ def quality_rules(docs: DataFrame, text_col: str = "text", by: tuple[str, ...] =
 
     A null or empty text counts nothing and fails the base rule. Null groups are a group like others. Ties lie on one
     side of a threshold together; a document equal to the threshold is kept. Repeated rows count as often as they come.
-    Texts are counted whole. Columns of the added names are replaced.
+    Texts are counted whole. An empty table gives no rows. Columns of the added names are replaced.
     """
-    added = [*COUNTS, "n_lines", "base_failed", "kept"]
+    added = [*COUNTS, "base_failed", "kept"]
     docs, back = set_aside(docs, [text_col, *by], added)
     names = [c for c in docs.columns if keep_text or c != text_col]
     counts = counted(docs, text_col, keep_text=False)
@@ -150,7 +168,7 @@ def quality_rules(docs: DataFrame, text_col: str = "text", by: tuple[str, ...] =
     for r in RULES:
         ok &= F.col(f"_most_{r}").isNull() | (_bin(_value(r)) <= F.col(f"_most_{r}"))
     rows = (counted(docs, text_col) if keep_text else counts).withColumns({k: F.coalesce(F.col(c).cast("string"), F.lit("\0")) for c, k in zip(by, keys)}).withColumn("base_failed", base_failed())
-    return back(rows.join(most, keys, "left").withColumn("kept", ok).select(*names, *COUNTS, "base_failed", "kept"))
+    return back(rows.join(most, keys, "left").withColumn("kept", ok).select(*names, *added))
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -159,11 +177,19 @@ def query(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 _sql_bin = lambda v: f"CASE WHEN {v} < 64 THEN {v} ELSE (length(bin({v})) - 6) * 32 + ({v} >> (length(bin({v})) - 6)) END"
-_sql_values = ", ".join(f"CASE WHEN {b} > 0 THEN 1000 * {a} // {b} ELSE 0 END AS v_{r}" for r, (a, b, *_) in RULES.items())
-_sql_limits = "\n  UNION ALL ".join(
-    f"SELECT l, s, '{r}' AS rule, v_{r} AS v, {low} AS low, {high} AS high FROM vals WHERE NOT base_failed" for r, (_, _, low, high) in RULES.items()
-)
+_sql_value = lambda b: f"CASE WHEN {b} < 64 THEN {b} ELSE ({b} - 32 * ({b} // 32 - 1)) << CAST({b} // 32 - 1 AS BIGINT) END"
+_sql_values = ", ".join(f"CASE WHEN {b} > 0 THEN 1000 * {a} // {b} ELSE 0 END AS v_{r}" for r, (a, b) in RULES.items())
+_sql_rules = "\n  UNION ALL ".join(f"SELECT l, s, '{r}' AS rule, v_{r} AS v FROM vals WHERE NOT base_failed" for r in RULES)
 _sql_kept = " AND ".join(f"coalesce({_sql_bin('v_' + r)} <= (SELECT most FROM fence WHERE fence.l = vals.l AND fence.s = vals.s AND rule = '{r}'), true)" for r in RULES)
+
+
+def _sql_fence(level: str, by: str, least: int) -> str:
+    """The fences of the sketches by some columns."""
+    return f"""run_{level} AS (SELECT {by} rule, bin, sum(count(*)) OVER (PARTITION BY {by} rule ORDER BY bin) AS upto, sum(count(*)) OVER (PARTITION BY {by} rule) AS n FROM q GROUP BY {by} rule, bin),
+ends_{level} AS (SELECT {by} rule, {_sql_value(f"min(bin) FILTER (100 * upto >= {QUANTILE} * n)")} AS hi, {_sql_value("min(bin) FILTER (100 * upto >= 50 * n)")} AS mid, max(n) AS n FROM run_{level} GROUP BY {by} rule),
+fence_{level} AS (SELECT {by} rule, {_sql_bin(f"(hi + {FENCE} * (hi - mid))")} AS most FROM ends_{level} WHERE n >= {least} AND hi > mid)"""
+
+
 #: The same rows in DuckDB SQL; needs unique ids.
 SQL = rf"""
 WITH d AS (SELECT doc_id, coalesce(text, '') AS t, coalesce(lang, chr(1)) AS l, coalesce(source, chr(1)) AS s FROM documents),
@@ -183,14 +209,15 @@ base AS (
 ),
 vals AS (SELECT *, n_words < {MIN_WORDS} OR 100 * n_repeat_words > 50 * n_words AS base_failed, {_sql_values} FROM base),
 sk AS (
-  {_sql_limits}
+  {_sql_rules}
 ),
-q AS (SELECT l, s, rule, {_sql_bin('v')} AS bin, {_sql_bin('low')} AS low, {_sql_bin('high')} AS high FROM sk),
-run AS (SELECT *, count(*) OVER (PARTITION BY l, s, rule ORDER BY bin) AS upto, count(*) OVER (PARTITION BY l, s, rule) AS n FROM q),
+q AS (SELECT l, s, rule, CAST({_sql_bin('v')} AS BIGINT) AS bin FROM sk),
+{_sql_fence("group", "l, s,", LEAST)},
+{_sql_fence("lang", "l,", LEAST)},
+{_sql_fence("all", "", 1)},
 fence AS (
-  SELECT l, s, rule, least(greatest(hi + {FENCE} * (hi - mid), low), high) AS most FROM (
-    SELECT l, s, rule, low, high, min(bin) FILTER (100 * upto >= 50 * n) AS mid, min(bin) FILTER (100 * upto >= {QUANTILE} * n) AS hi
-    FROM run GROUP BY ALL)
+  SELECT g.l, g.s, g.rule, coalesce(a.most, b.most, c.most) AS most FROM (SELECT DISTINCT l, s, rule FROM q) g
+  LEFT JOIN fence_group a ON a.l = g.l AND a.s = g.s AND a.rule = g.rule LEFT JOIN fence_lang b ON b.l = g.l AND b.rule = g.rule LEFT JOIN fence_all c ON c.rule = g.rule
 )
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, NOT base_failed AND {_sql_kept} AS kept FROM vals
 """

@@ -359,6 +359,26 @@ def test_sketches_merge(spark):
     assert len(RULES) * 2 == thresholds(merged, ["g"]).count()
 
 
+def test_unlike_groups_have_unlike_thresholds(spark):
+    rnd, rows = random.Random(6), []
+    words = [f"w{i}" for i in range(5000)]
+    for i in range(1400):
+        lang, source = [("a", "code"), ("a", "prose"), ("a", "few"), ("b", "few")][(i % 2) if i < 1200 else 2 + i % 2]
+        share = rnd.random() * (0.4 if source == "code" else 0.9 if lang == "b" else 0.02)
+        text = [w + "#" * (rnd.random() < share) for w in rnd.sample(words, 100)]
+        rows.append((i, " ".join(text), lang, source))
+    rows += [(5000, " ".join(w + "#" * (k % 3 == 0) for k, w in enumerate(words[:100])), "a", "code"), (5001, " ".join(w + "#" * (k % 3 == 0) for k, w in enumerate(words[:100])), "a", "prose")]
+    got = {r.doc_id: r.kept for r in quality_rules.quality_rules(spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")).collect()}
+    assert got[5000] and not got[5001]  # as many symbols are usual in the one source only
+    counts = quality_rules.counted(spark.createDataFrame(rows, "doc_id long, text string, lang string, source string"), keep_text=False)
+    most = {(r.lang, r.source): r._most for r in quality_rules.thresholds(quality_rules.sketches(counts, ["lang", "source"]), ["lang", "source"]).where("rule = 'symbols'").collect()}
+    assert len({most["a", "code"], most["a", "prose"], most["a", "few"]}) == 3  # the third has too few documents: that of its language
+    assert most["b", "few"] not in (None, most["a", "few"])  # too few of the language: that of all
+    assert {r._most for r in quality_rules.thresholds(quality_rules.sketches(counts, ["lang", "source"]), ["lang", "source"]).where("rule = 'dup_lines'").collect()} == {None}
+    with_name = quality_rules.quality_rules(spark.createDataFrame([(1, "x", "a", "b", 7)], "doc_id long, text string, lang string, source string, n_lines int"))
+    assert with_name.first()["n_lines"] == 7
+
+
 def test_components(spark):
     from tessera.llm.components import components
 

@@ -79,14 +79,23 @@ def _quality(rows):
         parts = {"symbols": (sum(c in "#*$%&|<>" for c in t), len(w)), "dup_lines": (dup, n), "repeats": (rep, len(w)), "word_length": (sum(map(len, w)), len(w))}
         counts.append((len(w) < 50 or 100 * rep > 50 * len(w), {r: 1000 * a // b if b else 0 for r, (a, b) in parts.items()}))
     bin_ = lambda v: v if v < 64 else (v.bit_length() - 6) * 32 + (v >> (v.bit_length() - 6))
-    bounds = {"symbols": (100, 300), "dup_lines": (500, 800), "repeats": (300, 500), "word_length": (12000, 30000)}
-
-    def most(group, rule):
-        v = sorted(bin_(x[rule]) for r, (bad, x) in zip(rows, counts, strict=True) if not bad and r[2:4] == group)
-        mid, high = (v[-(-q * len(v) // 100) - 1] for q in (50, 75))
-        return min(max(high + 3 * (high - mid), bin_(bounds[rule][0])), bin_(bounds[rule][1]))
-
-    return [r for r, (bad, x) in zip(rows, counts, strict=True) if not bad and all(bin_(x[k]) <= most(r[2:4], k) for k in bounds)]
+    least_of = lambda b: b if b < 64 else (b - 32 * (b // 32 - 1)) << (b // 32 - 1)
+
+    def fence(rule, like, least):
+        v = sorted(bin_(x[rule]) for r, (bad, x) in zip(rows, counts, strict=True) if not bad and like(r))
+        if len(v) < least:
+            return None
+        mid, high = (least_of(v[-(-q * len(v) // 100) - 1]) for q in (50, 95))
+        return bin_(high + 3 * (high - mid)) if high > mid else None
+
+    def passes(r, rule, value):
+        for like, least in ((lambda x: x[2:4] == r[2:4], 200), (lambda x: x[2] == r[2], 200), (lambda x: True, 1)):
+            most = fence(rule, like, least)
+            if most is not None:
+                return bin_(value) <= most
+        return True
+
+    return [r for r, (bad, x) in zip(rows, counts, strict=True) if not bad and all(passes(r, k, v) for k, v in x.items())]
 
 
 def _lines(rows):
