@@ -19,3 +19,10 @@ def set_aside(docs: DataFrame, used: list[str], added: list[str]) -> tuple[DataF
         return out.select(*[F.col(names.get(c, c)).alias(c) for c in docs.columns if (c in used or c in names) and names.get(c, c) in have], *[c for c in added if c in have])
 
     return inner, back
+
+
+def need_whole_ids(docs: DataFrame, id_col: str) -> None:
+    """Raises TypeError if the ids are no whole numbers: their order decides what stays, and text has another order."""
+    kind = docs.schema[id_col].dataType.typeName()
+    if kind not in ("byte", "short", "integer", "long", "void"):
+        raise TypeError(f"{id_col} must be a column of whole numbers, not of type {kind}")

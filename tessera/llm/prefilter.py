@@ -1,4 +1,4 @@
-"""A map-side filter of fixed size before a semi join."""
+"""A map-side filter of fixed size before a join."""
 
 from __future__ import annotations
 
@@ -9,13 +9,18 @@ from pyspark.sql import functions as F
 BITS = 1 << 23
 
 
-def maybe_in(df: DataFrame, wanted: DataFrame, key: str) -> DataFrame:
-    """The rows of df whose key (a 64-bit hash) may be one of wanted's, so that the others are not shuffled by the exact
-    join that is to follow. With far more keys than BITS it lets all pass, which costs time but no rows."""
+def flagged(df: DataFrame, wanted: DataFrame, key: str, flag: str) -> DataFrame:
+    """df with a boolean: whether its key (a 64-bit hash) may be one of wanted's; false is certain. With far more keys
+    than BITS it is true for all, which costs time but no rows."""
     slot = F.pmod(F.col(key), F.lit(BITS)) + 1
     maps = wanted.groupBy(F.bitmap_bucket_number(slot).alias("_bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(slot)).alias("_map"))
     at = F.bitmap_bit_position(slot)
     byte = F.conv(F.hex(F.substring("_map", (F.floor(at / 8) + 1).cast("int"), F.lit(1))), 16, 10).cast("int")
     hit = F.expr("shiftright(_byte, cast(_at % 8 as int)) & 1") == 1
-    joined = df.withColumns({"_bucket": F.bitmap_bucket_number(slot), "_at": at}).join(F.broadcast(maps), "_bucket")
-    return joined.withColumn("_byte", byte).where(hit).select(*df.columns)
+    joined = df.withColumns({"_bucket": F.bitmap_bucket_number(slot), "_at": at}).join(F.broadcast(maps), "_bucket", "left")
+    return joined.withColumn("_byte", byte).withColumn(flag, F.coalesce(hit, F.lit(False))).select(*df.columns, flag)
+
+
+def maybe_in(df: DataFrame, wanted: DataFrame, key: str) -> DataFrame:
+    """The rows of df whose key may be one of wanted's, so that the others are not shuffled by the exact join to follow."""
+    return flagged(df, wanted, key, "_maybe").where("_maybe").drop("_maybe")

@@ -17,10 +17,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .columns import need_whole_ids
+from .prefilter import maybe_in
 from .scratch import discard, stored
-from .textblock import _STEP, BLOCK_BYTES, BYTE, IS_WORD, hash_spans, mix, powers, spans, text_blocks
+from .textblock import _STEP, BLOCK_BYTES, BYTE, IS_WORD, hash_spans, mix, powers, ragged, spans, text_blocks
 
 NO_ID = -(2**63)
+#: A document: rows of one id whose texts have one 64-bit hash. Only texts of one id (or without one) could be mistaken.
+KEY = ["_id", "_row"]
+#: Texts are worked on in blocks of so many bytes: a unit takes some hundred bytes.
+BLOCK = BLOCK_BYTES // 4
 _LOW = np.uint64(0xFFFFFFFF)
 _inverse = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
 
@@ -55,11 +61,6 @@ class Kind:
     k: int
     m: int
 
-    @property
-    def block(self) -> int:
-        """Bytes of text worked on at once: a unit takes some hundred bytes."""
-        return BLOCK_BYTES if self.words else BLOCK_BYTES // 4
-
     def units(self, data: np.ndarray, off: np.ndarray):
         """Starts and ends of the units (None for bytes) and the bounds of the texts in units."""
         if not self.words:
@@ -77,15 +78,17 @@ class Paths:
     anchor: np.ndarray
     start: np.ndarray
     count: np.ndarray
+    place: np.ndarray
 
 
 def block_paths(roll: Rolling, bound: np.ndarray, k: int, m: int) -> Paths:
-    """The paths of a block of texts, in order: number of the text, hash of the anchor, first window, number of windows."""
+    """The paths of a block of texts, in order: number of the text, hash of the anchor, first window, number of windows,
+    place of the anchor."""
     n = roll.n
     size = np.diff(bound)
     if n < k or not (size >= k).any():
         none = np.zeros(0, np.int64)
-        return Paths(none, none.astype(np.uint64), none, none)
+        return Paths(none, none.astype(np.uint64), none, none, none)
     grams = roll.grams(m)
     key = (grams & ~_LOW) | np.arange(len(grams), dtype=np.uint64)  # ties go to the left
     width, span = k - m + 1, 1
@@ -103,20 +106,21 @@ def block_paths(roll: Rolling, bound: np.ndarray, k: int, m: int) -> Paths:
     fresh = np.ones(len(at), bool)
     fresh[1:] = (place[1:] != place[:-1]) | (at[1:] != at[:-1] + 1)
     begin = np.flatnonzero(fresh)
-    return Paths(np.searchsorted(bound, at[begin], "right") - 1, grams[place[begin]], at[begin], np.diff(np.append(begin, len(at))))
+    return Paths(np.searchsorted(bound, at[begin], "right") - 1, grams[place[begin]], at[begin], np.diff(np.append(begin, len(at))), place[begin])
 
 
 def prepared(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """docs with _id, _text and _row: a number for rows of one id and text, which are one document."""
+    """docs with _text and what makes a document: _id and _row, a hash of id and text."""
+    need_whole_ids(docs, id_col)
     base = docs.withColumns({"_id": F.coalesce(F.col(id_col).cast("long"), F.lit(NO_ID)), "_text": F.coalesce(F.col(text_col), F.lit(""))})
     return base.withColumn("_row", F.xxhash64("_id", "_text"))
 
 
 def anchors(docs: DataFrame, kind: Kind) -> DataFrame:
-    """_row, a: the anchors of each document; once more than its paths only if words are the units."""
+    """_id, _row, a: the anchors of each document; once more than its paths only if words are the units."""
 
     def run(batches):
-        for part, data, off in text_blocks(batches, "_text", kind.block):
+        for part, data, off in text_blocks(batches, "_text", BLOCK):
             starts, ends, bound = kind.units(data, off)
             p = block_paths(Rolling(kind.values(data, starts, ends, 0), 0), bound, kind.k, kind.m)
             a, t = p.anchor, p.text
@@ -125,27 +129,29 @@ def anchors(docs: DataFrame, kind: Kind) -> DataFrame:
                 a, t = a[order], t[order]
                 one = np.append(True, (a[1:] != a[:-1]) | (t[1:] != t[:-1]))
                 a, t = a[one], t[one]
-            yield pa.RecordBatch.from_arrays([part.column(0).take(pa.array(t)), pa.array(a.view(np.int64))], names=["_row", "a"])
+            take = pa.array(t)
+            yield pa.RecordBatch.from_arrays([part.column(0).take(take), part.column(1).take(take), pa.array(a.view(np.int64))], names=[*KEY, "a"])
 
-    return docs.select("_row", "_text").mapInArrow(run, "_row long, a long")
+    return docs.select(*KEY, "_text").mapInArrow(run, "_id long, _row long, a long")
 
 
-PATH = T.StructType([T.StructField(c, T.LongType()) for c in ("a", "h1", "h2")] + [T.StructField(c, T.IntegerType()) for c in ("start", "count")])
+PATH = T.StructType([T.StructField(c, T.LongType()) for c in ("a", "h1", "h2")] + [T.StructField(c, T.IntegerType()) for c in ("start", "count", "at")])
 
 
-def candidates(docs: DataFrame, kind: Kind, keep_text: bool, name: str, digest) -> DataFrame:
-    """docs (prepared) with n_units, kept_sha256 (where no path is left), paths, and _text null where neither is wanted; stored.
+def candidates(docs: DataFrame, kind: Kind, keep_text: bool, name: str, digests) -> DataFrame:
+    """docs (prepared) with n_units, kept_sha256 (of the whole text), paths, and _text null where neither is wanted; stored.
 
-    The paths are those whose anchor occurs twice in the corpus. digest(raw, starts, ends) -> hexadecimal digest.
+    The paths are those whose anchor occurs twice in the corpus; `at` is the anchor's place in a path.
+    digests(data, off, starts, ends, bound) -> a hexadecimal digest of each text of a block.
     """
     again = stored(anchors(docs, kind).groupBy("a").agg(F.count("*").alias("n")).where("n > 1").select("a"), f"{name}-anchors")
-    hits = anchors(docs, kind).join(again, "a").groupBy("_row").agg(F.collect_set("a").alias("_hits"))
-    joined = docs.join(hits, "_row", "left")
+    hits = anchors(docs, kind).join(again, "a").groupBy(*KEY).agg(F.collect_set("a").alias("_hits"))
+    joined = docs.join(hits, KEY, "left")
     names = [c for c in docs.columns if c != "_text"]
     schema = T.StructType([joined.schema[c] for c in names] + [T.StructField("_text", T.StringType()), T.StructField("n_units", T.LongType()), T.StructField("kept_sha256", T.StringType()), T.StructField("paths", T.ArrayType(PATH))])
 
     def run(batches):
-        for part, data, off in text_blocks(batches, "_text", kind.block):
+        for part, data, off in text_blocks(batches, "_text", BLOCK):
             starts, ends, bound = kind.units(data, off)
             lists = part.column(part.schema.get_field_index("_hits"))
             hit = lists.is_valid().to_numpy(zero_copy_only=False)
@@ -161,18 +167,14 @@ def candidates(docs: DataFrame, kind: Kind, keep_text: bool, name: str, digest)
             else:
                 cols += [np.zeros(0, np.int64)] * 2
             per = np.bincount(p.text[mine], minlength=len(off) - 1)
-            cols += [(p.start[mine] - bound[p.text[mine]]).astype(np.int32), p.count[mine].astype(np.int32)]
+            cols += [x.astype(np.int32) for x in (p.start[mine] - bound[p.text[mine]], p.count[mine], p.place[mine] - p.start[mine])]
             structs = pa.StructArray.from_arrays([pa.array(c) for c in cols], names=PATH.names)
             paths = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(per)]).astype(np.int32)), structs)
-            raw = data.tobytes()
-            shas = [
-                None if per[i] else digest(raw[off[i] : off[i + 1]], None if starts is None else starts[bound[i] : bound[i + 1]] - off[i], None if starts is None else ends[bound[i] : bound[i + 1]] - off[i])
-                for i in range(len(off) - 1)
-            ]
             text = part.column(part.schema.get_field_index("_text"))
             if not keep_text:
                 text = text.take(pa.array(np.arange(len(per)), mask=per == 0))
-            yield pa.RecordBatch.from_arrays([part.column(part.schema.get_field_index(c)) for c in names] + [text, pa.array(np.diff(bound)), pa.array(shas, pa.string()), paths], names=schema.names)
+            shas = pa.array(digests(data, off, starts, ends, bound), pa.string())
+            yield pa.RecordBatch.from_arrays([part.column(part.schema.get_field_index(c)) for c in names] + [text, pa.array(np.diff(bound)), shas, paths], names=schema.names)
 
     out = stored(joined.mapInArrow(run, schema), f"{name}-candidates")
     discard(again)
@@ -180,57 +182,93 @@ def candidates(docs: DataFrame, kind: Kind, keep_text: bool, name: str, digest)
 
 
 def occurrences(found: DataFrame) -> DataFrame:
-    """_id, _row, a, h1, h2, start, count of every path."""
-    return found.where(F.size("paths") > 0).select("_id", "_row", F.explode("paths").alias("_p")).select("_id", "_row", "_p.*")
+    """_id, _row, a, h1, h2, start, count, at of every path."""
+    return found.where(F.size("paths") > 0).select(*KEY, F.explode("paths").alias("_p")).select(*KEY, "_p.*")
 
 
-def variants(found: DataFrame, name: str) -> DataFrame:
-    """One row for each path by content: a, h1, h2, its first occurrence, count and n occurrences; stored."""
-    return stored(
-        occurrences(found).groupBy("a", "h1", "h2").agg(F.min(F.struct("_id", "_row", "start")).alias("first"), F.first("count").alias("count"), F.count("*").alias("n")),
-        f"{name}-variants",
-    )
+def variants(places: DataFrame, name: str) -> DataFrame:
+    """One row for each path by content: a, h1, h2, its first occurrence, count, at and n occurrences; stored."""
+    first = F.min(F.struct(*KEY, "start")).alias("first")
+    return stored(places.groupBy("a", "h1", "h2").agg(first, F.first("count").alias("count"), F.first("at").alias("at"), F.count("*").alias("n")), f"{name}-variants")
 
 
 def branching(paths: DataFrame, name: str, more: DataFrame | None = None) -> DataFrame:
-    """a, variants, count, _id, _row, start: the first occurrences of paths whose anchor has other paths too; stored.
+    """a, variants, count, at, _id, _row, start: the first occurrences of paths whose anchor has other paths too; stored.
 
-    With more, its occurrences (a, count, _id, _row, start) of such paths too."""
+    With more, its occurrences (a, count, at, _id, _row, start) of such paths too."""
     many = stored(paths.groupBy("a").agg(F.count("*").alias("variants")).where("variants > 1"), f"{name}-anchors")
-    places = paths.select("a", "count", "first.*")
+    places = paths.select("a", "count", "at", "first.*")
     if more is not None:
         places = places.unionByName(more)
-    out = stored(places.join(many, "a").select("a", "variants", "count", "_id", "_row", "start"), f"{name}-branching")
+    out = stored(places.join(many, "a").select("a", "variants", "count", "at", *KEY, "start"), f"{name}-branching")
     discard(many)
     return out
 
 
+def texts_with(found: DataFrame, places: DataFrame, *columns: str) -> DataFrame:
+    """_id, _row, _text, _of: the texts that have some of the given places, once a row of that text, with what is asked
+    for of each place. Other texts are not shuffled."""
+    lists = places.groupBy(*KEY).agg(F.collect_set(F.struct(*columns)).alias("_of"))
+    texts = maybe_in(found.where(F.size("paths") > 0).select(*KEY, "_text"), places, "_row")
+    return texts.join(lists, KEY).select(*KEY, "_text", "_of")
+
+
+def _asked(part: pa.RecordBatch, *columns: str) -> tuple[np.ndarray, ...]:
+    """For each place of a batch of texts_with: the number of its text, and its columns."""
+    lists = part.column(3)
+    flat = lists.flatten()
+    return (np.repeat(np.arange(len(lists)), lists.value_lengths().to_numpy()), *[flat.field(c).to_numpy().astype(np.int64) for c in columns])
+
+
 def windows_of(found: DataFrame, firsts: DataFrame, kind: Kind, name: str) -> DataFrame:
-    """_id, _row, start, e1, e2: every window of the given occurrences (_row, start, count), once a row of that text; stored."""
-    lists = firsts.groupBy("_row").agg(F.collect_set(F.struct("start", "count")).alias("_of"))
-    texts = found.where(F.size("paths") > 0).select("_id", "_row", "_text")
+    """_id, _row, start, e1, e2: every window of the given occurrences (_id, _row, start, count); stored."""
 
     def run(batches):
-        for part, data, off in text_blocks(batches, "_text", kind.block):
+        for part, data, off in text_blocks(batches, "_text", BLOCK):
             starts, ends, bound = kind.units(data, off)
-            lists = part.column(part.schema.get_field_index("_of"))
-            flat = lists.flatten()
-            doc = np.repeat(np.arange(len(lists)), lists.value_lengths().to_numpy())
-            begin = flat.field("start").to_numpy().astype(np.int64)
-            count = flat.field("count").to_numpy().astype(np.int64)
-            before = np.cumsum(count) - count
-            at = np.arange(int(count.sum())) + np.repeat(begin - before, count)
-            doc = np.repeat(doc, count)
+            doc, begin, count = _asked(part, "start", "count")
+            at, doc = ragged(begin, count), np.repeat(doc, count)
             keys = [Rolling(kind.values(data, starts, ends, w), w).ranges(at + bound[doc], kind.k).view(np.int64) for w in (0, 1)]
             take = pa.array(doc)
-            yield pa.RecordBatch.from_arrays([part.column(0).take(take), part.column(1).take(take), pa.array(at.astype(np.int32)), pa.array(keys[0]), pa.array(keys[1])], names=["_id", "_row", "start", "e1", "e2"])
+            yield pa.RecordBatch.from_arrays([part.column(0).take(take), part.column(1).take(take), pa.array(at.astype(np.int32)), pa.array(keys[0]), pa.array(keys[1])], names=[*KEY, "start", "e1", "e2"])
 
-    rows = texts.join(lists, "_row").select("_id", "_row", "_text", "_of")
-    return stored(rows.mapInArrow(run, "_id long, _row long, start int, e1 long, e2 long"), f"{name}-windows")
+    return stored(texts_with(found, firsts, "start", "count").mapInArrow(run, "_id long, _row long, start int, e1 long, e2 long"), f"{name}-windows")
 
 
-def covered_units(n: int, starts: np.ndarray, counts: np.ndarray, k: int) -> np.ndarray:
-    """Which of n units lie in a window of one of these paths."""
+def pieces_of(found: DataFrame, firsts: DataFrame, kind: Kind, width: int, name: str) -> DataFrame:
+    """_id, _row, a, h1, h2, start, count, at: the given occurrences (_id, _row, start, count, at) cut into pieces; stored.
+
+    Equal windows have their anchor at one place, so windows are cut by that place into pieces of at most `width`, and
+    all windows of a piece hold the k - width + 1 units in its middle. These are the piece's anchor a: pieces of other
+    paths that can share a window have it too. A path of n windows makes n / width pieces, most of which are as a whole
+    equal to others or share no anchor.
+    """
+
+    def run(batches):
+        for part, data, off in text_blocks(batches, "_text", BLOCK):
+            starts, ends, bound = kind.units(data, off)
+            doc, begin, count, at = _asked(part, "start", "count", "at")
+            left = at[np.repeat(np.arange(len(at)), count)] - ragged(np.zeros(len(at), np.int64), count)  # units before the anchor
+            path = np.repeat(np.arange(len(at)), count)
+            cell = left // width
+            head = np.flatnonzero(np.append(True, (path[1:] != path[:-1]) | (cell[1:] != cell[:-1]))) if len(path) else path
+            size = np.diff(np.append(head, len(path)))
+            path, cell = path[head], cell[head]
+            start = begin[path] + at[path] - left[head]
+            core = begin[path] + at[path] - cell * width
+            text = doc[path]
+            two = [Rolling(kind.values(data, starts, ends, w), w) for w in (0, 1)]
+            keys = [two[0].ranges(core + bound[text], kind.k - width + 1)] + [r.ranges(start + bound[text], size + kind.k - 1) for r in two]
+            take = pa.array(text)
+            ints = [pa.array(x.astype(np.int32)) for x in (start, size, core - start)]
+            yield pa.RecordBatch.from_arrays([part.column(0).take(take), part.column(1).take(take), *[pa.array(k.view(np.int64)) for k in keys], *ints], names=[*KEY, *PATH.names])
+
+    schema = T.StructType([T.StructField(c, T.LongType()) for c in KEY] + PATH.fields)
+    return stored(texts_with(found, firsts, "start", "count", "at").mapInArrow(run, schema), f"{name}-pieces")
+
+
+def covered(n: int, starts: np.ndarray, counts: np.ndarray, k: int) -> np.ndarray:
+    """Which of n units lie in a window of one of these runs of windows."""
     edge = np.zeros(n + 1, np.int32)
     np.add.at(edge, starts, 1)
     np.add.at(edge, np.minimum(starts + counts + k - 1, n), -1)

@@ -2,12 +2,16 @@
 
 Paths of bytes that share an anchor (see repeats) are the only strings that can hold equal windows. Fragments that are
 equal as a whole are one, their first occurrence. The fragments of an anchor, first occurrences first, form a bucket;
-a task indexes buckets of some megabytes at a time: it builds the Burrows-Wheeler transform of the fragments, keeps its
-runs and the text positions at the runs' ends, streams every fragment backwards through the index, and so gets the
-matching statistics of each position against earlier ones. Matches of a window's length or more are marked.
-
-CAP bounds what a task indexes at once by its memory. An anchor with more fragments than that (the edge of a passage that
-very many texts share) is not brought to one task: its windows are joined by 128 bits instead, which gives the same marks.
+a task indexes buckets of some hundred kilobytes at a time: it builds the Burrows-Wheeler transform of the fragments and
+keeps the sampled positions at the ends of its runs with what neighbours have in common there. Each fragment is then
+streamed through the index: a position's matching statistics against its neighbours in suffix order follow from the last
+sample before it, and matches of a window's length with an earlier position are marked.
+
+CAP bounds what a task indexes at once by its memory. The paths of an anchor with more than that (the edge of a passage
+that very many texts share) are cut into pieces of PIECE windows by the anchor's place, each keyed by the bytes that all
+its windows share. Most pieces are equal to others as a whole, or alone; the others are indexed by their key. Pieces of
+which one key has more than CAP, too, are opened to windows, PIECE each at most, joined by 128 bits. So an anchor's rows
+grow with its paths, however many there are, and no task gets an unbounded group.
 """
 
 from __future__ import annotations
@@ -20,15 +24,18 @@ from pyspark.sql import types as T
 
 from . import repeats as R
 from .columns import set_aside
+from .prefilter import flagged
 from .scratch import discard, stored
 from .textblock import ragged, text_blocks
 
 BYTES = 100
 KIND = R.Kind(False, BYTES, 32)
-#: Fragments of one anchor that are indexed together: at most 3.4 MB. More are joined by their windows.
-CAP = 20_000
+#: Fragments of one anchor that are indexed together: at most 340 KB.
+CAP = 2000
 #: Bytes of fragments from which on no further anchor is taken into an index.
-INDEX_BYTES = 1 << 19
+INDEX_BYTES = 1 << 18
+#: Windows of a piece at most.
+PIECE = 8
 
 
 def suffix_order(symbols: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -62,93 +69,102 @@ def suffix_order(symbols: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         step *= 2
 
 
-class RunLengthIndex:
-    """Runs of the Burrows-Wheeler transform of a text, with the text positions of the runs' first and last rows."""
-
-    def __init__(self, symbols: np.ndarray):
-        order, _ = suffix_order(symbols)
-        self.n = len(symbols)
-        bwt = symbols[order - 1]  # the text is a cycle; its last symbol is unique
-        head = np.append(True, bwt[1:] != bwt[:-1])
-        self.start = np.flatnonzero(head)
-        self.symbol = bwt[self.start]
-        size = np.diff(np.append(self.start, self.n))
-        self.stop = self.start + size - 1
-        self.first_sample, self.last_sample = order[self.start], order[self.stop]
-        by = np.argsort(self.symbol, kind="stable")
-        self.to = np.empty(len(size), np.int64)
-        self.to[by] = np.cumsum(size[by]) - size[by]  # where a run's rows go under LF
-
-    def back(self, row: np.ndarray) -> np.ndarray:
-        """LF: the rows of the suffixes that begin one symbol earlier."""
-        run = np.searchsorted(self.start, row, "right") - 1
-        return self.to[run] + row - self.start[run]
-
-
-def agreement(raw: np.ndarray, one: np.ndarray, two: np.ndarray, k: int) -> np.ndarray:
-    """Whether the k bytes from each of two positions are equal; both must have k bytes."""
-    same = np.ones(len(one), bool)
-    wide = 8 if k >= 8 else 1
-    cells = np.zeros(len(raw), np.uint64)
-    for j in range(wide):
-        cells[: len(raw) - j] |= raw[j:].astype(np.uint64) << np.uint64(8 * j)
-    for j in sorted({*range(0, k - wide + 1, wide), k - wide}):
-        live = np.flatnonzero(same)
-        same[live] = cells[one[live] + j] == cells[two[live] + j]
-    return same
-
-
-def matching(symbols: np.ndarray, raw: np.ndarray, ends: np.ndarray, sizes: np.ndarray, k: int) -> np.ndarray:
-    """For each position: the smallest position whose k bytes are the same (itself, if there is none).
-
-    Fragments end at `ends` (the place of their terminator, which is unique) and have these sizes. All fragments are
-    streamed backwards through the index at once; where a row is a run's first or last, its sampled position says where
-    the stream is. Matching statistics are taken between neighbouring rows, as far as k bytes: rows that agree so far
-    lie together, and the smallest position among them is the earliest match of each.
-    """
-    index = RunLengthIndex(symbols)
-    n = len(symbols)
-    position = np.empty(n, np.int64)
-    # terminators are the smallest symbols, in order: the row of each is its number
-    row, place, left = np.arange(len(ends)), ends.copy(), sizes.copy()
-    position[row] = place
-    while len(row):
-        go = left > 0
-        row, place, left = index.back(row[go]), place[go] - 1, left[go] - 1
-        position[row] = place
-    if not (np.array_equal(position[index.start], index.first_sample) and np.array_equal(position[index.stop], index.last_sample)):
-        raise RuntimeError("the stream has left the sampled positions of the index")
-    room = np.zeros(n, bool)
-    room[ragged(ends - sizes, np.maximum(sizes - k + 1, 0))] = True
-    both = np.flatnonzero(room[position[1:]] & room[position[:-1]])
-    agree = np.zeros(n - 1, bool)
-    agree[both] = agreement(raw, position[both], position[both + 1], k)
-    group = np.concatenate([[0], np.cumsum(~agree)])
-    least = np.minimum.reduceat(position, np.flatnonzero(np.append(True, ~agree)))
-    out = np.empty(n, np.int64)
-    out[position] = least[group]
-    return out
+def transform(symbols: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The runs of the Burrows-Wheeler transform of a text whose last symbol is unique: their symbols, and the text
+    positions of their first and last rows. The suffix order is needed to find them, and is not kept."""
+    order, _ = suffix_order(symbols)
+    bwt = symbols[order - 1]  # the text is a cycle
+    start = np.flatnonzero(np.append(True, bwt[1:] != bwt[:-1]))
+    return bwt[start], order[start], order[np.append(start[1:], len(order)) - 1]
 
 
-def marked(bucket: np.ndarray, order: np.ndarray, raw: list[bytes], k: int) -> list[np.ndarray]:
-    """For each fragment the starts of the k-windows that an earlier fragment, or an earlier place in it, has too.
+def common(cells: np.ndarray, one: np.ndarray, two: np.ndarray, most: np.ndarray) -> np.ndarray:
+    """How many bytes agree from each of two positions on, `most` at the utmost; cells hold eight bytes each."""
+    n, live = np.zeros(len(one), np.int64), np.arange(len(one))
+    while len(live):
+        x = cells[one[live] + n[live]] ^ cells[two[live] + n[live]]
+        low = x & (~x + np.uint64(1))  # the lowest bit that differs
+        n[live] += np.where(x == 0, 8, np.log2(np.maximum(low, np.uint64(1)).astype(np.float64)).astype(np.int64) // 8)
+        live = live[(x == 0) & (n[live] < most[live])]
+    return np.minimum(n, most)
+
+
+class RunLengthIndex:
+    """A run-length index of fragments: for each run of their Burrows-Wheeler transform, the sampled text positions at its
+    ends, each with its neighbour in suffix order and how many bytes they have in common.
+
+    Within a run, rows that are neighbours stay so one symbol earlier in the text. So the neighbour of any position, and
+    what they have in common, follow from the last sample before it in the text: the index grows with the runs, not with
+    the fragments, and holds no order of all positions.
+    """
 
-    order ranks the fragments; only fragments of one bucket can share windows (an anchor is in the window).
+    def __init__(self, symbols: np.ndarray, raw: np.ndarray, ends: np.ndarray):
+        self.symbol, first, last = transform(symbols)
+        room = lambda p: ends[np.searchsorted(ends, p)] - p
+        cells = np.zeros(len(raw) + 8, np.uint64)
+        for j in range(8):
+            cells[: len(raw) - j] |= raw[j:].astype(np.uint64) << np.uint64(8 * j)
+        up, down = last[:-1], first[1:]  # the last row of each run and the first of the next
+        shared = common(cells, up, down, np.minimum(room(up), room(down)))
+        self.sides = []  # the neighbour before a position in suffix order, and that after it
+        for at, other in ((first, np.append(-1, up)), (last, np.append(down, -1))):
+            by = np.argsort(at)
+            has = np.append(0, shared) if at is first else np.append(shared, 0)
+            self.sides.append((at[by], other[by], has[by]))
+
+    def neighbours(self, at: np.ndarray, side: int) -> tuple[np.ndarray, np.ndarray]:
+        """The neighbours of text positions in suffix order, and how many bytes they share."""
+        sampled, other, shared = self.sides[side]
+        k = np.searchsorted(sampled, at, "right") - 1
+        past = at - sampled[k]
+        return other[k] + past, shared[k] - past
+
+
+def earlier_matches(index: RunLengthIndex, stream: np.ndarray, k: int) -> np.ndarray:
+    """Which positions of the stream have a match of k bytes at an earlier position of the indexed fragments.
+
+    Positions with k bytes in common lie together in suffix order. Both neighbours of a position are asked for, then
+    theirs, until an earlier one is found or fewer than k bytes are shared. A position stops at the nearer of the two
+    sides, which takes some m log m steps for m equal ones in any order.
+    """
+    found, live = np.zeros(len(stream), bool), np.arange(len(stream))
+    at, open_ = [stream.copy(), stream.copy()], np.ones((2, len(stream)), bool)
+    while len(live):
+        for side in (0, 1):
+            mine = live[open_[side, live]]
+            other, shared = index.neighbours(at[side][mine], side)
+            near = shared >= k
+            open_[side, mine] = near
+            at[side][mine] = other
+            found[mine[near & (other < stream[mine])]] = True
+        live = live[~found[live] & open_[:, live].any(0)]
+    return found
+
+
+def marked(bucket: np.ndarray, raw: list[bytes], k: int) -> list[np.ndarray]:
+    """For each fragment the starts of the k-windows that an earlier fragment of its bucket has too.
+
+    The fragments of a bucket come together, first ones first. Only they can share windows, for the bucket's anchor is in
+    each; and a window occurs in a fragment once, for it has its anchor at one place. So the first of a bucket has none.
     """
-    by = np.lexsort((order, bucket))
-    sizes = np.fromiter((len(raw[i]) for i in by), np.int64, len(by))
+    n = len(raw)
+    sizes = np.fromiter(map(len, raw), np.int64, n)
     ends = np.cumsum(sizes + 1) - 1
-    symbols = np.empty(int(sizes.sum()) + len(by), np.int64)
+    symbols = np.empty(int(sizes.sum()) + n, np.int64)
     inside = np.ones(len(symbols), bool)
     inside[ends] = False
     flat = np.zeros(len(symbols), np.uint8)
-    flat[inside] = np.frombuffer(b"".join([raw[i] for i in by]), np.uint8)
-    symbols[inside] = flat[inside].astype(np.int64) + len(by)
-    symbols[ends] = np.arange(len(by))
-    earlier = matching(symbols, flat, ends, sizes, k) < np.arange(len(symbols))
-    out: list = [None] * len(by)
-    for i, end, size in zip(by.tolist(), ends.tolist(), sizes.tolist(), strict=True):
-        out[i] = np.flatnonzero(earlier[end - size : end - k + 1])
+    flat[inside] = np.frombuffer(b"".join(raw), np.uint8)
+    symbols[inside] = flat[inside].astype(np.int64) + n
+    symbols[ends] = np.arange(n)  # terminators: the smallest symbols, each of its own
+    index = RunLengthIndex(symbols, flat, ends)
+    out = []
+    streamed = np.append(False, bucket[1:] == bucket[:-1])
+    windows = np.where(streamed, np.maximum(sizes - k + 1, 0), 0)
+    found = earlier_matches(index, ragged(ends - sizes, windows), k)
+    stop = np.cumsum(windows)
+    for a, b in zip((stop - windows).tolist(), stop.tolist(), strict=True):
+        out.append(np.flatnonzero(found[a:b]))
     return out
 
 
@@ -163,7 +179,7 @@ def indexed_spans(fragments: DataFrame, k: int, parts: int, index_bytes: int = I
 
         def flush():
             out = [[], [], [], []]
-            got = marked(np.unique([h[0] for h in held], return_inverse=True)[1], np.arange(len(held)), [h[4] for h in held], k)
+            got = marked(np.array([h[0] for h in held]), [h[4] for h in held], k)
             for h, at in zip(held, got, strict=True):
                 if len(at):
                     head = np.flatnonzero(np.append(True, np.diff(at) > 1))
@@ -190,84 +206,98 @@ def indexed_spans(fragments: DataFrame, k: int, parts: int, index_bytes: int = I
 
 
 def fragments_of(found: DataFrame, firsts: DataFrame, k: int) -> DataFrame:
-    """a, _id, _row, start, raw: the bytes of the given first occurrences (a, _row, start, count), once a row of that text."""
-    lists = firsts.groupBy("_row").agg(F.collect_set(F.struct("a", "start", "count")).alias("_of"))
-    texts = found.where(F.size("paths") > 0).select("_id", "_row", "_text")
+    """a, _id, _row, start, raw: the bytes of the given first occurrences (a, _id, _row, start, count), once a row of that text."""
 
     def run(batches):
-        for part, data, off in text_blocks(batches, "_text"):
-            lists = part.column(part.schema.get_field_index("_of"))
-            flat = lists.flatten()
-            doc = np.repeat(np.arange(len(lists)), lists.value_lengths().to_numpy())
-            start, size = flat.field("start").to_numpy().astype(np.int64), flat.field("count").to_numpy().astype(np.int64) + k - 1
+        for part, data, off in text_blocks(batches, "_text", R.BLOCK):
+            flat = part.column(3).flatten()
+            doc, start, count = R._asked(part, "start", "count")
+            size = count + k - 1
             raw = data[ragged(off[doc] + start, size)]
             take = pa.array(doc)
             pieces = pa.BinaryArray.from_buffers(pa.binary(), len(doc), [None, pa.py_buffer(np.concatenate([[0], np.cumsum(size)]).astype(np.int32)), pa.py_buffer(raw)])
-            yield pa.RecordBatch.from_arrays([flat.field("a"), part.column(0).take(take), part.column(1).take(take), flat.field("start"), pieces], names=["a", "_id", "_row", "start", "raw"])
+            yield pa.RecordBatch.from_arrays([flat.field("a"), part.column(0).take(take), part.column(1).take(take), flat.field("start"), pieces], names=["a", *R.KEY, "start", "raw"])
 
-    rows = texts.join(lists, "_row").select("_id", "_row", "_text", "_of")
-    return rows.mapInArrow(run, "a long, _id long, _row long, start int, raw binary")
+    return R.texts_with(found, firsts, "a", "start", "count").mapInArrow(run, "a long, _id long, _row long, start int, raw binary")
 
 
-def repeated_spans(found: DataFrame, kind: R.Kind, name: str, cap: int = CAP) -> DataFrame:
-    """_row, _spans (start, count): runs of windows whose bytes also start earlier; stored."""
-    paths = R.variants(found, name)
-    at = F.struct("_id", "_row", "start")
-    whole = (
-        R.occurrences(found)
-        .join(paths.where("n > 1").select("a", "h1", "h2", F.col("first").alias("_first")), ["a", "h1", "h2"])
-        .where(at > F.col("_first"))
-        .select("_row", "start", "count")
-    )
-    whole = stored(whole, f"{name}-whole")
+def _settled(found: DataFrame, places: DataFrame, kind: R.Kind, name: str, cap: int) -> tuple[list[DataFrame], DataFrame, list[DataFrame]]:
+    """What is known of the paths at these places: tables of repeated runs of windows (_id, _row, start, count), the first
+    occurrences of paths (a, count, at, _id, _row, start) whose anchor has more than cap of them, and the stored tables."""
+    paths = R.variants(places, name)
+    source = paths.where("n > 1").select("a", "h1", "h2", F.col("first").alias("_first"))
+    whole = stored(places.join(source, ["a", "h1", "h2"]).where(F.struct(*R.KEY, "start") > F.col("_first")).select(*R.KEY, "start", "count"), f"{name}-whole")
     first = R.branching(paths, name)
     discard(paths)
     parts = max(int(found.sparkSession.conf.get("spark.sql.shuffle.partitions")), 1)
-    indexed = stored(indexed_spans(fragments_of(found, first.where(F.col("variants") <= cap), kind.k), kind.k, parts).drop("_id"), f"{name}-indexed")
-    opened = R.windows_of(found, first.where(F.col("variants") > cap), kind, name)
-    discard(first)
-    edges = stored(opened.groupBy("e1", "e2").agg(F.min(at).alias("_first"), F.count("*").alias("_n")).where("_n > 1").select("e1", "e2", "_first"), f"{name}-edges")
-    single = opened.join(edges, ["e1", "e2"]).where(at > F.col("_first")).select("_row", "start", F.lit(1).alias("count"))
-    out = stored(whole.unionByName(indexed).unionByName(single).groupBy("_row").agg(F.collect_set(F.struct("start", "count")).alias("_spans")), f"{name}-spans")
-    discard(whole, indexed, opened, edges)
+    indexed = stored(indexed_spans(fragments_of(found, first.where(F.col("variants") <= cap), kind.k), kind.k, parts), f"{name}-indexed")
+    return [whole, indexed], first.where(F.col("variants") > cap), [whole, indexed, first]
+
+
+def repeated_spans(found: DataFrame, kind: R.Kind, name: str, cap: int = CAP) -> DataFrame:
+    """_id, _row, _spans (start, count): runs of windows whose bytes also start earlier; stored."""
+    runs, many, tables = _settled(found, R.occurrences(found), kind, name, cap)
+    if many.limit(1).count():  # anchors with too many paths for one index
+        pieces = R.pieces_of(found, many, kind, PIECE, name)
+        more, many, also = _settled(found, pieces, kind, f"{name}-pieces", cap)
+        runs, tables = runs + more, [*tables, pieces, *also]
+        if many.limit(1).count():  # pieces that differ in too many ways: their windows, PIECE of each at most
+            opened = R.windows_of(found, many, kind, name)
+            place = F.struct(*R.KEY, "start")
+            edges = stored(opened.groupBy("e1", "e2").agg(F.min(place).alias("_first"), F.count("*").alias("_n")).where("_n > 1").select("e1", "e2", "_first"), f"{name}-edges")
+            runs.append(opened.join(edges, ["e1", "e2"]).where(place > F.col("_first")).select(*R.KEY, "start", F.lit(1).alias("count")))
+            tables += [opened, edges]
+    both = runs[0]
+    for x in runs[1:]:
+        both = both.unionByName(x)
+    out = stored(both.groupBy(*R.KEY).agg(F.collect_set(F.struct("start", "count")).alias("_spans")), f"{name}-spans")
+    discard(*tables)
     return out
 
 
+def _digests(data, off, *_) -> list[str]:
+    raw, at = data.tobytes(), off.tolist()
+    return [R.sha(raw[a:b]) for a, b in zip(at[:-1], at[1:], strict=True)]
+
+
 def suffix_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", kind: R.Kind = KIND, keep_bytes: bool = True, name: str = "suffix") -> DataFrame:
     """docs with its text as kept bytes (binary), and n_bytes, n_removed, n_spans (long), kept_sha256; one row out per row in.
 
     Removed is every byte in a window of k bytes that also starts earlier: in a row of smaller id, or before in the same
-    text. A null text is empty; a null id is the smallest. Equal rows of one id are one document and have equal results;
+    text. A null text is empty; a null id is the smallest; ids that are no whole numbers raise TypeError. Equal rows of one id are one document and have equal results;
     rows of one id with different texts are documents in the order of a hash. Texts shorter than a window lose nothing;
-    long ones are treated whole. What is kept may cut a character, so it is binary. With keep_bytes False it is left
+    long ones are treated whole. An empty table gives no rows. What is kept may cut a character, so it is binary. With keep_bytes False it is left
     out. Columns of the added names are replaced.
     """
     added = ["n_bytes", "n_removed", "n_spans", "kept_sha256"]
     docs, back = set_aside(docs, [id_col, text_col], added)
     names = [c for c in docs.columns if c != text_col]
-    found = R.candidates(R.prepared(docs, id_col, text_col).drop(text_col), kind, keep_bytes, name, lambda raw, *_: R.sha(raw))
+    found = R.candidates(R.prepared(docs, id_col, text_col).drop(text_col), kind, keep_bytes, name, _digests)
     spans = repeated_spans(found, kind, name)
-    some = found.where(F.size("paths") > 0).drop("paths", "kept_sha256").join(spans, "_row", "left")
+    rows = flagged(found.drop("paths"), spans, "_row", "_maybe")
+    some = rows.where("_maybe").join(spans, R.KEY, "left")
     schema = T.StructType([found.schema[c] for c in names] + [T.StructField("_kept", T.BinaryType()), *[T.StructField(c, T.LongType()) for c in added[:3]], T.StructField("kept_sha256", T.StringType())])
 
     def run(batches):
-        for part, data, off in text_blocks(batches, "_text"):
-            kept, removed, runs, shas = [], [], [], []
+        for part, data, off in text_blocks(batches, "_text", R.BLOCK):
             lists = part.column(part.schema.get_field_index("_spans"))
-            flat, lo = lists.flatten(), np.concatenate([[0], np.cumsum(lists.value_lengths().fill_null(0).to_numpy())]).astype(np.int64)
-            begin, count = flat.field("start").to_numpy().astype(np.int64), flat.field("count").to_numpy().astype(np.int64)
-            for i in range(len(off) - 1):
-                gone = R.covered_units(int(off[i + 1] - off[i]), begin[lo[i] : lo[i + 1]], count[lo[i] : lo[i + 1]], kind.k)
-                raw = data[off[i] : off[i + 1]][~gone].tobytes()
-                removed.append(int(gone.sum()))
-                runs.append(int(gone[:1].sum() + (gone[1:] & ~gone[:-1]).sum()))
-                shas.append(R.sha(raw))
-                kept.append(raw if keep_bytes else None)
-            yield pa.RecordBatch.from_arrays([part.column(part.schema.get_field_index(c)) for c in names] + [pa.array(kept, pa.binary()), part.column(part.schema.get_field_index("n_units")), pa.array(removed, pa.int64()), pa.array(runs, pa.int64()), pa.array(shas, pa.string())], names=schema.names)
+            flat, base = lists.flatten(), np.repeat(off[:-1], lists.value_lengths().fill_null(0).to_numpy())
+            begin, count = (flat.field(c).to_numpy().astype(np.int64) for c in ("start", "count"))
+            gone = R.covered(len(data), base + begin, count, kind.k)
+            head = gone.copy()
+            head[1:] &= ~gone[:-1]
+            edge = off[:-1][np.diff(off) > 0]
+            head[edge] = gone[edge]
+            removed, runs = (np.diff(np.concatenate([[0], np.cumsum(x)])[off]) for x in (gone, head))
+            stay, at = data[~gone].tobytes(), (off - np.concatenate([[0], np.cumsum(removed)])).tolist()
+            given = part.column(part.schema.get_field_index("kept_sha256")).to_pylist()
+            shas = [R.sha(stay[a:b]) if n else sha for a, b, n, sha in zip(at[:-1], at[1:], removed.tolist(), given, strict=True)]
+            kept = [stay[a:b] for a, b in zip(at[:-1], at[1:], strict=True)] if keep_bytes else [None] * len(shas)
+            yield pa.RecordBatch.from_arrays([part.column(part.schema.get_field_index(c)) for c in names] + [pa.array(kept, pa.binary()), part.column(part.schema.get_field_index("n_units")), pa.array(removed.astype(np.int64)), pa.array(runs.astype(np.int64)), pa.array(shas, pa.string())], names=schema.names)
 
     cut = some.mapInArrow(run, schema)
     none = F.lit(0).cast("long")
-    same = found.where(F.size("paths") == 0).select(*names, F.col("_text").cast("binary").alias("_kept"), F.col("n_units").alias("n_bytes"), none.alias("n_removed"), none.alias("n_spans"), "kept_sha256")
+    same = rows.where("NOT _maybe").select(*names, F.col("_text").cast("binary").alias("_kept"), F.col("n_units").alias("n_bytes"), none.alias("n_removed"), none.alias("n_spans"), "kept_sha256")
     return back(cut.unionByName(same).select(*[F.col("_kept").alias(c) if c == text_col else c for c in docs.columns if keep_bytes or c != text_col], *added))
 
 

@@ -270,7 +270,7 @@ def test_substring_dedup_within_a_document(spark):
 
 def _removed_bytes(rows, k=100):
     seen, out = {}, []
-    order = sorted({(-(2**63) if r[0] is None else r[0], (r[1] or "").encode()) for r in rows if r[0] != 65}, key=lambda x: x[0])
+    order = sorted({(-(2**63) if r[0] is None else r[0], (r[1] or "").encode()) for r in rows if r[0] != 65 or len(rows[0]) == 2}, key=lambda x: x[0])
     done = {}
     for i, b in order:
         edge = np.zeros(len(b) + 1, int)
@@ -282,7 +282,7 @@ def _removed_bytes(rows, k=100):
                 seen[b[j : j + k]] = 1
         done[i, b] = np.cumsum(edge[:-1]) > 0
     for i, t, *_ in rows:
-        if i != 65:
+        if i != 65 or len(rows[0]) == 2:
             b = (t or "").encode()
             g = done[-(2**63) if i is None else i, b]
             out.append((i, len(b), int(g.sum()), int(g[:1].sum() + (g[1:] & ~g[:-1]).sum()), _sha(bytes(x for x, y in zip(b, g, strict=True) if not y))))
@@ -298,20 +298,72 @@ def test_suffix_dedup(docs, rows, empty, monkeypatch):
     assert _by(suffix_dedup.suffix_dedup(some), "n_bytes", "n_removed", "n_spans", "kept_sha256") == want
 
 
+def _fragments(rnd, k):
+    """Buckets of strings that hold their bucket's anchor at one place each, as paths do."""
+    out = []
+    for bucket in range(rnd.randint(1, 4)):
+        anchor = f"<{bucket}>"
+        near = lambda n: "".join(rnd.choice("ab") for _ in range(n))
+        sides = [near(k) for _ in range(3)]
+        for _ in range(rnd.randint(1, 9)):
+            left, right = rnd.choice(sides)[rnd.randint(0, 3) + 3 :], rnd.choice(sides)[: k - 3 - rnd.randint(0, 3)]
+            out.append((bucket, (left + anchor + right).encode()))
+    return [b for b, _ in out], [x for _, x in out]
+
+
 def test_matching_statistics():
     rnd = random.Random(3)
-    for _ in range(100):
-        k = rnd.choice([2, 3, 5, 8])
-        raw = ["".join(rnd.choice("ab") for _ in range(rnd.randint(k, 25))).encode() for _ in range(rnd.randint(1, 8))]
+    for _ in range(150):
+        k = rnd.choice([8, 10, 13])
+        bucket, raw = _fragments(rnd, k)
         seen = set()
-        for text, got in zip(raw, suffix_dedup.marked(np.zeros(len(raw), int), np.arange(len(raw)), raw, k), strict=True):
-            want = []
-            for i in range(len(text) - k + 1):
-                want += [i] if text[i : i + k] in seen else []
-                seen.add(text[i : i + k])
+        for text, got in zip(raw, suffix_dedup.marked(np.array(bucket), raw, k), strict=True):
+            want = [i for i in range(len(text) - k + 1) if text[i : i + k] in seen]
+            seen |= {text[i : i + k] for i in range(len(text) - k + 1)}
             assert got.tolist() == want
 
 
+def test_run_length_index():
+    """Neighbours and what they share follow from the samples alone, of which repeated texts have few."""
+    raw = [b"the quick brown fox jumps over the lazy dog"] * 60 + [b"the quick brown cat jumps over the lazy dog"] * 3
+    text = b"".join(x + b"\0" for x in raw)
+    flat = np.frombuffer(text, np.uint8)
+    ends = np.flatnonzero(flat == 0)
+    symbols = flat.astype(np.int64) + len(raw)
+    symbols[ends] = np.arange(len(raw))
+    index = suffix_dedup.RunLengthIndex(symbols, flat, ends)
+    order = sorted(range(len(text)), key=lambda i: symbols[i:].tolist())
+    rest = [text[i : text.index(b"\0", i)] for i in range(len(text))]
+    agree = lambda a, b: next((n for n, (x, y) in enumerate(zip(rest[a], rest[b])) if x != y), min(len(rest[a]), len(rest[b])))
+    for side, pairs in ((0, list(zip(order[1:], order[:-1], strict=True))), (1, list(zip(order[:-1], order[1:], strict=True)))):
+        at, other = map(np.array, zip(*pairs, strict=True))
+        got, shared = index.neighbours(at, side)
+        assert got.tolist() == other.tolist() and shared.tolist() == [agree(a, b) for a, b in pairs]
+    held = [x for side in index.sides for x in side] + [index.symbol]
+    assert max(map(len, held)) == len(index.symbol) < len(text) / 10  # as many samples as runs, no order of all positions
+    assert {k for k, v in vars(index).items()} == {"symbol", "sides"}
+
+
+def test_many_paths_of_one_anchor(spark, monkeypatch):
+    """The edge of a passage that all texts have: rows stay in proportion, results are those of the index."""
+    rnd = random.Random(9)
+    line = lambda n: "".join(rnd.choice("abcdefgh ") for _ in range(n))
+    passage = line(260)
+    data = [(i, line(rnd.randint(90, 130)) + passage + line(rnd.randint(90, 130))) for i in range(120)]
+    df = spark.createDataFrame(data, "doc_id long, text string").repartition(4)
+    want = _removed_bytes(data)
+    made = []
+    keep = suffix_dedup.stored
+    monkeypatch.setattr(suffix_dedup.R, "stored", lambda d, name: made.append((name, keep(d, name))) or made[-1][1])
+    monkeypatch.setattr(suffix_dedup, "discard", lambda *_: None)
+    for cap in (2, 50, 20_000):
+        made.clear()
+        monkeypatch.setattr(suffix_dedup.repeated_spans, "__defaults__", (cap,))
+        assert _by(suffix_dedup.suffix_dedup(df), "n_bytes", "n_removed", "n_spans", "kept_sha256") == want
+        rows = {name: t.count() for name, t in made if name.endswith(("-pieces", "-windows"))}
+        assert bool(rows) == (cap < 120) and all(n <= 30 * len(data) for n in rows.values())
+
+
 def test_sharding(spark, docs, empty):
     for limit in (2000, 300, 1 << 30):
         got = sharding.shard(docs, limit=limit).collect()
