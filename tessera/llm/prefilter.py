@@ -1,18 +1,19 @@
-"""A map-side filter of fixed size before a join."""
+"""A map-side filter of bounded size before a join."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-#: Bits of the map: 256 rows of 4 KB are broadcast, whatever the tables' sizes.
-BITS = 1 << 23
+#: Bits of the map for each wanted key, and at most: 32 MB are broadcast then, whatever the tables' sizes.
+BITS, MOST = 16, 1 << 28
 
 
 def flagged(df: DataFrame, wanted: DataFrame, key: str, flag: str) -> DataFrame:
-    """df with a boolean: whether its key (a 64-bit hash) may be one of wanted's; false is certain. With far more keys
-    than BITS it is true for all, which costs time but no rows."""
-    slot = F.pmod(F.col(key), F.lit(BITS)) + 1
+    """df with a boolean: whether its key (a 64-bit hash) may be one of wanted's (stored, for it is read twice); false is
+    certain. With far more keys than bits it is true for all, which costs time but no rows."""
+    bits = min(MOST, 1 << max(15, (BITS * wanted.count()).bit_length()))
+    slot = F.pmod(F.col(key), F.lit(bits)) + 1
     maps = wanted.groupBy(F.bitmap_bucket_number(slot).alias("_bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(slot)).alias("_map"))
     at = F.bitmap_bit_position(slot)
     byte = F.conv(F.hex(F.substring("_map", (F.floor(at / 8) + 1).cast("int"), F.lit(1))), 16, 10).cast("int")

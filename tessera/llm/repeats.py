@@ -145,7 +145,7 @@ def candidates(docs: DataFrame, kind: Kind, keep_text: bool, name: str, digests)
     digests(data, off, starts, ends, bound) -> a hexadecimal digest of each text of a block.
     """
     again = stored(anchors(docs, kind).groupBy("a").agg(F.count("*").alias("n")).where("n > 1").select("a"), f"{name}-anchors")
-    hits = anchors(docs, kind).join(again, "a").groupBy(*KEY).agg(F.collect_set("a").alias("_hits"))
+    hits = maybe_in(anchors(docs, kind), again, "a").join(again, "a").groupBy(*KEY).agg(F.collect_set("a").alias("_hits"))
     joined = docs.join(hits, KEY, "left")
     names = [c for c in docs.columns if c != "_text"]
     schema = T.StructType([joined.schema[c] for c in names] + [T.StructField("_text", T.StringType()), T.StructField("n_units", T.LongType()), T.StructField("kept_sha256", T.StringType()), T.StructField("paths", T.ArrayType(PATH))])

@@ -22,7 +22,7 @@ from pyspark.sql import types as T
 
 from . import repeats as R
 from .columns import set_aside
-from .prefilter import flagged
+from .prefilter import flagged, maybe_in
 from .scratch import discard, stored
 from .textblock import ragged, text_blocks
 
@@ -93,7 +93,7 @@ def repeated_spans(found: DataFrame, kind: R.Kind, name: str, chunk: int = CHUNK
     opened = R.windows_of(found, first, kind, name)
     discard(first)
     edges = stored(opened.groupBy("e1", "e2").agg(F.min(F.struct(*R.KEY, "start")).alias("from"), F.max("_id").alias("_to")).where(F.col("from._id") < F.col("_to")).select("e1", "e2", "from"), f"{name}-edges")
-    single = opened.join(edges, ["e1", "e2"]).where(F.col("_id") > F.col("from._id")).select(*R.KEY, "start", F.lit(1).alias("count"), "from")
+    single = maybe_in(opened, edges, "e1").join(edges, ["e1", "e2"]).where(F.col("_id") > F.col("from._id")).select(*R.KEY, "start", F.lit(1).alias("count"), "from")
     runs = stored(glued(whole.unionByName(single)), f"{name}-runs")
     discard(again, opened, edges)
     n = F.col("count") + kind.k - 1  # words of a span

@@ -24,7 +24,7 @@ from pyspark.sql import types as T
 
 from . import repeats as R
 from .columns import set_aside
-from .prefilter import flagged
+from .prefilter import flagged, maybe_in
 from .scratch import discard, stored
 from .textblock import ragged, text_blocks
 
@@ -245,7 +245,7 @@ def repeated_spans(found: DataFrame, kind: R.Kind, name: str, cap: int = CAP) ->
             opened = R.windows_of(found, many, kind, name)
             place = F.struct(*R.KEY, "start")
             edges = stored(opened.groupBy("e1", "e2").agg(F.min(place).alias("_first"), F.count("*").alias("_n")).where("_n > 1").select("e1", "e2", "_first"), f"{name}-edges")
-            runs.append(opened.join(edges, ["e1", "e2"]).where(place > F.col("_first")).select(*R.KEY, "start", F.lit(1).alias("count")))
+            runs.append(maybe_in(opened, edges, "e1").join(edges, ["e1", "e2"]).where(place > F.col("_first")).select(*R.KEY, "start", F.lit(1).alias("count")))
             tables += [opened, edges]
     both = runs[0]
     for x in runs[1:]:
