@@ -2,9 +2,10 @@
 
 Documents are encoded, cut into pieces of at most CAPACITY tokens, and the pieces packed. A full piece is a sequence by
 itself. The others are dealt to shards of bounded size by a hash; on each shard some islands evolve packings: crossover
-injects whole well-filled bins of one parent into another, removes the duplicates, and best-fits the displaced pieces.
-Between two epochs each island gets the best packing of the next one. Badly filled bins of all shards are then packed
-once more together. A shard stops as soon as it needs no more bins than the sum of its lengths does.
+injects whole well-filled bins of one parent into another, removes the duplicates, and best-fits the displaced pieces:
+the longest opens a bin, and gets the displaced pieces that fit its room best. Between two epochs each island gets the
+best packing of the next one. Badly filled bins of all shards are then packed once more together. A shard stops as soon
+as it needs no more bins than the sum of its lengths does, for there are no better packings.
 """
 
 from __future__ import annotations
@@ -17,19 +18,22 @@ import numpy as np
 import pandas as pd
 import public_tokenizers
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .columns import set_aside
 from .pretokens import distinct, pretokens
 from .scratch import stored
 from .textblock import ragged, text_blocks
 
 CAPACITY, END = 1024, 2
 #: Pieces a shard gets on average, islands a shard, epochs, generations an epoch, packings an island.
-SHARD, ISLANDS, EPOCHS, GENERATIONS, POPULATION = 4096, 2, 2, 8, 4
+SHARD, ISLANDS, EPOCHS, GENERATIONS, POPULATION = 4096, 2, 2, 20, 4
 #: A bin is well filled, and injected whole, from this share of its capacity on.
-WELL = 0.985
+WELL = 0.99
+#: Crossover injects between these shares of a parent's well-filled bins.
+INJECTED = (0.02, 0.3)
 #: Pretokens kept by a worker; beyond it, it begins anew.
 KEPT = 600_000
 BLOCK = 4 << 20
@@ -98,9 +102,19 @@ def encoder(path: str) -> Encoder:
 
 
 def token_pieces(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text", capacity: int = CAPACITY, end: int = END, with_ids: bool = False) -> DataFrame:
-    """doc_id, piece, start, length, ids_crc32 (and ids): each document's ids and `end`, in pieces of `capacity` of which
-    only the first may be shorter. A null or empty text is the piece [end]; no document is left out, however long."""
-    fields = [docs.schema[id_col], T.StructField("piece", T.IntegerType()), *[T.StructField(c, T.LongType()) for c in ("start", "length", "ids_crc32")]]
+    """docs without the text, a row for each piece, with piece, start, length, ids_crc32 (and ids): each document's ids and
+    `end`, in pieces of `capacity` of which only the first may be shorter.
+
+    A null or empty text is the piece [end]; no document is left out, however long. Null ids, repeated ids and repeated
+    rows are documents like others. An empty table gives no rows. Columns of the added names are replaced; the id may not
+    have one of them.
+    """
+    added = ["piece", "start", "length", "ids_crc32"] + (["ids"] if with_ids else [])
+    if id_col in added:
+        raise ValueError(f"the id's column can't be called {id_col}")
+    docs, back = set_aside(docs, [id_col, text_col], added)
+    names = [c for c in docs.columns if c != text_col]
+    fields = [*[docs.schema[c] for c in names], T.StructField("piece", T.IntegerType()), *[T.StructField(c, T.LongType()) for c in ("start", "length", "ids_crc32")]]
     fields += [T.StructField("ids", T.ArrayType(T.IntegerType()))] if with_ids else []
 
     def run(batches):
@@ -120,73 +134,119 @@ def token_pieces(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: s
             length = np.where(piece == 0, short[doc], capacity)
             raw, lo = ids.tobytes(), bound[doc] + start
             crc = np.fromiter((zlib.crc32(raw[4 * a : 4 * b]) for a, b in zip(lo.tolist(), (lo + length).tolist(), strict=True)), np.int64, len(lo))
-            out = [part.column(part.schema.get_field_index(id_col)).take(pa.array(doc)), pa.array(piece.astype(np.int32)), pa.array(start), pa.array(length), pa.array(crc)]
+            take = pa.array(doc)
+            out = [*[part.column(part.schema.get_field_index(c)).take(take) for c in names], pa.array(piece.astype(np.int32)), pa.array(start), pa.array(length), pa.array(crc)]
             if with_ids:
                 out.append(pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(length)]).astype(np.int32)), pa.array(ids.astype(np.int32))))
             yield pa.RecordBatch.from_arrays(out, names=[f.name for f in fields])
 
-    return docs.select(id_col, text_col).mapInArrow(run, T.StructType(fields))
+    return back(docs.mapInArrow(run, T.StructType(fields)))
 
 
 class _Bins:
-    """Bins found by the room that they have left."""
+    """Bins of items, and the room left in each."""
 
     def __init__(self, capacity: int):
-        self.capacity, self.open, self.mask, self.bins, self.room = capacity, [[] for _ in range(capacity + 1)], 0, [], []
-
-    def put(self, item: int, length: int) -> None:
-        """Into the bin where it leaves the least room; into a new one if it fits in none."""
-        fits = self.mask >> length
-        if fits:
-            room = length + (fits & -fits).bit_length() - 1
-            at = self.open[room].pop()
-            if not self.open[room]:
-                self.mask &= ~(1 << room)
-            self.bins[at].append(item)
-        else:
-            room, at = self.capacity, len(self.bins)
-            self.bins.append([item])
-            self.room.append(0)
-        self._leave(at, room - length)
+        self.capacity, self.bins, self.room = capacity, [], []
 
     def add(self, items: list[int], room: int) -> None:
-        self.bins.append(list(items))
-        self.room.append(0)
-        self._leave(len(self.bins) - 1, room)
-
-    def _leave(self, at: int, room: int) -> None:
-        self.room[at] = room
-        self.open[room].append(at)
-        self.mask |= 1 << room
+        self.bins.append(items)
+        self.room.append(room)
 
 
 def best_fit(lengths: list[int], order, capacity: int) -> _Bins:
-    out = _Bins(capacity)
+    """Each item into the bin where it leaves the least room; into a new one if it fits in none."""
+    out, open_, mask = _Bins(capacity), [[] for _ in range(capacity + 1)], 0
     for i in order:
-        out.put(i, lengths[i])
+        fits = mask >> lengths[i]
+        if fits:
+            room = lengths[i] + (fits & -fits).bit_length() - 1
+            at = open_[room].pop()
+            if not open_[room]:
+                mask &= ~(1 << room)
+            out.bins[at].append(i)
+        else:
+            room, at = capacity, len(out.bins)
+            out.add([i], 0)
+        out.room[at] = left = room - lengths[i]
+        open_[left].append(at)
+        mask |= 1 << left
     return out
 
 
+class Displaced:
+    """Displaced items by length; a bit of `mask` for each length that there is."""
+
+    def __init__(self, capacity: int):
+        self.of, self.mask = [[] for _ in range(capacity + 1)], 0
+
+    def add(self, item: int, length: int) -> None:
+        self.of[length].append(item)
+        self.mask |= 1 << length
+
+    def take(self, length: int) -> int:
+        item = self.of[length].pop()
+        if not self.of[length]:
+            self.mask &= ~(1 << length)
+        return item
+
+    def fitting(self, room: int) -> list[int]:
+        """Lengths that fill the room best: one that is just it, or two, or else the best sum of any, longer ones first."""
+        if self.mask >> room & 1:
+            return [room]
+        small = self.mask & ((1 << room) - 1)
+        half = (room + 1) // 2
+        long = small >> half << half
+        while long:
+            a = long.bit_length() - 1
+            long ^= 1 << a
+            if small >> (room - a) & 1 and (2 * a != room or len(self.of[a]) > 1):
+                return [a, room - a]
+        lengths: list[int] = []
+        while small:
+            a = (small & -small).bit_length() - 1
+            small &= small - 1
+            lengths += [a] * min(len(self.of[a]), room // a)
+        sums, within = [1], (2 << room) - 1  # bit s of sums[k]: the first k lengths can make s
+        for a in lengths:
+            sums.append((sums[-1] | sums[-1] << a) & within)
+        left, out = sums[-1].bit_length() - 1, []
+        for k in range(len(lengths) - 1, -1, -1):
+            if left >= lengths[k] and sums[k] >> (left - lengths[k]) & 1:
+                out.append(lengths[k])
+                left -= lengths[k]
+        return out
+
+
 def fitness(p: _Bins) -> float:
-    """Mean squared fill; higher is better, fewer bins first."""
-    return sum((p.capacity - r) ** 2 for r in p.room) / len(p.bins) / p.capacity**2 - len(p.bins)
+    """Fewer bins first; of as many, those with room in fewer bins (mean squared room)."""
+    return sum(r * r for r in p.room) / len(p.bins) / p.capacity**2 - len(p.bins)
 
 
 def crossover(a: _Bins, b: _Bins, lengths: list[int], rng: np.random.Generator) -> _Bins:
-    """b's bins, with some well-filled bins of a injected whole; what they displace is best-fitted, longest first."""
-    good = [i for i, r in enumerate(a.room) if r <= (1 - WELL) * a.capacity]
-    chosen = [i for i, keep in zip(good, rng.random(len(good)) < rng.uniform(0.3, 0.9), strict=True) if keep]
-    inside = {x for i in chosen for x in a.bins[i]}
-    out, loose = _Bins(a.capacity), []
+    """b's well-filled bins, with some of a's injected whole; the pieces that these displace, and those of b's other bins,
+    are best-fitted."""
+    most = (1 - WELL) * a.capacity
+    good = [i for i, r in enumerate(a.room) if r <= most]
+    chosen = rng.choice(len(good), max(1, int(len(good) * rng.uniform(*INJECTED))), replace=False).tolist() if good else []
+    out, loose, inside = _Bins(a.capacity), Displaced(a.capacity), set()
     for i in chosen:
-        out.add(a.bins[i], a.room[i])
+        out.add(a.bins[good[i]], a.room[good[i]])
+        inside.update(a.bins[good[i]])
     for items, room in zip(b.bins, b.room, strict=True):
-        if inside.isdisjoint(items) and room <= (1 - WELL) * b.capacity:
+        if room <= most and inside.isdisjoint(items):
             out.add(items, room)
         else:
-            loose += [x for x in items if x not in inside]
-    for x in sorted(loose, key=lambda x: -lengths[x]):
-        out.put(x, lengths[x])
+            for x in items:
+                if x not in inside:
+                    loose.add(x, lengths[x])
+    while loose.mask:
+        length = loose.mask.bit_length() - 1
+        items, room = [loose.take(length)], out.capacity - length
+        for more in loose.fitting(room) if room and loose.mask else []:
+            items.append(loose.take(more))
+            room -= more
+        out.add(items, room)
     return out
 
 
@@ -210,18 +270,20 @@ def evolve(lengths: list[int], seeds: list[list[int]], seed: int, capacity: int
     if len(best.bins) <= least:
         return best
     while len(pool) < population:
-        noise = rng.normal(0, 40, n)
+        noise = rng.normal(0, capacity / 25, n)
         pool.append(best_fit(lengths, sorted(range(n), key=lambda i: -lengths[i] + noise[i]), capacity))
+    fit = [fitness(p) for p in pool]
     for _ in range(generations):
         one, two = rng.choice(len(pool), 2, replace=False)
+        if fit[one] > fit[two] and rng.random() < 0.7:  # mostly the better parent gives the greater part
+            one, two = two, one
         child = crossover(pool[one], pool[two], lengths, rng)
-        worst = min(range(len(pool)), key=lambda i: fitness(pool[i]))
-        if fitness(child) > fitness(pool[worst]):
-            pool[worst] = child
-        best = max(pool, key=fitness)
-        if len(best.bins) <= least:
+        worst = min(range(len(pool)), key=fit.__getitem__)
+        if fitness(child) > fit[worst]:
+            pool[worst], fit[worst] = child, fitness(child)
+        if len(child.bins) <= least:
             break
-    return best
+    return pool[max(range(len(pool)), key=fit.__getitem__)]
 
 
 def _epoch(rows: DataFrame, capacity: int, epoch: int) -> DataFrame:
@@ -264,9 +326,10 @@ def pack_round(items: DataFrame, shards: int, capacity: int, name: str) -> DataF
 def pack(pieces: DataFrame, capacity: int = CAPACITY, shard_items: int = SHARD) -> DataFrame:
     """pieces (with length, 1 to capacity) and sequence_id, offset (long). Rows in = rows out; equal rows are packed apart.
 
-    Columns of the added names, and uid, are replaced. An empty table gives no rows.
+    Pieces of equal length are alike. Columns of the added names are replaced. An empty table gives no rows.
     """
-    names = [c for c in pieces.columns if c not in ("uid", "sequence_id", "offset")]
+    pieces, back = set_aside(pieces, ["length"], ["sequence_id", "offset"])
+    names = pieces.columns
     held = stored(pieces.select(*names).withColumn("uid", F.monotonically_increasing_id()), "pieces")
     small = held.where(F.col("length") < capacity).select("uid", F.col("length").cast("int").alias("length"))
     first = stored(pack_round(small, max(1, -(-small.count() // shard_items)), capacity, "first"), "packed")
@@ -277,14 +340,15 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY, shard_items: int = SHARD)
     second = pack_round(again, max(1, -(-n // shard_items)), capacity, "second").select("uid", "length", F.col("shard"), F.col("bin"), F.lit(1).alias("_round"))
     kept = first.join(poor, ["shard", "bin"], "left_anti").select("uid", "length", "shard", "bin", F.lit(0).alias("_round"))
     # three kinds of sequence numbers: first round, second round, full pieces
-    placed = kept.unionByName(second).groupBy("_round", "shard", "bin").agg(F.sort_array(F.collect_list(F.struct("uid", "length"))).alias("_i"))
-    placed = placed.select(((F.col("shard") * (1 << 20) + F.col("bin")) * 4 + F.col("_round")).alias("sequence_id"), F.posexplode("_i").alias("_k", "_x"), "_i")
-    placed = placed.select("sequence_id", F.col("_x.uid").alias("uid"), F.aggregate(F.slice("_i", F.lit(1), F.col("_k")), F.lit(0).cast("long"), lambda s, x: s + x["length"]).alias("offset"))
-    return held.join(placed, "uid", "left").select(
+    before = Window.partitionBy("_round", "shard", "bin").orderBy("uid").rowsBetween(Window.unboundedPreceding, -1)  # a bin has `capacity` rows at most
+    placed = kept.unionByName(second).withColumn("offset", F.coalesce(F.sum("length").over(before), F.lit(0).cast("long")))
+    placed = placed.select(((F.col("shard") * (1 << 20) + F.col("bin")) * 4 + F.col("_round")).alias("sequence_id"), "uid", "offset")
+    out = held.join(placed, "uid", "left").select(
         *names,
         F.coalesce(F.col("sequence_id"), F.col("uid") * 4 + 2).alias("sequence_id"),
         F.coalesce(F.col("offset"), F.lit(0).cast("long")).alias("offset"),
     )
+    return back(out)
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -138,13 +138,59 @@ def test_packing(docs, rows, empty):
         assert at <= 1024
     assert len(seqs) <= -(-sum(r.length for r in got) // 1024) + 1
     assert packing.pack(packing.token_pieces(empty, path)).count() == 0
+    first = packing.pack(packing.token_pieces(docs, path, with_ids=True)).where("doc_id = 3").first()
+    assert {c: first[c] for c in ("_id", "_text", "_row", "n", "a", "uid", "start", "ids")} == {"_id": 1, "_text": "x", "_row": "y", "n": "z", "a": "a", "uid": "u", "start": 0, "ids": [2]}
+    with pytest.raises(ValueError):
+        packing.token_pieces(docs.withColumnRenamed("doc_id", "piece"), path, "piece")
 
 
-def test_evolution_beats_best_fit():
-    lengths = [6, 5, 5, 4, 4, 3, 3, 2, 8, 2, 7, 3] * 9
-    got = packing.evolve(lengths, [], 1, capacity=10, generations=60, population=6)
-    assert sorted(x for b in got.bins for x in b) == list(range(len(lengths))) and all(sum(lengths[i] for i in b) <= 10 for b in got.bins)
-    assert len(got.bins) <= len(packing.best_fit(lengths, range(len(lengths)), 10).bins)
+def _triplets(n, seed):
+    """Lengths that fill n bins of 1024 in threes, and no bin in twos."""
+    rnd, out = random.Random(seed), []
+    while len(out) < 3 * n:
+        a, b = rnd.randint(260, 500), rnd.randint(260, 500)
+        out += [a, b, 1024 - a - b] if 256 < 1024 - a - b < 512 else []
+    rnd.shuffle(out)
+    return out
+
+
+def _falling(lengths):
+    return packing.best_fit(lengths, sorted(range(len(lengths)), key=lambda i: -lengths[i]), 1024)
+
+
+def test_evolution_beats_best_fit_decreasing():
+    for n in (20, 40, 80):
+        lengths = _triplets(n, n)
+        got = packing.evolve(lengths, [], 1)
+        assert sorted(x for b in got.bins for x in b) == list(range(len(lengths))) and all(sum(lengths[i] for i in b) == 1024 - r for b, r in zip(got.bins, got.room, strict=True))
+        assert n <= len(got.bins) < len(_falling(lengths).bins)
+
+
+def test_evolution_is_crossover(monkeypatch):
+    lengths = _triplets(60, 7)
+    monkeypatch.setattr(packing, "crossover", lambda a, b, lengths, rng: b)
+    assert len(packing.evolve(lengths, [], 1).bins) >= len(_falling(lengths).bins) - 1
+    monkeypatch.undo()
+    assert len(packing.evolve(lengths, [], 1).bins) < len(_falling(lengths).bins) - 3
+
+
+def test_crossover_injects_whole_bins():
+    rnd = np.random.default_rng(2)
+    lengths = rnd.integers(1, 700, 300).tolist()
+    a, b = _falling(lengths), packing.best_fit(lengths, range(300), 1024)
+    got = packing.crossover(a, b, lengths, rnd)
+    assert sorted(x for i in got.bins for x in i) == list(range(300)) and all(0 <= r == 1024 - sum(lengths[x] for x in i) for i, r in zip(got.bins, got.room, strict=True))
+    assert {frozenset(i) for i in a.bins} & {frozenset(i) for i in got.bins}
+
+
+def test_distinct_spans():
+    from tessera.llm.pretokens import distinct
+
+    rnd = random.Random(1)
+    parts = [bytes(rnd.choice(b"ab\0") for _ in range(rnd.choice([1, 2, 7, 8, 9, 15, 16, 17, 30]))) for _ in range(3000)] * 2
+    stop = np.cumsum(list(map(len, parts)))
+    rep, which = distinct(np.frombuffer(b"".join(parts), np.uint8), stop - list(map(len, parts)), stop)
+    assert [parts[i] for i in rep[which]] == parts and len(rep) == len(set(parts))
 
 
 def test_toxicity(spark, empty):
