@@ -2,9 +2,11 @@
 
 Rows are documents, columns n-grams (word shingles). Equal rows are one class. Two rows that link share a bound number
 of columns, which follows from their sizes, among the first columns of each in any common order; so rows whose first
-columns are no other row's are left out, and the rest are clustered by what they share there. Each cluster is cut into
-tiles of two blocks of rows; a tile's overlap counts are accumulated over blocks of columns, and pairs that can no
-longer reach the overlap that their sizes ask for are discarded. A tile returns a spanning forest of its links only.
+columns are no other row's are left out, and the rest are clustered by what they share there. Some rows of each cluster,
+its pivots, are multiplied with all others first: rows that link with the first pivot, or with one that links with such
+a row, are joined by that, and need no product among themselves. What is left is cut into tiles of two blocks of rows,
+one of them of rows that aren't joined; a tile's overlap counts are accumulated over blocks of columns, and pairs that
+can no longer reach the overlap that their sizes ask for are discarded. A tile returns a spanning forest of its links.
 """
 
 from __future__ import annotations
@@ -18,7 +20,7 @@ from pyspark.sql import functions as F
 from .columns import set_aside
 from .components import components
 from .prefilter import maybe_in
-from .repeats import NO_ID, prepared
+from .repeats import KEY, NO_ID, prepared
 from .scratch import discard, stored
 from .textblock import LOWER, hash_spans, mix, ragged, text_blocks, windows, words
 
@@ -27,8 +29,8 @@ SHINGLE, PERCENT = 4, 85
 LATE, LATE_ROWS = 100_000, 8
 #: Rows that meet in more shared columns than this are clustered without counting pairs.
 LIGHT = 32
-#: Rows in a block: at least, at most; columns in a block of the product.
-BLOCK, BLOCK_MOST, COLUMNS = 1024, 4096, 2048
+#: Pivots of a cluster; rows and cells of a block of a tile at most; columns in a block of the product.
+PIVOTS, BLOCK, CELLS, COLUMNS = 2, 2048, 1 << 20, 2048
 
 
 def need(n: np.ndarray, percent: int = PERCENT) -> np.ndarray:
@@ -65,7 +67,7 @@ def block_shingles(data: np.ndarray, off: np.ndarray, width: int = SHINGLE) -> t
 
 
 def _sets(docs: DataFrame, width: int) -> DataFrame:
-    """_row, n, s1, s2: size and two digests of each document's set."""
+    """_id, _row, n, s1, s2: size and two digests of each document's set."""
 
     def run(batches):
         for part, data, off in text_blocks(batches, "_text"):
@@ -77,7 +79,7 @@ def _sets(docs: DataFrame, width: int) -> DataFrame:
 
 
 def _first_columns(docs: DataFrame, width: int, percent: int) -> DataFrame:
-    """_row, n, c: the first columns of each document in the order of their hashes."""
+    """_id, _row, n, c: the first columns of each document in the order of their hashes."""
 
     def run(batches):
         for part, data, off in text_blocks(batches, "_text"):
@@ -86,9 +88,9 @@ def _first_columns(docs: DataFrame, width: int, percent: int) -> DataFrame:
             take = np.minimum(n, n - need(n, percent) + extra(n))
             at = ragged(bound[:-1], take)
             doc = pa.array(np.repeat(np.arange(len(n)), take))
-            yield pa.RecordBatch.from_arrays([part.column(0).take(doc), pa.array(np.repeat(n, take).astype(np.int32)), pa.array(key[at].view(np.int64))], names=["_row", "n", "c"])
+            yield pa.RecordBatch.from_arrays([part.column(0).take(doc), part.column(1).take(doc), pa.array(np.repeat(n, take).astype(np.int32)), pa.array(key[at].view(np.int64))], names=[*KEY, "n", "c"])
 
-    return docs.select("_row", "_text").mapInArrow(run, "_row long, n int, c long")
+    return docs.select(*KEY, "_text").mapInArrow(run, "_id long, _row long, n int, c long")
 
 
 def _class_sets(docs: DataFrame, width: int) -> DataFrame:
@@ -178,7 +180,7 @@ def forest(link: np.ndarray, left: np.ndarray, right: np.ndarray) -> list[tuple[
 
 
 def _tile(pdf: pd.DataFrame, percent: int) -> pd.DataFrame:
-    one, two = pdf[pdf.block == pdf.ti], pdf[pdf.block == pdf.tj]
+    one, two = pdf[pdf.part == pdf.ti], pdf[pdf.part == pdf.tj]
     edges = forest(overlaps([*one.cells], [*two.cells], percent), one.cid.to_numpy(), two.cid.to_numpy()) if len(one) and len(two) else []
     return pd.DataFrame(edges, columns=["u", "v"], dtype="int64")
 
@@ -196,50 +198,85 @@ def class_links(sets: DataFrame, late: DataFrame, percent: int, name: str) -> Da
     heavy = shared.where((F.col("rows") > LIGHT) & (F.col("cid") != F.col("head"))).select(F.col("cid").alias("u"), F.col("head").alias("v"))
     near = components(pairs.unionByName(heavy), f"{name}-clusters")
     discard(shared)
-    members = stored(near.select(F.col("node").alias("cid"), F.col("root").alias("cluster")).unionByName(near.select(F.col("root").alias("cid"), F.col("root").alias("cluster")).distinct()), f"{name}-members")
-    blocks = stored(members.groupBy("cluster").agg(F.count("*").alias("m")).select("cluster", F.ceil(F.col("m") / F.greatest(F.lit(BLOCK), F.least(F.lit(BLOCK_MOST), F.col("m") / 16))).cast("int").alias("blocks")), f"{name}-blocks")
-    dealt = members.join(blocks, "cluster").withColumn("block", F.pmod(F.xxhash64("cid"), F.col("blocks")).cast("int"))
-    dealt = dealt.select("cid", "cluster", "block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("_o")).select("cid", "cluster", "block", F.least("block", "_o").alias("ti"), F.greatest("block", "_o").alias("tj"))
-    tiles = stored(dealt, f"{name}-tiles").join(sets.select("cid", "cells"), "cid")
-    return tiles.groupBy("cluster", "ti", "tj").applyInPandas(lambda pdf: _tile(pdf, percent), "u long, v long")
+    members = near.select(F.col("node").alias("cid"), F.col("root").alias("cluster")).unionByName(near.select(F.col("root").alias("cid"), F.col("root").alias("cluster")).distinct())
+    held = stored(members.join(sets, "cid"), f"{name}-members")
+    links, state = pivot_links(held, percent, name)
+    tiles = stored(held.join(dealt(state, name), ["cluster", "cid"]).select("cluster", "ti", "tj", "part", "cid", "cells"), f"{name}-tiles")
+    return tiles.groupBy("cluster", "ti", "tj").applyInPandas(lambda pdf: _tile(pdf, percent), "u long, v long").unionByName(links)
+
+
+def pivot_links(held: DataFrame, percent: int, name: str) -> tuple[DataFrame, DataFrame]:
+    """Of clusters' rows (cid, cluster, n, cells): their links with pivots (u, v), and the rows but the pivots, which have
+    been compared with all (cid, cluster, n, joined). Joined rows are of one component, those of the first pivot."""
+    links, state = None, None
+    for _ in range(PIVOTS):
+        pivot = (held if state is None else state.where("NOT joined")).groupBy("cluster").agg(F.min("cid").alias("pivot"))
+        cells = stored(held.join(pivot, "cluster").where("cid = pivot").select("cluster", "pivot", F.col("n").alias("_n"), F.col("cells").alias("_cells")), f"{name}-pivot")
+        both = F.size(F.array_intersect("cells", "_cells"))
+        fits = (100 * F.least("n", "_n") >= percent * F.greatest("n", "_n")) & (100 * both >= percent * (F.col("n") + F.col("_n") - both))
+        tested = stored(held.join(cells, "cluster").where("cid <> pivot").select("cid", "cluster", "n", "pivot", fits.alias("fits")), f"{name}-tested")
+        found = tested.where("fits").select(F.col("cid").alias("u"), F.col("pivot").alias("v"))
+        if state is None:
+            links, state = found, tested.select("cid", "cluster", "n", F.col("fits").alias("joined"))
+            continue
+        links = links.unionByName(found)
+        left = state.join(cells.select("cluster", F.col("pivot").alias("cid")), ["cluster", "cid"], "left_anti")
+        both = left.join(tested.select("cluster", "cid", "fits"), ["cluster", "cid"], "left")
+        meets = both.where("joined AND fits").select("cluster", F.lit(True).alias("_meets")).distinct()
+        state = stored(both.join(meets, "cluster", "left").select("cid", "cluster", "n", F.expr("joined OR (coalesce(fits, false) AND coalesce(_meets, false))").alias("joined")), f"{name}-state")
+    return links, state
+
+
+def dealt(state: DataFrame, name: str) -> DataFrame:
+    """cluster, cid, part, ti, tj: the tiles of each row. Blocks of rows that aren't joined are numbered from 0 in a
+    cluster, and meet each other and the blocks of joined rows, which are numbered from -1 downwards."""
+    size = lambda some: F.ceil(F.greatest(F.count(F.when(some, 1)) / BLOCK, F.sum(F.when(some, F.col("n")).otherwise(0)) / CELLS)).cast("int")
+    joined = F.col("joined")
+    blocks = stored(state.groupBy("cluster").agg(size(~joined).alias("a"), size(joined).alias("b")).where("a > 0"), f"{name}-blocks")
+    number = F.when(joined, -1 - F.pmod(F.xxhash64("cid"), F.greatest("b", F.lit(1)))).otherwise(F.pmod(F.xxhash64("cid"), F.col("a")))
+    own = F.sequence(F.lit(0), F.col("a") - 1)
+    others = F.when(~joined & (F.col("b") > 0), F.concat(own, F.sequence(F.lit(-1), -F.col("b"), F.lit(-1)))).otherwise(own)
+    placed = state.join(blocks, "cluster").select("cluster", "cid", number.cast("int").alias("part"), F.explode(others).alias("_o"))
+    return placed.select("cluster", "cid", "part", F.least("part", "_o").alias("ti"), F.greatest("part", "_o").alias("tj"))
 
 
 def ngram_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = SHINGLE, percent: int = PERCENT, name: str = "ngrams") -> DataFrame:
-    """docs, without the text, with n_shingles and component_id added, and _row; one row out per row in.
+    """docs, without the text, with n_shingles and component_id added; one row out per row in.
 
     Two documents link when 100 * intersection >= percent * union of their sets of lower-cased word shingles; a document
     of fewer words has their whole sequence as its one shingle, one without words (or a null text) no links. The
-    component is named by its smallest id. A null id is the smallest; its component is null. Repeated rows are in one
-    component. Ties and sizes need no care: links are counted exactly.
+    component is named by its smallest id. A null id is the smallest; its component is null; ids that are no whole numbers
+    raise TypeError. Rows of one id are one document, in one component. Ties, long texts and sizes need no care: links are
+    counted exactly over whole texts. An empty table gives no rows. Columns of the added names are replaced.
     """
-    docs, back = set_aside(docs, [id_col, text_col], ["_row", "n_shingles", "component_id"])
+    docs, back = set_aside(docs, [id_col, text_col], ["n_shingles", "component_id"])
     base = prepared(docs, id_col, text_col)
     each = stored(_sets(base, width), f"{name}-rows")
-    rows = each.dropDuplicates(["_row"])
-    classes = stored(rows.where("n > 0").groupBy("n", "s1", "s2").agg(F.min("_id").alias("cid"), F.min("_row").alias("_row")), f"{name}-classes")
+    rows = each.dropDuplicates(KEY)
+    classes = stored(rows.where("n > 0").groupBy("n", "s1", "s2").agg(F.min(F.struct(*KEY)).alias("_r")).select("n", "s1", "s2", F.col("_r._id").alias("cid"), "_r.*"), f"{name}-classes")
     first = _first_columns(base, width, percent)
     again = stored(first.groupBy("c").agg(F.count("*").alias("rows")).where("rows > 1"), f"{name}-again")
     late = again.where(F.col("rows") >= LATE_ROWS).orderBy(F.desc("rows"), "c").limit(LATE).select("c")
     enough = 1 + F.floor(F.ceil(F.col("n") * percent / 100) / 20)
-    alive = first.join(again.select("c"), "c").groupBy("_row", "n").agg(F.count("*").alias("hits")).where(F.col("hits") >= enough).select("_row")
-    wanted = stored(classes.select("_row", "cid").join(alive.distinct(), "_row", "left_semi"), f"{name}-alive")
+    alive = maybe_in(first, again, "c").join(again.select("c"), "c").groupBy(*KEY, "n").agg(F.count("*").alias("hits")).where(F.col("hits") >= enough).select(*KEY)
+    wanted = stored(classes.select(*KEY, "cid").join(alive.distinct(), KEY, "left_semi"), f"{name}-alive")
     late = stored(late, f"{name}-late")
     discard(again)
-    texts = maybe_in(base.select("_row", "_text"), wanted, "_row").join(wanted, "_row").dropDuplicates(["_row"])
+    texts = maybe_in(base.select(*KEY, "_text"), wanted, "_row").join(wanted, KEY).dropDuplicates(KEY)
     sets = stored(_class_sets(texts, width), f"{name}-sets")
     roots = stored(components(class_links(sets, late, percent, name), name), f"{name}-roots")
     discard(sets, wanted, late)
-    named = stored(classes.join(roots, classes.cid == roots.node, "left").select("n", "s1", "s2", F.coalesce("root", "cid").alias("component")), f"{name}-named")
-    found = rows.join(named, ["n", "s1", "s2"], "left").select("_row", F.col("n").alias("n_shingles"), F.coalesce("component", "_id").alias("_component"))
+    named = stored(classes.drop(*KEY).join(roots, F.col("cid") == F.col("node"), "left").select("n", "s1", "s2", F.coalesce("root", "cid").alias("component")), f"{name}-named")
+    found = rows.join(named, ["n", "s1", "s2"], "left").select(*KEY, F.col("n").alias("n_shingles"), F.coalesce("component", "_id").alias("_component"))
     found = stored(found, f"{name}-found")
     discard(each, classes, roots, named)
-    out = base.drop("_text", text_col).join(found, "_row")
-    return back(out.withColumn("component_id", F.when(F.col("_component") != NO_ID, F.col("_component"))).select(*[c for c in docs.columns if c != text_col], "_row", "n_shingles", "component_id"))
+    out = base.drop("_text", text_col).join(found, KEY)
+    return back(out.withColumn("component_id", F.when(F.col("_component") != NO_ID, F.col("_component"))).select(*[c for c in docs.columns if c != text_col], "n_shingles", "component_id"))
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
-    return ngram_components(docs).drop("_row")
+    return ngram_components(docs)
 
 
 #: The same rows in DuckDB SQL; needs unique ids.

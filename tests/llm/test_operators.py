@@ -63,7 +63,7 @@ def _sha(raw):
 def test_columns_of_any_name_are_kept(docs, empty):
     kept = {"_id": 1, "_text": "x", "_row": "y", "n": "z", "start": 3, "a": "a", "uid": "u"}
     path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
-    for run in (line_dedup.line_dedup, sharding.shard, quality_rules.quality_rules, substring_dedup.substring_dedup, suffix_dedup.suffix_dedup, lambda d: bpe.bpe_round_trip(d, path), media.to_media):
+    for run in (line_dedup.line_dedup, sharding.shard, quality_rules.quality_rules, substring_dedup.substring_dedup, suffix_dedup.suffix_dedup, ngram_join.ngram_components, lambda d: bpe.bpe_round_trip(d, path), media.to_media):
         out = run(docs)
         assert out.count() == docs.count()
         first = out.first()
@@ -254,9 +254,12 @@ def test_ngram_components(docs, rows, empty):
     assert ngram_join.ngram_components(empty).count() == 0
 
 
-def test_large_clusters_are_tiled(spark, monkeypatch):
+@pytest.mark.parametrize(("pivots", "cells"), [(1, 10**6), (3, 600)])
+def test_large_clusters_are_tiled(spark, monkeypatch, pivots, cells):
     monkeypatch.setattr(ngram_join, "LIGHT", 4)
     monkeypatch.setattr(ngram_join, "BLOCK", 4)
+    monkeypatch.setattr(ngram_join, "CELLS", cells)
+    monkeypatch.setattr(ngram_join, "PIVOTS", pivots)
     monkeypatch.setattr(ngram_join, "LATE_ROWS", 3)
     rnd = random.Random(2)
     base = [f"v{rnd.randrange(10**6)}" for _ in range(200)]
@@ -266,15 +269,20 @@ def test_large_clusters_are_tiled(spark, monkeypatch):
         for _ in range(rnd.randint(0, 7)):
             own[rnd.randrange(200)] = f"n{rnd.randrange(10**6)}"
         data.append((i, " ".join(own)))
+    far = list(base)
+    for i in range(100, 125):  # each links with the next one only
+        for k in range(3):
+            far[(i * 3 + k) * 7 % 200] = f"f{rnd.randrange(10**6)}"
+        data.append((i * 37 % 100 + 100, " ".join(far)))
     got = {r.doc_id: r.component_id for r in ngram_join.ngram_components(spark.createDataFrame(data, "doc_id long, text string")).collect()}
     sets = {i: {tuple(t.split()[k : k + 4]) for k in range(197)} for i, t in data}
     label = {i: i for i in sets}
     for x in sets:
-        for y in range(x):
+        for y in [y for y in sets if y < x]:
             if 100 * len(sets[x] & sets[y]) >= 85 * len(sets[x] | sets[y]):
                 a, b = max(label[x], label[y]), min(label[x], label[y])
                 label = {k: b if v == a else v for k, v in label.items()}
-    assert got == label and 1 < len(set(label.values())) < 40
+    assert got == label and 1 < len(set(label.values())) < 40 and max(Counter(label.values()).values()) > 20
 
 
 def _removed_words(rows, k=13):
