@@ -30,7 +30,7 @@ LATE, LATE_ROWS = 100_000, 8
 #: Rows that meet in more shared columns than this are clustered without counting pairs.
 LIGHT = 32
 #: Pivots of a cluster; rows and cells of a block of a tile at most; columns in a block of the product.
-PIVOTS, BLOCK, CELLS, COLUMNS = 2, 2048, 1 << 20, 2048
+PIVOTS, BLOCK, CELLS, COLUMNS = 2, 1024, 1 << 20, 2048
 
 
 def need(n: np.ndarray, percent: int = PERCENT) -> np.ndarray:
@@ -197,33 +197,34 @@ def class_links(sets: DataFrame, late: DataFrame, percent: int, name: str) -> Da
     pairs = pairs.where(F.col("both") >= 1 + F.floor(F.least("na", "nb") / 20)).select(F.col("b").alias("u"), F.col("a").alias("v"))
     heavy = shared.where((F.col("rows") > LIGHT) & (F.col("cid") != F.col("head"))).select(F.col("cid").alias("u"), F.col("head").alias("v"))
     near = components(pairs.unionByName(heavy), f"{name}-clusters")
-    discard(shared)
     members = near.select(F.col("node").alias("cid"), F.col("root").alias("cluster")).unionByName(near.select(F.col("root").alias("cid"), F.col("root").alias("cluster")).distinct())
-    held = stored(members.join(sets, "cid"), f"{name}-members")
+    common = shared.groupBy("cid").agg(F.floor(1000 * F.count("*") / F.max("n")).alias("common"))  # of a row's first columns; most in what others were made from
+    held = stored(members.join(common, "cid").join(sets, "cid"), f"{name}-members")
+    discard(shared)
     links, state = pivot_links(held, percent, name)
     tiles = stored(held.join(dealt(state, name), ["cluster", "cid"]).select("cluster", "ti", "tj", "part", "cid", "cells"), f"{name}-tiles")
     return tiles.groupBy("cluster", "ti", "tj").applyInPandas(lambda pdf: _tile(pdf, percent), "u long, v long").unionByName(links)
 
 
 def pivot_links(held: DataFrame, percent: int, name: str) -> tuple[DataFrame, DataFrame]:
-    """Of clusters' rows (cid, cluster, n, cells): their links with pivots (u, v), and the rows but the pivots, which have
-    been compared with all (cid, cluster, n, joined). Joined rows are of one component, those of the first pivot."""
+    """Of clusters' rows (cid, cluster, n, cells, common): their links with pivots (u, v), and the rows but the pivots, which have
+    been compared with all (cid, cluster, n, common, joined). Joined rows are of one component, those of the first pivot."""
     links, state = None, None
     for _ in range(PIVOTS):
-        pivot = (held if state is None else state.where("NOT joined")).groupBy("cluster").agg(F.min("cid").alias("pivot"))
+        pivot = (held if state is None else state.where("NOT joined")).groupBy("cluster").agg(F.max_by("cid", F.struct("common", -F.col("cid"))).alias("pivot"))
         cells = stored(held.join(pivot, "cluster").where("cid = pivot").select("cluster", "pivot", F.col("n").alias("_n"), F.col("cells").alias("_cells")), f"{name}-pivot")
         both = F.size(F.array_intersect("cells", "_cells"))
         fits = (100 * F.least("n", "_n") >= percent * F.greatest("n", "_n")) & (100 * both >= percent * (F.col("n") + F.col("_n") - both))
-        tested = stored(held.join(cells, "cluster").where("cid <> pivot").select("cid", "cluster", "n", "pivot", fits.alias("fits")), f"{name}-tested")
+        tested = stored(held.join(cells, "cluster").where("cid <> pivot").select("cid", "cluster", "n", "common", "pivot", fits.alias("fits")), f"{name}-tested")
         found = tested.where("fits").select(F.col("cid").alias("u"), F.col("pivot").alias("v"))
         if state is None:
-            links, state = found, tested.select("cid", "cluster", "n", F.col("fits").alias("joined"))
+            links, state = found, tested.select("cid", "cluster", "n", "common", F.col("fits").alias("joined"))
             continue
         links = links.unionByName(found)
         left = state.join(cells.select("cluster", F.col("pivot").alias("cid")), ["cluster", "cid"], "left_anti")
         both = left.join(tested.select("cluster", "cid", "fits"), ["cluster", "cid"], "left")
         meets = both.where("joined AND fits").select("cluster", F.lit(True).alias("_meets")).distinct()
-        state = stored(both.join(meets, "cluster", "left").select("cid", "cluster", "n", F.expr("joined OR (coalesce(fits, false) AND coalesce(_meets, false))").alias("joined")), f"{name}-state")
+        state = stored(both.join(meets, "cluster", "left").select("cid", "cluster", "n", "common", F.expr("joined OR (coalesce(fits, false) AND coalesce(_meets, false))").alias("joined")), f"{name}-state")
     return links, state
 
 
