@@ -14,7 +14,7 @@ from tessera.llm.line_dedup import line_dedup
 from tessera.llm.ngram_join import ngram_components
 from tessera.llm.packing import pack, token_pieces
 from tessera.llm.quality_rules import quality_rules
-from tessera.llm.scratch import clear, stored
+from tessera.llm.scratch import delete, owned, stored
 from tessera.llm.substring_dedup import substring_dedup
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
@@ -25,12 +25,16 @@ def _documents(docs: DataFrame) -> DataFrame:
     return docs.withColumn("n_chars", F.coalesce(F.char_length("text"), F.lit(0)).cast("long")).select(*COLUMNS)
 
 
+_kept: list[str] = []
+
+
 def _own_stage(stage):
-    """A stage that first deletes what earlier ones kept in the shared folder: their results are written by then."""
+    """A stage that first deletes what the stage before it kept in the shared folder, for its result is written by then."""
 
     def run(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-        clear(spark)
-        return stage(spark, docs, sf_dir)
+        delete(spark, _kept)
+        with owned(_kept):
+            return stage(spark, docs, sf_dir)
 
     return run
 
@@ -80,5 +84,5 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select(*COLUMNS)
     for name, stage in STAGES:
-        docs = stored(stage(spark, docs, sf_dir), f"stage-{name}", keep=True)
+        docs = stored(stage(spark, docs, sf_dir), f"stage-{name}")
     return docs

@@ -193,7 +193,10 @@ def bpe_round_trip(docs: DataFrame, path: str, text_col: str = "text", with_ids:
     """docs, without the text, with n_tokens, ids_sha256 and decoded_sha256 (and ids array<int>, if wanted) added.
 
     A null text is empty and has no tokens: both digests are those of no bytes. Whole texts are encoded, however long.
-    Rows are independent of each other, so repeated rows repeat. Columns of the added names are replaced.
+    Of pairs of one rank the leftmost is merged first. Pretokens of more than LONGEST_ROW bytes (runs of one kind of
+    character without a space) leave the matrices, whose rounds would be as many as their bytes, and are merged with a
+    heap, to the same ids. Rows are independent of each other, so repeated rows repeat; an empty table gives no rows.
+    Columns of the added names are replaced.
     """
     added = T.StructType([*SCHEMA, *([T.StructField("ids", T.ArrayType(T.IntegerType()))] if with_ids else [])])
     names = [c for c in docs.columns if c not in added.names and c != text_col]

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .columns import set_aside
+from .columns import need_whole_ids, set_aside
 from .scratch import stored
 
 #: The characters stripped from both ends of a line: space, tab, LF, VT, FF, CR.
@@ -29,8 +29,9 @@ def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
     A null or empty text is one empty line. A null id is the smallest id, and all rows of one id are one document:
     a key is counted once for them. Rows of one id with equal text get equal results. Long lines and long documents
-    are treated whole. Columns named n_lines or n_dropped are replaced; all others are kept as they are.
+    are treated whole. An empty table gives no rows; ids that are no whole numbers raise TypeError. Columns named n_lines or n_dropped are replaced; all others are kept as they are.
     """
+    need_whole_ids(docs, id_col)
     docs, back = set_aside(docs, [id_col, text_col], ["n_lines", "n_dropped"])
     base = docs.withColumns(
         {"_id": F.coalesce(F.col(id_col).cast("long"), F.lit(_NO_ID)), "_text": F.coalesce(F.col(text_col), F.lit(""))}

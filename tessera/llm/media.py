@@ -33,6 +33,8 @@ def _netpbm(raw: bytes) -> np.ndarray:
         raise ValueError("not a Netpbm header")
     width, height, *most = map(int, head.groups())
     most = most[0] if most else 1
+    if not (width and height and 0 < most < 1 << 16):
+        raise ValueError("a picture has pixels, of 16 bits at most")
     depth = 3 if kind in b"36" else 1
     n = width * height * depth
     if kind == b"4":
@@ -41,14 +43,17 @@ def _netpbm(raw: bytes) -> np.ndarray:
         return (255 * (1 - bits)).astype(np.uint8).reshape(height, width, 1)
     if kind in b"123":
         body = re.sub(rb"#[^\n]*", b" ", raw[head.end() :])
-        cells = np.array([*re.sub(rb"\s+", b"", body)[:n]], np.int64) - 48 if kind == b"1" else np.array(body.split()[:n], np.int64)
-        return (255 * (1 - cells) if kind == b"1" else cells).astype(np.uint8 if most < 256 else np.uint16).reshape(height, width, depth)
+        cells = [c - 48 for c in re.sub(rb"\s+", b"", body)[:n]] if kind == b"1" else [int(c) for c in body.split()[:n]]
+        if len(cells) < n or not all(0 <= c <= most for c in cells):
+            raise ValueError("samples are missing or out of range")
+        cells = np.array(cells, np.uint8 if most < 256 else np.uint16)
+        return (255 * (1 - cells) if kind == b"1" else cells).reshape(height, width, depth)
     return np.frombuffer(raw, np.uint8 if most < 256 else ">u2", n, head.end()).reshape(height, width, depth)
 
 
 def _bmp(raw: bytes) -> np.ndarray:
     start, size, width, height, _, bits, packed = struct.unpack_from("<10xIIiiHHI", raw)
-    if packed or bits not in (1, 4, 8, 24, 32):
+    if packed or bits not in (1, 4, 8, 24, 32) or width <= 0 or not height:
         raise ValueError("only plain BMP is read")
     row = (width * bits + 31) // 32 * 4
     cells = np.frombuffer(raw, np.uint8, row * abs(height), start).reshape(abs(height), row)
@@ -58,6 +63,8 @@ def _bmp(raw: bytes) -> np.ndarray:
     if bits < 8:
         cells = np.unpackbits(cells, axis=1).reshape(abs(height), -1, bits) @ (1 << np.arange(bits)[::-1]).astype(np.uint8)
     colours = struct.unpack_from("<I", raw, 46)[0] or 1 << bits
+    if cells[:, :width].max() >= colours:
+        raise ValueError("a pixel has none of the colours")
     return np.frombuffer(raw, np.uint8, 4 * colours, 14 + size).reshape(-1, 4)[:, 2::-1][cells[:, :width]]
 
 
@@ -82,20 +89,33 @@ def encode_bmp(image: np.ndarray) -> bytes:
     return struct.pack("<2sIHHIIiiHHIIiiII", b"BM", 54 + row * height, 0, 0, 54, 40, width, height, 1, 24, 0, row * height, 2835, 2835, 0, 0) + cells.tobytes()
 
 
-def area_resize(image: np.ndarray, height: int, width: int) -> np.ndarray:
-    """Mean over the area that each new cell covers, for any sizes; float64 (height, width, channels)."""
-    h, w, depth = image.shape
-    total = np.zeros((h + 1, w + 1, depth))
-    np.cumsum(np.cumsum(image, 0, dtype=np.float64), 1, out=total[1:, 1:])
+#: Rows of a picture whose integral image is held at once; more only if a single new row covers more.
+BAND = 4096
 
-    def at(table, n, new):  # the integral at fractional rows
-        x = np.arange(new + 1) * (n / new)
-        low = np.minimum(x.astype(np.int64), n - 1)
-        part = (x - low).reshape(-1, *[1] * (table.ndim - 1))
-        return table[low] * (1 - part) + table[low + 1] * part
 
-    cells = at(at(total, h, height).swapaxes(0, 1), w, width).swapaxes(0, 1)
-    return np.diff(np.diff(cells, axis=0), axis=1) * (height * width / (h * w))
+def area_resize(image: np.ndarray, height: int, width: int) -> np.ndarray:
+    """Mean over the area that each new cell covers, for any sizes; float64 (height, width, channels).
+
+    Integral images are made of bands of rows, so that a tall picture takes a bounded multiple of a band."""
+    h, w, depth = image.shape
+    step = max(1, int(BAND * height / h))
+    out = np.empty((height, width, depth))
+    for top in range(0, height, step):
+        new = min(step, height - top)
+        y = (top + np.arange(new + 1)) * (h / height)
+        first, last = int(y[0]), min(h, int(np.ceil(y[-1])))
+        total = np.zeros((last - first + 1, w + 1, depth))
+        np.cumsum(np.cumsum(image[first:last], 0, dtype=np.float64), 1, out=total[1:, 1:])
+        cells = _between(_between(total, y - first).swapaxes(0, 1), np.arange(width + 1) * (w / width)).swapaxes(0, 1)
+        out[top : top + new] = np.diff(np.diff(cells, axis=0), axis=1)
+    return out * (height * width / (h * w))
+
+
+def _between(table: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """An integral image at fractional rows."""
+    low = np.minimum(at.astype(np.int64), len(table) - 2)
+    part = (at - low).reshape(-1, *[1] * (table.ndim - 1))
+    return table[low] * (1 - part) + table[low + 1] * part
 
 
 def difference_hash(image: np.ndarray, side: int = 8) -> str:
@@ -115,6 +135,11 @@ def npy_tiles(image: np.ndarray, tile: int = TILE) -> list[tuple[int, int, bytes
     return out
 
 
+def reduced_tiles(image: np.ndarray, height: int, width: int, tile: int = TILE) -> list[tuple[int, int, bytes]]:
+    """The picture resized by area to height x width, as NPY tiles."""
+    return npy_tiles(np.rint(area_resize(image, height, width)).astype(image.dtype), tile)
+
+
 def store_payload(raw: bytes) -> bytes:
     """A picture that holds raw, padded, as its samples: PPM, or BMP if the number of rows is odd."""
     image = np.frombuffer(raw + PAD * (-len(raw) % UNIT or (UNIT if not raw else 0)), np.uint8).reshape(-1, WIDTH, 3)
@@ -125,7 +150,10 @@ MEDIA = T.StructType([T.StructField("n_bytes", T.LongType()), T.StructField("med
 
 
 def to_media(docs: DataFrame, text_col: str = "text") -> DataFrame:
-    """docs, without the text, with n_bytes and media (binary) added. A null text is empty; equal texts give equal media."""
+    """docs, without the text, with n_bytes and media (binary) added; one row out per row in.
+
+    A null text is empty; equal texts and repeated rows give equal media. A long text is one tall picture. An empty table
+    gives no rows. Columns of the added names are replaced."""
     names = [c for c in docs.columns if c not in ("n_bytes", "media", text_col)]
 
     def run(batches):
@@ -136,26 +164,31 @@ def to_media(docs: DataFrame, text_col: str = "text") -> DataFrame:
     return docs.mapInArrow(run, T.StructType([docs.schema[c] for c in names] + list(MEDIA)))
 
 
-FEATURES = T.StructType([T.StructField(c, T.LongType() if c in ("payload_bytes", "tail_crc32", "media_bytes", "height", "width") else T.StringType()) for c in ("payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "feature", "height", "width", "thumbnail_sha256")])
+FEATURES = T.StructType([T.StructField(c, T.LongType() if c in ("payload_bytes", "tail_crc32", "media_bytes", "height", "width", "n_tiles") else T.StringType()) for c in ("payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "feature", "height", "width", "n_tiles", "tiles_sha256")])
+#: Side of the reduction that is written in tiles.
+SIDE = 64
 
 
 def _features(raw: bytes | None) -> tuple:
     try:
         image = decode(raw or b"")
     except (ValueError, struct.error):
-        return (None, None, None, len(raw or b""), hashlib.sha256(raw or b"").hexdigest(), None, None, None, None)
+        return (None, None, None, len(raw or b""), hashlib.sha256(raw or b"").hexdigest(), None, None, None, None, None)
     samples = np.ascontiguousarray(image).tobytes()
-    small = np.rint(area_resize(image, TILE, TILE)).astype(np.uint8)
+    tiles = reduced_tiles(image, SIDE, SIDE)
     return (
         len(samples), hashlib.sha256(samples).hexdigest(), zlib.crc32(samples[-16:]), len(raw), hashlib.sha256(raw).hexdigest(),
-        difference_hash(image), image.shape[0], image.shape[1], hashlib.sha256(npy_tiles(small)[0][2]).hexdigest(),
+        difference_hash(image), image.shape[0], image.shape[1], len(tiles), hashlib.sha256(b"".join(npy for _, _, npy in tiles)).hexdigest(),
     )
 
 
 def media_features(media: DataFrame, media_col: str = "media") -> DataFrame:
     """media, without the pictures, with FEATURES added: digests of the decoded samples and of the stored bytes, the
-    difference hash, the size, and the digest of a TILE x TILE thumbnail's NPY tile. Bytes that are no picture, and null,
-    give nulls but for media_bytes and media_sha256."""
+    difference hash, the size, and the number and digest of the NPY tiles of a SIDE x SIDE reduction (those of
+    media_tiles). One row out per row in.
+
+    Bytes that are no picture, and null, give nulls but for media_bytes and media_sha256. Repeated rows repeat; an empty
+    table gives no rows. Columns of the added names are replaced."""
     names = [c for c in media.columns if c not in FEATURES.names and c != media_col]
 
     def run(batches):
@@ -169,7 +202,7 @@ def media_features(media: DataFrame, media_col: str = "media") -> DataFrame:
 TILES = T.StructType([T.StructField("tile_row", T.IntegerType()), T.StructField("tile_col", T.IntegerType()), T.StructField("npy", T.BinaryType())])
 
 
-def media_tiles(media: DataFrame, id_col: str, media_col: str = "media", height: int = 64, width: int = 64, tile: int = TILE) -> DataFrame:
+def media_tiles(media: DataFrame, id_col: str, media_col: str = "media", height: int = SIDE, width: int = SIDE, tile: int = TILE) -> DataFrame:
     """id, tile_row, tile_col, npy: the picture resized by area to height x width, in NPY tiles; none for what is no picture."""
 
     def run(batches):
@@ -180,7 +213,7 @@ def media_tiles(media: DataFrame, id_col: str, media_col: str = "media", height:
                     image = decode(raw or b"")
                 except (ValueError, struct.error):
                     continue
-                rows += [(key, *x) for x in npy_tiles(np.rint(area_resize(image, height, width)).astype(image.dtype), tile)]
+                rows += [(key, *x) for x in reduced_tiles(image, height, width, tile)]
             yield pa.RecordBatch.from_pylist([dict(zip([id_col, *TILES.names], r, strict=True)) for r in rows], schema=pa.schema([(id_col, part.schema.field(id_col).type), ("tile_row", pa.int32()), ("tile_col", pa.int32()), ("npy", pa.binary())]))
 
     return media.select(id_col, media_col).mapInArrow(run, T.StructType([media.schema[id_col], *TILES]))

@@ -2,38 +2,51 @@
 
 from __future__ import annotations
 
+import contextlib
 import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 _own: dict[str, str] = {}
-_paths: list[str] = []
+_owner: list[list[str]] = []
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The cluster's spark.checkpoint.dir; a temporary folder of its own only where that is unset, as in tests."""
+    """The cluster's spark.checkpoint.dir. Where that is unset, a temporary folder on a local master, as in tests; on a
+    cluster, where executors would not see each other's files there, RuntimeError."""
     found = spark.conf.get("spark.checkpoint.dir", None) or _own.get(spark.sparkContext.applicationId)
     if not found:
+        if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         found = _own[spark.sparkContext.applicationId] = "file://" + tempfile.mkdtemp(prefix="tessera-scratch-")
     return found.rstrip("/")
 
 
-def stored(df: DataFrame, name: str, keep: bool = False) -> DataFrame:
+@contextlib.contextmanager
+def owned(tables: list[str]):
+    """Tables stored meanwhile are put down in the list, for delete()."""
+    _owner.append(tables)
+    try:
+        yield
+    finally:
+        _owner.pop()
+
+
+def stored(df: DataFrame, name: str) -> DataFrame:
     """Writes df as Parquet to the shared folder and reads it again: a lost executor takes nothing with it,
     sizes are known to the planner, and a later join gets its own exchange, which adaptive execution can split.
 
     Shuffle files that were only needed for the table are of no use then. Spark deletes them when the driver collects
-    its garbage, which is asked for here, so that they don't pile up over the steps of an operator. clear() leaves
-    tables with `keep` alone."""
+    its garbage, which is asked for here, so that they don't pile up over the steps of an operator."""
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.option("compression", "zstd").parquet(path)
     spark.sparkContext._jvm.System.gc()
     out = spark.read.schema(df.schema).parquet(path)
-    if not keep:
-        out._tessera_path = path
-        _paths.append(path)
+    out._tessera_path = path
+    if _owner:
+        _owner[-1].append(path)
     return out
 
 
@@ -45,12 +58,11 @@ def _delete(spark: SparkSession, path: str) -> None:
 def discard(*tables: DataFrame) -> None:
     """Deletes stored tables that only tables stored since were made from."""
     for t in tables:
-        if (path := t.__dict__.pop("_tessera_path", None)) in _paths:
-            _paths.remove(path)
+        if path := t.__dict__.pop("_tessera_path", None):
             _delete(t.sparkSession, path)
 
 
-def clear(spark: SparkSession) -> None:
-    """Deletes all stored tables but those with `keep`: for when all that was made from them is written."""
-    while _paths:
-        _delete(spark, _paths.pop())
+def delete(spark: SparkSession, tables: list[str]) -> None:
+    """Deletes the tables of a list that owned() filled: for when all that was made from them is written."""
+    while tables:
+        _delete(spark, tables.pop())

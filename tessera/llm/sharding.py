@@ -29,24 +29,25 @@ def _address(key: Column) -> Column:
     return F.concat(*[part(i) for i in range(BITS // TIER)])
 
 
-def shard(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", limit: int = LIMIT, extra_id: str = "_row") -> DataFrame:
+def shard(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", limit: int = LIMIT) -> DataFrame:
     """docs with n_bytes, shard (the shard's address bits, '' if there is one only), depth (their number), shard_docs and
     shard_bytes added; one row out per row in.
 
     n_bytes is the UTF-8 length of the text, 0 for null. A null id is addressed as the empty string. Every shard holds at
     most `limit` bytes, but for a single row that is longer by itself. Rows of one id share all bits of its md5; ids that
-    repeat are therefore addressed by id and physical row, so that a group of any size is split like others. Empty
+    repeat are therefore addressed by id and a number of the row, so that a group of any size is split like others. Empty
     tables give no rows; columns of the added names are replaced.
     """
     added = ["n_bytes", "shard", "depth", "shard_docs", "shard_bytes"]
     base, back = set_aside(docs, [id_col, text_col], added)
     names = base.columns
-    base = base.withColumns({"n_bytes": F.coalesce(F.octet_length(text_col), F.lit(0)).cast("long"), "_key": F.coalesce(F.col(id_col).cast("string"), F.lit("")), extra_id: F.monotonically_increasing_id()})
+    base = base.withColumns({"n_bytes": F.coalesce(F.octet_length(text_col), F.lit(0)).cast("long"), "_key": F.coalesce(F.col(id_col).cast("string"), F.lit(""))})
     again = stored(base.groupBy("_key").agg(F.count("*").alias("_n")).where(F.col("_n") > 1).select("_key"), "repeated-ids")
     if again.isEmpty():
         addressed = base.withColumn("_bits", _address(F.col("_key")))
-    else:
-        own = F.concat_ws("#", "_key", F.col(extra_id).cast("string"))
+    else:  # the number of a row is stored with it, so that a row that is read again has the address that it was counted by
+        base = stored(base.withColumn("_row", F.monotonically_increasing_id()), "numbered-rows")
+        own = F.concat_ws("#", "_key", F.col("_row").cast("string"))
         addressed = base.join(again.withColumn("_again", F.lit(True)), "_key", "left").withColumn("_bits", _address(F.when(F.col("_again"), own).otherwise(F.col("_key"))))
     leaves, open_cells = [], None
     for width in range(TIER, BITS + 1, TIER):

@@ -121,25 +121,30 @@ def fit(rows: list[np.ndarray], labels: np.ndarray, seed: int = 5) -> Machine:
 
 
 def fit_on(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", sample: int = SAMPLE) -> Machine:
-    """A machine for labelled documents; null labels are left out. At most `sample` rows of each label are fetched, as terms.
+    """A machine for labelled documents; null labels are left out. At most `sample` ids of each label are fetched, as terms.
 
-    The sample is drawn from the labels, so that texts are only read, and those outside the sample go no further.
+    The sample is drawn from the labels, so that texts are only read, and those outside the sample go no further. One
+    text an id is fetched: of several, that of the smallest hash. An id of both labels counts as toxic. Null ids have no
+    label; a label without a document counts for nothing. Without documents or with one label only, the machine has a
+    bias alone.
     """
     parts = []
     for value in (0, 1):  # a bounded top-k each: partial results of at most `sample` ids a task
         ids = labels.where(F.col(label_col) == value).select(id_col).distinct().orderBy(F.xxhash64(id_col), id_col).limit(sample)
         parts.append(ids.withColumn("_label", F.lit(value)))
     chosen = stored(parts[0].unionByName(parts[1]), "toxicity-sample")
+    chosen = chosen.groupBy(id_col).agg(F.max("_label").alias("_label"))
     rows = docs.select(id_col, text_col).join(F.broadcast(chosen), id_col)  # at most 2 * sample ids
 
     def run(batches):
         for part, data, off in text_blocks(batches, text_col):
             terms, bound = block_terms(data, off)
             lists = pa.ListArray.from_arrays(pa.array(bound.astype(np.int32)), pa.array(terms.astype(np.int32)))
-            yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), lists], names=["id", "label", "terms"])
+            yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), part.column(2), lists], names=["id", "label", "hash", "terms"])
 
-    schema = T.StructType([T.StructField("id", docs.schema[id_col].dataType), T.StructField("label", T.IntegerType()), T.StructField("terms", T.ArrayType(T.IntegerType()))])
-    got = rows.select(id_col, "_label", text_col).mapInArrow(run, schema).toPandas().drop_duplicates("id").sort_values("id")
+    schema = T.StructType([T.StructField("id", docs.schema[id_col].dataType), T.StructField("label", T.IntegerType()), T.StructField("hash", T.LongType()), T.StructField("terms", T.ArrayType(T.IntegerType()))])
+    each = rows.select(id_col, "_label", F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))).alias("_hash"), text_col).mapInArrow(run, schema)
+    got = each.groupBy("id", "label").agg(F.min_by("terms", "hash").alias("terms")).toPandas().sort_values("id")
     return fit([np.asarray(t, np.int64) for t in got.terms], got.label.to_numpy())
 
 

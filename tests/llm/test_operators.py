@@ -95,9 +95,44 @@ def test_images():
         tile = np.load(__import__("io").BytesIO(raw))
         whole[4 * y : 4 * y + 4, 4 * x : 4 * x + 4] = tile
     assert (whole == image).all()
-    for bad in (b"", b"P9", b"BMxx", b"GIF89a"):
+    for bad in BAD:
         with pytest.raises((ValueError, struct.error)):
             media.decode(bad)
+    tall = np.random.default_rng(2).integers(0, 256, (3 * media.BAND + 5, 4, 3), dtype=np.uint8)
+    whole = np.concatenate([[np.zeros((4, 3))], np.cumsum(tall, 0, dtype=float)])
+    at = np.arange(12) * len(tall) / 11
+    low = np.minimum(at.astype(int), len(tall) - 1)
+    rows = whole[low] + (whole[low + 1] - whole[low]) * (at - low)[:, None, None]
+    want = np.diff(rows, axis=0).reshape(11, 2, 2, 3).mean(2) * 11 / len(tall)
+    assert np.allclose(media.area_resize(tall, 11, 2), want)
+
+
+_PALETTE = struct.pack("<2sIHHIIiiHHIIiiII", b"BM", 66, 0, 0, 62, 40, 1, 1, 1, 8, 0, 4, 0, 0, 2, 0) + bytes(8)
+#: No pictures: no or wrong headers, no pixels, missing or too large samples, a pixel beyond the palette.
+BAD = [b"", b"P9", b"BMxx", b"GIF89a", b"P6\n0 0\n255\n", b"P5\n1 1\n70000\n\x01\x02", b"P2\n1 1\n255\n99999999999999999999999", b"P2\n1 1\n255\n256", b"P2\n2 1\n255\n1", b"P1\n1 1\n7", _PALETTE + b"\x05\0\0\0"]
+
+
+def test_bad_pictures_give_nulls(spark):
+    good = media.encode_ppm(np.arange(36, dtype=np.uint8).reshape(3, 4, 3))
+    df = spark.createDataFrame([(i, x) for i, x in enumerate([*BAD, None, good])], "id long, media binary")
+    got = {r.id: r for r in media.media_features(df).collect()}
+    assert all(got[i].feature is None and got[i].payload_sha256 is None and got[i].media_sha256 == _sha(b or b"") for i, b in enumerate([*BAD, None])) and got[len(BAD) + 1].height == 3
+    assert {r.id for r in media.media_tiles(df, "id").select("id").collect()} == {len(BAD) + 1}
+
+
+def test_tiles(docs, empty):
+    held = media.to_media(docs)
+    tiles = media.media_tiles(held.where("doc_id = 1"), "doc_id").collect()
+    raw = held.where("doc_id = 1").first()["media"]
+    image = np.rint(media.area_resize(media.decode(raw), 64, 64)).astype(np.uint8)
+    whole = np.zeros_like(image)
+    for r in tiles:
+        tile = np.load(__import__("io").BytesIO(r.npy))
+        whole[32 * r.tile_row : 32 * r.tile_row + 32, 32 * r.tile_col : 32 * r.tile_col + 32] = tile
+    assert len(tiles) == 4 and (whole == image).all()
+    row = media.media_features(held.where("doc_id = 1")).first()
+    assert row.n_tiles == 4 and row.tiles_sha256 == _sha(b"".join(bytes(r.npy) for r in sorted(tiles, key=lambda r: (r.tile_row, r.tile_col))))
+    assert media.media_tiles(media.to_media(empty), "doc_id").count() == 0
 
 
 def test_bpe(docs, rows, empty):
@@ -213,6 +248,38 @@ def test_toxicity(spark, empty):
     assert toxicity.toxicity(empty, machine).count() == 0 and toxicity.fit_on(df.drop("toxic"), df.limit(0).drop("text")).bias == 0
 
 
+def test_scores_are_sums_over_pairs():
+    rnd = np.random.default_rng(3)
+    m = toxicity.Machine(0.3, np.zeros(toxicity.SLOTS, np.float32), np.zeros((toxicity.SLOTS, toxicity.FACTORS), np.float32))
+    used = rnd.choice(toxicity.SLOTS, 40, replace=False)
+    m.w[used], m.v[used] = rnd.normal(size=40), rnd.normal(size=(40, toxicity.FACTORS))
+    texts = [rnd.choice(used, n, replace=False) for n in (0, 1, 2, 17)]
+    got = m.score(np.concatenate(texts), np.cumsum([0, *map(len, texts)]))
+    for t, g in zip(texts, got, strict=True):
+        margin = 0.3 + sum(float(m.w[i]) for i in t)
+        for x in range(len(t)):
+            for y in range(x):
+                margin += sum(float(a) * float(b) for a, b in zip(m.v[t[x]], m.v[t[y]], strict=True))
+        assert abs(g - 1 / (1 + np.exp(-margin))) < 1e-5
+
+
+def test_toxicity_query(spark, tmp_path):
+    rnd = random.Random(8)
+    rows = [(i, " ".join([f"w{rnd.randrange(60)}" for _ in range(20)] + ["scum"] * (i % 2))) for i in range(400)]
+    rows += [(7, "another text of one id"), (7, None)]
+    spark.createDataFrame(rows, "doc_id long, text string").repartition(3).write.parquet(f"{tmp_path}/documents.parquet")
+    # in the rows that are held out, labels are the other way round: they may not be learnt from
+    held = {i for i in range(400) if zlib.crc32(str(i).encode()) % 5 == 0}
+    labels = [(i, (i % 2) ^ (i in held)) for i in range(400)] + [(9, 0), (999, 1), (None, 1), (3, None)]
+    spark.createDataFrame(labels, "doc_id long, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    got = toxicity.query(spark, str(tmp_path)).collect()
+    assert Counter(r.doc_id for r in got) == Counter(i for i, _ in rows)
+    assert all(r.held_out == (r.doc_id in held) and r.predicted == (r.score >= 0.5) for r in got)
+    assert all(r.predicted == r.doc_id % 2 for r in got if r.doc_id != 7)
+    again = toxicity.query(spark, str(tmp_path)).collect()
+    assert sorted((r.doc_id, r.score) for r in again) == sorted((r.doc_id, r.score) for r in got)
+
+
 def test_line_dedup(docs, rows, empty):
     blank = " \t\n\x0b\x0c\r"
     low = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -431,6 +498,8 @@ def test_sharding(spark, docs, empty):
             up = s[:-1]
             assert not s or sum(v for k, v in size.items() if k.startswith(up)) > limit  # no split without need
         assert not any(a != b and b.startswith(a) for a in size for b in size)
+    with_row = sharding.shard(docs.union(docs), limit=300).where("doc_id = 3").first()
+    assert with_row["_row"] == "y" and sharding.shard(empty).count() == 0
     same = spark.createDataFrame([(5, "x" * 100)] * 50, "doc_id long, text string")
     assert max(r.shard_bytes for r in sharding.shard(same, limit=1000).collect()) <= 1000
 
@@ -510,3 +579,41 @@ def test_prefilter_loses_nothing(spark):
     got = maybe_in(rows, wanted, "k")
     assert got.join(wanted, "k", "left_semi").count() == 200 and got.count() < 260 and got.columns == rows.columns
     assert maybe_in(rows, wanted.limit(0), "k").count() == 0
+
+
+def test_ids_must_be_whole_numbers(spark):
+    df = spark.createDataFrame([("a", "x")], "doc_id string, text string")
+    for run in (line_dedup.line_dedup, ngram_join.ngram_components, substring_dedup.substring_dedup, suffix_dedup.suffix_dedup):
+        with pytest.raises(TypeError):
+            run(df)
+
+
+def test_tables_of_others_stay(spark):
+    from tessera.llm.scratch import delete, owned, stored
+
+    other, mine = stored(spark.range(3), "t"), []
+    with owned(mine):
+        own = stored(spark.range(4), "t")
+    assert len(mine) == 1 and own.count() == 4
+    delete(spark, mine)
+    assert other.count() == 3 and not mine
+
+
+def test_no_local_scratch_on_a_cluster():
+    from types import SimpleNamespace
+
+    from tessera.llm.scratch import shared_dir
+
+    far = SimpleNamespace(conf=SimpleNamespace(get=lambda *_: None), sparkContext=SimpleNamespace(applicationId="far", master="spark://there:7077"))
+    with pytest.raises(RuntimeError):
+        shared_dir(far)
+
+
+def test_spans_of_other_words_are_found(spark):
+    import pyarrow as pa
+
+    words = [f"w{i}".encode() for i in range(64)]
+    line, at = b" ".join(words) + b" ", np.cumsum([0] + [len(w) + 1 for w in words])
+    marks = [[substring_dedup.chunk_digest(line[at[j] : at[j + 16]]) for j in (0, 16)], [substring_dedup.chunk_digest(b"other words")], []]
+    got = substring_dedup._verified(line, at, np.array([0, 32, 60]), pa.array(marks, pa.list_(pa.int64())), 16)
+    assert got.tolist() == [True, False, True]
