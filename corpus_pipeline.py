@@ -14,7 +14,7 @@ from tessera.llm.line_dedup import line_dedup
 from tessera.llm.ngram_join import ngram_components
 from tessera.llm.packing import pack, token_pieces
 from tessera.llm.quality_rules import quality_rules
-from tessera.llm.scratch import delete, owned, stored
+from tessera.llm.scratch import delete, owned, small_batches, stored
 from tessera.llm.substring_dedup import substring_dedup
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
@@ -33,6 +33,7 @@ def _own_stage(stage):
 
     def run(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
         delete(spark, _kept)
+        small_batches(spark)
         with owned(_kept):
             return stage(spark, docs, sf_dir)
 

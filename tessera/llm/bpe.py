@@ -23,7 +23,7 @@ from .textblock import ragged, text_blocks
 
 NONE = np.iinfo(np.int32).max
 #: Pretokens kept by a worker; beyond it, it begins anew.
-KEPT = 600_000
+KEPT = 200_000
 #: Longer pretokens are merged one by one with a heap, in n log n steps.
 LONGEST_ROW = 512
 

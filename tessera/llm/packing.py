@@ -24,7 +24,7 @@ from pyspark.sql import types as T
 
 from .columns import set_aside
 from .pretokens import distinct, pretokens
-from .scratch import stored
+from .scratch import small_batches, stored
 from .textblock import ragged, text_blocks
 
 CAPACITY, END = 1024, 2
@@ -35,8 +35,8 @@ WELL = 0.99
 #: Crossover injects between these shares of a parent's well-filled bins.
 INJECTED = (0.02, 0.3)
 #: Pretokens kept by a worker; beyond it, it begins anew.
-KEPT = 600_000
-BLOCK = 4 << 20
+KEPT = 200_000
+BLOCK = 2 << 20
 
 
 class Encoder:
@@ -352,5 +352,6 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY, shard_items: int = SHARD)
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    small_batches(spark)
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
     return pack(token_pieces(docs, public_tokenizers.path("byte_bpe_50k.json")))

@@ -26,7 +26,7 @@ NO_ID = -(2**63)
 #: A document: rows of one id whose texts have one 64-bit hash. Only texts of one id (or without one) could be mistaken.
 KEY = ["_id", "_row"]
 #: Texts are worked on in blocks of so many bytes: a unit takes some hundred bytes.
-BLOCK = BLOCK_BYTES // 4
+BLOCK = BLOCK_BYTES // 2
 _LOW = np.uint64(0xFFFFFFFF)
 _inverse = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
 

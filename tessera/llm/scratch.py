@@ -23,6 +23,16 @@ def shared_dir(spark: SparkSession) -> str:
     return found.rstrip("/")
 
 
+#: Bytes of a batch that goes to a Python worker. The JVM and the worker hold some copies each, for every task.
+BATCH_BYTES = 8 << 20
+_BATCH = "spark.sql.execution.arrow.maxBytesPerBatch"
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Bounds the session's Arrow batches by BATCH_BYTES, for results that are not made yet."""
+    spark.conf.set(_BATCH, str(BATCH_BYTES))
+
+
 @contextlib.contextmanager
 def owned(tables: list[str]):
     """Tables stored meanwhile are put down in the list, for delete()."""
@@ -41,7 +51,12 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     its garbage, which is asked for here, so that they don't pile up over the steps of an operator."""
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
-    df.write.option("compression", "zstd").parquet(path)
+    before = spark.conf.get(_BATCH)
+    small_batches(spark)
+    try:
+        df.write.option("compression", "zstd").parquet(path)
+    finally:
+        spark.conf.set(_BATCH, before)
     spark.sparkContext._jvm.System.gc()
     out = spark.read.schema(df.schema).parquet(path)
     out._tessera_path = path

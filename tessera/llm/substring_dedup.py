@@ -23,7 +23,7 @@ from pyspark.sql import types as T
 from . import repeats as R
 from .columns import set_aside
 from .prefilter import flagged, maybe_in
-from .scratch import discard, stored
+from .scratch import discard, small_batches, stored
 from .textblock import ragged, text_blocks
 
 WORDS = 13
@@ -171,6 +171,7 @@ def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    small_batches(spark)
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
     return substring_dedup(docs, keep_text=False)
 

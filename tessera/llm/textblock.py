@@ -13,7 +13,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 #: Bytes of text worked on at once; bounds a worker's memory. A longer text is worked on by itself.
-BLOCK_BYTES = 2 << 20
+BLOCK_BYTES = 1 << 20
 
 _rng = np.random.default_rng(0x7E55E2A)
 _odd = lambda n: _rng.integers(0, 2**63, n, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
