@@ -10,7 +10,6 @@ as it needs no more bins than the sum of its lengths does, for there are no bett
 
 from __future__ import annotations
 
-import functools
 import os
 import zlib
 
@@ -95,12 +94,6 @@ class Encoder:
         return ids, bound
 
 
-@functools.cache
-def encoder(path: str) -> Encoder:
-    """One encoder a worker."""
-    return Encoder(path)
-
-
 def token_pieces(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text", capacity: int = CAPACITY, end: int = END, with_ids: bool = False) -> DataFrame:
     """docs without the text, a row for each piece, with piece, start, length, ids_crc32 (and ids): each document's ids and
     `end`, in pieces of `capacity` of which only the first may be shorter.
@@ -118,7 +111,7 @@ def token_pieces(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: s
     fields += [T.StructField("ids", T.ArrayType(T.IntegerType()))] if with_ids else []
 
     def run(batches):
-        enc = encoder(path)
+        enc = Encoder(path)  # one a task, so that a worker doesn't keep it while it does other things
         for part, data, off in text_blocks(batches, text_col, BLOCK):
             ids, bound = enc.block(data, off)
             n_docs = len(off) - 1

@@ -25,6 +25,8 @@ def shared_dir(spark: SparkSession) -> str:
 
 #: Bytes of a batch that goes to a Python worker. The JVM and the worker hold some copies each, for every task.
 BATCH_BYTES = 8 << 20
+#: Where the folder is a local one: no checksum file beside each file, for which the JVM would start a process of its own.
+_RAW = {"fs.file.impl": "org.apache.hadoop.fs.RawLocalFileSystem", "fs.file.impl.disable.cache": "true"}
 _BATCH = "spark.sql.execution.arrow.maxBytesPerBatch"
 
 
@@ -54,7 +56,7 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     before = spark.conf.get(_BATCH)
     small_batches(spark)
     try:
-        df.write.option("compression", "zstd").parquet(path)
+        df.write.options(**_RAW).option("compression", "zstd").parquet(path)
     finally:
         spark.conf.set(_BATCH, before)
     spark.sparkContext._jvm.System.gc()

@@ -6,6 +6,7 @@ final mix; equal byte strings have equal hashes on every worker.
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 
 import numpy as np
@@ -50,7 +51,9 @@ def powers(n: int, which: int = 0) -> np.ndarray:
 
 
 def text_blocks(batches: Iterator[pa.RecordBatch], text_col: str = "text", block_bytes: int = BLOCK_BYTES) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray]]:
-    """Slices of the batches with the bytes of their texts and the offsets of each; null texts count as empty."""
+    """Slices of the batches with the bytes of their texts and the offsets of each; null texts count as empty.
+
+    Free memory goes back to the system at the end: a worker waits for other tasks then, beside those that work."""
     for batch in batches:
         col = pc.fill_null(batch.column(batch.schema.get_field_index(text_col)), "")
         big = pa.types.is_large_string(col.type)
@@ -61,6 +64,16 @@ def text_blocks(batches: Iterator[pa.RecordBatch], text_col: str = "text", block
             to = max(at + 1, int(np.searchsorted(off, off[at] + block_bytes, "right")) - 1)
             yield batch.slice(at, to - at), data[off[at] : off[to]], off[at : to + 1] - off[at]
             at = to
+    batch = col = data = off = None
+    give_back()
+
+
+def give_back() -> None:
+    """Returns what the C library holds of freed memory to the system, where it can."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
 
 
 def spans(mask: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
