@@ -13,7 +13,7 @@ from collections.abc import Callable, Iterator
 from urllib.parse import urljoin
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -232,9 +232,13 @@ def xml_sections(page: Page) -> dict[str, str]:
     return {}
 
 
+#: HTML's own bounds of spans.
+SPANS = {"colspan": 1000, "rowspan": 65534}
+
+
 def _span(cell: Node, name: str) -> int:
     try:
-        return int(cell.attrs.get(name) or 1)
+        return min(int(cell.attrs.get(name) or 1), SPANS[name])
     except ValueError:
         return 1
 
@@ -242,7 +246,7 @@ def _span(cell: Node, name: str) -> int:
 def table_grid(table: Node) -> tuple[list[str], list[list[str]]]:
     """Header cells and data rows, with spans filled in; the header is the last of the rows that head the table, or the first row.
 
-    A span that is no whole number counts as 1.
+    A span that is no whole number counts as 1, a larger one than HTML allows as the largest.
     """
     grid, heads, held = [], 0, {}  # held: column -> (value, last row it reaches)
     for y, tr in enumerate(table.all("tr")):
@@ -358,6 +362,17 @@ def page_figures(page: Page, base: str = "") -> list[tuple]:
     return out
 
 
+def xml_figures(page: Page) -> list[tuple]:
+    """(figure_id, caption, url, "") of the figures of an XML article, those without a picture too."""
+    out = []
+    for i, box in enumerate(page.root.all("ce:figure") or page.root.all("fig"), 1):
+        cap = box.first("ce:caption") or box.first("caption") or box.first("label")
+        picture = box.first("ce:e-component") or box.first("graphic") or box.first("img")
+        url = next((u for a in ("xlink:href", "src", "id") if (u := picture.attrs.get(a))), "") if picture else ""
+        out.append((f"figure_{i}", clean(cap.text()) if cap else f"Figure {i}", url, ""))
+    return out
+
+
 def is_xml(text: str) -> bool:
     return text.strip().startswith("<?xml") or "<ce:" in text or "<article" in text[:500] and "dtd-version" in text[:2000]
 
@@ -388,7 +403,7 @@ def read_article(text: str | None, base: str = "") -> tuple:
     full = "\n\n".join([f"# {title}", abstract, *[f"## {k}\n{v}" for k, v in sections.items()]])
     tables = page_tables(page, xml)
     warnings = ([] if sections else ["No sections found in XML" if xml else "No sections found"]) + ([] if tables or xml else ["No tables found"])
-    return ("xml" if xml else "html", title, abstract, list(sections.items()), tables, page_figures(page, base), full, (0.8 if xml else 0.85) * (1 if sections else 0.5), warnings)
+    return ("xml" if xml else "html", title, abstract, list(sections.items()), tables, xml_figures(page) if xml else page_figures(page, base), full, (0.8 if xml else 0.85) * (1 if sections else 0.5), warnings)
 
 
 def articles(df: DataFrame, html_col: str, base_col: str | None = None) -> DataFrame:
@@ -426,24 +441,45 @@ def table_cells(df: DataFrame, id_col: str, html_col: str) -> DataFrame:
     return df.select(id_col, html_col).mapInPandas(run, schema)
 
 
-def raw_tables(df: DataFrame, cells: str = "cells") -> DataFrame:
+def by_header(headers: Column, row: Column) -> Column:
+    """A row's values by header, of equal headers the last; cells beyond the headers have names of their own."""
+    at = F.when(F.size(row) > 0, F.sequence(F.lit(0), F.size(row) - 1)).otherwise(F.array().cast("array<int>"))
+    name = lambda i: F.when(i < F.size(headers), F.get(headers, i)).otherwise(F.concat(F.lit("col_"), i.cast("string")))
+    last = F.filter(at, lambda i: ~F.exists(F.filter(at, lambda j: j > i), lambda j: name(i) == name(j)))
+    return F.transform(last, lambda i: F.get(row, i))
+
+
+def _blank(row: Column) -> Column:
+    return F.forall(row, lambda c: strip(c) == "")
+
+
+def raw_tables(df: DataFrame, cells: str = "cells", table_id: str | None = None, page: str = "page") -> DataFrame:
     """Tables as arrays of rows of cells: headers and data (rows without any text dropped). A first row without text is no
-    header; then the next one is. Tables left without headers or data are dropped."""
-    tidy = F.transform(F.filter(cells, lambda r: r.isNotNull()), lambda r: F.transform(r, lambda c: F.coalesce(F.trim(c), F.lit(""))))
-    blank = lambda r: F.forall(r, lambda c: c == "")
-    first = F.when(blank(F.get("_c", F.lit(0))), 1).otherwise(0)
+    header; then the next one is. Tables left without headers or data are dropped.
+
+    With table_id, a column with a table's number in its document, table_id and caption are added; the caption names the
+    page, if there is such a column."""
+    tidy = F.transform(F.filter(cells, lambda r: r.isNotNull()), lambda r: F.transform(r, lambda c: F.coalesce(strip(c), F.lit(""))))
+    first = F.when(_blank(F.get("_c", F.lit(0))), 1).otherwise(0)
     out = df.withColumn("_c", tidy).where(F.size("_c") > 0).withColumn("_h", first).where(F.size("_c") > F.col("_h"))
-    out = out.withColumns({"headers": F.get("_c", F.col("_h")), "data": F.filter(F.slice("_c", F.col("_h") + 2, F.size("_c")), lambda r: ~blank(r))})
+    if table_id:
+        number = F.col(table_id).cast("string")
+        where = F.concat(F.lit(" (page "), F.col(page).cast("string"), F.lit(")")) if page in df.columns else F.lit("")
+        out = out.withColumns({"caption": F.concat(F.lit("Table "), number, where), "table_id": F.concat(F.lit("table_"), number)})
+    out = out.withColumn("headers", F.get("_c", F.col("_h")))
+    out = out.withColumn("data", F.filter(F.slice("_c", F.col("_h") + 2, F.size("_c")), lambda r: ~_blank(by_header(F.col("headers"), r))))
     return out.where((F.size("headers") > 0) & (F.size("data") > 0)).drop("_c", "_h")
 
 
-def table_confidence(headers: str = "headers", data: str = "data"):
-    """How sane a table looks, 0 to 1: filled and distinct headers, rows of one length, filled cells; three places."""
-    full = F.filter(headers, lambda h: F.trim(h) != "")
+def table_confidence(headers: str = "headers", data: str = "data") -> Column:
+    """How sane a table looks, 0 to 1: filled and distinct headers, rows with a value for each header, filled cells; three
+    places. Of equal headers a row has one value, so a table with such headers has no even row."""
+    full = F.filter(headers, lambda h: strip(h) != "")
     quality = 0.5 * F.size(full) / F.size(headers) + 0.5 * F.size(F.array_distinct(full)) / F.size(full)
-    even = F.when(F.size(data) > 0, F.size(F.filter(data, lambda r: F.size(r) == F.size(headers))) / F.size(data)).otherwise(1.0)
-    cells = F.flatten(data)
-    fill = F.when(F.size(cells) > 0, F.size(F.filter(cells, lambda c: F.trim(c) != "")) / F.size(cells)).otherwise(0.0)
+    rows = F.transform(data, lambda r: by_header(F.col(headers), r))
+    even = F.when(F.size(data) > 0, F.size(F.filter(rows, lambda r: F.size(r) == F.size(headers))) / F.size(data)).otherwise(1.0)
+    cells = F.flatten(rows)
+    fill = F.when(F.size(cells) > 0, F.size(F.filter(cells, lambda c: strip(c) != "")) / F.size(cells)).otherwise(0.0)
     fill = F.when(F.size(data) > 0, 0.5 + 0.5 * fill).otherwise(1.0)
     return F.when(F.size(full) == 0, 0.0).otherwise(F.round(quality * even * fill, 3))
 

@@ -57,5 +57,5 @@ def first_of_id(df: DataFrame, key: str, order: str, last: bool = False) -> Data
 def creators(names: DataFrame, name: str, number: str) -> DataFrame:
     """names with creator: of new names that share a registry number, the smallest creates; the others are its aliases.
     Names without a number create themselves."""
-    w = Window.partitionBy(number)
-    return names.withColumn("creator", F.when(F.col(number).isNull(), F.col(name)).otherwise(F.min(name).over(w)))
+    least = names.where(F.col(number).isNotNull()).groupBy(number).agg(F.min(name).alias("_least"))
+    return names.join(least, number, "left").select(*names.columns, F.coalesce("_least", name).alias("creator"))

@@ -5,6 +5,8 @@ Keys are unique in the table; a batch may repeat them, and says by `order` which
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -50,9 +52,12 @@ def with_ids(old: DataFrame, new: DataFrame, id_col: str, order: list[str]) -> D
     """new with ids that go on after old's largest, in a stable order.
 
     Numbering is global without one task for all rows: rows are range-sorted by their order, counted by partition, and
-    partitions' sums (one small row each) give where each begins.
+    partitions' sums (one small row each) give where each begins. The ranged rows are checkpointed where the cluster has
+    a folder for it, so that a task that is tried again counts the same rows.
     """
     ranged = new.repartitionByRange(*order).sortWithinPartitions(*order).withColumns({"_part": F.spark_partition_id(), "_m": F.monotonically_increasing_id()})
+    if new.sparkSession.sparkContext.getCheckpointDir():
+        ranged = ranged.checkpoint()
     ranged = ranged.withColumn("_k", F.col("_m") - F.shiftleft(F.col("_part").cast("long"), 33))
     sums = ranged.groupBy("_part").agg(F.count("*").alias("_n"))
     begin = sums.withColumn("_before", F.coalesce(F.sum("_n").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).drop("_n")
@@ -60,6 +65,26 @@ def with_ids(old: DataFrame, new: DataFrame, id_col: str, order: list[str]) -> D
     return ranged.join(F.broadcast(begin), "_part").crossJoin(F.broadcast(top)).withColumn(id_col, F.col("_top") + F.col("_before") + F.col("_k") + 1).drop("_part", "_m", "_k", "_before", "_top")
 
 
+#: What may be set when a run ends.
+RUN_RESULTS = {"status", "validation_report", "corrections_applied", "human_review_items", "token_usage", "total_cost_usd", "notes"}
+
+
+def start_runs(runs: DataFrame, papers: DataFrame, models: dict[str, str] | None = None, prompts: dict[str, str] | None = None) -> DataFrame:
+    """New rows of runs, one a paper, with ids that go on after the largest, in progress since now (UTC by the session)."""
+    new = with_ids(runs, papers.select("paper_id").distinct(), "run_id", ["paper_id"])
+    versions = {c: F.lit((prompts or {}).get(c.split("_")[0])).cast("string") for c in runs.columns if c.endswith("_prompt_version")}
+    given = versions | {"run_timestamp": F.current_timestamp(), "model_versions": F.lit(json.dumps(models or {})), "status": F.lit("in_progress")}
+    zero = {"corrections_applied": 0, "human_review_items": 0, "total_cost_usd": 0.0}
+    new = new.withColumns({c: v for c, v in given.items() if c in runs.columns} | {c: F.lit(v) for c, v in zero.items() if c in runs.columns})
+    return runs.limit(0).unionByName(new, allowMissingColumns=True).select(*runs.columns)
+
+
+def finish_run(runs: DataFrame, run_id: int, **results: object) -> DataFrame:
+    """runs with the results of one; dicts become JSON, and what is no result of a run is dropped without a word."""
+    values = {k: json.dumps(v) if isinstance(v, dict) else v for k, v in results.items()}
+    return update_allowed(runs, "run_id", run_id, values, RUN_RESULTS)
+
+
 def update_allowed(old: DataFrame, key: str, key_value: object, values: dict[str, object], allowed: set[str]) -> DataFrame:
     """Sets allowed columns of one row; others are dropped without a word."""
     hit = F.col(key) == F.lit(key_value)

@@ -12,7 +12,7 @@ from ..operators.articles import articles
 
 #: The structured artifact, one JSON text a paper.
 STRUCTURED = """
-struct<paper:struct<doi:string,title:string,year:int,journal:string>,
+struct<context:string,paper:struct<doi:string,title:string,year:int,journal:string>,
 experiments:array<struct<experiment:string,label:string,method:string,scale_type:string,scale_range:string>>,
 panels:array<struct<panel_label:string,experiment:string,parent_panel_label:string,panel_size:int,attributes_json:string,description:string>>,
 observations:array<struct<experiment:string,panel_label:string,measurement_domain:string,substance:string,components:array<struct<substance:string,concentration:string,unit:string>>,base_matrix:string,is_control:boolean,attribute:string,attribute_normalized:string,value:double,value_type:string,error:double,error_type:string,source:string,source_type:string,confidence:string>>>
@@ -26,19 +26,27 @@ def parse(files: DataFrame) -> DataFrame:
     return articles(keyed.select("paper_id", "path", "text"), "text")
 
 
-def structured(artifacts: DataFrame, text: str = "value") -> dict[str, DataFrame]:
-    """paper_id and artifact texts to the store's papers, experiments, panels and observations, and what was dropped."""
+#: The artifact's names of what the store calls otherwise.
+STORE_NAMES = {"substance": "substance_name", "attribute": "attribute_raw", "error": "error_value", "source": "source_location", "confidence": "extraction_confidence"}
+
+
+def structured(artifacts: DataFrame, text: str = "value", run_id: int | None = None) -> dict[str, DataFrame]:
+    """paper_id and artifact texts to the store's papers, experiments, panels and observations, and what was dropped.
+
+    Observations have the store's columns (and ord, experiment, panel_label, components and fell_back beside them), so
+    that schema.conform loses none of them."""
     a = artifacts.select("paper_id", F.from_json(text, STRUCTURED).alias("s"))
-    papers = a.select("paper_id", "s.paper.*")
-    experiments = a.select("paper_id", F.explode("s.experiments").alias("e")).select("paper_id", experiment_key(F.col("paper_id"), F.col("e.experiment")).alias("experiment_id"), F.col("e.experiment").alias("experiment"), F.col("e.label").alias("experiment_label"), F.col("e.method").alias("sensory_method"), "e.scale_type", "e.scale_range")
-    panels = a.select("paper_id", F.posexplode("s.panels").alias("ord", "p")).select("paper_id", "ord", "p.*").withColumn("panel_id", panel_key(F.col("paper_id"), F.col("panel_label")))
+    papers = a.select("paper_id", "s.paper.*", F.when(~F.trim("s.context").isin("", "{}", "[]", "null"), F.col("s.context")).alias("context_json"), F.lit(run_id).cast("long").alias("latest_run_id"))
+    number = lambda c: F.coalesce(c, F.lit("exp1"))
+    experiments = a.select("paper_id", F.explode("s.experiments").alias("e")).select("paper_id", experiment_key(F.col("paper_id"), number(F.col("e.experiment"))).alias("experiment_id"), number(F.col("e.experiment")).alias("experiment"), F.col("e.label").alias("experiment_label"), F.col("e.method").alias("sensory_method"), "e.scale_type", "e.scale_range")
+    panels = a.select("paper_id", F.posexplode("s.panels").alias("ord", "p")).select("paper_id", "ord", "p.*").withColumn("panel_label", F.coalesce("panel_label", F.lit("unknown"))).withColumn("panel_id", panel_key(F.col("paper_id"), F.col("panel_label")))
     panels = resolve.parents(panels, "paper_id", "panel_label", "parent_panel_label", "panel_id", "ord").withColumnRenamed("parent_key", "parent_panel_id")
-    obs = a.select("paper_id", F.posexplode("s.observations").alias("ord", "o")).select("paper_id", "ord", "o.*")
-    obs = obs.withColumns({"experiment_id": experiment_key(F.col("paper_id"), F.col("experiment")), "measurement_domain": F.coalesce("measurement_domain", F.lit("sensory")), "components_json": F.to_json("components"), "source_agent": F.lit("structuring")})
+    obs = a.select("paper_id", F.posexplode("s.observations").alias("ord", "o")).select("paper_id", "ord", "o.*").withColumnsRenamed(STORE_NAMES)
+    obs = obs.withColumn("experiment", number(F.col("experiment"))).withColumns({"experiment_id": experiment_key(F.col("paper_id"), F.col("experiment")), "measurement_domain": F.coalesce("measurement_domain", F.lit("sensory")), "is_control": F.coalesce("is_control", F.lit(False)), "components_json": F.to_json("components", {"ignoreNullFields": "false"}), "source_agent": F.lit("structuring"), "run_id": F.lit(run_id).cast("long")})
     known = resolve.existing(obs, experiments, ["experiment_id"])
     dropped = resolve.missing(obs, experiments, ["experiment_id"], "unknown experiment")
     exact = resolve.last_by(panels.withColumn("label", F.col("panel_label")), ["paper_id", "label"], "panel_id", "ord")
-    full = resolve.last_by(panels.where(alias_key("panel_label").startswith("full") | F.col("parent_panel_label").isNull()), ["paper_id", "experiment"], "panel_id", "ord")
+    full = resolve.last_by(panels.where((F.coalesce("parent_panel_label", F.lit("")) == "") & (F.col("experiment") != "")), ["paper_id", "experiment"], "panel_id", "ord")
     placed = resolve.lookup_or(known, exact, full, {"paper_id": "paper_id", "label": "panel_label"}, {"paper_id": "paper_id", "experiment": "experiment"}, "panel_id", "panel_label")
     return {"papers": papers, "experiments": experiments, "panels": panels, "observations": placed, "dropped": dropped}
 
@@ -46,13 +54,13 @@ def structured(artifacts: DataFrame, text: str = "value") -> dict[str, DataFrame
 def as_truth(obs: DataFrame, panels: DataFrame) -> DataFrame:
     """Stored observations in the ground truth's columns."""
     p = panels.select("panel_id", F.col("panel_size").alias("_size"), F.col("attributes_json").alias("_attributes"), F.col("panel_label").alias("_label"))
-    slots = nested.component_slots("components_json", F.col("substance"))
+    slots = nested.component_slots("components_json", F.col("substance_name"))
     full = obs.drop("panel_label").join(p, "panel_id", "left").withColumn("_s", slots)
     return full.select(
         "paper_id", without_prefix("experiment_id", F.col("paper_id")).alias("experiment"), "measurement_domain", F.col("_label").alias("panel_label"), to_int(F.col("_size").cast("string")).alias("panel_size"),
         F.nullif(nested.flat_demographics("_attributes"), F.lit("")).alias("panel_demographics"), "_s.substance_1", "_s.concentration_1", "_s.unit_1", "_s.substance_2", "_s.concentration_2", "_s.unit_2",
-        "base_matrix", F.coalesce("is_control", F.lit(False)).alias("is_control"), F.coalesce(F.nullif("attribute", F.lit("")), "attribute_normalized").alias("attribute"), to_double(F.col("value").cast("string")).alias("value"),
-        "value_type", "error", "error_type", "source_type", F.col("source").alias("source_location"), "_s.notes", "ord",
+        "base_matrix", F.coalesce("is_control", F.lit(False)).alias("is_control"), F.coalesce(F.nullif("attribute_raw", F.lit("")), "attribute_normalized").alias("attribute"), to_double(F.col("value").cast("string")).alias("value"),
+        "value_type", F.col("error_value").alias("error"), "error_type", "source_type", "source_location", "_s.notes", "ord",
     )
 
 
@@ -75,10 +83,10 @@ def check(obs: DataFrame, experiments: DataFrame, panels: DataFrame, key: str =
     issues = validate.range_issues(scaled)
     fixed = validate.apply_corrections(obs.withColumn("_key", F.concat_ws("#", "paper_id", F.col(key).cast("string"))), issues.withColumn("_key", F.concat_ws("#", "paper_id", F.col(key).cast("string"))), "_key").drop("_key")
     keys: list[Column | str] = ["paper_id", *dedup.measurement_keys()]
-    with_number = fixed.withColumn("concentration", nested.first_concentration("components_json"))
+    with_number = fixed.withColumns({"substance": F.col("substance_name"), "attribute": F.col("attribute_raw")}).withColumn("concentration", nested.first_concentration("components_json"))
     return {
         "issues": issues,
-        "contaminated": obs.where(validate.contaminated("attribute")),
+        "contaminated": obs.where(validate.contaminated("attribute_raw")),
         "unknown_panels": validate.unknown_reference(obs, panels, ["paper_id", "panel_label"], "panel_label"),
         "panel_sizes": validate.larger_than_parent(panels, "panel_id", "parent_panel_id", "panel_size"),
         "duplicates": dedup.duplicate_pairs(with_number, keys, key),

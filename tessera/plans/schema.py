@@ -14,10 +14,10 @@ TABLES = {
     "observations": "observation_id bigint, paper_id string, experiment_id string, panel_id string, measurement_domain string, substance_name string, components_json string, base_matrix string, is_control boolean, attribute_raw string, attribute_normalized string, value double, value_type string, error_value double, error_type string, source_type string, source_location string, extraction_confidence string, source_agent string, run_id bigint",
     "substances": "substance_id bigint, normalized_name string, cas_number string, smiles string, molecular_weight double, category string, properties_json string",
     "substance_aliases": "alias string, substance_id bigint",
-    "extraction_runs": "run_id bigint, paper_id string, run_timestamp timestamp, status string, completed_at timestamp, validation_report string, token_usage string, total_cost_usd double, notes string",
+    "extraction_runs": "run_id bigint, paper_id string, run_timestamp timestamp, agent1_prompt_version string, agent2_prompt_version string, agent3_prompt_version string, agent4_prompt_version string, model_versions string, status string, validation_report string, corrections_applied int, human_review_items int, token_usage string, total_cost_usd double, notes string",
     "unit_conversions": "unit_raw string, unit_canonical string, multiplier double, category string",
 }
-DEFAULTS = {"papers": {"validation_status": "pending"}, "observations": {"measurement_domain": "sensory", "is_control": False}, "extraction_runs": {"status": "in_progress"}}
+DEFAULTS = {"papers": {"validation_status": "pending"}, "observations": {"measurement_domain": "sensory", "is_control": False}, "extraction_runs": {"status": "in_progress", "corrections_applied": 0, "human_review_items": 0, "total_cost_usd": 0.0}}
 #: Tables that are laid out by paper, so that a paper's rows are found and rewritten by themselves.
 BY_PAPER = ("experiments", "panels", "observations")
 

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from .functions import nested, text, vocab
 from .operators import aggregate, articles, dedup, match, resolve, store, validate
+from .plans import lifecycle, schema
 from .sources import files
 from .streaming import ingest
 
@@ -92,7 +93,7 @@ UNION ALL SELECT event_id, 'negative_value', NULL, false, 'human' FROM x WHERE v
 def range_check(spark, sf_dir):
     e = _t(spark, sf_dir, "events")
     scales = e.groupBy("event_type").agg(F.least(F.max("value") / 20, F.lit(10.0)).alias("high"))
-    obs = e.join(F.broadcast(scales), "event_type").withColumns({"low": F.lit(0.0), "value_type": F.lit("frequency_pct")})  # one row an event type
+    obs = e.join(scales, "event_type").withColumns({"low": F.lit(0.0), "value_type": F.lit("frequency_pct")})
     return validate.range_issues(obs).select("event_id", "issue", "suggested_value", "auto_corrected", "review")
 
 
@@ -402,3 +403,154 @@ def daily_events(spark, sf_dir):
 @_query("SELECT o_orderkey, o_orderdate FROM orders WHERE o_orderstatus = 'F'")
 def keyed_scan(spark, sf_dir):
     return files.table_rows(spark, f"{sf_dir}/orders.parquet", "o_orderstatus", "F", ["o_orderdate", "o_orderkey"]).select("o_orderkey", "o_orderdate")
+
+
+@_query("""WITH t AS (SELECT l_orderkey, list([l_returnflag, CASE WHEN l_linenumber % 2 = 0 THEN '' ELSE l_linestatus END] ORDER BY l_linenumber, l_returnflag, l_linestatus) AS d FROM lineitem GROUP BY 1 HAVING l_orderkey % 2 = 0 OR bool_or(l_linenumber % 2 = 1))
+SELECT l_orderkey, CASE WHEN l_orderkey % 2 = 1 THEN 0.0 ELSE round((0.5 + 0.5 * len(list_filter(flatten(d), lambda c: c <> '')) / len(flatten(d))::DOUBLE), 3) END AS confidence FROM t""")
+def table_confidence_headers(spark, sf_dir):
+    """Tables with equal headers, of which a row has one value, and blank cells of tabs and newlines."""
+    cell = F.struct("l_linenumber", "l_returnflag", F.when(F.col("l_linenumber") % 2 == 0, "\t\n").otherwise(F.col("l_linestatus")).alias("s"))
+    t = _t(spark, sf_dir, "lineitem").groupBy("l_orderkey").agg(F.array_sort(F.collect_list(cell)).alias("_d"))
+    head = F.array(F.lit("flag"), F.when(F.col("l_orderkey") % 2 == 1, "flag").otherwise("status"))
+    cells = F.concat(F.array(head), F.transform("_d", lambda x: F.array(x["l_returnflag"], x["s"])))
+    return articles.raw_tables(t.select("l_orderkey", cells.alias("cells"))).select("l_orderkey", articles.table_confidence().alias("confidence"))
+
+
+@_query(r"SELECT doc_id, regexp_replace(trim(regexp_replace(text, '[\s\v]+', ' ', 'g')), '\[\d+\]', '', 'g') AS clean FROM documents")
+def clean_documents(spark, sf_dir):
+    return _t(spark, sf_dir, "documents").select("doc_id", text.clean_text("text").alias("clean"))
+
+
+@_query("SELECT o_orderkey, o_totalprice AS price, CAST(year(o_orderdate) AS INTEGER) AS year, o_orderpriority AS priority, o_orderstatus = 'F' AS done, CAST(NULL AS INTEGER) AS no_int FROM orders")
+def typed_values(spark, sf_dir):
+    o = _t(spark, sf_dir, "orders")
+    wide = lambda c: F.concat(F.lit(" \t"), c.cast("string"), F.lit("\n "))
+    done = F.when(F.col("o_orderstatus") == "F", " yes").otherwise(F.col("o_orderstatus"))
+    return o.select(
+        "o_orderkey", text.to_double(wide(F.col("o_totalprice"))).alias("price"), text.to_int(wide(F.year("o_orderdate"))).alias("year"), text.to_str(wide(F.col("o_orderpriority"))).alias("priority"),
+        text.to_bool(done).alias("done"), text.to_int(F.concat(F.col("o_orderkey").cast("string"), F.lit(".5"))).alias("no_int"),
+    )
+
+
+@_query("SELECT doc_id, lower(source) || '_' || doc_id || '_tar' AS key FROM documents")
+def file_keys(spark, sf_dir):
+    path = F.concat(F.lit("/in/x.y/"), F.col("source"), F.lit("--"), F.col("doc_id").cast("string"), F.lit(".tar.gz"))
+    return _t(spark, sf_dir, "documents").select("doc_id", text.file_key(path).alias("key"))
+
+
+@_query(r"""WITH k AS (SELECT p_partkey, lower(trim(p_name)) AS k, replace(lower(trim(p_name)), ' ', '_') AS u, lower(trim(p_brand)) AS b FROM part)
+SELECT p_partkey, u AS substance, CASE b WHEN 'brand#11' THEN 'eleven' ELSE b END AS attribute, regexp_replace(regexp_replace(k, '[^a-z0-9_\s]', '', 'g'), '\s+', '_', 'g') AS canonical, 'other' AS category FROM k""")
+def substance_keys(spark, sf_dir):
+    p = _t(spark, sf_dir, "part")
+    name = F.concat(F.lit(" "), F.upper("p_name"), F.lit(" "))
+    return p.select("p_partkey", text.substance_key(name, {"no such": "x"}).alias("substance"), text.attribute_key("p_brand", {"brand#11": "eleven"}).alias("attribute"), vocab.canonical_substance("p_name").alias("canonical"), vocab.substance_category("p_name").alias("category"))
+
+
+@_query("SELECT c_custkey, c_name AS bare, 'x__' || c_name AS other, c_mktsegment || '__exp' || c_nationkey AS experiment_id, c_mktsegment || '__panel_' || c_nationkey AS panel_id FROM customer")
+def identifiers(spark, sf_dir):
+    c = _t(spark, sf_dir, "customer")
+    n = F.col("c_nationkey").cast("string")
+    return c.select(
+        "c_custkey", text.without_prefix(F.concat("c_mktsegment", F.lit("__"), "c_name"), F.col("c_mktsegment")).alias("bare"), text.without_prefix(F.concat(F.lit("x__"), "c_name"), F.col("c_mktsegment")).alias("other"),
+        text.experiment_key(F.col("c_mktsegment"), F.concat(F.lit("exp"), n)).alias("experiment_id"), text.panel_key(F.col("c_mktsegment"), n).alias("panel_id"),
+    )
+
+
+@_query("SELECT doc_id, CASE WHEN lang = 'en' THEN 'image/jpeg' WHEN lang = 'de' THEN 'image/gif' ELSE 'image/png' END AS kind, lower(source) || '-' || doc_id AS figure FROM documents")
+def picture_addresses(spark, sf_dir):
+    d = _t(spark, sf_dir, "documents")
+    suffix = F.when(F.col("lang") == "en", "JPG").when(F.col("lang") == "de", "gif").otherwise("tiff")
+    url = F.concat(F.lit("https://x/y.z/"), F.upper("source"), F.lit("-"), F.col("doc_id").cast("string"), F.lit("_hi-res-550."), suffix)
+    plain = F.regexp_replace(url, "_hi-res-550", "-large")
+    return d.select("doc_id", text.media_type(url).alias("kind"), text.figure_key(plain).alias("figure"))
+
+
+@_query("SELECT doc_id, length(text) <= 2000 AS fits, 'html' AS kind, replace(replace('<t>{a}</t>', '{a}', source || '{b}'), '{b}', lang) AS filled FROM documents")
+def prompts(spark, sf_dir):
+    d = _t(spark, sf_dir, "documents")
+    filled = text.fill_template(F.lit("<t>{a}</t>"), {"{a}": F.concat("source", F.lit("{b}")), "{b}": F.col("lang")})
+    return d.select("doc_id", text.within_limit("text", 2000).alias("fits"), text.document_kind("text").alias("kind"), filled.alias("filled"))
+
+
+@_query("SELECT o_orderkey, o_custkey, 'unknown customer' AS reason FROM orders WHERE o_custkey NOT IN (SELECT c_custkey FROM customer WHERE c_nationkey >= 12)")
+def missing_refs(spark, sf_dir):
+    known = _t(spark, sf_dir, "customer").where("c_nationkey >= 12").select(F.col("c_custkey").alias("o_custkey"))
+    return resolve.missing(_t(spark, sf_dir, "orders").select("o_orderkey", "o_custkey"), known, ["o_custkey"], "unknown customer")
+
+
+@_query("SELECT o_custkey, arg_max(o_totalprice, o_orderkey) AS o_totalprice FROM orders GROUP BY 1")
+def last_values(spark, sf_dir):
+    return resolve.last_by(_t(spark, sf_dir, "orders"), ["o_custkey"], "o_totalprice", "o_orderkey")
+
+
+@_query("SELECT o_orderkey, o_custkey AS panel_id, c_name, c_acctbal FROM orders LEFT JOIN (SELECT * FROM customer WHERE c_nationkey < 12) c ON c_custkey = o_custkey")
+def with_panels(spark, sf_dir):
+    panels = _t(spark, sf_dir, "customer").where("c_nationkey < 12").select(F.col("c_custkey").alias("panel_id"), "c_name", "c_acctbal")
+    return resolve.with_panels(_t(spark, sf_dir, "orders").select("o_orderkey", F.col("o_custkey").alias("panel_id")), panels).select("o_orderkey", "panel_id", "c_name", "c_acctbal")
+
+
+@_query("SELECT lower(c_name) AS alias, c_nationkey AS substance_id, n_name AS normalized_name FROM customer JOIN nation ON n_nationkey = c_nationkey WHERE n_regionkey < 3")
+def alias_entities(spark, sf_dir):
+    aliases = _t(spark, sf_dir, "customer").select(F.lower("c_name").alias("alias"), F.col("c_nationkey").alias("substance_id"))
+    entities = _t(spark, sf_dir, "nation").where("n_regionkey < 3").select(F.col("n_nationkey").alias("substance_id"), F.col("n_name").alias("normalized_name"))
+    return resolve.alias_table(aliases, entities).select("alias", "substance_id", "normalized_name")
+
+
+@_query("""WITH n AS (SELECT l_orderkey, l_linenumber, coalesce(CASE WHEN s_nationkey < 12 THEN s_name END, s_name || '?', 'unknown') AS name FROM (SELECT l_orderkey, l_linenumber, min(l_suppkey) AS l_suppkey FROM lineitem GROUP BY 1, 2) LEFT JOIN supplier ON s_suppkey = l_suppkey)
+SELECT o_orderkey AS result_id, o_orderstatus AS kind, (SELECT min(name) FROM n WHERE l_orderkey = o_orderkey AND l_linenumber = (SELECT min(l_linenumber) FROM n WHERE l_orderkey = o_orderkey)) AS substance_name, (SELECT count(*) FROM n WHERE l_orderkey = o_orderkey) AS parts FROM orders""")
+def wide_measurements(spark, sf_dir):
+    """Results (orders) with samples (orders), parts (lines), stimuli and entities (suppliers); of lines of one number the smallest supplier is taken."""
+    o, s = _t(spark, sf_dir, "orders"), _t(spark, sf_dir, "supplier")
+    parts = _t(spark, sf_dir, "lineitem").groupBy(F.col("l_orderkey").alias("sample_id"), F.col("l_linenumber").alias("component_id")).agg(F.min("l_suppkey").alias("stimulus_id")).withColumns({"concentration": F.lit(1.0), "unit": F.lit(None).cast("string")})
+    stimuli = s.select(F.col("s_suppkey").alias("stimulus_id"), F.col("s_suppkey").alias("substance_id"), F.concat("s_name", F.lit("?")).alias("stimulus_name"))
+    entities = s.where("s_nationkey < 12").select(F.col("s_suppkey").alias("substance_id"), F.col("s_name").alias("normalized_name"))
+    got = resolve.wide_measurements(o.select(F.col("o_orderkey").alias("result_id"), F.col("o_orderkey").alias("sample_id")), o.select(F.col("o_orderkey").alias("sample_id"), F.col("o_orderstatus").alias("kind")), parts, stimuli, entities)
+    least = F.coalesce(F.size(F.from_json("components_json", "array<struct<substance:string,unit:string>>")), F.lit(0)).cast("long")
+    return got.select("result_id", "kind", "substance_name", least.alias("parts"))
+
+
+@_query("SELECT o_custkey, min(o_orderkey) AS o_orderkey FROM orders GROUP BY 1")
+def first_of_id(spark, sf_dir):
+    return dedup.first_of_id(_t(spark, sf_dir, "orders").select("o_custkey", "o_orderkey"), "o_custkey", "o_orderkey")
+
+
+@_query("SELECT lower(trim(p_brand)) AS name, count(*) AS n FROM part WHERE lower(trim(p_brand)) NOT IN ('brand#11', 'brand#22') GROUP BY 1")
+def unmapped_terms(spark, sf_dir):
+    return vocab.unmapped_terms(_t(spark, sf_dir, "part"), "p_brand", {"brand#11": "a", "brand#22": "b"})
+
+
+@_query("""SELECT o_custkey, 'cheap' AS "check", count(*) AS n FROM orders WHERE o_totalprice < 20000 GROUP BY 1 UNION ALL SELECT o_custkey, 'open', count(*) FROM orders WHERE o_orderstatus = 'O' GROUP BY 1""")
+def check_report(spark, sf_dir):
+    o = _t(spark, sf_dir, "orders")
+    return validate.report({"cheap": o.where("o_totalprice < 20000"), "open": o.where("o_orderstatus = 'O'")}, "o_custkey")
+
+
+@_query("""WITH f AS (SELECT o_orderkey, min(o_totalprice / 10) AS fix FROM orders WHERE o_orderstatus = 'F' GROUP BY 1)
+SELECT o_orderkey, coalesce(fix, o_totalprice) AS value FROM orders LEFT JOIN f USING (o_orderkey)""")
+def corrections(spark, sf_dir):
+    o = _t(spark, sf_dir, "orders").select("o_orderkey", F.col("o_totalprice").alias("value"), "o_orderstatus")
+    issues = o.select("o_orderkey", (F.col("value") / 10).alias("suggested_value"), (F.col("o_orderstatus") == "F").alias("auto_corrected"))
+    return validate.apply_corrections(o.drop("o_orderstatus"), issues, "o_orderkey")
+
+
+@_query("""SELECT 'u' || user_id AS paper_id, 'u' || user_id || '__exp' || (event_id % 3 + 1) AS experiment_id,
+CASE WHEN event_id % 4 = 0 THEN 'u' || user_id || '__panel_full' WHEN event_id % 4 = 1 THEN 'u' || user_id || '__panel_sub' WHEN event_id % 4 = 2 AND event_id % 3 = 0 THEN 'u' || user_id || '__panel_full' END AS panel_id,
+'sensory' AS measurement_domain, event_type AS substance_name, '[{"substance":"' || event_type || '","concentration":"' || event_id || '","unit":null}]' AS components_json, 'water' AS base_matrix, false AS is_control,
+event_type || '!' AS attribute_raw, event_type AS attribute_normalized, value, 'raw_mean' AS value_type, value / 2 AS error_value, 'SD' AS error_type, 'table' AS source_type, 'Table ' || event_id AS source_location, 'high' AS extraction_confidence, 7 AS run_id
+FROM events WHERE event_id % 3 < 2 AND user_id IS NOT NULL""")
+def stored_observations(spark, sf_dir):
+    """Artifacts of all events, one a user, through the reshaping and into the store's columns."""
+    e = _t(spark, sf_dir, "events").where("user_id IS NOT NULL")
+    n, no = F.col("event_id").cast("string"), F.lit(None).cast("string")
+    label = F.when(F.col("event_id") % 4 == 0, "full").when(F.col("event_id") % 4 == 1, "sub").when(F.col("event_id") % 4 == 2, "odd")
+    obs = F.struct(
+        F.concat(F.lit("exp"), (F.col("event_id") % 3 + 1).cast("string")).alias("experiment"), label.alias("panel_label"), F.col("event_type").alias("substance"),
+        F.array(F.struct(F.col("event_type").alias("substance"), n.alias("concentration"), no.alias("unit"))).alias("components"), F.lit("water").alias("base_matrix"), F.concat("event_type", F.lit("!")).alias("attribute"),
+        F.col("event_type").alias("attribute_normalized"), "value", F.lit("raw_mean").alias("value_type"), (F.col("value") / 2).alias("error"), F.lit("SD").alias("error_type"), F.concat(F.lit("Table "), n).alias("source"), F.lit("table").alias("source_type"), F.lit("high").alias("confidence"),
+    )
+    experiments = F.array(*[F.struct(F.lit(x).alias("experiment"), F.lit("L").alias("label")) for x in ("exp1", "exp2")])
+    panels = F.array(*[F.struct(F.lit(a).alias("panel_label"), F.lit(x).alias("experiment"), F.lit(b).cast("string").alias("parent_panel_label")) for a, x, b in (("full", "exp1", ""), ("sub", "exp1", "full"), ("fuller", "exp2", "full"))])
+    artifacts = e.groupBy(F.concat(F.lit("u"), F.col("user_id").cast("string")).alias("paper_id")).agg(F.collect_list(obs).alias("observations"))
+    got = lifecycle.structured(artifacts.select("paper_id", F.to_json(F.struct("observations", experiments.alias("experiments"), panels.alias("panels"))).alias("value")), run_id=7)
+    good, _ = schema.conform(got["observations"], "observations")
+    return good.drop("observation_id", "source_agent").withColumn("run_id", F.col("run_id").cast("int"))

@@ -96,7 +96,7 @@ def test_pdf_text(spark):
 def test_raw_tables(spark):
     df = spark.createDataFrame([(1, [[" a ", "b"], ["1", None], ["", ""]]), (2, [["", ""], ["h", "h"], ["1", "2"]]), (3, [["", ""]]), (4, [["h"]])], "id int, cells array<array<string>>")
     got = {r.id: r for r in articles.raw_tables(df).withColumn("c", articles.table_confidence()).withColumn("md", articles.table_markdown()).collect()}
-    assert set(got) == {1, 2} and got[1].headers == ["a", "b"] and got[1].data == [["1", ""]] and got[1].c == 0.75 and got[2].c == 0.75
+    assert set(got) == {1, 2} and got[1].headers == ["a", "b"] and got[1].data == [["1", ""]] and got[1].c == 0.75 and got[2].c == 0.0  # of equal headers a row has one value
     assert got[1].md.splitlines() == ["| a | b |", "| --- | --- |", "| 1 |  |"]
 
 
@@ -229,11 +229,11 @@ def test_lifecycle(spark):
     }
     parts = lifecycle.structured(spark.createDataFrame([("p", json.dumps(artifact))], "paper_id string, value string"))
     assert parts["dropped"].count() == 1
-    placed = {r.attribute: (r.panel_id, r.fell_back) for r in parts["observations"].collect()}
+    placed = {r.attribute_raw: (r.panel_id, r.fell_back) for r in parts["observations"].collect()}
     assert placed == {"salty": ("p__panel_sub", False), "age": ("p__panel_full", True)}
     checked = lifecycle.check(parts["observations"], parts["experiments"], parts["panels"])
     assert [r.suggested_value for r in checked["issues"].collect()] == [5.5] and checked["contaminated"].count() == 1 and checked["panel_sizes"].count() == 1
-    assert {r.attribute: r.value for r in checked["corrected"].collect()}["salty"] == 5.5
+    assert {r.attribute_raw: r.value for r in checked["corrected"].collect()}["salty"] == 5.5
     found = lifecycle.as_truth(parts["observations"], parts["panels"])
     result = lifecycle.evaluate(found.withColumn("value", F.col("value") * 1.005), found, vocab.SCORING_SUBSTANCES, {"salty": "saltiness"})
     assert tuple(result["overall"].select("precision", "recall", "f1", "n_correct").first()) == (1.0, 1.0, 1.0, 2)
@@ -293,3 +293,40 @@ def test_queries_agree_with_sql(spark, sf_dir, name):
         want = sorted((tuple(plain(r[out.columns.index(c)]) for c in got.columns) for r in out.fetchall()), key=repr)
         assert sorted((tuple(map(plain, r)) for r in rows), key=repr) == want
     assert rows
+
+
+def test_the_store_gets_all_of_an_observation(spark):
+    obs = {"experiment": "exp2", "panel_label": "odd", "measurement_domain": "psychological", "substance": "NaCl", "components": [{"substance": "NaCl", "concentration": "1", "unit": None}], "base_matrix": "water", "is_control": True, "attribute": "salty", "attribute_normalized": "saltiness", "value": 5.5, "value_type": "raw_mean", "error": 0.5, "error_type": "SD", "source": "Table 1", "source_type": "table", "confidence": "high"}
+    panels = [{"panel_label": "fuller", "experiment": "exp2", "parent_panel_label": "main"}, {"panel_label": "main", "experiment": "exp2", "parent_panel_label": ""}, {"panel_label": "x", "experiment": ""}]
+    artifact = {"context": {"panels": {"n": 1}}, "paper": {"title": "T"}, "experiments": [{"experiment": "exp2", "label": "L"}], "panels": panels, "observations": [obs, {"value": 1.0}]}
+    parts = lifecycle.structured(spark.createDataFrame([("p", json.dumps(artifact))], "paper_id string, value string"), run_id=3)
+    good, bad = schema.conform(parts["observations"], "observations")
+    row = good.first().asDict()
+    assert bad.count() == 0 and good.count() == 1 and parts["dropped"].count() == 1
+    want = {"paper_id": "p", "experiment_id": "p__exp2", "panel_id": "p__panel_main", "measurement_domain": "psychological", "substance_name": "NaCl", "components_json": '[{"substance":"NaCl","concentration":"1","unit":null}]', "base_matrix": "water", "is_control": True, "attribute_raw": "salty", "attribute_normalized": "saltiness", "value": 5.5, "value_type": "raw_mean", "error_value": 0.5, "error_type": "SD", "source_type": "table", "source_location": "Table 1", "extraction_confidence": "high", "run_id": 3}
+    assert {k: row[k] for k in want} == want and len(want) == 18
+    assert schema.conform(parts["papers"], "papers")[0].first()["context_json"] == '{"panels":{"n":1}}'
+    assert {r.panel_label: r.parent_panel_id for r in parts["panels"].collect()} == {"fuller": "p__panel_main", "main": None, "x": None}
+
+
+def test_runs(spark):
+    runs = schema.conform(spark.createDataFrame([(4, "a", "completed")], "run_id long, paper_id string, status string"), "extraction_runs")[0]
+    new = store.start_runs(runs, spark.createDataFrame([("b",), ("c",)], "paper_id string"), {"m": "1"}, {"agent1": "v2"})
+    rows = {r.paper_id: r for r in new.collect()}
+    assert (rows["b"].run_id, rows["c"].run_id) == (5, 6) and rows["b"].agent1_prompt_version == "v2" and rows["b"].agent2_prompt_version is None and rows["b"].status == "in_progress" and rows["b"].corrections_applied == 0 and json.loads(rows["b"].model_versions) == {"m": "1"}
+    done = store.finish_run(new, 5, status="completed", token_usage={"in": 3}, paper_id="z").where("run_id = 5").first()
+    assert (done.status, done.token_usage, done.paper_id) == ("completed", '{"in": 3}', "b")
+
+
+def test_xml_figures(spark):
+    page = '<?xml version="1.0"?><article><fig id="f1"><label>Fig. 1</label><caption><p>One</p></caption><graphic xlink:href="a.tif"/></fig><fig/></article>'
+    got = articles.articles(spark.createDataFrame([(1, page)], "id int, html string"), "html").first().figures
+    assert [(f.figure_id, f.caption, f.image_url) for f in got] == [("figure_1", "One", "a.tif"), ("figure_2", "Figure 2", "")]
+
+
+def test_table_bounds(spark):
+    wide = articles.table_grid(articles.Page("<table><tr><th>a<tr><td colspan=1000000000>x</table>").root.first("table"))[1]
+    assert len(wide[0]) == 1000
+    df = spark.createDataFrame([(3, 2, [["h", "i"], ["\t\n", "\u00a0"], ["1", "\t"]])], "n int, page int, cells array<array<string>>")
+    got = articles.raw_tables(df, table_id="n").withColumn("c", articles.table_confidence()).first()
+    assert got.data == [["1", ""]] and got.c == 0.75 and (got.table_id, got.caption) == ("table_3", "Table 3 (page 2)")
