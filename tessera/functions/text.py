@@ -149,6 +149,16 @@ def fill_template(template: Column | str, values: dict[str, Column]) -> Column:
     return reduce(lambda t, kv: F.replace(t, F.lit(kv[0]), kv[1]), values.items(), col(template))
 
 
+#: Suffixes of pictures.
+PICTURES = (".png", ".jpg", ".jpeg", ".gif", ".svg", ".tiff", ".tif", ".webp")
+
+
+def extension(c: Column | str) -> Column:
+    """The suffix of a picture's address, its query left out; .png for any other."""
+    found = F.regexp_extract(F.substring_index(F.lower(col(c)), "?", 1), r"\.[^./]*$", 0)
+    return F.when(found.isin(*PICTURES), found).otherwise(".png")
+
+
 def figure_key(c: Column | str) -> Column:
     """A picture's address without path, suffix and resolution, to find the same picture in several sizes."""
     name = F.element_at(F.split(col(c), "/"), -1)

@@ -523,3 +523,39 @@ def table_markdown(headers: str = "headers", data: str = "data"):
 def document_text(title: str = "title", abstract: str = "abstract", sections: str = "sections"):
     """Title, abstract and sections as marked-down text."""
     return F.concat_ws("\n\n", F.concat(F.lit("# "), title), F.coalesce(abstract, F.lit("")), F.transform(sections, lambda s: F.concat(F.lit("## "), s["name"], F.lit("\n"), s["text"])))
+
+
+def section_text(name: str, sections: str = "sections") -> Column:
+    """The text of the first section with `name` anywhere in its name, in any case; empty if there is none."""
+    hits = F.filter(sections, lambda s: F.lower(s["name"]).contains(name.lower()))
+    return F.coalesce(F.get(hits, F.lit(0))["text"], F.lit(""))
+
+
+# fixed values: names under which methods and results are looked up, in order
+METHODS = ("methods", "materials", "materials and methods", "experimental", "experimental section")
+RESULTS = ("results", "results and discussion", "findings")
+
+
+def joined_sections(names: tuple[str, ...] = METHODS, sections: str = "sections") -> Column:
+    """What section_text gives for each name, blank ones left out; a section that several names find comes as often."""
+    return F.concat_ws("\n\n", *[F.nullif(section_text(n, sections), F.lit("")) for n in names])
+
+
+def prompt_text(title: str = "title", abstract: str = "abstract", sections: str = "sections") -> Column:
+    """The article as a model is given it: title, abstract and sections under names in capitals, blank parts left out."""
+    some = lambda head, c: F.when(F.coalesce(F.col(c), F.lit("")) != "", F.concat(F.lit(head), c))
+    parts = F.transform(sections, lambda s: F.concat(F.lit("\n"), F.upper(s["name"]), F.lit(":\n"), F.coalesce(s["text"], F.lit(""))))
+    return F.concat_ws("\n", some("TITLE: ", title), some("\nABSTRACT:\n", abstract), parts)
+
+
+def tables_text(tables: str = "tables", none: str = "") -> Column:
+    """All tables that have headers as lines between bars, each under its caption, or `none` if there are none."""
+    line = lambda cells: F.concat(F.lit("| "), F.array_join(cells, " | "), F.lit(" |"))
+
+    def one(t: Column) -> Column:
+        head = F.when(F.coalesce(t["caption"], F.lit("")) != "", F.concat(F.lit("**"), t["caption"], F.lit("**\n")))
+        rows = F.transform(t["rows"], lambda r: line(F.transform(t["headers"], lambda h: F.coalesce(F.try_element_at(r, h), F.lit("")))))
+        return F.concat_ws("\n", head, line(t["headers"]), line(F.transform(t["headers"], lambda _: F.lit("---"))), rows)
+
+    texts = F.transform(F.filter(tables, lambda t: F.size(t["headers"]) > 0), one)
+    return F.when(F.size(texts) > 0, F.array_join(texts, "\n\n")).otherwise(none)

@@ -109,3 +109,45 @@ def wide_measurements(results: DataFrame, samples: DataFrame, parts: DataFrame,
         F.min_by("_name", "component_id").alias("substance_name"),
     )
     return results.join(samples, "sample_id", "left").join(listed, "sample_id", "left")
+
+
+# fixed values: open columns of old papers, experiments and stimuli, in order; those named *_json hold JSON
+OPEN_PAPER = (
+    "country", "food_category", "num_experiments", "panel_types", "max_panel_size", "has_figure_data", "has_supplementary_data",
+    "data_availability", "data_availability_details", "context_json",
+)
+OPEN_EXPERIMENT = ("panel_size", "panel_type", "serving_temp_c", "serving_temp_raw", "conditions_json")
+OPEN_STIMULUS = ("supplier", "purity", "form", "details_json")
+
+
+def _open(df: DataFrame, names: tuple[str, ...]) -> tuple[list[Column], Column]:
+    """The named columns that df has, as variants (JSON that can't be read is text), and whether any is set."""
+    have = [c for c in names if c in df.columns]
+    value = lambda c: F.coalesce(F.try_parse_json(c), F.col(c).cast("variant")) if c.endswith("_json") else F.col(c).cast("variant")
+    return [value(c).alias(c) for c in have], F.coalesce(*[F.when(F.col(c).isNotNull(), True) for c in have], F.lit(False))
+
+
+def _by_name(df: DataFrame, name: Column, order: str, names: tuple[str, ...], out: str) -> DataFrame:
+    """paper_id and a map of name to open columns; of one name the last row counts, rows without any are left out."""
+    cols, some = _open(df, names)
+    if not cols:
+        return df.select("paper_id", F.lit(None).cast("map<string,string>").alias(out)).limit(0)
+    rows = df.where(some).select("paper_id", name.cast("string").alias("_name"), F.col(order).alias("_at"), F.struct(*cols).alias("_v")).where("_name IS NOT NULL")
+    last = rows.groupBy("paper_id", "_name").agg(F.max_by("_v", "_at").alias("_v"))
+    listed = last.groupBy("paper_id").agg(F.collect_list(F.struct("_name", "_v")).alias("_l"))
+    by_name = F.array_sort("_l", lambda a, b: F.when(a["_name"] < b["_name"], -1).when(a["_name"] > b["_name"], 1).otherwise(0))
+    return listed.select("paper_id", F.map_from_entries(by_name).alias(out))
+
+
+def open_context(papers: DataFrame, experiments: DataFrame, stimuli: DataFrame | None, order: str = "stimulus_id") -> DataFrame:
+    """papers with context_json: what old papers, experiments and stimuli hold beyond the new columns, NULLs left out.
+
+    stimuli have paper_id, substance_name and `order`. A paper with nothing of all this has no context."""
+    own, some = _open(papers, OPEN_PAPER)
+    out = papers.join(_by_name(experiments, F.col("experiment_id"), "experiment_id", OPEN_EXPERIMENT, "experiments"), "paper_id", "left")
+    more, has = [F.col("experiments")], some | F.col("experiments").isNotNull()
+    if stimuli is not None:
+        out = out.join(_by_name(stimuli, F.col("substance_name"), order, OPEN_STIMULUS, "substance_sourcing"), "paper_id", "left")
+        more, has = [*more, F.col("substance_sourcing")], has | F.col("substance_sourcing").isNotNull()
+    keep = [c for c in papers.columns if c not in OPEN_PAPER]
+    return out.select(*keep, F.when(has, F.to_json(F.struct(*own, *more))).alias("context_json"))

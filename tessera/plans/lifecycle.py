@@ -51,6 +51,21 @@ def structured(artifacts: DataFrame, text: str = "value", run_id: int | None = N
     return {"papers": papers, "experiments": experiments, "panels": panels, "observations": placed, "dropped": dropped}
 
 
+def summaries(artifacts: DataFrame, text: str = "value") -> DataFrame:
+    """paper_id, observations and experiments: short JSON lists of an artifact, for a model that goes on from there.
+
+    An observation's concentration is its first component's; NULLs are kept, a missing source or attribute is empty."""
+    a = artifacts.select("paper_id", F.from_json(text, STRUCTURED).alias("s"))
+    empty = F.lit("")
+    one = lambda o: F.struct(
+        o["substance"].alias("substance"), F.get(o["components"], F.lit(0))["concentration"].alias("concentration"), F.coalesce(o["attribute_normalized"], o["attribute"], empty).alias("attribute"),
+        o["value"].alias("value"), F.coalesce(o["value_type"], empty).alias("value_type"), F.coalesce(o["source"], empty).alias("source"),
+    )
+    setting = lambda e: F.struct(*[e[c].alias(c) for c in ("experiment", "method", "scale_type", "scale_range")])
+    as_json = lambda c, f: F.coalesce(F.to_json(F.transform(c, f), {"ignoreNullFields": "false"}), F.lit("[]"))
+    return a.select("paper_id", as_json("s.observations", one).alias("observations"), as_json("s.experiments", setting).alias("experiments"))
+
+
 def as_truth(obs: DataFrame, panels: DataFrame) -> DataFrame:
     """Stored observations in the ground truth's columns."""
     p = panels.select("panel_id", F.col("panel_size").alias("_size"), F.col("attributes_json").alias("_attributes"), F.col("panel_label").alias("_label"))

@@ -271,11 +271,6 @@ def doc_id_key(spark, sf_dir):
     return _t(spark, sf_dir, "pages").select("page_id", text.doi_key("url").alias("key"))
 
 
-@_query(r"SELECT page_id, regexp_replace(trim(regexp_replace(url, '[\s]+', ' ', 'g')), '\[\d+\]', '', 'g') AS clean FROM pages")
-def clean_text(spark, sf_dir):
-    return _t(spark, sf_dir, "pages").select("page_id", text.clean_text("url").alias("clean"))
-
-
 @_query("SELECT p_partkey, CASE WHEN starts_with(k, 'fig') THEN 'figure' WHEN starts_with(k, 'table') THEN 'table' WHEN k <> '' THEN 'text' ELSE 'unknown' END AS category FROM (SELECT p_partkey, lower(trim(['Figure 2', ' table 1', 'fig. 3', '', 'page 4'][1 + p_partkey % 5])) AS k FROM part)")
 def source_category(spark, sf_dir):
     places = F.array(*map(F.lit, ["Figure 2", " table 1", "fig. 3", "", "page 4"]))
@@ -301,16 +296,11 @@ def status_summary(spark, sf_dir):
     return got.withColumn("cost", F.round("cost", 2))
 
 
-@_query("SELECT 'nation' AS \"table\", count(*) AS n FROM nation UNION ALL SELECT 'region', count(*) FROM region")
-def table_counts(spark, sf_dir):
-    return aggregate.table_counts({n: _t(spark, sf_dir, n) for n in ("nation", "region")})
-
-
 _TABLES = ("benchmark", "conversations", "customer", "documents", "embeddings", "events", "labels", "lineitem", "nation", "orders", "pages", "part", "region", "supplier")
 
 
 @_query(" UNION ALL ".join(f"SELECT '{n}' AS \"table\", count(*) AS n FROM {n}" for n in _TABLES))
-def table_counts_all(spark, sf_dir):
+def table_counts(spark, sf_dir):
     return aggregate.table_counts({n: _t(spark, sf_dir, n) for n in _TABLES})
 
 
@@ -377,17 +367,9 @@ def table_confidence(spark, sf_dir):
     return articles.raw_tables(t.select("l_orderkey", cells.alias("cells"))).select("l_orderkey", articles.table_confidence().alias("confidence"))
 
 
-@_query("SELECT doc_id, CAST(i AS INTEGER) AS ord, 'part ' || i AS name, trim(split_part(text, chr(10), i)) AS text FROM documents, range(1, 3) t(i)")
-def markdown_sections(spark, sf_dir):
-    line = lambda i: F.coalesce(F.get(F.split("text", "\n"), F.lit(i)), F.lit(""))
-    docs = _t(spark, sf_dir, "documents").select("doc_id", F.concat(F.lit("## Part 1\n"), line(0), F.lit("\n## part 2\n"), line(1)).alias("md"))
-    got = articles.markdown_sections(docs, "doc_id", "md").where("name <> 'preamble'")
-    return got.select("doc_id", (F.col("ord") - 1).cast("int").alias("ord"), "name", "text")
-
-
 @_query(r"""WITH l AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS i FROM documents)
 SELECT doc_id, CAST(i AS INTEGER) AS ord, 'part ' || i AS name, regexp_replace(line, '^[\s\v]+|[\s\v]+$', '', 'g') AS text FROM l""")
-def markdown_sections_whole(spark, sf_dir):
+def markdown_sections(spark, sf_dir):
     """Every line of a text under a heading of its own; the space before a line keeps it from being a heading itself."""
     parts = F.transform(F.split("text", "\n"), lambda x, i: F.concat(F.lit("## Part "), (i + 1).cast("string"), F.lit("\n "), x))
     docs = _t(spark, sf_dir, "documents").select("doc_id", F.array_join(parts, "\n").alias("md"))
@@ -417,7 +399,7 @@ def table_confidence_headers(spark, sf_dir):
 
 
 @_query(r"SELECT doc_id, regexp_replace(trim(regexp_replace(text, '[\s\v]+', ' ', 'g')), '\[\d+\]', '', 'g') AS clean FROM documents")
-def clean_documents(spark, sf_dir):
+def clean_text(spark, sf_dir):
     return _t(spark, sf_dir, "documents").select("doc_id", text.clean_text("text").alias("clean"))
 
 
@@ -554,3 +536,25 @@ def stored_observations(spark, sf_dir):
     got = lifecycle.structured(artifacts.select("paper_id", F.to_json(F.struct("observations", experiments.alias("experiments"), panels.alias("panels"))).alias("value")), run_id=7)
     good, _ = schema.conform(got["observations"], "observations")
     return good.drop("observation_id", "source_agent").withColumn("run_id", F.col("run_id").cast("int"))
+
+
+@_query("""SELECT page_id, 'TITLE: page ' || page_id || chr(10) || chr(10) || 'METHODS AND MORE:' || chr(10) || html || chr(10) || chr(10) || 'RESULTS:' || chr(10) || url AS prompt, html AS methods, url AS results, '| h |' || chr(10) || '| --- |' || chr(10) || '| ' || url || ' |' AS tables,
+CASE WHEN page_id % 3 = 0 THEN '.jpeg' WHEN page_id % 3 = 1 THEN '.tiff' ELSE '.png' END AS extension FROM pages""")
+def model_texts(spark, sf_dir):
+    """What a model is given of an article, from pages taken as sections whole."""
+    p = _t(spark, sf_dir, "pages")
+    part = lambda name, c: F.struct(F.lit(name).alias("name"), F.col(c).alias("text"))
+    tables = F.array(F.struct(F.lit("").alias("caption"), F.array(F.lit("h")).alias("headers"), F.array(F.create_map(F.lit("h"), F.col("url"))).alias("rows")))
+    a = p.select("page_id", F.concat(F.lit("page "), F.col("page_id").cast("string")).alias("title"), F.lit("").alias("abstract"), F.array(part("methods and more", "html"), part("results", "url")).alias("sections"), tables.alias("tables"))
+    n = F.col("page_id") % 3
+    url = F.concat(F.lit("https://x/f"), F.when(n == 0, ".JPEG?w=1").when(n == 1, ".tiff").otherwise(".svgz"))
+    return a.select("page_id", articles.prompt_text().alias("prompt"), articles.section_text("METHODS").alias("methods"), articles.joined_sections(("results", "findings")).alias("results"), articles.tables_text().alias("tables"), text.extension(url).alias("extension"))
+
+
+@_query("""SELECT c_custkey AS paper_id, '{"country":"' || c_mktsegment || '"' || coalesce(',"experiments":{' || string_agg('"' || o_orderkey || '":{"panel_type":"' || o_orderpriority || '"}', ',' ORDER BY CAST(o_orderkey AS VARCHAR)) || '}', '') || '}' AS context
+FROM customer LEFT JOIN orders ON o_custkey = c_custkey GROUP BY c_custkey, c_mktsegment""")
+def open_context(spark, sf_dir):
+    """Customers as papers, their orders as experiments."""
+    papers = _t(spark, sf_dir, "customer").select(F.col("c_custkey").alias("paper_id"), F.col("c_mktsegment").alias("country"))
+    runs = _t(spark, sf_dir, "orders").select(F.col("o_custkey").alias("paper_id"), F.col("o_orderkey").cast("string").alias("experiment_id"), F.col("o_orderpriority").alias("panel_type"))
+    return resolve.open_context(papers, runs, None).select("paper_id", F.col("context_json").alias("context"))

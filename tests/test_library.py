@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tessera import queries
-from tessera.functions import nested, text, vocab
+from tessera.functions import client, nested, text, vocab
 from tessera.operators import aggregate, articles, dedup, match, resolve, store, validate
 from tessera.plans import lifecycle, schema
 from tessera.sources import files, seeds, sinks
@@ -265,7 +265,7 @@ def test_hooks(spark):
 def test_counts_of_all_tables(spark, sf_dir):
     import os
 
-    got = {r["table"]: r.n for r in queries.queries()["table_counts_all"](spark, sf_dir).collect()}
+    got = {r["table"]: r.n for r in queries.queries()["table_counts"](spark, sf_dir).collect()}
     assert sorted(got) == sorted(f.split(".")[0] for f in os.listdir(sf_dir))
     assert all(n == spark.read.parquet(f"{sf_dir}/{t}.parquet").count() for t, n in got.items())
 
@@ -273,7 +273,7 @@ def test_counts_of_all_tables(spark, sf_dir):
 def test_sections_of_whole_texts(spark, tmp_path):
     texts = ["one\n two \n\n## four\n\tfive\n", None, "", "\n".join(f"line {i}" for i in range(300))]
     spark.createDataFrame(list(enumerate(texts)), "doc_id int, text string").write.parquet(f"{tmp_path}/documents.parquet")
-    got = sorted(map(tuple, queries.queries()["markdown_sections_whole"](spark, str(tmp_path)).collect()))
+    got = sorted(map(tuple, queries.queries()["markdown_sections"](spark, str(tmp_path)).collect()))
     assert got == [(d, i, f"part {i}", x.strip()) for d, t in enumerate(texts) if t is not None for i, x in enumerate(t.split("\n"), 1)]
 
 
@@ -330,3 +330,54 @@ def test_table_bounds(spark):
     df = spark.createDataFrame([(3, 2, [["h", "i"], ["\t\n", "\u00a0"], ["1", "\t"]])], "n int, page int, cells array<array<string>>")
     got = articles.raw_tables(df, table_id="n").withColumn("c", articles.table_confidence()).first()
     assert got.data == [["1", ""]] and got.c == 0.75 and (got.table_id, got.caption) == ("table_3", "Table 3 (page 2)")
+
+
+def test_texts_for_models(spark):
+    rows = [(1, "T", "", [("Materials", "m"), ("Results", "r")], [("C", ["a", "b"], [{"a": "1"}]), ("D", [], [])]), (2, None, "x", [], [])]
+    kind = "id int, title string, abstract string, sections array<struct<name:string,text:string>>, tables array<struct<caption:string,headers:array<string>,rows:array<map<string,string>>>>"
+    a = spark.createDataFrame(rows, kind)
+    got = a.orderBy("id").select(articles.prompt_text(), articles.joined_sections(), articles.section_text("RESULT"), articles.tables_text(none="(none)")).collect()
+    assert tuple(got[0]) == ("TITLE: T\n\nMATERIALS:\nm\n\nRESULTS:\nr", "m", "r", "**C**\n\n| a | b |\n| --- | --- |\n| 1 |  |")
+    assert tuple(got[1]) == ("\nABSTRACT:\nx", "", "", "(none)")
+    assert _one(spark, ["a/b.TIF?x=.gif", "a.jpg/b", ""], text.extension) == [".tif", ".png", ".png"]
+
+
+def test_open_columns_go_into_context(spark):
+    papers = spark.createDataFrame([("p", "NL", '{"a": [1]}', "t"), ("q", None, None, "u"), ("r", None, "{bad", "v")], "paper_id string, country string, context_json string, title string")
+    experiments = spark.createDataFrame([("p", "e1", 3, None), ("p", "e2", None, None), ("q", "e3", None, '{"t": null}')], "paper_id string, experiment_id string, panel_size int, conditions_json string")
+    stimuli = spark.createDataFrame([("p", 1, "salt", "X"), ("p", 2, "salt", "Y"), ("p", 3, "sugar", None)], "paper_id string, stimulus_id int, substance_name string, supplier string")
+    got = {r.paper_id: r.context_json and json.loads(r.context_json) for r in resolve.open_context(papers, experiments, stimuli).collect()}
+    assert got == {
+        "p": {"country": "NL", "context_json": {"a": [1]}, "experiments": {"e1": {"panel_size": 3}}, "substance_sourcing": {"salt": {"supplier": "Y"}}},
+        "q": {"experiments": {"e3": {"conditions_json": {"t": None}}}},
+        "r": {"context_json": "{bad"},
+    }
+    assert resolve.open_context(papers.where("paper_id = 'q'"), experiments.limit(0), None).first().context_json is None
+
+
+def test_summaries(spark):
+    value = json.dumps({"experiments": [{"experiment": "exp1", "method": "QDA"}], "observations": [{"substance": "salt", "components": [{"substance": "salt", "concentration": "2"}], "attribute": "salty", "value": 1.5}]})
+    got = {r.paper_id: (json.loads(r.observations), json.loads(r.experiments)) for r in lifecycle.summaries(spark.createDataFrame([("p", value), ("q", "{}")], "paper_id string, value string")).collect()}
+    assert got["p"] == ([{"substance": "salt", "concentration": "2", "attribute": "salty", "value": 1.5, "value_type": "", "source": ""}], [{"experiment": "exp1", "method": "QDA", "scale_type": None, "scale_range": None}])
+    assert got["q"] == ([], [])
+
+
+def test_patient_client():
+    waits, said = [], []
+
+    def send(messages):
+        said.append(len(messages))
+        if len(said) <= 2:
+            raise ValueError("rate_limit" if len(said) == 1 else "broken")
+        return ("```json\n[1,\n```", True, 5) if len(said) == 3 else ("```json\n2]\n```", False, 7)
+
+    assert client.patient(send, wait=waits.append)("x") == ("```json\n[1,2]", [5, 7])
+    assert waits == [5.0, 5.0] and said == [1, 1, 1, 3]
+
+    def never(messages):
+        raise ValueError("overloaded")
+
+    waits.clear()
+    with pytest.raises(RuntimeError):
+        client.patient(never, wait=waits.append)("x")
+    assert waits == [5.0, 10.0, 20.0]
