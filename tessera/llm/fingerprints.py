@@ -40,23 +40,31 @@ def _items(text: Column) -> Column:
     return F.concat(F.transform(F.filter(F.transform(F.split(text, CLAUSE_ENDS), lambda s: F.trim(s)), lambda s: s != ""), item(F.lit(-1))), *blocks)
 
 
-def _sums(rows: DataFrame, keys: list[str], text: str, also: list[str]) -> DataFrame:
-    """keys and `also` (which the keys determine) -> like (array of LIKE lanes), exact (array of EXACT lanes)."""
-    items = rows.select(*keys, *also, F.explode(_items(F.col(text))).alias("_i")).select(*keys, *also, "_i.kind", "_i.s")
-    hashed = items.withColumn("_x", F.when(F.col("kind") < 0, F.md5("s")).otherwise(F.sha2(F.concat(F.col("kind").cast("string"), F.lit(":"), F.col("s")), 256)))
-    at = hashed.withColumn("_c", F.when(F.col("kind") < 0, _number(F.substring("_x", 1, 4)).cast("int")))
+def _sums(rows: DataFrame, keys: list[str], text: str, also: list[str] | None = None, digest: Column | None = None) -> DataFrame:
+    """keys and `also` (numbers that the keys determine) -> like (array of LIKE lanes), exact (array of EXACT lanes); and digest, if
+    given, an array of its 8 words. Only numbers are aggregated, so that no rows are sorted for it."""
+    also, last = also or [], _LIKE_ROWS + _EXACT_ROWS
+    parts = _items(F.col(text))
+    if digest is not None:
+        parts = F.concat(parts, F.when(digest.isNotNull(), F.array(F.struct(F.lit(last).alias("kind"), digest.alias("s")))).otherwise(F.array().cast("array<struct<kind:int,s:string>>")))
+    items = rows.select(*keys, *also, F.explode(parts).alias("_i")).select(*keys, *also, "_i.kind", "_i.s")
+    clause = F.col("kind") < 0
+    hashed = items.withColumn("_x", F.when(clause, F.md5("s")).when(F.col("kind") == last, F.col("s")).otherwise(F.sha2(F.concat(F.col("kind").cast("string"), F.lit(":"), F.col("s")), 256)))
+    at = hashed.withColumn("_c", F.when(clause, _number(F.substring("_x", 1, 4)).cast("int")))
     # a clause's hash: its row of sums, its column, which half of it, and the sign
-    delta = F.when(F.shiftright("_c", 6).bitwiseAND(F.lit(1)) == 1, F.lit(1 << 32)).otherwise(F.lit(1)) * F.when(F.shiftright("_c", 7).bitwiseAND(F.lit(1)) == 1, F.lit(-1)).otherwise(F.lit(1))
-    at = at.withColumns({"_row": F.when(F.col("kind") < 0, F.col("_c").bitwiseAND(F.lit(7))).otherwise(F.col("kind")), "_at": F.shiftright("_c", 3).bitwiseAND(F.lit(7)), "_d": delta})
-    part = lambda j: F.when(F.col("kind") < 0, F.when(F.col("_at") == j, F.col("_d")).otherwise(F.lit(0))).otherwise(_number(F.substring("_x", 8 * j + 1, 8)))
-    summed = at.groupBy(*keys, "_row").agg(*[F.sum(part(j)).alias(f"_s{j}") for j in range(COLUMNS)], *[F.first(c).alias(c) for c in also])
-    held = summed.groupBy(*keys).agg(F.map_from_entries(F.collect_list(F.struct("_row", F.array(*[f"_s{j}" for j in range(COLUMNS)])))).alias("_m"), *[F.first(c).alias(c) for c in also])
+    bit = lambda k: F.shiftright("_c", k).bitwiseAND(F.lit(1)) == 1
+    delta = F.when(bit(6), F.lit(1 << 32)).otherwise(F.lit(1)) * F.when(bit(7), F.lit(-1)).otherwise(F.lit(1))
+    at = at.withColumns({"_row": F.when(clause, F.col("_c").bitwiseAND(F.lit(7))).otherwise(F.col("kind")), "_at": F.shiftright("_c", 3).bitwiseAND(F.lit(7)), "_d": delta})
+    part = lambda j: F.when(clause, F.when(F.col("_at") == j, F.col("_d")).otherwise(F.lit(0))).otherwise(_number(F.substring("_x", 8 * j + 1, 8)))
+    summed = at.groupBy(*keys, "_row").agg(*[F.sum(part(j)).alias(f"_s{j}") for j in range(COLUMNS)], *[F.max(c).alias(c) for c in also])
+    held = summed.groupBy(*keys).agg(F.map_from_entries(F.collect_list(F.struct("_row", F.array(*[f"_s{j}" for j in range(COLUMNS)])))).alias("_m"), *[F.max(c).alias(c) for c in also])
     none = F.array_repeat(F.lit(0).cast("long"), COLUMNS)
-    like = F.flatten(F.transform(F.sequence(F.lit(0), F.lit(_LIKE_ROWS - 1)), lambda r: F.coalesce(F.try_element_at("_m", r), none)))
+    lanes = lambda begin, end: F.flatten(F.transform(F.sequence(F.lit(begin), F.lit(end - 1)), lambda r: F.coalesce(F.try_element_at("_m", r), none)))
+    like = lanes(0, _LIKE_ROWS)
     low = F.transform(like, lambda x: _signed(x, 32))
     high = F.zip_with(like, low, lambda x, y: F.shiftright(x - y, 32))
-    exact = F.flatten(F.transform(F.sequence(F.lit(_LIKE_ROWS), F.lit(_LIKE_ROWS + _EXACT_ROWS - 1)), lambda r: F.coalesce(F.try_element_at("_m", r), none)))
-    return held.select(*keys, *also, F.concat(F.transform(low, _lane16), F.transform(high, _lane16)).alias("like"), F.transform(exact, lambda x: F.pmod(x, F.lit(1 << 32))).alias("exact"))
+    words = [F.try_element_at("_m", F.lit(last)).alias("digest")] if digest is not None else []
+    return held.select(*keys, *also, F.concat(F.transform(low, _lane16), F.transform(high, _lane16)).alias("like"), F.transform(lanes(_LIKE_ROWS, last), lambda x: F.pmod(x, F.lit(1 << 32))).alias("exact"), *words)
 
 
 def _signed(x: Column, bits: int) -> Column:
@@ -68,9 +76,12 @@ def _lane16(x: Column) -> Column:
     return _signed(x, 16)
 
 
+def _hex(numbers: Column, bits: int) -> Column:
+    return F.transform(numbers, lambda x: F.lower(F.lpad(F.hex(F.pmod(x, F.lit(1 << bits))), bits // 4, "0")))
+
+
 def _as_text(exact: Column, like: Column) -> Column:
-    hexed = lambda a, bits: F.transform(a, lambda x: F.lower(F.lpad(F.hex(F.pmod(x, F.lit(1 << bits))), bits // 4, "0")))
-    return F.array_join(F.concat(hexed(exact, 32), hexed(like, 16)), "")
+    return F.array_join(F.concat(_hex(exact, 32), _hex(like, 16)), "")
 
 
 def _parts(fingerprint: Column) -> tuple[Column, Column]:
@@ -109,7 +120,7 @@ def fingerprints(docs: DataFrame, text_col: str = "text", keys: list[str] | None
     """
     rows, back = set_aside(docs, [text_col, *(keys or [])], ["fingerprint"])
     rows = stored(rows.withColumn("_row_id", F.monotonically_increasing_id()), name)
-    found = _sums(rows.select("_row_id", F.coalesce(F.col(text_col), F.lit("")).alias("_text")), ["_row_id"], "_text", [])
+    found = _sums(rows.select("_row_id", F.coalesce(F.col(text_col), F.lit("")).alias("_text")), ["_row_id"], "_text")
     return back(rows.join(found.select("_row_id", _as_text(F.col("exact"), F.col("like")).alias("fingerprint")), "_row_id").drop("_row_id"))
 
 
@@ -132,18 +143,16 @@ def with_next(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n
     # a range's largest pair is the first of it in descending order: its own block's, and the guest of the block before
     firsts = sorted((r._id, r._h) for r in ranges.groupBy("_range").agg(F.max(F.struct("_id", "_h")).alias("k")).select("k.*").distinct().collect())
     discard(ids)
-    pair = lambda i, h: F.struct(i.cast("long").alias("_id"), h.cast("long").alias("_h"))
-    bounds = F.array(*[pair(F.lit(i), F.lit(h)) for i, h in firsts]) if firsts else F.array().cast("array<struct<_id:bigint,_h:bigint>>")
-    key = pair(F.col("_id"), F.col("_h"))
+    numbers = lambda xs: F.split(F.lit(",".join(map(str, xs))), ",").cast("array<bigint>") if xs else F.array().cast("array<bigint>")
+    bound_ids, bound_hashes = numbers([i for i, _ in firsts]), numbers([h for _, h in firsts])
+    below = lambda at: (F.get(bound_ids, at) < F.col("_id")) | ((F.get(bound_ids, at) == F.col("_id")) & (F.get(bound_hashes, at) < F.col("_h")))
     # the number of bounds below the pair, by halving: a block is what lies over one bound and not over the next
-    steps = max(len(firsts), 1).bit_length()
-    block = F.lit(0)
-    for step in reversed(range(steps)):
-        block = F.when(F.coalesce(F.get(bounds, block + ((1 << step) - 1)) < key, F.lit(False)), block + (1 << step)).otherwise(block)
+    halves = F.array(*[F.lit(1 << step) for step in reversed(range(max(len(firsts), 1).bit_length()))])
+    block = F.aggregate(halves, F.lit(0), lambda at, step: F.when(F.coalesce(below(at + step - 1), F.lit(False)), at + step).otherwise(at))
     placed = base.withColumn("_block", block)
     at_home = F.struct(F.col("_block").alias("b"), F.lit(False).alias("guest"))
     visiting = F.struct(F.pmod(F.col("_block") + 1, F.lit(max(len(firsts), 1))).alias("b"), F.lit(True).alias("guest"))
-    first_of_block = F.coalesce(F.get(bounds, F.col("_block")) == key, F.lit(False))
+    first_of_block = F.coalesce((F.get(bound_ids, F.col("_block")) == F.col("_id")) & (F.get(bound_hashes, F.col("_block")) == F.col("_h")), F.lit(False))
     both = placed.withColumn("_v", F.explode(F.when(first_of_block, F.array(at_home, visiting)).otherwise(F.array(at_home))))
     rows = both.select(F.col("_v.b").alias("_block"), F.col("_v.guest").alias("guest"), id_col, "_id", "_h", "_text")
     order = Window.partitionBy("_block").orderBy("guest", F.desc("_id"), F.desc("_h"))
@@ -157,16 +166,18 @@ def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     moved = F.floor(n / 3).cast("int")
     rows = rows.withColumns({"n_chars": n.cast("long"), "_edited": F.when(~F.col("guest"), F.concat(F.left("text", n - moved), F.left("next_text", moved)))})
     versions = F.array(F.struct(F.lit(0).alias("version"), F.col("text").alias("t")), F.struct(F.lit(1).alias("version"), F.col("_edited").alias("t")))
-    each = rows.select("_block", "_place", "guest", "doc_id", "n_chars", F.sha2("_edited", 256).alias("edited_sha256"), F.explode(versions).alias("_v")).where("_v.t IS NOT NULL")
-    each = each.select("_block", "_place", F.col("_v.version").alias("_version"), "guest", "doc_id", "n_chars", "edited_sha256", F.col("_v.t").alias("_t"))
-    sums = _sums(each, ["_block", "_place", "_version"], "_t", ["guest", "doc_id", "n_chars", "edited_sha256"])
+    each = rows.select("_block", "_place", F.col("guest").cast("int").alias("guest"), "doc_id", "n_chars", F.explode(versions).alias("_v")).where("_v.t IS NOT NULL")
+    each = each.select("_block", "_place", F.col("_v.version").alias("_version"), "guest", "doc_id", "n_chars", F.col("_v.t").alias("_t"))
+    also = ["guest", "doc_id", "n_chars"]
+    sums = _sums(each, ["_block", "_place", "_version"], "_t", also, F.when(F.col("_version") == 1, F.sha2("_t", 256)))
     # one row a document again: no exchange, since rows lie by block
-    of = lambda v: F.max(F.when(F.col("_version") == v, F.struct("exact", "like")))
-    one = sums.groupBy("_block", "_place").agg(of(0).alias("own"), of(1).alias("edited"), *[F.first(c).alias(c) for c in ("guest", "doc_id", "n_chars", "edited_sha256")])
-    one = one.withColumn("_next", F.lead("own").over(Window.partitionBy("_block").orderBy("_place"))).where(~F.col("guest"))
+    of = lambda v: F.max(F.when(F.col("_version") == v, F.struct("exact", "like", "digest")))
+    one = sums.groupBy("_block", "_place").agg(of(0).alias("own"), of(1).alias("edited"), *[F.max(c).alias(c) for c in also])
+    one = one.withColumn("_next", F.lead("own").over(Window.partitionBy("_block").orderBy("_place"))).where("guest = 0")
     text = lambda c: _as_text(F.col(f"{c}.exact"), F.col(f"{c}.like"))
-    near = lambda c: _likeness(F.col("own") == F.col(c), F.col("own.like"), F.col(f"{c}.like"))
-    return one.select("doc_id", "n_chars", "edited_sha256", text("own").alias("fingerprint"), text("edited").alias("edited_fingerprint"), near("edited").alias("near_edited"), near("_next").alias("near_next"))
+    near = lambda c: _likeness((F.col("own.exact") == F.col(f"{c}.exact")) & (F.col("own.like") == F.col(f"{c}.like")), F.col("own.like"), F.col(f"{c}.like"))
+    digest = F.array_join(_hex(F.col("edited.digest"), 32), "")
+    return one.select("doc_id", "n_chars", digest.alias("edited_sha256"), text("own").alias("fingerprint"), text("edited").alias("edited_fingerprint"), near("edited").alias("near_edited"), near("_next").alias("near_next"))
 
 
 #: The same rows in DuckDB SQL, for unique ids.
