@@ -9,18 +9,19 @@ from pyspark.sql import functions as F
 DEFAULT_PRICE = (3.0, 15.0)
 
 
-def cost_by_model(usage: DataFrame, prices: DataFrame, model: str = "model", tokens_in: str = "input_tokens", tokens_out: str = "output_tokens", default: tuple[float, float] = DEFAULT_PRICE) -> DataFrame:
-    """calls, tokens and cost (four places) by model. prices: model, price_in, price_out, ord; a few rows.
+def cost_by_model(usage: DataFrame, prices: DataFrame, model: str = "model", tokens_in: str = "input_tokens", tokens_out: str = "output_tokens", default: tuple[float, float] = DEFAULT_PRICE, by: list[str] | None = None) -> DataFrame:
+    """calls, tokens and cost (four places) by model, and by the columns `by`. prices: model, price_in, price_out, ord; a few rows.
 
     A model's price is that of its name, or else of the first that one is a prefix of the other, or else the default.
     """
-    sums = usage.groupBy(model).agg(F.count("*").alias("calls"), F.sum(tokens_in).alias("input_tokens"), F.sum(tokens_out).alias("output_tokens"))
+    by = by or []
+    sums = usage.groupBy(*by, model).agg(F.count("*").alias("calls"), F.sum(tokens_in).alias("input_tokens"), F.sum(tokens_out).alias("output_tokens"))
     p = prices.select(F.col("model").alias("_p"), "price_in", "price_out", "ord")
     near = F.startswith(F.col(model), F.col("_p")) | F.startswith(F.col("_p"), F.col(model))
-    best = sums.select(model).join(p, near).groupBy(model).agg(F.min_by(F.struct("price_in", "price_out"), F.struct(F.col(model) != F.col("_p"), F.col("ord"))).alias("_price"))
+    best = sums.select(model).distinct().join(p, near).groupBy(model).agg(F.min_by(F.struct("price_in", "price_out"), F.struct(F.col(model) != F.col("_p"), F.col("ord"))).alias("_price"))
     price = lambda c, d: F.coalesce(F.col(f"_price.{c}"), F.lit(d))
     cost = F.col("input_tokens") / 1e6 * price("price_in", default[0]) + F.col("output_tokens") / 1e6 * price("price_out", default[1])
-    return sums.join(best, model, "left").select(model, "calls", "input_tokens", "output_tokens", F.round(cost, 4).alias("cost_usd"))
+    return sums.join(best, model, "left").select(*by, model, "calls", "input_tokens", "output_tokens", F.round(cost, 4).alias("cost_usd"))
 
 
 def status_summary(runs: DataFrame, status: str, cost: str, as_skipped: tuple[str, ...] = ("too_complex",)) -> DataFrame:

@@ -38,7 +38,7 @@ def structured(artifacts: DataFrame, text: str = "value", run_id: int | None = N
     a = artifacts.select("paper_id", F.from_json(text, STRUCTURED).alias("s"))
     papers = a.select("paper_id", "s.paper.*", F.when(~F.trim("s.context").isin("", "{}", "[]", "null"), F.col("s.context")).alias("context_json"), F.lit(run_id).cast("long").alias("latest_run_id"))
     number = lambda c: F.coalesce(c, F.lit("exp1"))
-    experiments = a.select("paper_id", F.explode("s.experiments").alias("e")).select("paper_id", experiment_key(F.col("paper_id"), number(F.col("e.experiment"))).alias("experiment_id"), number(F.col("e.experiment")).alias("experiment"), F.col("e.label").alias("experiment_label"), F.col("e.method").alias("sensory_method"), "e.scale_type", "e.scale_range")
+    experiments = a.select("paper_id", F.posexplode("s.experiments").alias("ord", "e")).select("paper_id", "ord", experiment_key(F.col("paper_id"), number(F.col("e.experiment"))).alias("experiment_id"), number(F.col("e.experiment")).alias("experiment"), F.col("e.label").alias("experiment_label"), F.col("e.method").alias("sensory_method"), "e.scale_type", "e.scale_range")
     panels = a.select("paper_id", F.posexplode("s.panels").alias("ord", "p")).select("paper_id", "ord", "p.*").withColumn("panel_label", F.coalesce("panel_label", F.lit("unknown"))).withColumn("panel_id", panel_key(F.col("paper_id"), F.col("panel_label")))
     panels = resolve.parents(panels, "paper_id", "panel_label", "parent_panel_label", "panel_id", "ord").withColumnRenamed("parent_key", "parent_panel_id")
     obs = a.select("paper_id", F.posexplode("s.observations").alias("ord", "o")).select("paper_id", "ord", "o.*").withColumnsRenamed(STORE_NAMES)
@@ -94,7 +94,8 @@ def evaluate(truth: DataFrame, found: DataFrame, substances: dict[str, str], att
 
 def check(obs: DataFrame, experiments: DataFrame, panels: DataFrame, key: str = "ord") -> dict[str, DataFrame]:
     """All deterministic checks of observations, the corrected rows, and those that stay after duplicates went."""
-    scaled = validate.with_scale(obs, experiments.select("paper_id", "experiment", "scale_range", "experiment_id"), ["paper_id", "experiment"], "experiment_id")
+    order = "ord" if "ord" in experiments.columns else "experiment_id"  # of repeated experiments the last of the list counts
+    scaled = validate.with_scale(obs, experiments.select("paper_id", "experiment", "scale_range", order), ["paper_id", "experiment"], order)
     issues = validate.range_issues(scaled)
     fixed = validate.apply_corrections(obs.withColumn("_key", F.concat_ws("#", "paper_id", F.col(key).cast("string"))), issues.withColumn("_key", F.concat_ws("#", "paper_id", F.col(key).cast("string"))), "_key").drop("_key")
     keys: list[Column | str] = ["paper_id", *dedup.measurement_keys()]

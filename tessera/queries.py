@@ -8,7 +8,9 @@ from pyspark.sql import functions as F
 from .functions import nested, text, vocab
 from .operators import aggregate, articles, dedup, match, resolve, store, validate
 from .plans import lifecycle, schema
+from .plans import run as runs
 from .sources import files
+from .sources.shared import work_folder
 from .streaming import ingest
 
 _QUERIES, _SQL = {}, {}
@@ -558,3 +560,37 @@ def open_context(spark, sf_dir):
     papers = _t(spark, sf_dir, "customer").select(F.col("c_custkey").alias("paper_id"), F.col("c_mktsegment").alias("country"))
     runs = _t(spark, sf_dir, "orders").select(F.col("o_custkey").alias("paper_id"), F.col("o_orderkey").cast("string").alias("experiment_id"), F.col("o_orderpriority").alias("panel_type"))
     return resolve.open_context(papers, runs, None).select("paper_id", F.col("context_json").alias("context"))
+
+
+@_query("""SELECT 'page_' || page_id AS paper_id, CASE WHEN page_id % 17 = 0 THEN 2 ELSE 1 END AS runs,
+CASE WHEN page_id % 17 = 0 AND page_id % 2 = 1 THEN 'error' WHEN page_id % 17 > 0 AND page_id % 19 = 0 THEN 'skipped_too_large' ELSE 'completed' END AS status,
+CASE WHEN ok THEN least(page_id % 4 + 1, 3) ELSE 0 END AS observations, CASE WHEN ok AND page_id % 4 > 0 THEN 1 ELSE 0 END AS corrected, CASE WHEN ok AND page_id % 4 > 1 THEN 1 ELSE 0 END AS to_review,
+CASE WHEN ok THEN round(page_id % 10 + CASE WHEN page_id % 4 > 0 THEN (50 + page_id % 10) / 10.0 ELSE 0 END - CASE WHEN page_id % 4 > 1 THEN 1 ELSE 0 END, 4)::DOUBLE ELSE 0::DOUBLE END AS total,
+CASE WHEN page_id % 17 = 0 THEN 0::DOUBLE ELSE round(page_id * 3 / 1000.0, 4)::DOUBLE END AS cost_usd
+FROM (SELECT page_id, NOT (page_id % 17 = 0 AND page_id % 2 = 1) AND NOT (page_id % 17 > 0 AND page_id % 19 = 0) AS ok FROM pages)""")
+def run_pages(spark, sf_dir):
+    """The run command over all pages, twice: the second run works on the papers whose first one ended with an error. Some
+    pages come from two files. Hooks stand in for a model by rules on a page's number."""
+    folder = work_folder(spark, "run-pages")
+    p = _t(spark, sf_dir, "pages")
+    path = F.concat(F.lit("/in/page_"), F.col("page_id").cast("string"), F.lit(".html"))
+    again = p.where("page_id % 10 = 0").select(F.concat(F.lit("/more"), path).alias("path"), F.col("html").alias("text"))
+    given = p.select(path.alias("path"), F.col("html").alias("text")).unionByName(again)
+    number = F.substring_index("paper_id", "_", -1).cast("long")
+    obs = lambda i: F.struct(
+        F.lit("exp1").alias("experiment"), F.element_at(F.array(*map(F.lit, ("salt", "sugar", "acid", "salt"))), i + 1).alias("substance"), F.lit("taste").alias("attribute"), F.lit("raw_mean").alias("value_type"), F.lit("table").alias("source_type"),
+        F.when(i == 1, 50 + number % 10).when(i == 2, -1).otherwise(number % 10).cast("double").alias("value"),
+    )
+    artifact = F.to_json(F.struct(F.array(F.struct(F.lit("exp1").alias("experiment"), F.lit("0-10").alias("scale_range"))).alias("experiments"), F.transform(F.sequence(F.lit(0), (number % 4).cast("int")), obs).alias("observations")))
+
+    def extract(late: bool):
+        broken = (number % 17 == 0) & (F.lit(not late) | (number % 2 == 1))
+        error = F.when(broken, "broken").when((number % 17 > 0) & (number % 19 == 0), "too large for the model")
+        usage = F.array(F.struct(F.lit("m").alias("model"), F.when(number % 17 == 0, 0).otherwise(number * 1000).cast("long").alias("input_tokens"), F.lit(0).cast("long").alias("output_tokens")))
+        return lambda df: df.select("paper_id", F.when(error.isNull(), "{}").alias("value"), error.alias("error"), usage.alias("usages"))
+
+    for late in (False, True):
+        runs.run(spark, given, folder, {"extract": extract(late), "structure": lambda df: df.select("paper_id", artifact.alias("value"))})
+    each = runs.runs(spark, folder).groupBy("paper_id").agg(F.count("*").cast("int").alias("runs"), F.max_by(F.struct("status", "corrections_applied", "human_review_items", "total_cost_usd"), "run_id").alias("_l"))
+    rows = runs.published(spark, folder, "observations").groupBy("paper_id").agg(F.count("*").alias("observations"), F.round(F.sum("value"), 4).alias("total"))
+    return each.join(rows, "paper_id", "left").select("paper_id", "runs", "_l.status", F.coalesce("observations", F.lit(0)).alias("observations"), F.col("_l.corrections_applied").alias("corrected"), F.col("_l.human_review_items").alias("to_review"), F.coalesce("total", F.lit(0.0)).alias("total"), F.col("_l.total_cost_usd").alias("cost_usd"))
