@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import datetime
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -11,7 +13,7 @@ from .plans import lifecycle, schema
 from .plans import run as runs
 from .sources import files
 from .sources.shared import work_folder
-from .streaming import ingest
+from .streaming import ingest, stateful
 
 _QUERIES, _SQL = {}, {}
 
@@ -594,3 +596,35 @@ def run_pages(spark, sf_dir):
     each = runs.runs(spark, folder).groupBy("paper_id").agg(F.count("*").cast("int").alias("runs"), F.max_by(F.struct("status", "corrections_applied", "human_review_items", "total_cost_usd"), "run_id").alias("_l"))
     rows = runs.published(spark, folder, "observations").groupBy("paper_id").agg(F.count("*").alias("observations"), F.round(F.sum("value"), 4).alias("total"))
     return each.join(rows, "paper_id", "left").select("paper_id", "runs", "_l.status", F.coalesce("observations", F.lit(0)).alias("observations"), F.col("_l.corrections_applied").alias("corrected"), F.col("_l.human_review_items").alias("to_review"), F.coalesce("total", F.lit(0.0)).alias("total"), F.col("_l.total_cost_usd").alias("cost_usd"))
+
+
+@_query("""WITH s AS (SELECT user_id, ts, value, CASE WHEN ts - lag(ts) OVER w < INTERVAL 40 MINUTE THEN 0 ELSE 1 END AS b FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id)),
+g AS (SELECT user_id, ts, value, sum(b) OVER (PARTITION BY user_id ORDER BY ts ROWS UNBOUNDED PRECEDING) AS g FROM s)
+SELECT user_id, min(ts) AS start, max(ts) + INTERVAL 40 MINUTE AS "end", count(*) AS n, round(sum(value), 4) AS total FROM g GROUP BY user_id, g""")
+def user_sessions(spark, sf_dir):
+    """Sessions of all users."""
+    return stateful.sessions(_t(spark, sf_dir, "events"), "ts", ["user_id"], "value", "40 minutes").withColumn("total", F.round("total", 4))
+
+
+@_query("""SELECT event_type, w AS start, count(*) AS n, round(sum(value), 4) AS total FROM (SELECT event_type, value, unnest([time_bucket(INTERVAL 6 HOUR, ts, TIMESTAMP '1970-01-01') - INTERVAL 6 HOUR * k FOR k IN range(0, 4)]) AS w FROM events) GROUP BY 1, 2""")
+def sliding_days(spark, sf_dir):
+    """Days that begin each six hours, by type of event."""
+    return stateful.sliding(_t(spark, sf_dir, "events"), "ts", ["event_type"], "value", "24 hours", "6 hours").withColumn("total", F.round("total", 4))
+
+
+@_query("""WITH e AS (SELECT 'u' || user_id AS run, ts, event_id, CASE event_type WHEN 'purchase' THEN 'completed' WHEN 'error' THEN 'error' ELSE 'in_progress' END AS status FROM events WHERE user_id IS NOT NULL),
+p AS (SELECT *, lag(ts) OVER w AS before, lag(status) OVER w AS former FROM e WINDOW w AS (PARTITION BY run ORDER BY ts, event_id)),
+g AS (SELECT *, sum(CASE WHEN before IS NULL OR ts - before > INTERVAL 90 MINUTE OR former IN ('completed', 'error') THEN 1 ELSE 0 END) OVER (PARTITION BY run ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING) AS g FROM p),
+a AS (SELECT run, g, arg_max(status, (ts, event_id)) AS last, min(ts) AS started, max(ts) AS ended, count(*) AS events FROM g GROUP BY run, g),
+m AS (SELECT max(ts) - INTERVAL 10 MINUTE AS mark FROM e)
+SELECT run, CASE WHEN last = 'in_progress' THEN 'timed_out' ELSE last END AS status, started, ended, events FROM a, m
+WHERE last <> 'in_progress' OR ended + INTERVAL 90 MINUTE <= mark OR g < (SELECT max(g) FROM a b WHERE b.run = a.run)""")
+def run_attempts(spark, sf_dir):
+    """The state machine of runs over all events as a stream, a user a run, to its end."""
+    stateful.use_rocksdb(spark)
+    path = f"{sf_dir}/event[s].parquet"
+    stream = spark.readStream.schema(_t(spark, sf_dir, "events").schema).parquet(path)
+    status = F.when(F.col("event_type") == "purchase", "completed").when(F.col("event_type") == "error", "error").otherwise("in_progress")
+    rows = stream.where("user_id IS NOT NULL").select(F.concat(F.lit("u"), F.col("user_id").cast("string")).alias("run"), status.alias("status"), "ts", "event_id")
+    found = stateful.attempts(rows, "run", "status", "ts", "event_id", datetime.timedelta(minutes=90), "10 minutes")
+    return stateful.to_the_end(found, work_folder(spark, "run-attempts"))
