@@ -8,10 +8,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .functions import nested, text, vocab
-from .operators import aggregate, articles, dedup, match, resolve, store, validate
+from .operators import aggregate, articles, dedup, figures, match, resolve, store, validate
 from .plans import lifecycle, schema
 from .plans import run as runs
-from .sources import files
+from .sources import files, python_sources
 from .sources.shared import work_folder
 from .streaming import ingest, stateful
 
@@ -628,3 +628,37 @@ def run_attempts(spark, sf_dir):
     rows = stream.where("user_id IS NOT NULL").select(F.concat(F.lit("u"), F.col("user_id").cast("string")).alias("run"), status.alias("status"), "ts", "event_id")
     found = stateful.attempts(rows, "run", "status", "ts", "event_id", datetime.timedelta(minutes=90), "10 minutes")
     return stateful.to_the_end(found, work_folder(spark, "run-attempts"))
+
+
+@_query("""WITH f AS (SELECT page_id, unnest(range(0, len(regexp_extract_all(html, '<a href="([^"]*)"', 1)))) AS pos FROM pages),
+n AS (SELECT page_id, pos, page_id || '_' || pos AS n, '/in/d' || (page_id % 7) AS d FROM f)
+SELECT 's' || page_id AS study_id, 'fig_' || pos AS figure_id, CASE WHEN pos % 5 > 0 THEN '/store/s' || page_id || '/fig_' || pos || '.jpg' END AS local_path,
+CASE pos % 5 WHEN 2 THEN d || '/page_' || page_id || '_files/a b+' || n || '.JPG' WHEN 3 THEN d || '/other_files/a b+' || n || '.JPG' END AS found_at,
+CASE pos % 5 WHEN 0 THEN 'no_url' WHEN 1 THEN 'exists' WHEN 2 THEN 'local_copy' WHEN 3 THEN 'local_copy' ELSE 'to_fetch' END AS status FROM n""")
+def figure_statuses(spark, sf_dir):
+    """Every link of every page taken as a picture's address, against a listing that holds some of them in each place."""
+    links = _t(spark, sf_dir, "pages").select("page_id", F.posexplode(F.regexp_extract_all("html", F.lit('<a href="([^"]*)"'), F.lit(1))).alias("pos", "href"))
+    n, page = F.concat_ws("_", "page_id", "pos"), F.col("page_id").cast("string")
+    where, kind = F.concat(F.lit("/in/d"), (F.col("page_id") % 7).cast("string")), F.col("pos") % 5
+    rows = links.select(
+        "pos", F.concat(F.lit("s"), page).alias("study_id"), F.concat(F.lit("fig_"), F.col("pos").cast("string")).alias("figure_id"), F.concat(where, F.lit("/page_"), page, F.lit(".html")).alias("path"),
+        F.when(kind > 0, F.concat(F.lit("https://h.example/x/a%20b+"), n, F.lit(".JPG?w=1"))).alias("image_url"), where.alias("_d"), n.alias("_n"), page.alias("_page"),
+    )
+    kind = F.col("pos") % 5
+    listed = F.when(kind == 1, F.concat(F.lit("/store/"), "study_id", F.lit("/"), "figure_id", F.lit(".jpg"))).when(kind == 2, F.concat("_d", F.lit("/page_"), "_page", F.lit("_files/a b+"), "_n", F.lit(".JPG")))
+    listed = listed.when(kind == 3, F.concat("_d", F.lit("/other_files/a b+"), "_n", F.lit(".JPG"))).when(kind == 4, F.concat("_d", F.lit("/else/a b+"), "_n", F.lit(".JPG")))
+    files_there = rows.select(listed.alias("path")).where("path IS NOT NULL")
+    return figures.picture_status(rows, files_there, "/store").select("study_id", "figure_id", "local_path", "found_at", "status")
+
+
+@_query("SELECT 'page_' || page_id AS paper_id, 'step_' || (page_id % 3) AS step, html AS value FROM pages UNION ALL SELECT 'page_' || page_id, 'urls', url FROM pages")
+def artifact_sink(spark, sf_dir):
+    """All pages through the sink of artifacts: a write that the next one replaces, and one that is added to that."""
+    python_sources.register(spark)
+    folder, p = work_folder(spark, "artifacts"), _t(spark, sf_dir, "pages")
+    paper = F.concat(F.lit("page_"), F.col("page_id").cast("string")).alias("paper_id")
+    step = F.concat(F.lit("step_"), (F.col("page_id") % 3).cast("string")).alias("step")
+    p.select(paper, F.lit("old").alias("step"), F.col("url").alias("value")).write.format("artifacts").mode("append").save(folder)
+    p.select(paper, step, F.col("html").alias("value")).write.format("artifacts").mode("overwrite").save(folder)
+    p.select(paper, F.lit("urls").alias("step"), F.col("url").alias("value")).write.format("artifacts").mode("append").save(folder)
+    return spark.read.format("artifacts").load(folder)
