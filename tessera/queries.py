@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 import datetime
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .functions import nested, text, vocab
 from .operators import aggregate, articles, dedup, figures, match, resolve, store, validate
-from .plans import lifecycle, schema
+from .plans import ddl, lifecycle, schema
 from .plans import run as runs
 from .sources import files, python_sources
 from .sources.shared import work_folder
@@ -662,3 +663,18 @@ def artifact_sink(spark, sf_dir):
     p.select(paper, step, F.col("html").alias("value")).write.format("artifacts").mode("overwrite").save(folder)
     p.select(paper, F.lit("urls").alias("step"), F.col("url").alias("value")).write.format("artifacts").mode("append").save(folder)
     return spark.read.format("artifacts").load(folder)
+
+
+@_query("""SELECT l_orderkey, l_linenumber, l_quantity, NULL::VARCHAR AS panel_id, 'sensory' AS measurement_domain, 7 AS weight FROM lineitem WHERE l_orderkey % 2 = 0
+UNION ALL SELECT l_orderkey, l_linenumber, l_quantity, l_shipdate::DATE::VARCHAR, l_returnflag, 7 FROM lineitem WHERE l_orderkey % 2 = 1""")
+def added_columns(spark, sf_dir):
+    """A catalog table of half of the lines gets columns with defaults, then the other half with values of its own for two."""
+    name, rows = f"added_{uuid.uuid4().hex}", _t(spark, sf_dir, "lineitem")
+    base = ["l_orderkey", "l_linenumber", "l_quantity"]
+    ddl.create_table(spark, name, {c: (k, None) for c, k in rows.select(*base).dtypes}, work_folder(spark, "added-columns"))
+    rows.where("l_orderkey % 2 = 0").select(*base).write.insertInto(name)
+    ddl.add_columns(spark, name, {**ddl.SIXTH["observations"], "weight": ("int", 7)})
+    late = rows.where("l_orderkey % 2 = 1").select(*base, F.col("l_shipdate").cast("date").cast("string").alias("panel_id"), F.col("l_returnflag").alias("measurement_domain"))
+    late.createOrReplaceTempView(f"late_{name}")
+    spark.sql(f"INSERT INTO {name} ({', '.join(late.columns)}) SELECT * FROM late_{name}")
+    return spark.table(name)

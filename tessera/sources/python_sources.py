@@ -191,5 +191,7 @@ class Artifacts(DataSource):
 
 
 def register(spark: SparkSession) -> None:
+    """Makes the sources known, and lets filters reach them: a source that takes filters can't be read otherwise."""
+    spark.conf.set("spark.sql.python.filterPushdown.enabled", "true")
     for source in (Figures, Artifacts):
         spark.dataSource.register(source)
