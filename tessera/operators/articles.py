@@ -101,23 +101,28 @@ class Node:
 
 
 class _Tree(html.parser.HTMLParser):
-    def __init__(self):
+    """xml: no tag is void or closed by another, and marked sections are text."""
+
+    def __init__(self, xml: bool = False):
         super().__init__(convert_charrefs=True)
+        self.void, self.closed_by = (set(), {}) if xml else (_VOID, _CLOSED_BY)
+        if xml:
+            self.CDATA_CONTENT_ELEMENTS = self.RCDATA_CONTENT_ELEMENTS = ()
         self.root = self.at = Node("", {}, None, 0)
         self.nodes = [self.root]
 
     def handle_starttag(self, tag, attrs):
-        while tag in _CLOSED_BY.get(self.at.tag, ()):
+        while tag in self.closed_by.get(self.at.tag, ()):
             self.at = self.at.up
         node = Node(tag, {k: v if v is not None else "" for k, v in attrs}, self.at, len(self.nodes))
         self.at.kids.append(node)
         self.nodes.append(node)
-        if tag not in _VOID:
+        if tag not in self.void:
             self.at = node
 
     def handle_startendtag(self, tag, attrs):
         self.handle_starttag(tag, attrs)
-        if tag not in _VOID:
+        if tag not in self.void:
             self.at = self.at.up
 
     def handle_endtag(self, tag):
@@ -129,12 +134,16 @@ class _Tree(html.parser.HTMLParser):
     def handle_data(self, data):
         self.at.kids.append(data)
 
+    def unknown_decl(self, data):
+        if self.closed_by is not _CLOSED_BY and data.startswith("CDATA["):
+            self.at.kids.append(data[len("CDATA[") :])
+
 
 class Page:
     """A parsed page, and what comes before a node in it."""
 
-    def __init__(self, text: str):
-        tree = _Tree()
+    def __init__(self, text: str, xml: bool = False):
+        tree = _Tree(xml)
         tree.feed(text)
         tree.close()
         self.root, self.nodes = tree.root, tree.nodes
@@ -394,7 +403,8 @@ ARTICLE = T.StructType(
 
 def read_article(text: str | None, base: str = "") -> tuple:
     text = text or ""
-    page, xml = Page(text), is_xml(text)
+    xml = is_xml(text)
+    page = Page(text, xml)
     if xml:
         first = lambda *tags: next((clean(n.text()) for t in tags if (n := page.root.first(t))), "")
         title, abstract, sections = first("ce:title", "dc:title", "article-title", "title"), first("ce:abstract", "dc:description", "abstract"), xml_sections(page)
@@ -441,12 +451,25 @@ def table_cells(df: DataFrame, id_col: str, html_col: str) -> DataFrame:
     return df.select(id_col, html_col).mapInPandas(run, schema)
 
 
-def by_header(headers: Column, row: Column) -> Column:
+def _once(value: Column, then: Callable[[Column], Column]) -> Column:
+    """then(value), the value worked out once however often it is used."""
+    return F.get(F.transform(F.array(value), then), F.lit(0))
+
+
+def next_same(headers: Column) -> Column:
+    """For each header the place of the next one that is equal, or of the cell beyond the headers that has its name, or a place
+    that no row reaches. Worked out once a table, it tells for rows of any length which of equal headers is their last."""
+    none, count = F.lit(2**31 - 1), F.size(headers)
+    beyond = lambda h: F.regexp_extract(h, r"^col_(0|[1-9]\d{0,8})$", 1).try_cast("int")
+    later = lambda h, i: F.array_position(F.slice(headers, i + 2, count), h).cast("int")
+    return F.transform(headers, lambda h, i: _once(later(h, i), lambda at: F.when(at > 0, i + at).when(beyond(h) >= count, beyond(h)).otherwise(none)))
+
+
+def by_header(headers: Column, row: Column, nexts: Column | None = None) -> Column:
     """A row's values by header, of equal headers the last; cells beyond the headers have names of their own."""
-    at = F.when(F.size(row) > 0, F.sequence(F.lit(0), F.size(row) - 1)).otherwise(F.array().cast("array<int>"))
-    name = lambda i: F.when(i < F.size(headers), F.get(headers, i)).otherwise(F.concat(F.lit("col_"), i.cast("string")))
-    last = F.filter(at, lambda i: ~F.exists(F.filter(at, lambda j: j > i), lambda j: name(i) == name(j)))
-    return F.transform(last, lambda i: F.get(row, i))
+    if nexts is None:
+        return _once(next_same(headers), lambda n: by_header(headers, row, n))
+    return F.filter(row, lambda _, i: F.coalesce(F.get(nexts, i) >= F.size(row), F.lit(True)))
 
 
 def _blank(row: Column) -> Column:
@@ -458,17 +481,19 @@ def raw_tables(df: DataFrame, cells: str = "cells", table_id: str | None = None,
     header; then the next one is. Tables left without headers or data are dropped.
 
     With table_id, a column with a table's number in its document, table_id and caption are added; the caption names the
-    page, if there is such a column."""
+    page, if there is such a column. Each cell is stripped once, and a table's equal headers are looked for once."""
     tidy = F.transform(F.filter(cells, lambda r: r.isNotNull()), lambda r: F.transform(r, lambda c: F.coalesce(strip(c), F.lit(""))))
-    first = F.when(_blank(F.get("_c", F.lit(0))), 1).otherwise(0)
-    out = df.withColumn("_c", tidy).where(F.size("_c") > 0).withColumn("_h", first).where(F.size("_c") > F.col("_h"))
+    # a generator of one row keeps filters from working out its value again
+    out = df.select("*", F.explode(F.array(tidy)).alias("_c")).where(F.size("_c") > 0)
+    out = out.withColumn("_h", F.when(F.forall(F.get("_c", F.lit(0)), lambda c: c == ""), 1).otherwise(0)).where(F.size("_c") > F.col("_h"))
     if table_id:
         number = F.col(table_id).cast("string")
         where = F.concat(F.lit(" (page "), F.col(page).cast("string"), F.lit(")")) if page in df.columns else F.lit("")
         out = out.withColumns({"caption": F.concat(F.lit("Table "), number, where), "table_id": F.concat(F.lit("table_"), number)})
-    out = out.withColumn("headers", F.get("_c", F.col("_h")))
-    out = out.withColumn("data", F.filter(F.slice("_c", F.col("_h") + 2, F.size("_c")), lambda r: ~_blank(by_header(F.col("headers"), r))))
-    return out.where((F.size("headers") > 0) & (F.size("data") > 0)).drop("_c", "_h")
+    headers = F.get("_c", F.col("_h"))
+    data = _once(next_same(headers), lambda n: F.filter(F.slice("_c", F.col("_h") + 2, F.size("_c")), lambda r: F.exists(by_header(headers, r, n), lambda c: c != "")))
+    out = out.select("*", F.explode(F.array(F.struct(headers.alias("headers"), data.alias("data")))).alias("_t")).drop("headers", "data").select("*", "_t.headers", "_t.data")
+    return out.where((F.size("headers") > 0) & (F.size("data") > 0)).drop("_c", "_h", "_t")
 
 
 def table_confidence(headers: str = "headers", data: str = "data") -> Column:
@@ -476,12 +501,17 @@ def table_confidence(headers: str = "headers", data: str = "data") -> Column:
     places. Of equal headers a row has one value, so a table with such headers has no even row."""
     full = F.filter(headers, lambda h: strip(h) != "")
     quality = 0.5 * F.size(full) / F.size(headers) + 0.5 * F.size(F.array_distinct(full)) / F.size(full)
-    rows = F.transform(data, lambda r: by_header(F.col(headers), r))
-    even = F.when(F.size(data) > 0, F.size(F.filter(rows, lambda r: F.size(r) == F.size(headers))) / F.size(data)).otherwise(1.0)
-    cells = F.flatten(rows)
-    fill = F.when(F.size(cells) > 0, F.size(F.filter(cells, lambda c: strip(c) != "")) / F.size(cells)).otherwise(0.0)
-    fill = F.when(F.size(data) > 0, 0.5 + 0.5 * fill).otherwise(1.0)
-    return F.when(F.size(full) == 0, 0.0).otherwise(F.round(quality * even * fill, 3))
+    # of each row: how many values it has, and how many of them are filled
+    facts = lambda r, n: _once(by_header(F.col(headers), r, n), lambda v: F.struct(F.size(v).alias("n"), F.size(F.filter(v, lambda c: strip(c) != "")).alias("full")))
+    total = lambda rows, field: F.aggregate(rows, F.lit(0), lambda s, r: s + r[field])
+
+    def rate(rows: Column) -> Column:
+        even = F.when(F.size(data) > 0, F.size(F.filter(rows, lambda r: r["n"] == F.size(headers))) / F.size(data)).otherwise(1.0)
+        fill = F.when(total(rows, "n") > 0, total(rows, "full") / total(rows, "n")).otherwise(0.0)
+        return F.round(quality * even * F.when(F.size(data) > 0, 0.5 + 0.5 * fill).otherwise(1.0), 3)
+
+    score = _once(next_same(F.col(headers)), lambda n: _once(F.transform(data, lambda r: facts(r, n)), rate))
+    return F.when(F.size(full) == 0, 0.0).otherwise(score)
 
 
 def route_tables(df: DataFrame, least: float = 0.4, enabled: bool = True) -> DataFrame:

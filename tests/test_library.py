@@ -324,6 +324,40 @@ def test_xml_figures(spark):
     assert [(f.figure_id, f.caption, f.image_url) for f in got] == [("figure_1", "One", "a.tif"), ("figure_2", "Figure 2", "")]
 
 
+def test_xml_is_read_as_xml(spark):
+    """Marked sections are text, and names that HTML gives to empty or muted elements hold text like others."""
+    page = '<?xml version="1.0"?><article><title>T <![CDATA[& <b>]]> u</title><abstract><p><![CDATA[Some text here]]> tail</p></abstract><sec><title>Methods</title><p>a<source>b</source>c<p>inner <col>d</col></p> e</p></sec></article>'
+    got = articles.articles(spark.createDataFrame([(1, page), (2, "<p>x<![CDATA[gone]]>y")], "id int, html string"), "html").orderBy("id").collect()
+    assert got[0].title == "T & <b> u" and got[0].abstract == "Some text here tail"
+    assert [(s.name, s.text) for s in got[0].sections] == [("methods", "abcinner d e inner d")]
+
+
+def test_wide_tables(spark):
+    """Rows of every length against headers that are equal, blank or named like cells beyond them, against plain dictionaries."""
+    import random
+
+    rng, tables = random.Random(1), []
+    for i in range(60):
+        headers = [rng.choice(["a", "b", "c", "", "col_2", "col_5", "col_05"]) for _ in range(rng.choice([1, 3, 6]))]
+        tables.append((i, [headers] + [[rng.choice(["1", "2", ""]) for _ in range(rng.choice([0, 1, 3, 6, 8]))] for _ in range(4)]))
+    got = {r.id: (r.headers, r.data, r.c) for r in articles.raw_tables(spark.createDataFrame(tables, "id int, cells array<array<string>>")).withColumn("c", articles.table_confidence()).collect()}
+    for i, (headers, *rows) in tables:
+        if not any(headers):
+            headers, *rows = rows
+        as_map = lambda row, h=headers: {h[k] if k < len(h) else f"col_{k}": v for k, v in enumerate(row)}
+        data = [r for r in rows if any(as_map(r).values())]
+        assert (i in got) == bool(headers and data)
+        if i in got:
+            full, maps = [h for h in headers if h], [as_map(r) for r in data]
+            cells = [v for m in maps for v in m.values()]
+            want = 0.0
+            if full:
+                want = (0.5 * len(full) / len(headers) + 0.5 * len(set(full)) / len(full)) * sum(len(m) == len(headers) for m in maps) / len(maps) * (0.5 + 0.5 * (sum(map(bool, cells)) / len(cells) if cells else 0))
+            assert got[i][:2] == (headers, data) and abs(got[i][2] - want) < 0.001
+    wide = spark.createDataFrame([(1, [[f"h{k % 35}" for k in range(40)]] + [[str(k) for k in range(40)]] * 400)], "id int, cells array<array<string>>")
+    assert articles.raw_tables(wide).select(articles.table_confidence().alias("c")).first().c == 0.0
+
+
 def test_table_bounds(spark):
     wide = articles.table_grid(articles.Page("<table><tr><th>a<tr><td colspan=1000000000>x</table>").root.first("table"))[1]
     assert len(wide[0]) == 1000
