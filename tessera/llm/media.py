@@ -39,7 +39,7 @@ def _netpbm(raw: bytes) -> np.ndarray:
     n = width * height * depth
     if kind == b"4":
         row = -(-width // 8)
-        bits = np.unpackbits(np.frombuffer(raw, np.uint8, row * height, head.end()).reshape(height, row), axis=1)[:, :width]
+        bits = np.unpackbits(_cells(raw, np.uint8, row * height, head.end()).reshape(height, row), axis=1)[:, :width]
         return (255 * (1 - bits)).astype(np.uint8).reshape(height, width, 1)
     if kind in b"123":
         body = re.sub(rb"#[^\n]*", b" ", raw[head.end() :])
@@ -48,7 +48,14 @@ def _netpbm(raw: bytes) -> np.ndarray:
             raise ValueError("samples are missing or out of range")
         cells = np.array(cells, np.uint8 if most < 256 else np.uint16)
         return (255 * (1 - cells) if kind == b"1" else cells).reshape(height, width, depth)
-    return np.frombuffer(raw, np.uint8 if most < 256 else ">u2", n, head.end()).reshape(height, width, depth)
+    return _cells(raw, np.uint8 if most < 256 else ">u2", n, head.end()).reshape(height, width, depth)
+
+
+def _cells(raw: bytes, kind, count: int, start: int) -> np.ndarray:
+    """count numbers from start on. ValueError if there are fewer, whatever sizes a head claims."""
+    if count < 0 or start < 0 or start + count * np.dtype(kind).itemsize > len(raw):
+        raise ValueError("the picture is larger than its bytes")
+    return np.frombuffer(raw, kind, count, start)
 
 
 def _bmp(raw: bytes) -> np.ndarray:
@@ -56,7 +63,7 @@ def _bmp(raw: bytes) -> np.ndarray:
     if packed or bits not in (1, 4, 8, 24, 32) or width <= 0 or not height:
         raise ValueError("only plain BMP is read")
     row = (width * bits + 31) // 32 * 4
-    cells = np.frombuffer(raw, np.uint8, row * abs(height), start).reshape(abs(height), row)
+    cells = _cells(raw, np.uint8, row * abs(height), start).reshape(abs(height), row)
     cells = cells[::-1] if height > 0 else cells
     if bits >= 24:
         return cells[:, : width * bits // 8].reshape(abs(height), width, bits // 8)[:, :, 2::-1]
@@ -65,7 +72,7 @@ def _bmp(raw: bytes) -> np.ndarray:
     colours = struct.unpack_from("<I", raw, 46)[0] or 1 << bits
     if cells[:, :width].max() >= colours:
         raise ValueError("a pixel has none of the colours")
-    return np.frombuffer(raw, np.uint8, 4 * colours, 14 + size).reshape(-1, 4)[:, 2::-1][cells[:, :width]]
+    return _cells(raw, np.uint8, 4 * colours, 14 + size).reshape(-1, 4)[:, 2::-1][cells[:, :width]]
 
 
 def decode(raw: bytes) -> np.ndarray:
@@ -89,26 +96,28 @@ def encode_bmp(image: np.ndarray) -> bytes:
     return struct.pack("<2sIHHIIiiHHIIiiII", b"BM", 54 + row * height, 0, 0, 54, 40, width, height, 1, 24, 0, row * height, 2835, 2835, 0, 0) + cells.tobytes()
 
 
-#: Rows of a picture whose integral image is held at once; more only if a single new row covers more.
-BAND = 4096
+#: Cells of a picture whose integral image is held at once.
+BAND = 4096 * 64
 
 
 def area_resize(image: np.ndarray, height: int, width: int) -> np.ndarray:
     """Mean over the area that each new cell covers, for any sizes; float64 (height, width, channels).
 
-    Integral images are made of bands of rows, so that a tall picture takes a bounded multiple of a band."""
+    The integral image is made of bands of rows, each going on from the last row of the one before, and only its rows at the
+    new cells' bounds are kept: a tall picture takes a bounded multiple of a band, however much of it one new row covers."""
     h, w, depth = image.shape
-    step = max(1, int(BAND * height / h))
-    out = np.empty((height, width, depth))
-    for top in range(0, height, step):
-        new = min(step, height - top)
-        y = (top + np.arange(new + 1)) * (h / height)
-        first, last = int(y[0]), min(h, int(np.ceil(y[-1])))
-        total = np.zeros((last - first + 1, w + 1, depth))
-        np.cumsum(np.cumsum(image[first:last], 0, dtype=np.float64), 1, out=total[1:, 1:])
-        cells = _between(_between(total, y - first).swapaxes(0, 1), np.arange(width + 1) * (w / width)).swapaxes(0, 1)
-        out[top : top + new] = np.diff(np.diff(cells, axis=0), axis=1)
-    return out * (height * width / (h * w))
+    step, bounds = max(1, BAND // w), np.arange(height + 1) * (h / height)
+    at_bounds, above = np.zeros((height + 1, w + 1, depth)), np.zeros((1, w + 1, depth))
+    for top in range(0, h, step):
+        band = image[top : top + step]
+        total = np.zeros((len(band) + 1, w + 1, depth))
+        np.cumsum(np.cumsum(band, 0, dtype=np.float64), 1, out=total[1:, 1:])
+        total += above
+        inside = (bounds >= top) & (bounds <= top + len(band))
+        at_bounds[inside] = _between(total, bounds[inside] - top)
+        above = total[-1:].copy()
+    cells = _between(at_bounds.swapaxes(0, 1), np.arange(width + 1) * (w / width)).swapaxes(0, 1)
+    return np.diff(np.diff(cells, axis=0), axis=1) * (height * width / (h * w))
 
 
 def _between(table: np.ndarray, at: np.ndarray) -> np.ndarray:
@@ -120,8 +129,9 @@ def _between(table: np.ndarray, at: np.ndarray) -> np.ndarray:
 
 def difference_hash(image: np.ndarray, side: int = 8) -> str:
     """Which cells of a side x (side + 1) grey reduction are brighter than their left neighbours, as hexadecimal digits."""
-    grey = image[:, :, :3] @ np.array([0.299, 0.587, 0.114]) if image.shape[2] >= 3 else image[:, :, 0]
-    small = np.rint(area_resize(grey[:, :, None].astype(np.float64), side, side + 1)[:, :, 0] * 64).astype(np.int64)
+    small = area_resize(image[:, :, :3] if image.shape[2] >= 3 else image[:, :, :1], side, side + 1)
+    grey = small @ np.array([0.299, 0.587, 0.114]) if small.shape[2] == 3 else small[:, :, 0]  # means of sums are sums of means
+    small = np.rint(grey * 64).astype(np.int64)
     return np.packbits(small[:, 1:] > small[:, :-1]).tobytes().hex()
 
 

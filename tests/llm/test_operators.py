@@ -95,7 +95,8 @@ def test_images():
         tile = np.load(__import__("io").BytesIO(raw))
         whole[4 * y : 4 * y + 4, 4 * x : 4 * x + 4] = tile
     assert (whole == image).all()
-    for bad in BAD:
+    huge = struct.pack("<2sIHHIIiiHHIIiiII", b"BM", 54, 0, 0, 54, 40, 2**31 - 1, -(2**31) + 1, 1, 24, 0, 0, 0, 0, 0, 0)
+    for bad in [*BAD, b"P6 99999999999999999999 9 255\n", b"P4 99999999999999999999 9\n", b"P5 9 99999999999999999999 65535\n", huge]:
         with pytest.raises((ValueError, struct.error)):
             media.decode(bad)
     tall = np.random.default_rng(2).integers(0, 256, (3 * media.BAND + 5, 4, 3), dtype=np.uint8)

@@ -150,3 +150,19 @@ def test_stages_and_run(spark, tmp_path):
         rows = got
     out = pipeline.run(spark, str(tmp_path))
     assert out.columns == PIECES and Counter(tuple(r)[:5] for r in out.collect()) == _pieces(rows)
+
+
+def test_stages_of_an_empty_table(spark):
+    docs = spark.createDataFrame([], SCHEMA)
+    for name, stage in pipeline.STAGES:
+        df = stage(spark, docs, "")
+        assert df.collect() == [] and (df.columns == PIECES or df.columns == pipeline.COLUMNS or set(PIECES) <= set(df.columns)), name
+
+
+def test_rows_without_words_and_of_one_id(spark):
+    """Repeated rows go, other texts of one id stay, with words or without; null ids among them."""
+    long = " ".join(f"w{i}" for i in range(40))
+    rows = [(1, ""), (1, ""), (1, None), (1, " "), (None, ""), (None, "?"), (None, "?"), (2, long), (2, long), (2, long.replace("w", "v")), (3, long), (None, long.upper().lower() + " more")]
+    got = pipeline.near_copies(spark, spark.createDataFrame([(i, t, "en", "s", 1) for i, t in rows], SCHEMA).repartition(4), "")
+    found = Counter((r.doc_id, r.text or "") for r in got.collect())
+    assert found == Counter([(1, ""), (1, " "), (None, ""), (None, "?"), (2, long.replace("w", "v")), (None, long + " more")])
