@@ -41,12 +41,18 @@ def _own_stage(stage):
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the quality rules reject go."""
+    """Documents that the quality rules reject go.
+
+    A null or empty text has no words, so it goes. Null ids, languages and sources are values like others; equal texts of one
+    language and source have one verdict, repeated rows each stay or go. An empty table gives none."""
     return quality_rules(docs).where("kept").select(*COLUMNS)
 
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Lines that many documents hold stay in one."""
+    """Lines that many documents hold stay in one.
+
+    A null text becomes an empty one. A null id is the smallest, and rows of one id count as one document, so repeated rows get
+    equal texts. No document goes; an empty table gives none."""
     return _documents(line_dedup(docs))
 
 
@@ -54,22 +60,34 @@ def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of near copies, and of rows of one id and text, one document stays: that of the smallest id.
 
     A null id is the smallest. Of several texts of the smallest id, the first in the order of a hash stays. Texts of one
-    id, or without one, that are no near copies of each other are different documents."""
+    id, or without one, that are no near copies of each other are different documents. Rows are told apart by numbers that
+    are stored with them; hashes (128 bits beside the id) only tell whether rows of one id that have no words are equal. An
+    empty table gives none."""
     no_id = F.lit(-(2**63))
-    rows = docs.withColumn("_key", F.xxhash64(F.coalesce("doc_id", no_id), F.coalesce("text", F.lit(""))))
-    found = ngram_components(rows.select("_key", "doc_id", "text"), id_col="_key", width=5, percent=80, name="pipeline-ngrams")
-    first = F.min(F.struct(F.coalesce("doc_id", no_id).alias("_id"), "_key")).alias("_first")
-    stay = stored(found.groupBy("component_id").agg(first).select("_first._key"), "pipeline-stay")
-    return rows.join(stay, "_key", "left_semi").dropDuplicates(["_key"]).select(*COLUMNS)
+    text = F.coalesce("text", F.lit(""))
+    numbered = docs.select(*COLUMNS).withColumns({"_key": F.monotonically_increasing_id(), "_h1": F.xxhash64(text), "_h2": F.xxhash64(F.lit(1), F.reverse(text))})
+    rows = stored(numbered, "pipeline-numbered")
+    found = ngram_components(rows.select("_key", "doc_id", "_h1", "_h2", "text"), id_col="_key", width=5, percent=80, name="pipeline-ngrams")
+    alone = F.when(F.col("n_shingles") == 0, F.struct(F.coalesce("doc_id", no_id).alias("_id"), "_h1", "_h2"))
+    group = F.struct(F.when(F.col("n_shingles") > 0, F.col("component_id")).alias("component"), alone.alias("alone"))
+    first = F.min(F.struct(F.coalesce("doc_id", no_id).alias("_id"), "_h1", "_h2", "_key")).alias("_first")
+    stay = stored(found.groupBy(group.alias("_group")).agg(first).select("_first._key"), "pipeline-stay")
+    return rows.join(stay, "_key", "left_semi").select(*COLUMNS)
 
 
 def substrings(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Passages of 13 words and more stay in the first document that has them."""
+    """Passages of 13 words and more stay in the first document that has them.
+
+    A null text becomes an empty one. Ties and repeated rows are treated as substring_dedup says. No document goes; an empty
+    table gives none."""
     return _documents(substring_dedup(docs, name="pipeline-substrings"))
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token pieces and their places in sequences."""
+    """Token pieces and their places in sequences.
+
+    A null or empty text is its end mark alone. Rows of one id, or without one, are packed each by itself. An empty table
+    gives no pieces."""
     return pack(token_pieces(docs.select("doc_id", "text"), public_tokenizers.path("byte_bpe_50k.json")))
 
 
