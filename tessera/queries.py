@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .functions import nested, text, vocab
-from .operators import aggregate, articles, dedup, figures, match, resolve, store, validate
+from .operators import aggregate, articles, dedup, figures, match, phrases, resolve, store, validate
 from .plans import ddl, lifecycle, schema
 from .plans import run as runs
 from .sources import files, python_sources
@@ -678,3 +678,14 @@ def added_columns(spark, sf_dir):
     late.createOrReplaceTempView(f"late_{name}")
     spark.sql(f"INSERT INTO {name} ({', '.join(late.columns)}) SELECT * FROM late_{name}")
     return spark.table(name)
+
+
+@_query(r"""WITH b AS (SELECT item_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM benchmark),
+p AS (SELECT item_id, ' ' || array_to_string(w[3:3 + item_id % 5], ' ') || ' ' AS p FROM b WHERE len(w) > 2),
+d AS (SELECT doc_id, ' ' || array_to_string(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+'), ' ') || ' ' AS t FROM documents)
+SELECT doc_id, item_id FROM d JOIN p ON contains(t, p)""")
+def phrase_matches(spark, sf_dir):
+    """Phrases of one to five words, one from each benchmark passage, in all documents."""
+    b = _t(spark, sf_dir, "benchmark").select("item_id", phrases.words("text").alias("w")).where("size(w) > 2")
+    wanted = b.select("item_id", F.array_join(F.slice("w", F.lit(3), (1 + F.col("item_id") % 5).cast("int")), " ").alias("phrase"))
+    return phrases.find_phrases(_t(spark, sf_dir, "documents"), wanted, "doc_id", "text", "item_id", "phrase")
