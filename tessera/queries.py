@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .functions import nested, text, vocab
-from .operators import aggregate, articles, dedup, figures, match, phrases, resolve, store, validate
+from .operators import aggregate, articles, dedup, figures, hierarchy, match, phrases, resolve, store, validate
 from .plans import ddl, lifecycle, schema
 from .plans import run as runs
 from .sources import files, python_sources
@@ -689,3 +689,15 @@ def phrase_matches(spark, sf_dir):
     b = _t(spark, sf_dir, "benchmark").select("item_id", phrases.words("text").alias("w")).where("size(w) > 2")
     wanted = b.select("item_id", F.array_join(F.slice("w", F.lit(3), (1 + F.col("item_id") % 5).cast("int")), " ").alias("phrase"))
     return phrases.find_phrases(_t(spark, sf_dir, "documents"), wanted, "doc_id", "text", "item_id", "phrase")
+
+
+@_query("""WITH RECURSIVE n AS (SELECT p_partkey AS k, p_size AS s, CASE WHEN p_partkey % 200 = 7 THEN p_partkey WHEN p_partkey > 3 THEN p_partkey - 1 - p_partkey % 5 END AS p FROM part),
+w AS (SELECT k, k AS top, 0 AS depth, NULL::BIGINT AS largest, false AS cyclic FROM n
+  UNION ALL SELECT w.k, a.k, w.depth + 1, greatest(coalesce(w.largest, a.s), a.s), a.k = w.top FROM w JOIN n m ON m.k = w.top JOIN n a ON a.k = m.p WHERE NOT w.cyclic),
+e AS (SELECT k, arg_max(top, depth) AS top, max(depth) AS depth, arg_max(largest, depth) AS largest, bool_or(cyclic) AS cyclic FROM w GROUP BY k)
+SELECT k AS p_partkey, CASE WHEN NOT cyclic THEN top END AS root, CASE WHEN NOT cyclic THEN depth END AS depth, CASE WHEN NOT cyclic THEN largest END AS largest, cyclic FROM e""")
+def part_ancestors(spark, sf_dir):
+    """All parts as a hierarchy of long chains, some of which lead into parts that are their own parents."""
+    k = F.col("p_partkey")
+    p = _t(spark, sf_dir, "part").select(k, F.col("p_size").cast("long").alias("p_size"), F.when(k % 200 == 7, k).when(k > 3, k - 1 - k % 5).alias("parent"))
+    return hierarchy.ancestors(p, "p_partkey", "parent", "p_size", work_folder(spark, "part-ancestors"))
