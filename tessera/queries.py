@@ -701,3 +701,30 @@ def part_ancestors(spark, sf_dir):
     k = F.col("p_partkey")
     p = _t(spark, sf_dir, "part").select(k, F.col("p_size").cast("long").alias("p_size"), F.when(k % 200 == 7, k).when(k > 3, k - 1 - k % 5).alias("parent"))
     return hierarchy.ancestors(p, "p_partkey", "parent", "p_size", work_folder(spark, "part-ancestors"))
+
+
+@_query(f"""WITH e AS (SELECT event_id, value, event_id % 2 = 0 AS is_truth, event_type AS paper, 's' || (user_id % 3) AS substance, user_id % 2 AS conc, 'e' || (user_id % 2) AS experiment, CASE WHEN user_id % 5 > 0 THEN 'P' || (user_id % 2) END AS panel,
+CASE WHEN user_id % 7 > 0 THEN 'texture' ELSE 'sensory' END AS domain, user_id % 11 = 0 AS control, 'sweet' || (user_id % 4) AS attribute, CASE WHEN user_id % 13 > 0 THEN 'raw_mean' ELSE 'rank' END AS value_type, CASE WHEN event_id % 6 < 2 THEN 'figure' ELSE 'table' END AS source
+FROM events WHERE user_id IS NOT NULL AND event_type <> ''),
+n AS (SELECT *, coalesce(panel, '') AS p, row_number() OVER (PARTITION BY is_truth, paper, substance, conc, experiment, coalesce(panel, ''), domain, control, attribute, value_type ORDER BY event_id) AS k FROM e),
+m AS (SELECT t.event_id AS a, f.event_id AS b, CASE WHEN t.value IS NULL OR f.value IS NULL THEN t.value IS NULL AND f.value IS NULL ELSE abs(t.value - f.value) / greatest(abs(t.value), 1e-12) <= CASE WHEN t.source = 'figure' THEN {match.FIGURE_TOLERANCE}::DOUBLE ELSE {match.TOLERANCE}::DOUBLE END END AS ok
+FROM n t JOIN n f ON t.is_truth AND NOT f.is_truth AND t.paper = f.paper AND t.substance = f.substance AND t.conc = f.conc AND t.experiment = f.experiment AND t.p = f.p AND t.domain = f.domain AND t.control = f.control AND t.attribute = f.attribute AND t.value_type = f.value_type AND t.k = f.k),
+s AS (SELECT n.*, coalesce(m.ok, false) AS ok FROM n LEFT JOIN m ON n.event_id = CASE WHEN n.is_truth THEN m.a ELSE m.b END),
+d AS (SELECT is_truth, ok, unnest([{{'d': 'value_type', 'key': value_type}}, {{'d': 'source', 'key': source}}, {{'d': 'attribute', 'key': attribute}}, {{'d': 'experiment', 'key': CASE WHEN is_truth THEN upper(experiment) ELSE experiment END}}, {{'d': 'panel', 'key': coalesce(panel, 'unknown')}}, {{'d': 'domain', 'key': domain}}]) AS x FROM s),
+c AS (SELECT x.d AS dimension, x.key AS key, count(*) FILTER (is_truth) AS n_truth, count(*) FILTER (NOT is_truth) AS n_found, count(*) FILTER (is_truth AND ok) AS ok_truth, count(*) FILTER (NOT is_truth AND ok) AS ok_found FROM d GROUP BY 1, 2)
+SELECT dimension, key, n_truth, n_found, round(CASE WHEN n_found > 0 THEN ok_found / n_found::DOUBLE ELSE 0 END, 4) AS precision, round(CASE WHEN n_truth > 0 THEN ok_truth / n_truth::DOUBLE ELSE 0 END, 4) AS recall,
+round(CASE WHEN ok_found > 0 AND ok_truth > 0 THEN 2 * (ok_found / n_found::DOUBLE) * (ok_truth / n_truth::DOUBLE) / (ok_found / n_found::DOUBLE + ok_truth / n_truth::DOUBLE) ELSE 0 END, 4) AS f1, greatest(ok_truth, ok_found) AS n_correct FROM c""")
+def prf_dimensions(spark, sf_dir):
+    """All events as measurements, even ones against odd ones by the key of eight fields, scored in all six breakdowns."""
+    e = _t(spark, sf_dir, "events").where("user_id IS NOT NULL AND event_type <> ''")
+    u, truth = F.col("user_id"), F.col("event_id") % 2 == 0
+    text_of = lambda prefix, by: F.concat(F.lit(prefix), (u % by).cast("string"))
+    rows = e.select(
+        F.col("event_id").alias("ord"), F.col("event_type").alias("paper_id"), F.when(truth, F.concat(F.lit(" "), F.upper(text_of("s", 3)))).otherwise(text_of("s", 3)).alias("substance_1"), (u % 2).cast("double").alias("concentration_1"),
+        F.lit("").alias("substance_2"), F.lit(None).cast("double").alias("concentration_2"), text_of("e", 2).alias("_e"), F.when(u % 5 > 0, text_of("P", 2)).alias("panel_label"), F.when(u % 7 > 0, "Texture").alias("measurement_domain"), F.lit("").alias("base_matrix"),
+        F.when(u % 11 == 0, True).alias("is_control"), F.when(truth, F.initcap(text_of("sweet", 4))).otherwise(F.concat(text_of("sweet", 4), F.lit(" "))).alias("attribute"), F.when(u % 13 > 0, "raw_mean").otherwise("rank").alias("value_type"), "value",
+        F.when(F.col("event_id") % 6 < 2, "Figure 3").otherwise("Table 2").alias("source_location"),
+    )
+    sides = rows.withColumn("experiment", F.when(F.col("ord") % 2 == 0, F.upper("_e")).otherwise(F.col("_e"))).drop("_e")
+    pairs = match.match_measurements(sides.where("ord % 2 = 0"), sides.where("ord % 2 = 1"), {}, {})
+    return match.breakdown(match.two_sides(pairs, ["value_type", "source_location", "attribute", "experiment", "panel_label", "measurement_domain"]), match.measurement_dimensions())
