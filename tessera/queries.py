@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .functions import nested, text, vocab
-from .operators import aggregate, articles, dedup, figures, hierarchy, match, phrases, resolve, store, validate
+from .operators import aggregate, articles, buckets, dedup, figures, hierarchy, match, phrases, resolve, store, validate
 from .plans import ddl, lifecycle, schema
 from .plans import run as runs
 from .sources import files, python_sources
@@ -728,3 +728,22 @@ def prf_dimensions(spark, sf_dir):
     sides = rows.withColumn("experiment", F.when(F.col("ord") % 2 == 0, F.upper("_e")).otherwise(F.col("_e"))).drop("_e")
     pairs = match.match_measurements(sides.where("ord % 2 = 0"), sides.where("ord % 2 = 1"), {}, {})
     return match.breakdown(match.two_sides(pairs, ["value_type", "source_location", "attribute", "experiment", "panel_label", "measurement_domain"]), match.measurement_dimensions())
+
+
+@_query("""WITH up AS (SELECT o_orderkey AS k, 'X' AS s, NULL::VARCHAR AS p FROM orders WHERE o_orderkey % 7 = 0 UNION ALL SELECT o_orderkey + 100000000, 'N', o_orderpriority FROM orders WHERE o_orderkey % 11 = 0),
+a AS (SELECT coalesce(o_orderkey, k) AS k, CASE WHEN k IS NOT NULL THEN s ELSE o_orderstatus END AS s, CASE WHEN k IS NOT NULL THEN p ELSE o_orderpriority END AS p, o_totalprice AS t FROM orders FULL JOIN up ON o_orderkey = k)
+SELECT k AS o_orderkey, s AS o_orderstatus, CASE WHEN t > 200000 THEN 'large' ELSE p END AS o_orderpriority, t AS o_totalprice FROM a WHERE k % 13 <> 0""")
+def bucket_changes(spark, sf_dir):
+    """All orders in buckets by key: an upsert of known and new keys, a delete and an update, each made twice under its number."""
+    o = _t(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus", "o_orderpriority", "o_totalprice")
+    table, k, no = work_folder(spark, "bucket-changes"), F.col("o_orderkey"), F.lit(None).cast("string")
+    buckets.create(o, table, "o_orderkey", 32)
+    known = o.where(k % 7 == 0).select(k, F.lit("X").alias("o_orderstatus"), no.alias("o_orderpriority"))
+    new = o.where(k % 11 == 0).select((k + 100000000).alias("o_orderkey"), F.lit("N").alias("o_orderstatus"), "o_orderpriority")
+    for _ in range(2):
+        buckets.upsert(table, known.unionByName(new), 1)
+    for _ in range(2):
+        buckets.delete_keys(table, buckets.read(spark, table).where(k % 13 == 0), 2)
+    for _ in range(2):
+        buckets.update_where(table, F.col("o_totalprice") > 200000, {"o_orderpriority": F.lit("large")}, 3, spark)
+    return buckets.read(spark, table)

@@ -17,3 +17,25 @@ def work_folder(spark: SparkSession, name: str) -> str:
             raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         base = f"file://{tempfile.mkdtemp(prefix='tessera-work-')}"
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+def _file_system(spark: SparkSession, path: str):
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark._jsc.hadoopConfiguration()), at
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    fs, at = _file_system(spark, path)
+    return fs.exists(at)
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    """Deletes a file or a whole folder; a path that isn't there is left alone."""
+    fs, at = _file_system(spark, path)
+    fs.delete(at, True)
+
+
+def mark(spark: SparkSession, path: str) -> None:
+    """An empty file."""
+    fs, at = _file_system(spark, path)
+    fs.create(at, True).close()
