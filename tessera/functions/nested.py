@@ -5,7 +5,7 @@ from __future__ import annotations
 import json
 
 import pandas as pd
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -83,6 +83,24 @@ def attribute_names(texts: pd.Series) -> pd.Series:
     return texts.map(one)
 
 
+def attribute_rows(df: DataFrame, key: str, text: str) -> DataFrame:
+    """key, attribute_names: as the function attribute_names, by a walk over variants, one level a step, without Python workers. key
+    tells rows apart. Rows without an attribute, and texts that are NULL, empty or no JSON, have an empty array; so have
+    objects that name a key twice, unless spark.sql.variant.allowDuplicateKeys is set (then the last one counts)."""
+    spark, found, node, first = df.sparkSession, F.col("_found"), F.col("_node"), F.col("_first")
+    rows = df.select(F.col(key).alias("_key"), F.lit(None).cast("string").alias("_found"), F.try_parse_json(text).alias("_node"), F.lit(True).alias("_first"))
+    for _ in range(6):
+        below = rows.lateralJoin(spark.tvf.variant_explode_outer(node.outer()))
+        name, value = F.col("key"), F.col("value")
+        measured = F.array_contains(F.array(*[F.try_variant_get(value, f"$.{s}", "variant").isNotNull() for s in STATISTICS]), True) & name.isNotNull()
+        counts = F.coalesce(~name.isin(*STRUCTURAL), F.lit(True))
+        rows = below.select(
+            "_key", F.coalesce(found, F.when(counts & measured, name)).alias("_found"), F.when(counts & ~measured, value).alias("_node"),
+            (first & (F.coalesce("pos", F.lit(0)) == 0)).alias("_first"),
+        ).where(found.isNotNull() | node.isNotNull() | first)
+    return rows.groupBy("_key").agg(F.array_sort(F.collect_set("_found")).alias("attribute_names")).withColumnRenamed("_key", key)
+
+
 def rename_keys(c: Column | str, mapping: dict[str, str]) -> Column:
     """JSON text with mapped keys renamed in all objects within objects; of keys that become one the last stays."""
 

@@ -747,3 +747,43 @@ def bucket_changes(spark, sf_dir):
     for _ in range(2):
         buckets.update_where(table, F.col("o_totalprice") > 200000, {"o_orderpriority": F.lit("large")}, 3, spark)
     return buckets.read(spark, table)
+
+
+@_query("""WITH h AS (SELECT *, ('0x' || substr(md5('7:' || l_orderkey || ':' || l_linenumber), 1, 15))::BIGINT AS h FROM lineitem),
+r AS (SELECT *, row_number() OVER (PARTITION BY l_returnflag ORDER BY h, l_orderkey) AS k, count(*) OVER (PARTITION BY l_returnflag) AS n FROM h)
+SELECT l_orderkey, l_linenumber, l_returnflag FROM r WHERE k <= greatest(1, floor(n * 0.2))""")
+def shared_sample(spark, sf_dir):
+    """A fifth of each return flag's lines by a seeded hash that SQL has too."""
+    lines = _t(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_returnflag")
+    h = F.conv(F.substring(F.md5(F.concat_ws(":", F.lit("7"), "l_orderkey", "l_linenumber")), 1, 15), 16, 10).cast("long")
+    return aggregate.smallest(lines, "l_orderkey", ["l_returnflag"], F.greatest(F.lit(1), F.floor(F.col("_total") * 0.2)), h)
+
+
+@_query("""SELECT event_type, count(*) AS n, count(DISTINCT ts::DATE) AS n_days, count(DISTINCT user_id) AS n_distinct, count(value) AS n_values, min(value) AS q_0, max(value) AS q_100 FROM events GROUP BY 1""")
+def merged_days(spark, sf_dir):
+    """Users and values of each event type, merged from stored sketches of each day, halves of a day stored one after the other."""
+    e, folder = _t(spark, sf_dir, "events").withColumn("day", F.to_date("ts")), work_folder(spark, "day-sketches")
+    for half in (0, 1):
+        aggregate.sketches(e.where(F.pmod(F.hour("ts"), F.lit(2)) == half), ["event_type", "day"], "user_id", "value").write.mode("append").parquet(folder)
+    days = aggregate.merged(spark.read.parquet(folder), ["event_type", "day"])
+    n_days = days.groupBy("event_type").agg(F.count("*").alias("n_days"))
+    found = aggregate.estimates(aggregate.merged(days, ["event_type"]), [0.0, 1.0])
+    return found.join(n_days, found["event_type"].eqNullSafe(n_days["event_type"])).drop(n_days["event_type"]).select("event_type", "n", "n_days", "n_distinct", "n_values", "q_0", "q_100")
+
+
+_NESTED = """coalesce(CASE WHEN event_id % 7 = 3 THEN '{"cut": {"mean": 1}, ' END, '') || '{"a":' || CASE event_id % 5 WHEN 0 THEN '{"mean":' || event_id || '}' WHEN 1 THEN '[[{"b":{"n":1,"c":{"means":[1]}}}]]' ELSE coalesce(props, '{}') END
+|| ',"unit":{"hidden":{"mean":1}},"list":[{"' || coalesce(event_type, 'none') || '":{"sd":' || coalesce(props, 'null') || '}},3,null],"' || coalesce(event_type, 'none') || '_x":'
+|| CASE event_id % 4 WHEN 0 THEN '{"means":null,"in":{"sd":1}}' WHEN 1 THEN '{"l1":{"l2":{"l3":{"l4":{"sem":1}}}}}' WHEN 2 THEN '{"l1":{"l2":{"l3":{"l4":{"l5":{"sem":1}}}}}}' ELSE coalesce(props, '[]') END || '}'"""
+_HAS = " OR ".join(f"json_exists(j, '$.{s}')" for s in nested.STATISTICS)
+
+
+@_query(f"""WITH RECURSIVE s AS (SELECT event_id, {_NESTED} AS t FROM events), p AS (SELECT event_id, CASE WHEN json_valid(t) THEN t::JSON END AS j FROM s),
+w AS (SELECT event_id, 0 AS d, NULL::VARCHAR AS key, j FROM p WHERE j IS NOT NULL
+  UNION ALL SELECT event_id, d + 1, CASE WHEN json_type(w.j) = 'OBJECT' THEN e.key END, e.value FROM w, LATERAL (SELECT key, value FROM json_each(w.j)) e
+  WHERE d < 6 AND json_type(w.j) IN ('OBJECT', 'ARRAY') AND (w.key IS NULL OR NOT ({_HAS.replace("(j,", "(w.j,")})) AND NOT (json_type(w.j) = 'OBJECT' AND e.key IN {nested.STRUCTURAL})),
+f AS (SELECT DISTINCT event_id, key FROM w WHERE key IS NOT NULL AND ({_HAS}))
+SELECT event_id, coalesce(string_agg(key, ',' ORDER BY key), '') AS attribute_names FROM events LEFT JOIN f USING (event_id) GROUP BY event_id""")
+def nested_attributes(spark, sf_dir):
+    """The attributes in nested texts made of all events and their props; some are no JSON, and some lie too deep."""
+    e = _t(spark, sf_dir, "events").select("event_id", F.expr(_NESTED).alias("text"))
+    return nested.attribute_rows(e, "event_id", "text").withColumn("attribute_names", F.array_join("attribute_names", ","))
