@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -28,8 +28,8 @@ def with_scale(obs: DataFrame, experiments: DataFrame, on: list[str], order: str
     return obs.join(scales, on, "left").withColumns({"low": F.col("_s.low"), "high": F.col("_s.high")}).drop("_s")
 
 
-def range_issues(obs: DataFrame, value: str = "value", value_type: str = "value_type", low: str = "low", high: str = "high") -> DataFrame:
-    """One row per row and issue: obs with issue, suggested_value, auto_corrected and review (model, human or none)."""
+def _range_list(value: str, value_type: str, low: str, high: str) -> Column:
+    """A row's issues as an array of issue, suggested_value, auto_corrected, review; NULL for rows that aren't judged."""
     v, t, lo, hi = (F.col(c) for c in (value, value_type, low, high))
     out = (v < lo) | (v > hi)
     tenth = v / 10
@@ -44,8 +44,12 @@ def range_issues(obs: DataFrame, value: str = "value", value_type: str = "value_
             issue((v > 100) & t.isin(*PERCENT_TYPES), "percentage_over_100", nothing, F.lit("model")),
         )
     )
-    rows = obs.where(v.isNotNull() & (F.coalesce(t, F.lit("")) != "derived_param"))
-    return rows.select("*", F.explode(issues).alias("_i")).select(*obs.columns, "_i.*")
+    return F.when(v.isNotNull() & (F.coalesce(t, F.lit("")) != "derived_param"), issues)
+
+
+def range_issues(obs: DataFrame, value: str = "value", value_type: str = "value_type", low: str = "low", high: str = "high") -> DataFrame:
+    """One row per row and issue: obs with issue, suggested_value, auto_corrected and review (model, human or none)."""
+    return obs.select("*", F.explode(_range_list(value, value_type, low, high)).alias("_i")).select(*obs.columns, "_i.*")
 
 
 def contaminated(attribute: Column | str, words: list[str] | None = None, whole_words: bool = False) -> Column:
@@ -103,6 +107,46 @@ def report(frames: dict[str, DataFrame], by: str) -> DataFrame:
     return reduce(DataFrame.unionByName, parts).groupBy(by, "check").agg(F.count("*").alias("n"))
 
 
+def judged(obs: DataFrame, panels: DataFrame, duplicate_keys: list[Column | str], by: str, order: str, attribute: str, label: str) -> DataFrame:
+    """obs (with low and high, see with_scale) with what each check says of a row: _issues (an array), _contaminated, _unknown_panel
+    and _duplicate. obs is read once; the row's panel and its duplicates are found by joins and a window on the way."""
+    known = panels.select(F.col(by).alias("_by"), F.col(label).alias("_label")).distinct().withColumn("_known", F.lit(True))
+    some = panels.select(F.col(by).alias("_some")).distinct()
+    named = F.coalesce(alias_key(label), F.lit("")) != ""
+    first = F.first(order).over(Window.partitionBy(by, *duplicate_keys).orderBy(order))
+    rows = obs.withColumn("_duplicate", F.coalesce(F.col(order) != first, F.lit(False)))
+    rows = rows.join(some, F.col(by) == F.col("_some"), "left").join(known, (F.col(by) == F.col("_by")) & (F.col(label) == F.col("_label")), "left")
+    return rows.select(
+        *obs.columns, F.coalesce(_range_list("value", "value_type", "low", "high"), F.array_compact(F.array(F.lit(None).cast(_ISSUE)))).alias("_issues"), contaminated(attribute).alias("_contaminated"),
+        (named & F.col("_some").isNotNull() & F.col("_known").isNull()).alias("_unknown_panel"), "_duplicate",
+    )
+
+
+_ISSUE = "struct<issue:string,suggested_value:double,auto_corrected:boolean,review:string>"
+
+
+def paper_reports(rows: DataFrame, by: str, order: str, totals: Observation | None = None) -> DataFrame:
+    """by, report, corrections_applied, human_review_items: judged rows as one JSON a paper, which has the counts of the checks that
+    raised something, the corrections in the rows' order, and what is for people to look at. It has no more entries than a few
+    for each observation, and a paper's observations came as one JSON too.
+
+    totals observes the run's counts (rows, issues, contaminated, unknown_panels, duplicates) in the same pass: they are there
+    once the reports have been written. Of an empty table there are none, for Spark leaves the pass out."""
+    counts = {"issues": F.sum(F.size("_issues")), "contaminated": F.count_if("_contaminated"), "unknown_panels": F.count_if("_unknown_panel"), "duplicates": F.count_if("_duplicate")}
+    if totals is not None:
+        rows = rows.observe(totals, F.count(F.lit(1)).alias("rows"), *[F.coalesce(c, F.lit(0)).alias(n) for n, c in counts.items()])
+    review = lambda kind: F.filter("_issues", lambda i: i["review"] == kind if kind else i["auto_corrected"])
+    listed = F.transform("_issues", lambda i: F.struct(F.col(order).alias(order), *[i[c].alias(c) for c in ("issue", "suggested_value", "auto_corrected", "review")]))
+    per_paper = rows.groupBy(by).agg(
+        *[c.alias(n) for n, c in counts.items()], F.sum(F.size(review(None))).cast("int").alias("corrections_applied"), F.sum(F.size(review("human"))).cast("int").alias("human_review_items"),
+        F.array_sort(F.flatten(F.collect_list(F.when(F.size("_issues") > 0, listed)))).alias("_listed"),
+    )
+    people = F.transform(F.filter("_listed", lambda i: i["review"] == "human"), lambda i: F.concat(F.lit("Review: "), i["issue"], F.lit(" at row "), i[order].cast("string")))
+    given = lambda c: F.when(F.size(c) > 0, c)
+    report = F.to_json(F.struct(*[F.nullif(F.col(n), F.lit(0)).alias(n) for n in sorted(counts)], given(F.col("_listed")).alias("corrections"), given(people).alias("human_review_items")))
+    return per_paper.select(by, report.alias("report"), "corrections_applied", "human_review_items")
+
+
 def ask(df: DataFrame, answer, schema: T.StructType | str) -> DataFrame:
     """The hook for model calls: answer(batch of pandas rows) -> rows of schema; none is built in."""
     return df.mapInPandas(lambda parts: (answer(p) for p in parts), schema)

@@ -100,7 +100,9 @@ def check(obs: DataFrame, experiments: DataFrame, panels: DataFrame, key: str =
     fixed = validate.apply_corrections(obs.withColumn("_key", F.concat_ws("#", "paper_id", F.col(key).cast("string"))), issues.withColumn("_key", F.concat_ws("#", "paper_id", F.col(key).cast("string"))), "_key").drop("_key")
     keys: list[Column | str] = ["paper_id", *dedup.measurement_keys()]
     with_number = fixed.withColumns({"substance": F.col("substance_name"), "attribute": F.col("attribute_raw")}).withColumn("concentration", nested.first_concentration("components_json"))
+    as_read = scaled.withColumns({"substance": F.col("substance_name"), "attribute": F.col("attribute_raw"), "concentration": nested.first_concentration("components_json")})
     return {
+        "judged": validate.judged(as_read, panels, keys[1:], "paper_id", key, "attribute_raw", "panel_label"),
         "issues": issues,
         "contaminated": obs.where(validate.contaminated("attribute_raw")),
         "unknown_panels": validate.unknown_reference(obs, panels, ["paper_id", "panel_label"], "panel_label"),

@@ -18,7 +18,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -266,19 +266,25 @@ def _ended(spark: SparkSession, started: DataFrame, faults: DataFrame, partial:
     costs = aggregate.cost_by_model(usages, prices, by=["paper_id"])
     tokens = F.to_json(F.array_sort(F.collect_list(F.struct("model", "calls", "input_tokens", "output_tokens"))))
     spent = costs.groupBy("paper_id").agg(F.round(F.sum("cost_usd"), 4).alias("_cost"), tokens.alias("_tokens"))
-    counts = checked["issues"].groupBy("paper_id").agg(F.count_if("auto_corrected").cast("int").alias("_fixed"), F.count_if(F.col("review") == "human").cast("int").alias("_review"))
-    report = validate.report({k: checked[k] for k in ("issues", "contaminated", "unknown_panels", "panel_sizes", "duplicates")}, "paper_id")
-    report = report.groupBy("paper_id").agg(F.to_json(F.map_from_entries(F.array_sort(F.collect_list(F.struct("check", "n"))))).alias("_report"))
+    report = validate.paper_reports(checked["judged"], "paper_id", "ord").select("paper_id", F.col("report").alias("_report"), F.col("corrections_applied").alias("_fixed"), F.col("human_review_items").alias("_review"))
+    larger = checked["panel_sizes"].groupBy("paper_id").agg(F.count("*").alias("_larger"))
     out = started
-    for part in (faults, partial, spent, counts, report):
+    for part in (faults, partial, spent, report, larger):
         out = out.join(part, "paper_id", "left")
     status = F.when(F.startswith("error", F.lit(TOO_LARGE)), "skipped_too_large").when(F.col("error").isNotNull(), "error").when(F.col("_partial"), "partial").otherwise("completed")
     return out.withColumns({
-        "status": status, "notes": F.col("error"), "total_cost_usd": F.coalesce("_cost", F.lit(0.0)), "token_usage": F.col("_tokens"), "validation_report": F.when(F.col("error").isNull(), F.coalesce("_report", F.lit("{}"))),
+        "status": status, "notes": F.col("error"), "total_cost_usd": F.coalesce("_cost", F.lit(0.0)), "token_usage": F.col("_tokens"), "validation_report": F.when(F.col("error").isNull(), _with_panels("_report", "_larger")),
         "corrections_applied": F.coalesce("_fixed", F.lit(0)), "human_review_items": F.coalesce("_review", F.lit(0)),
     })
 
 
+def _with_panels(report: str, larger: str) -> Column:
+    """The report with the number of panels that are larger than their parents."""
+    n = F.concat(F.lit('{"panel_sizes":'), F.col(larger).cast("string"))
+    rest = F.substring(F.coalesce(report, F.lit("{}")), 2, 2**31 - 1)
+    return F.when(F.col(larger).isNull(), F.coalesce(report, F.lit("{}"))).otherwise(F.concat(n, F.when(rest == "}", rest).otherwise(F.concat(F.lit(","), rest))))
+
+
 def _outcome(jobs: DataFrame, final: DataFrame | None, asked: dict[str, DataFrame]) -> DataFrame:
     """What became of each file. A paper's steps are those that answered without an error in this run."""
     if final is None:

@@ -787,3 +787,33 @@ def nested_attributes(spark, sf_dir):
     """The attributes in nested texts made of all events and their props; some are no JSON, and some lie too deep."""
     e = _t(spark, sf_dir, "events").select("event_id", F.expr(_NESTED).alias("text"))
     return nested.attribute_rows(e, "event_id", "text").withColumn("attribute_names", F.array_join("attribute_names", ","))
+
+
+@_query("""WITH e AS (SELECT event_id, 'u' || user_id AS paper, event_type, value, user_id % 3 AS kind, CASE WHEN event_id % 3 = 0 THEN 'raw_mean' WHEN event_id % 3 = 1 THEN 'frequency_pct' ELSE 'derived_param' END AS value_type,
+  CASE event_id % 4 WHEN 0 THEN 'P1' WHEN 1 THEN 'P2' WHEN 2 THEN ' ' END AS label, CASE WHEN event_id % 2 = 0 THEN value - 10 ELSE value * 3 END AS v, CASE user_id % 3 WHEN 0 THEN 9.0 WHEN 1 THEN 100.0 END AS hi FROM events),
+j AS (SELECT *, value_type <> 'derived_param' AND v IS NOT NULL AS on_, coalesce(v < 0 OR v > hi, false) AND hi IS NOT NULL AS out_ FROM e),
+f AS (SELECT *, CASE WHEN on_ AND out_ AND ((hi <= 10 AND v > 10) OR (hi > 10 AND v > 100)) AND v / 10 <= hi THEN v / 10 END AS fix,
+  label IN ('P1', 'P2') AND kind < 2 AND NOT (label = 'P1') AS unknown_, event_type = 'view' AS bad, row_number() OVER (PARTITION BY paper, event_type, value_type, coalesce(label, '-') ORDER BY event_id) > 1 AS dup FROM j)
+SELECT paper AS paper_id, sum(CASE WHEN on_ THEN out_::INT + (v < 0)::INT + (v > 100 AND value_type = 'frequency_pct')::INT ELSE 0 END)::BIGINT AS issues, count(*) FILTER (bad) AS contaminated, count(*) FILTER (unknown_) AS unknown_panels,
+count(*) FILTER (dup) AS duplicates, count(fix) AS corrections_applied, count(*) FILTER (on_ AND v < 0) AS human_review_items, coalesce(round(sum(fix), 3), 0) AS fixed, coalesce(min(event_id) FILTER (on_ AND v < 0), -1) AS first_review
+FROM f WHERE paper IS NOT NULL GROUP BY 1""")
+def paper_reports(spark, sf_dir):
+    """All events as measurements, a user's as a paper's: their reports as JSON, read back."""
+    k, u = F.col("event_id"), F.col("user_id")
+    paper = F.concat(F.lit("u"), u.cast("string"))
+    e = _t(spark, sf_dir, "events").where(u.isNotNull())
+    rows = e.select(
+        paper.alias("paper_id"), k.alias("ord"), F.when(k % 2 == 0, F.col("value") - 10).otherwise(F.col("value") * 3).alias("value"), F.when(k % 3 == 0, "raw_mean").when(k % 3 == 1, "frequency_pct").otherwise("derived_param").alias("value_type"),
+        F.when(k % 4 == 0, "P1").when(k % 4 == 1, "P2").when(k % 4 == 2, " ").alias("panel_label"), F.when(F.col("event_type") == "view", "Mean Age").otherwise(F.col("event_type")).alias("attribute"),
+        F.concat(F.lit("x"), (u % 3).cast("string")).alias("experiment"), "event_type",
+    )
+    settings = e.select(paper.alias("paper_id"), F.concat(F.lit("x"), (u % 3).cast("string")).alias("experiment"), F.when(u % 3 == 0, "0-9").when(u % 3 == 1, "0-100").alias("scale_range"), k.alias("at"))
+    panels = e.where(u % 3 < 2).select(paper.alias("paper_id"), F.lit("P1").alias("panel_label")).distinct()
+    scaled = validate.with_scale(rows, settings, ["paper_id", "experiment"], "at")
+    said = validate.judged(scaled, panels, ["event_type", "value_type", "panel_label"], "paper_id", "ord", "attribute", "panel_label")
+    kind = "issues long, contaminated long, unknown_panels long, duplicates long, corrections array<struct<suggested_value:double>>, human_review_items array<string>"
+    r = validate.paper_reports(said, "paper_id", "ord").withColumn("r", F.from_json("report", kind))
+    count = lambda n: F.coalesce(F.col(f"r.{n}"), F.lit(0)).alias(n)
+    fixed = F.coalesce(F.aggregate("r.corrections", F.lit(0.0), lambda a, i: a + F.coalesce(i["suggested_value"], F.lit(0.0))), F.lit(0.0))
+    review = F.coalesce(F.regexp_extract(F.get("r.human_review_items", F.lit(0)), "at row (.*)$", 1).cast("long"), F.lit(-1))
+    return r.select("paper_id", *[count(n) for n in ("issues", "contaminated", "unknown_panels", "duplicates")], F.col("corrections_applied").cast("long").alias("corrections_applied"), F.col("human_review_items").cast("long").alias("human_review_items"), F.round(fixed, 3).alias("fixed"), review.alias("first_review"))
