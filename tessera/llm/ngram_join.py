@@ -25,8 +25,10 @@ from .scratch import discard, stored
 from .textblock import LOWER, hash_spans, mix, ragged, text_blocks, windows, words
 
 SHINGLE, PERCENT = 4, 85
-#: Columns that very many rows have come last in the common order: at most so many, with so many rows each at least.
-LATE, LATE_ROWS = 100_000, 8
+#: Columns of so many rows come after the others in the common order, by the power of two of their rows.
+LATE_ROWS = 8
+#: Slots of the map of those powers, a byte each: so many a column, 32 MB at most; bytes of it that are made at once.
+SLOTS, MOST_SLOTS, CHUNK = 16, 1 << 25, 1 << 16
 #: Rows that meet in more shared columns than this are clustered without counting pairs.
 LIGHT = 32
 #: Pivots of a cluster; rows and cells of a block of a tile at most; columns in a block of the product.
@@ -104,19 +106,41 @@ def _class_sets(docs: DataFrame, width: int) -> DataFrame:
     return docs.select("cid", "_text").mapInArrow(run, "cid long, n int, cells array<long>")
 
 
-def _ordered_columns(sets: DataFrame, late: DataFrame, percent: int) -> DataFrame:
-    """cid, n, c: the first columns of each class, those in `late` (bounded, ascending) after all others."""
-    sent = sets.sparkSession.sparkContext.broadcast(np.sort(np.array([r[0] for r in late.collect()], np.int64)))
+def column_levels(sets: DataFrame, name: str) -> np.ndarray:
+    """The powers of two of the columns' rows by the lowest bits of the columns, 0 below LATE_ROWS: a map of bounded size, whatever
+    the number of columns. Columns of one slot have the larger power; that changes the common order, not the links.
+
+    All columns of the rows are counted, since any of them can come among the first ones once others are put last."""
+    key = F.explode("cells").alias("c")
+    often = sets.select(key).select(F.col("c").bitwiseAND(F.lit((1 << 31) - 1)).cast("int").alias("c")).groupBy("c").agg(F.count("*").alias("rows"))
+    often = stored(often.where(F.col("rows") >= LATE_ROWS).select("c", F.floor(F.log2("rows")).cast("int").alias("level")), f"{name}-often")
+    slots = min(MOST_SLOTS, 1 << max(16, (SLOTS * often.count()).bit_length()))
+    slot = F.col("c").bitwiseAND(F.lit(slots - 1))
+
+    def chunk(pdf: pd.DataFrame) -> pd.DataFrame:
+        levels = np.zeros(CHUNK, np.uint8)
+        np.maximum.at(levels, pdf["at"].to_numpy(), pdf["level"].to_numpy().astype(np.uint8))
+        return pd.DataFrame({"chunk": pdf["chunk"].iloc[:1], "levels": [levels.tobytes()]})
+
+    parts = often.select(F.floor(slot / CHUNK).cast("int").alias("chunk"), F.pmod(slot, F.lit(CHUNK)).alias("at"), "level")
+    out = np.zeros(slots, np.uint8)
+    for row in parts.groupBy("chunk").applyInPandas(chunk, "chunk int, levels binary").collect():
+        out[row["chunk"] * CHUNK : (row["chunk"] + 1) * CHUNK] = np.frombuffer(row["levels"], np.uint8)
+    discard(often)
+    return out
+
+
+def _ordered_columns(sets: DataFrame, levels: np.ndarray, percent: int) -> DataFrame:
+    """cid, n, c: the first columns of each class, by their levels and then by their hashes."""
+    sent = sets.sparkSession.sparkContext.broadcast(levels)
 
     def run(batches):
-        last = sent.value
+        level = sent.value
         for part in batches:
             out = [[], [], []]
             for cid, n, cells in zip(part.column(0).to_pylist(), part.column(1).to_pylist(), part.column(2), strict=True):
                 c = cells.values.to_numpy()
-                if len(last):
-                    at = np.minimum(np.searchsorted(last, c), len(last) - 1)
-                    c = c[np.argsort(last[at] == c, kind="stable")]
+                c = c[np.argsort(level[c & (len(level) - 1)], kind="stable")]
                 c = c[: n - int(need(np.int64(n), percent)) + extra(n)]
                 out[0].append(np.full(len(c), cid))
                 out[1].append(np.full(len(c), n, np.int32))
@@ -185,9 +209,9 @@ def _tile(pdf: pd.DataFrame, percent: int) -> pd.DataFrame:
     return pd.DataFrame(edges, columns=["u", "v"], dtype="int64")
 
 
-def class_links(sets: DataFrame, late: DataFrame, percent: int, name: str) -> DataFrame:
+def class_links(sets: DataFrame, percent: int, name: str) -> DataFrame:
     """u, v: links between classes (cid, n, cells) that join every component of links."""
-    cols = stored(_ordered_columns(sets, late, percent), f"{name}-columns")
+    cols = stored(_ordered_columns(sets, column_levels(sets, name), percent), f"{name}-columns")
     counts = stored(cols.groupBy("c").agg(F.count("*").alias("rows"), F.min("cid").alias("head")).where("rows > 1"), f"{name}-counts")
     shared = stored(cols.join(counts, "c"), f"{name}-shared")
     discard(cols, counts)
@@ -257,16 +281,14 @@ def ngram_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     classes = stored(rows.where("n > 0").groupBy("n", "s1", "s2").agg(F.min(F.struct(*KEY)).alias("_r")).select("n", "s1", "s2", F.col("_r._id").alias("cid"), "_r.*"), f"{name}-classes")
     first = _first_columns(base, width, percent)
     again = stored(first.groupBy("c").agg(F.count("*").alias("rows")).where("rows > 1"), f"{name}-again")
-    late = again.where(F.col("rows") >= LATE_ROWS).orderBy(F.desc("rows"), "c").limit(LATE).select("c")
     enough = 1 + F.floor(F.ceil(F.col("n") * percent / 100) / 20)
     alive = maybe_in(first, again, "c").join(again.select("c"), "c").groupBy(*KEY, "n").agg(F.count("*").alias("hits")).where(F.col("hits") >= enough).select(*KEY)
     wanted = stored(classes.select(*KEY, "cid").join(alive.distinct(), KEY, "left_semi"), f"{name}-alive")
-    late = stored(late, f"{name}-late")
     discard(again)
     texts = maybe_in(base.select(*KEY, "_text"), wanted, "_row").join(wanted, KEY).dropDuplicates(KEY)
     sets = stored(_class_sets(texts, width), f"{name}-sets")
-    roots = stored(components(class_links(sets, late, percent, name), name), f"{name}-roots")
-    discard(sets, wanted, late)
+    roots = stored(components(class_links(sets, percent, name), name), f"{name}-roots")
+    discard(sets, wanted)
     named = stored(classes.drop(*KEY).join(roots, F.col("cid") == F.col("node"), "left").select("n", "s1", "s2", F.coalesce("root", "cid").alias("component")), f"{name}-named")
     found = rows.join(named, ["n", "s1", "s2"], "left").select(*KEY, F.col("n").alias("n_shingles"), F.coalesce("component", "_id").alias("_component"))
     found = stored(found, f"{name}-found")

@@ -353,6 +353,28 @@ def test_large_clusters_are_tiled(spark, monkeypatch, pivots, cells):
     assert got == label and 1 < len(set(label.values())) < 40 and max(Counter(label.values()).values()) > 20
 
 
+def test_common_columns_make_no_clusters(spark, monkeypatch):
+    """Sixty texts of 30 % common sentences and 70 % words of their own link with none, and none is sent to a cluster."""
+    rnd = random.Random(5)
+    common = [" ".join(f"c{rnd.randrange(10**6)}" for _ in range(16)) for _ in range(10)]
+    data = []
+    for i in range(60):
+        own = [" ".join(f"o{rnd.randrange(10**9)}" for _ in range(28)) for _ in range(10)]
+        data.append((i, " ".join(x for pair in zip(common, own, strict=True) for x in pair)))
+    real, members = ngram_join.stored, []
+
+    def stored(df, name):
+        out = real(df, name)
+        if name.endswith("-members"):
+            members.append(out.count())
+        return out
+
+    monkeypatch.setattr(ngram_join, "stored", stored)
+    got = ngram_join.ngram_components(spark.createDataFrame(data, "doc_id long, text string"))
+    assert {r.doc_id: r.component_id for r in got.collect()} == {i: i for i in range(60)}
+    assert members == [0]
+
+
 def _removed_words(rows, k=13):
     first = {}
     for i, t, *_ in sorted(rows, key=lambda r: -(2**63) if r[0] is None else r[0]):
