@@ -92,6 +92,18 @@ def merged(stored: DataFrame, by: list[str]) -> DataFrame:
     return stored.groupBy(*by).agg(F.sum("n").alias("n"), F.theta_union_agg("distinct_sketch", LG_DISTINCT).alias("distinct_sketch"), F.kll_merge_agg_double("value_sketch").alias("value_sketch"))
 
 
+def distinct_rows(df: DataFrame, by: list[str], who: str) -> DataFrame:
+    """by, who: a row for each distinct value of who in a group (one of NULL, too), to be stored, a day's after a day's, where
+    counts must be exact whatever their size."""
+    return df.select(*by, who).distinct()
+
+
+def distinct_counts(stored: DataFrame, by: list[str], who: str) -> DataFrame:
+    """by, n_distinct: exact counts over stored distinct rows, of the same groups or coarser ones. NULLs aren't counted. Values are
+    dealt by group and value, so that a group of any size is counted by all tasks."""
+    return stored.select(*by, who).distinct().groupBy(*by).agg(F.count(who).alias("n_distinct"))
+
+
 def estimates(stored: DataFrame, quantiles: list[float]) -> DataFrame:
     """The groups with n, n_distinct, n_values and q_<quantile in per cent>, NULL where a group has no value. 0 and 1 are exact."""
     keep = [c for c in stored.columns if c not in ("distinct_sketch", "value_sketch")]
