@@ -28,7 +28,7 @@ SHINGLE, PERCENT = 4, 85
 #: Columns of so many rows come after the others in the common order, by the power of two of their rows.
 LATE_ROWS = 8
 #: Slots of the map of those powers, a byte each: so many a column, 32 MB at most; bytes of it that are made at once.
-SLOTS, MOST_SLOTS, CHUNK = 16, 1 << 25, 1 << 16
+SLOTS, MOST_SLOTS, CHUNK = 16, 1 << 25, 1 << 12
 #: Rows that meet in more shared columns than this are clustered without counting pairs.
 LIGHT = 32
 #: Pivots of a cluster; rows and cells of a block of a tile at most; columns in a block of the product.
